@@ -25,16 +25,24 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's checkpoint folder and return the stored copy.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share for stored intermediate results.
 
-    The folder is the cluster's ``spark.checkpoint.dir``. Only a local session that
-    names none gets a scratch folder; a cluster session without one is an error.
+    It is the cluster's ``spark.checkpoint.dir``. Only a local session that names none
+    gets a scratch folder; a cluster session without one is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if not context.getConf().get("spark.checkpoint.dir") and not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    if not context.getCheckpointDir():
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            named = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and return the stored copy, lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
