@@ -21,6 +21,7 @@ from cratewise.operators.skew import (
 )
 from cratewise.plans import recordings
 from cratewise.session import checkpointed
+from cratewise.sources.documents import queued_tracks
 
 # Fixed value: a code is given up after this many 404 answers.
 MAX_NOT_FOUND = 10
@@ -177,8 +178,7 @@ def enrichment_queue(
 
 def queue_groups(rows: DataFrame, position: list[str], max_codes: int | None = None) -> DataFrame:
     """Tracks per code in file order, for the first ``max_codes`` codes of the file."""
-    named = rows.withColumns({"track_id": F.trim("track_id"), "isrc": tidy_code(F.col("isrc"))})
-    named = named.where((F.col("track_id") != "") & (F.col("isrc") != ""))
+    named = queued_tracks(rows)
     if max_codes:
         firsts = named.groupBy("isrc").agg(F.min(F.struct(*position)).alias("first_at"))
         wanted = firsts.orderBy("first_at").limit(max_codes)

@@ -260,9 +260,9 @@ def rank_cap(spark, sf_dir):
 def gap_clusters_q(spark, sf_dir):
     """Events of a user no more than half an hour apart."""
     events = sample(spark, sf_dir, "events").select(
-        "event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at")
+        "event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")
     )
-    return gap_clusters(events, ["user_id"], "at", 1_800_000_000, "session", "session_events")
+    return gap_clusters(events, ["user_id"], "micros", 1_800_000_000, "session", "session_events")
 
 
 @query

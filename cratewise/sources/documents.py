@@ -92,10 +92,15 @@ def response_recordings(responses: DataFrame) -> DataFrame:
     return identified.where(F.coalesce("recording_mbid", F.lit("")) != "")
 
 
+def queued_tracks(queue: DataFrame) -> DataFrame:
+    """Rows of the queue file with both values, trimmed and the code in upper case."""
+    tidy = queue.withColumns({"track_id": F.trim("track_id"), "isrc": tidy_code(F.col("isrc"))})
+    return tidy.where((F.col("track_id") != "") & (F.col("isrc") != ""))
+
+
 def flatten_candidates(responses: DataFrame, queue: DataFrame, matched_at: str) -> DataFrame:
     """Every recording of a code as a candidate for every queued track of that code."""
-    queued = queue.select("track_id", tidy_code(F.col("isrc")).alias("isrc"))
-    rows = queued.join(response_recordings(responses), "isrc").select(
+    rows = queued_tracks(queue).join(response_recordings(responses), "isrc").select(
         "track_id",
         "isrc",
         "recording_mbid",

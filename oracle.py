@@ -452,12 +452,12 @@ select f.isrc, f.misses as error_404_count, f.status.v as latest_error_status_co
   f.message.v as latest_error_message
 from (
   select upper(trim(isrc)) as isrc, max(ifnull(error_404_count, 0)) as misses,
-    max(at) as failed_at,
-    max({{'at': at, 'v': error_status_code}})
-      filter (at is not null and error_status_code is not null) as status,
-    max({{'at': at, 'v': error_message}})
-      filter (at is not null and error_message is not null) as message
-  from (select *, try_cast(last_failed_at as timestamp) as at from raw_isrc_failures)
+    max(moment) as failed_at,
+    max({{'at': moment, 'v': error_status_code}})
+      filter (moment is not null and error_status_code is not null) as status,
+    max({{'at': moment, 'v': error_message}})
+      filter (moment is not null and error_message is not null) as message
+  from (select *, try_cast(last_failed_at as timestamp) as moment from raw_isrc_failures)
   where trim(isrc) <> '' group by 1) f
 left join codes c using (isrc)
 """,
@@ -475,12 +475,12 @@ select o_custkey, o_orderkey, o_totalprice from orders
 qualify 3 >= row_number() over (partition by o_custkey order by o_totalprice desc, o_orderkey)
 """,
     "gap_clusters": """
-select event_id, user_id, at, session::bigint as session,
+select event_id, user_id, micros, session::bigint as session,
   count(*) over (partition by user_id, session) as session_events
-from (select *, sum(jump) over (partition by user_id order by at, event_id
+from (select *, sum(jump) over (partition by user_id order by micros, event_id
                rows unbounded preceding) as session
-      from (select event_id, user_id, epoch_us(ts) as at,
-              case when at - lag(at) over (partition by user_id order by epoch_us(ts), event_id)
+      from (select event_id, user_id, epoch_us(ts) as micros,
+              case when micros - lag(micros) over (partition by user_id order by epoch_us(ts), event_id)
                 <= 1800000000 then 0 else 1 end as jump
             from events))
 """,
