@@ -8,7 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = dt.datetime(2001, 8, 10)
 
-SAMPLE_TABLES = ["customer", "orders", "lineitem", "part", "events"]
+# Layout of the sample tables that are read; named here so that no file is opened to infer it.
+SAMPLE_SCHEMAS = {
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+    "c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+    "p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+    "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+    "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+    "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+    "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+}
 
 LANDING_SQL = {
     "saved_tracks": """
@@ -48,12 +63,38 @@ select concat('us',lpad(cast(c_custkey*3 as string),6,'0')) isrc, case when c_cu
 }
 
 
+# The sample table each landing table is made from.
+MADE_FROM = {
+    "saved_tracks": "orders",
+    "track_artists": "lineitem",
+    "isrc_candidates": "lineitem",
+    "recording_payloads": "part",
+    "work_payloads": "part",
+    "isrc_failures": "customer",
+}
+
+
 def sample(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SAMPLE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+class Landing(dict):
+    """Landing tables by name over one set of sample tables, each planned when asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self._spark = spark
+        self._sf_dir = sf_dir
+
+    def __missing__(self, name: str) -> DataFrame:
+        table = MADE_FROM[name]
+        sample(self._spark, self._sf_dir, table).createOrReplaceTempView(table)
+        self[name] = self._spark.sql(LANDING_SQL[name])
+        return self[name]
+
+    def all(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in LANDING_SQL}
 
 
-def landing(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six landing tables over one set of sample tables."""
-    for table in SAMPLE_TABLES:
-        sample(spark, sf_dir, table).createOrReplaceTempView(table)
-    return {name: spark.sql(text) for name, text in LANDING_SQL.items()}
+def landing(spark: SparkSession, sf_dir: str) -> Landing:
+    return Landing(spark, sf_dir)

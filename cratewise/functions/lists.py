@@ -1,56 +1,54 @@
-"""Lists inside one row: ordering, de-duplication, joining and JSON text.
+"""Lists inside one row, as SQL text: filtering, ordering, de-duplication and JSON.
 
-A document's lists never leave its row, so none of this shuffles.
+A document's lists never leave their row, so none of this shuffles. In every fragment
+``x`` is the element and ``i`` its position.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 EMPTY_LIST = "[]"
 
 
-def sort_by(items: Column, key: Callable[[Column], list[Column]]) -> Column:
-    """Order ``items`` by ``key``, NULL keys last, original position as tie-break."""
+def sort_by(items: str, *keys: str) -> str:
+    """Order by keys over ``x``, NULL keys last, original position as tie-break."""
+    parts = ", ".join(f"isnull({key}), {key}" for key in keys)
+    placed = f"transform({items}, (x, i) -> struct({parts}, i as place, x as item))"
+    return f"transform(sort_array({placed}), e -> e.item)"
 
-    def entry(item: Column, position: Column) -> Column:
-        ranked = []
-        for number, part in enumerate(key(item)):
-            ranked += [part.isNull().alias(f"absent{number}"), part.alias(f"part{number}")]
-        return F.struct(*ranked, position.alias("position"), item.alias("item"))
 
-    return F.transform(F.array_sort(F.transform(items, entry)), lambda e: e["item"])
+def by_lower(names: str) -> str:
+    """Names ordered without regard to case, exact text as tie-break."""
+    return sort_by(names, "lower(x)", "x")
 
 
-def first_of_each(items: Column, key: Callable[[Column], Column]) -> Column:
-    """Keep the first item of every key value, in list order."""
-    keys = F.transform(items, key)
-    return F.filter(items, lambda item, at: F.array_position(keys, key(item)) == at + 1)
+def first_of_each(column: str, key: str) -> str:
+    """Elements of a list column whose field ``key`` did not occur before."""
+    return f"filter({column}, (x, i) -> array_position({column}.{key}, x.{key}) = i + 1)"
 
 
-def present(items: Column) -> Column:
-    """The list without NULL elements."""
-    return F.filter(items, lambda item: item.isNotNull())
+def filled(items: str, field: str = "x") -> str:
+    """Elements whose text ``field`` has something besides spaces."""
+    return f"filter({items}, x -> trim({field}) <> '')"
 
 
-def join_sorted(names: Column, separator: str) -> Column:
-    """Distinct names in order, joined; NULL when there is none."""
-    return join_all(F.array_sort(F.array_distinct(present(names))), separator)
+def joined(names: str, separator: str) -> str:
+    """Non-NULL names in list order; NULL when there is none."""
+    some = f"exists({names}, x -> x is not null)"
+    return f"if({some}, array_join({names}, '{separator}'), null)"
 
 
-def join_all(names: Column, separator: str) -> Column:
-    """Names joined in list order; NULL when there is none."""
-    return F.when(F.size(names) > 0, F.array_join(names, separator))
+def join_sorted(names: str, separator: str) -> str:
+    """Distinct non-NULL names in order; NULL when there is none."""
+    present = f"sort_array(array_distinct(filter({names}, x -> x is not null)))"
+    return f"if(size({present}) > 0, array_join({present}, '{separator}'), null)"
 
 
-def by_lower(names: Column) -> Column:
-    """Names ordered without regard to case, exact text as tie-break."""
-    return sort_by(names, lambda name: [F.lower(name), name])
+def json_text(items: str) -> str:
+    """JSON text of a list, NULL members written out; NULL for an empty or absent list."""
+    return f"if(size({items}) > 0, to_json({items}, map('ignoreNullFields', 'false')), null)"
 
 
-def json_text(items: Column) -> Column:
-    """JSON text of a list, NULL members written out; NULL for an empty or absent list."""
-    return F.when(F.size(items) > 0, F.to_json(items, {"ignoreNullFields": "false"}))
+def relations_to(blocks: str, target: str) -> str:
+    """All relations of the blocks with the given target type, in document order."""
+    wanted = f"filter({blocks}, b -> b.`target-type` = '{target}')"
+    return f"flatten(filter(transform({wanted}, b -> b.relation), r -> r is not null))"

@@ -14,7 +14,7 @@ RETRY_AFTER = "INTERVAL 7 DAYS"
 
 # A year alone, a year and month, or a bare clock time is not a date here, although
 # Spark's cast would complete it.
-_FULL_DATE = r"^\s*\d{4,}-\d{1,2}-\d{1,2}"
+_FULL_DATE = "^ *[0-9]{4,}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def strict_timestamp(text: Column) -> Column:
@@ -22,19 +22,19 @@ def strict_timestamp(text: Column) -> Column:
     return text.cast("timestamp")
 
 
-def safe_timestamp(text: Column) -> Column:
-    """UTC timestamp, NULL for text that is none."""
-    return F.when(text.rlike(_FULL_DATE), text.try_cast("timestamp"))
+def safe_timestamp(text: str) -> str:
+    """SQL for a UTC timestamp, NULL for text that is none."""
+    return f"if({text} rlike '{_FULL_DATE}', try_cast({text} as timestamp), null)"
 
 
-def safe_date(text: Column) -> Column:
-    """Date, NULL for partial or malformed text."""
-    return safe_timestamp(text).cast("date")
+def safe_date(text: str) -> str:
+    """SQL for a date, NULL for partial or malformed text."""
+    return f"cast({safe_timestamp(text)} as date)"
 
 
-def safe_int(text: Column) -> Column:
-    """INT, rounding decimals and reading exponents, NULL for other text."""
-    return F.round(text.try_cast("decimal(38,6)"), 0).try_cast("int")
+def safe_int(text: str) -> str:
+    """SQL for an INT, rounding decimals and reading exponents, NULL for other text."""
+    return f"try_cast(round(try_cast({text} as decimal(38,6)), 0) as int)"
 
 
 def moment(as_of: dt.datetime) -> Column:

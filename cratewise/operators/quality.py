@@ -49,7 +49,7 @@ def unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 def freshness(df: DataFrame, table: str, loaded_at: str, as_of: dt.datetime) -> DataFrame:
     """Newest load time of a landing table and whether it is still fresh."""
-    newest = df.agg(F.max(safe_timestamp(F.col(loaded_at))).alias("max_loaded_at"))
+    newest = df.agg(F.max(F.expr(safe_timestamp(loaded_at))).alias("max_loaded_at"))
     now = moment(as_of)
     loaded = F.col("max_loaded_at")
     status = (

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.functions.lists import join_all
+from cratewise.functions.lists import joined
 from cratewise.functions.moments import days_until, or_never
 from cratewise.functions.text import normalize_label
 from cratewise.operators.lists import PAGE, PAGE_ROWS, ordered_lists
@@ -66,13 +66,9 @@ def credit_lines(credits: DataFrame) -> DataFrame:
     The credits of a track come from one document and replace each other as a whole, so
     a track's list is as small as the document it was read from.
     """
-    entries = F.sort_array(
-        F.collect_list(
-            F.struct(F.col("artist_order").isNull(), "artist_order", "artist_name")
-        )
-    )
-    names = F.filter(F.transform(entries, lambda e: e["artist_name"]), lambda n: n.isNotNull())
-    return credits.groupBy("track_id").agg(join_all(names, ", ").alias("credit_line"))
+    entries = "sort_array(collect_list(struct(isnull(artist_order), artist_order, artist_name)))"
+    line = joined(f"{entries}.artist_name", ", ")
+    return credits.groupBy("track_id").agg(F.expr(line).alias("credit_line"))
 
 
 def track_context(

@@ -19,9 +19,8 @@ from cratewise.operators.skew import (
     group_sizes,
     hot_groups,
 )
-from cratewise.plans import recordings
 from cratewise.session import checkpointed
-from cratewise.sources.documents import queued_tracks
+from cratewise.sources.documents import queued_tracks, work_links
 
 # Fixed value: a code is given up after this many 404 answers.
 MAX_NOT_FOUND = 10
@@ -34,7 +33,7 @@ def failure_state(failures: DataFrame) -> DataFrame:
         .groupBy(tidy_code(F.col("isrc")).alias("isrc"))
         .agg(
             F.coalesce(F.max("error_404_count"), F.lit(0)).alias("error_404_count"),
-            F.max(safe_timestamp(F.col("last_failed_at"))).alias("last_failed_at"),
+            F.max(F.expr(safe_timestamp("last_failed_at"))).alias("last_failed_at"),
         )
     )
 
@@ -59,7 +58,7 @@ def pending_tracks(
         .select(
             "track_id",
             tidy_code(F.col("isrc")).alias("isrc"),
-            safe_timestamp(F.col("added_at")).alias("added_at"),
+            F.expr(safe_timestamp("added_at")).alias("added_at"),
         )
         .join(known.select("track_id"), "track_id", "left_anti")
     )
@@ -73,13 +72,13 @@ def retry_tracks(
 ) -> DataFrame:
     """Tracks with a candidate that links a work whose payload is missing."""
     incomplete = (
-        recordings.work_links(latest_recordings)
+        work_links(latest_recordings)
         .join(work_payloads.select("work_mbid").distinct(), "work_mbid", "left_anti")
         .select("recording_mbid")
         .distinct()
     )
     added = saved_tracks.select(
-        "track_id", safe_timestamp(F.col("added_at")).alias("added_at")
+        "track_id", F.expr(safe_timestamp("added_at")).alias("added_at")
     )
     return (
         candidates.where(is_filled(F.col("isrc")))

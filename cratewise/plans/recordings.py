@@ -2,28 +2,66 @@
 
 A document holds all that is known of its recording, so after the latest snapshot is
 picked nothing here groups, joins or shuffles. ``profiles`` carries every per-recording
-column of the tables; the others explode one list each.
+column of the track tables; other tables explode one list each.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
 from cratewise.functions.lists import (
     EMPTY_LIST,
     by_lower,
+    filled,
     first_of_each,
-    join_all,
     join_sorted,
+    joined,
     json_text,
-    present,
+    relations_to,
     sort_by,
 )
 from cratewise.functions.moments import safe_date, safe_int
-from cratewise.functions.text import is_filled, join_parts
-from cratewise.sources.documents import linked_works, relations_to
+
+_RELEASE_TYPE = "coalesce(x.`release-group`.`primary-type`, x.`release-group`.type)"
+
+_TITLES = [
+    "title as mb_recording_title",
+    f"{safe_int('length')} as mb_length_ms",
+    "get(credits, 0).name as mb_primary_artist_name",
+    f"{joined('credits_by_name.name', ', ')} as mb_artist_credit_text",
+    "first_release.title as mb_release_title",
+    f"{safe_date('first_release.date')} as mb_release_date",
+    "disambiguation as mb_disambiguation",
+]
+
+_METADATA = [
+    "get(tag_names, 0) as top_genre",
+    "get(tag_names, 1) as top_style",
+    f"{json_text('tag_names')} as genre_list_json",
+    f"{json_text('tag_names')} as style_list_json",
+    f"coalesce({json_text('instruments')}, '{EMPTY_LIST}') as instrument_list_json",
+    "get(works, 0).id as primary_work_mbid",
+    "get(works, 0).title as primary_work_title",
+    "coalesce(size(originals) > 0, false) as is_cover",
+    "array_max(originals.id) as cover_of_recording_mbid",
+    "array_max(originals.title) as cover_of_recording_title",
+    f"coalesce({json_text('covered_by')}, '{EMPTY_LIST}') as covered_by_recordings_json",
+]
+
+# Over the releases of a recording; NULL without any.
+_RELEASES = [
+    "array_min(releases.released) as first_release_date",
+    "array_max(releases.released) as latest_release_date",
+    f"{join_sorted('releases.title', ' | ')} as release_titles",
+    f"{join_sorted('releases.kind', ', ')} as release_group_types",
+    "if(size(releases) > 0, exists(releases, x -> coalesce(lower(x.kind) = 'single', false)), "
+    "null) as has_single_release",
+    "if(size(releases) > 0, exists(releases, x -> coalesce(lower(x.kind) = 'album', false)), "
+    "null) as has_album_release",
+    "if(size(releases) > 0, last_seen_at, null) as releases_updated_at",
+]
 
 
 def prepared(latest: DataFrame) -> DataFrame:
@@ -31,255 +69,138 @@ def prepared(latest: DataFrame) -> DataFrame:
 
     Every table below selects from this one; what a table does not use is not computed.
     """
-    doc = latest.select(
+    releases = f"""
+        transform({filled("doc.`release-list`", "x.id")}, x -> struct(
+            x.id, x.title, {safe_date("x.date")} as released, x.country, x.status,
+            x.`release-group`.id as group_id, x.`release-group`.title as group_title,
+            {_RELEASE_TYPE} as kind,
+            coalesce(x.`release-group`.`secondary-type-list`, '{EMPTY_LIST}') as secondary_types))
+    """
+    # A count that is no number is 0.
+    tags = f"""
+        transform({filled("doc.`tag-list`", "x.name")},
+                  x -> struct(x.name, coalesce({safe_int("x.count")}, 0) as votes))
+    """
+    works = filled(relations_to("doc.`relation-list`", "work"), "x.work.id")
+    related = f"""
+        transform({relations_to("doc.`relation-list`", "recording")}, x -> struct(
+            lower(coalesce(x.type, '')) as kind, x.recording.id, x.recording.title))
+    """
+    # Distinct attributes of artist relations, in the present and the older layout. Only
+    # `attribute-list` is read, as published: a relation without one contributes nothing,
+    # and an attribute that is an object stays JSON text.
+    artists = f"""
+        concat(coalesce(doc.`artist-relation-list`, array()),
+               coalesce({relations_to("doc.`relation-list`", "artist")}, array()))
+    """
+    attributes = f"flatten(filter(({artists}).`attribute-list`, x -> x is not null))"
+    document = latest.selectExpr(
         "recording_mbid",
         "last_seen_at",
-        F.from_json("payload_json", schemas.RECORDING_DOCUMENT).alias("doc"),
+        f"from_json(payload_json, '{schemas.RECORDING_DOCUMENT}') as doc",
     )
-    return doc.select(
+    lists = document.selectExpr(
         "recording_mbid",
         "last_seen_at",
-        F.col("doc.title").alias("title"),
-        F.col("doc.length").alias("length"),
-        F.col("doc.disambiguation").alias("disambiguation"),
-        F.get(F.col("doc.release-list"), F.lit(0)).alias("first_release"),
-        _credits().alias("credits"),
-        _releases().alias("releases"),
-        _tags().alias("tags"),
-        _works().alias("works"),
-        relations_to(F.col("doc.relation-list"), "recording").alias("related"),
-        _instruments().alias("instruments"),
-    )
+        "doc.title",
+        "doc.length",
+        "doc.disambiguation",
+        "get(doc.`release-list`, 0) as first_release",
+        # NULL for a join phrase.
+        f"transform(doc.`artist-credit`, x -> from_json(x, '{schemas.CREDITED_ARTIST}').artist) "
+        "as credits",
+        f"{releases} as releases",
+        f"{sort_by(tags, '-x.votes', 'lower(x.name)', 'x.name')}.name as tag_names",
+        f"{sort_by(f'{works}.work', 'lower(x.id)', 'x.id')} as works",
+        f"{related} as related",
+        f"{by_lower(f'array_distinct({filled(attributes)})')} as instruments",
+    )
+    return lists.selectExpr(
+        "*",
+        f"{sort_by('credits', 'lower(x.name)', 'x.name')} as credits_by_name",
+        "filter(related, x -> x.kind = 'cover of') as originals",
+        "transform(filter(related, x -> x.kind = 'covers' and trim(x.id) <> ''), "
+        "x -> struct(x.id as recording_mbid, x.title)) as covered_by",
+    ).withColumns({"releases": F.expr(first_of_each("releases", "id"))})
 
 
 def profiles(latest: DataFrame) -> DataFrame:
     """Every per-recording column of the track tables, from one pass."""
-    return prepared(latest).select(
+    return prepared(latest).selectExpr(
         "recording_mbid",
-        *_title_columns(),
-        F.col("last_seen_at").alias("musicbrainz_recording_updated_at"),
-        *_metadata_columns(),
-        F.col("last_seen_at").alias("musicbrainz_metadata_updated_at"),
-        *_release_columns(),
+        *_TITLES,
+        "last_seen_at as musicbrainz_recording_updated_at",
+        *_METADATA,
+        "last_seen_at as musicbrainz_metadata_updated_at",
+        *_RELEASES,
     )
 
 
 def recordings(latest: DataFrame) -> DataFrame:
     """Title, length, credit and first release of every recording."""
-    return prepared(latest).select(
-        F.col("recording_mbid").alias("id"),
+    return prepared(latest).selectExpr(
+        "recording_mbid as id",
         "recording_mbid",
-        *_title_columns(),
+        *_TITLES,
         "last_seen_at",
-        F.col("last_seen_at").alias("musicbrainz_recording_updated_at"),
+        "last_seen_at as musicbrainz_recording_updated_at",
     )
 
 
-def recording_artists(latest: DataFrame) -> DataFrame:
-    """Credited artists, numbered by name within their recording."""
-    rows = prepared(latest).select(
+def metadata(latest: DataFrame) -> DataFrame:
+    """Tags, works, covers and instruments of every recording."""
+    return prepared(latest).selectExpr(
+        "recording_mbid as id",
         "recording_mbid",
+        *_METADATA,
+        # Fixed value: the source name the tables carry.
+        "'musicbrainz_api' as metadata_source",
         "last_seen_at",
-        F.posexplode(_by_name(F.col("credits"))).alias("position", "artist"),
-    )
-    return rows.where(is_filled(F.col("artist.id"))).select(
-        join_parts(
-            F.col("artist.id"),
-            F.lit(":"),
-            F.col("recording_mbid"),
-            F.lit(":"),
-            F.col("position") + 1,
-        ).alias("id"),
-        F.col("artist.id").alias("artist_mbid"),
-        F.col("artist.name").alias("artist_name"),
-        F.col("artist.sort-name").alias("sort_name"),
-        F.col("artist.disambiguation").alias("disambiguation"),
-        F.col("artist.type").alias("artist_type"),
-        F.col("artist.country").alias("artist_country"),
-        F.col("artist.gender").alias("artist_gender"),
-        (F.col("position") + 1).cast("bigint").alias("credit_order"),
-        F.col("recording_mbid").alias("source_recording_mbid"),
-        "last_seen_at",
+        "last_seen_at as musicbrainz_metadata_updated_at",
     )
 
 
-def releases(latest: DataFrame) -> DataFrame:
-    """Releases of every recording, the first entry where an id repeats."""
-    rows = prepared(latest).select(
-        "recording_mbid", "last_seen_at", F.explode("releases").alias("release")
-    )
-    group = F.col("release.release-group")
-    return rows.select(
-        join_parts(F.col("release.id"), F.lit(":"), F.col("recording_mbid")).alias("id"),
-        F.col("release.id").alias("release_mbid"),
-        F.col("release.title").alias("release_title"),
-        safe_date(F.col("release.date")).alias("release_date"),
-        F.col("release.country").alias("release_country"),
-        F.col("release.status").alias("release_status"),
-        group["id"].alias("release_group_mbid"),
-        group["title"].alias("release_group_title"),
-        _release_type(F.col("release")).alias("release_group_primary_type"),
-        F.coalesce(group["secondary-type-list"], F.lit(EMPTY_LIST)).alias(
-            "release_group_secondary_types_json"
-        ),
-        F.col("recording_mbid").alias("source_recording_mbid"),
+def recording_artists(latest: DataFrame) -> DataFrame:
+    """Credited artists, numbered by name within their recording."""
+    rows = prepared(latest).selectExpr(
+        "recording_mbid", "last_seen_at", "posexplode(credits_by_name) as (place, artist)"
+    )
+    return rows.where("trim(artist.id) <> ''").selectExpr(
+        "concat(artist.id, ':', recording_mbid, ':', place + 1) as id",
+        "artist.id as artist_mbid",
+        "artist.name as artist_name",
+        "artist.`sort-name` as sort_name",
+        "artist.disambiguation",
+        "artist.type as artist_type",
+        "artist.country as artist_country",
+        "artist.gender as artist_gender",
+        "bigint(place + 1) as credit_order",
+        "recording_mbid as source_recording_mbid",
         "last_seen_at",
     )
 
 
-def metadata(latest: DataFrame) -> DataFrame:
-    """Tags, works, covers and instruments of every recording."""
-    return prepared(latest).select(
-        F.col("recording_mbid").alias("id"),
-        "recording_mbid",
-        *_metadata_columns(),
-        # Fixed value: the source name the tables carry.
-        F.lit("musicbrainz_api").alias("metadata_source"),
+def releases(latest: DataFrame) -> DataFrame:
+    """Releases of every recording, the first entry where an id repeats."""
+    rows = prepared(latest).selectExpr(
+        "recording_mbid", "last_seen_at", "explode(releases) as release"
+    )
+    return rows.selectExpr(
+        "concat(release.id, ':', recording_mbid) as id",
+        "release.id as release_mbid",
+        "release.title as release_title",
+        "release.released as release_date",
+        "release.country as release_country",
+        "release.status as release_status",
+        "release.group_id as release_group_mbid",
+        "release.group_title as release_group_title",
+        "release.kind as release_group_primary_type",
+        "release.secondary_types as release_group_secondary_types_json",
+        "recording_mbid as source_recording_mbid",
         "last_seen_at",
-        F.col("last_seen_at").alias("musicbrainz_metadata_updated_at"),
     )
 
 
 def instruments(latest: DataFrame) -> DataFrame:
     """Instrument names of every recording as a list."""
     return prepared(latest).select("recording_mbid", "instruments")
-
-
-def work_links(latest: DataFrame) -> DataFrame:
-    """Linked works, one row per link."""
-    return prepared(latest).select("recording_mbid", F.explode("works").alias("work")).select(
-        "recording_mbid", F.col("work.id").alias("work_mbid")
-    )
-
-
-def _title_columns() -> list[Column]:
-    names = F.transform(_by_name(F.col("credits")), lambda artist: artist["name"])
-    return [
-        F.col("title").alias("mb_recording_title"),
-        safe_int(F.col("length")).alias("mb_length_ms"),
-        F.get("credits", F.lit(0))["name"].alias("mb_primary_artist_name"),
-        join_all(present(names), ", ").alias("mb_artist_credit_text"),
-        F.col("first_release.title").alias("mb_release_title"),
-        safe_date(F.col("first_release.date")).alias("mb_release_date"),
-        F.col("disambiguation").alias("mb_disambiguation"),
-    ]
-
-
-def _metadata_columns() -> list[Column]:
-    tag_names = F.transform("tags", lambda tag: tag["name"])
-    work = F.get("works", F.lit(0))
-    originals = F.filter("related", lambda relation: _kind(relation) == "cover of")
-    covers = F.filter(
-        "related",
-        lambda relation: (_kind(relation) == "covers") & is_filled(relation["recording"]["id"]),
-    )
-    covered_by = F.transform(
-        covers,
-        lambda relation: F.struct(
-            relation["recording"]["id"].alias("recording_mbid"),
-            relation["recording"]["title"].alias("title"),
-        ),
-    )
-    cover_of_ids = F.transform(originals, lambda relation: relation["recording"]["id"])
-    cover_of_titles = F.transform(originals, lambda relation: relation["recording"]["title"])
-    return [
-        F.get(tag_names, F.lit(0)).alias("top_genre"),
-        F.get(tag_names, F.lit(1)).alias("top_style"),
-        json_text(tag_names).alias("genre_list_json"),
-        json_text(tag_names).alias("style_list_json"),
-        F.coalesce(json_text(F.col("instruments")), F.lit(EMPTY_LIST)).alias(
-            "instrument_list_json"
-        ),
-        work["id"].alias("primary_work_mbid"),
-        work["title"].alias("primary_work_title"),
-        F.coalesce(F.size(originals) > 0, F.lit(False)).alias("is_cover"),
-        F.array_max(cover_of_ids).alias("cover_of_recording_mbid"),
-        F.array_max(cover_of_titles).alias("cover_of_recording_title"),
-        F.coalesce(json_text(covered_by), F.lit(EMPTY_LIST)).alias("covered_by_recordings_json"),
-    ]
-
-
-def _release_columns() -> list[Column]:
-    """Dates, titles and types over the releases of a recording; NULL without any."""
-    dates = F.transform("releases", lambda release: safe_date(release["date"]))
-    titles = F.transform("releases", lambda release: release["title"])
-    kinds = F.transform("releases", _release_type)
-    some = F.size("releases") > 0
-
-    def any_of(kind: str) -> Column:
-        return F.exists(kinds, lambda k: F.lower(F.coalesce(k, F.lit(""))) == kind)
-
-    return [
-        F.array_min(dates).alias("first_release_date"),
-        F.array_max(dates).alias("latest_release_date"),
-        join_sorted(titles, " | ").alias("release_titles"),
-        join_sorted(kinds, ", ").alias("release_group_types"),
-        F.when(some, any_of("single")).alias("has_single_release"),
-        F.when(some, any_of("album")).alias("has_album_release"),
-        F.when(some, F.col("last_seen_at")).alias("releases_updated_at"),
-    ]
-
-
-def _credits() -> Column:
-    """Artist of every credit element; NULL for a join phrase."""
-    return F.transform(
-        "doc.artist-credit", lambda e: F.from_json(e, schemas.CREDITED_ARTIST)["artist"]
-    )
-
-
-def _by_name(credits: Column) -> Column:
-    return sort_by(credits, lambda artist: [F.lower(artist["name"]), artist["name"]])
-
-
-def _releases() -> Column:
-    named = F.filter("doc.release-list", lambda release: is_filled(release["id"]))
-    return first_of_each(named, lambda release: release["id"])
-
-
-def _release_type(release: Column) -> Column:
-    group = release["release-group"]
-    return F.coalesce(group["primary-type"], group["type"])
-
-
-def _tags() -> Column:
-    """Named tags, most counted first; a count that is no number is 0."""
-    counted = F.transform(
-        F.filter("doc.tag-list", lambda tag: is_filled(tag["name"])),
-        lambda tag: F.struct(
-            tag["name"].alias("name"),
-            F.coalesce(safe_int(tag["count"]), F.lit(0)).alias("count"),
-        ),
-    )
-    return sort_by(counted, lambda tag: [-tag["count"], F.lower(tag["name"]), tag["name"]])
-
-
-def _works() -> Column:
-    return sort_by(
-        linked_works(F.col("doc.relation-list")), lambda work: [F.lower(work["id"]), work["id"]]
-    )
-
-
-def _kind(relation: Column) -> Column:
-    return F.lower(F.coalesce(relation["type"], F.lit("")))
-
-
-def _instruments() -> Column:
-    """Distinct attributes of artist relations, in the present and the older layout.
-
-    Only ``attribute-list`` is read, as published: a relation that has none contributes
-    nothing, and an attribute that is an object stays JSON text.
-    """
-    none = F.array().cast("array<string>")
-
-    def attributes(relations: Column) -> Column:
-        lists = F.transform(relations, lambda relation: relation["attribute-list"])
-        return F.coalesce(F.flatten(present(lists)), none)
-
-    named = F.filter(
-        F.concat(
-            attributes(F.col("doc.artist-relation-list")),
-            attributes(relations_to(F.col("doc.relation-list"), "artist")),
-        ),
-        is_filled,
-    )
-    return by_lower(F.array_distinct(named))

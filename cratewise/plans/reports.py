@@ -293,7 +293,7 @@ def request_metrics(
 
 def retry_error_state(failures: DataFrame, ranks: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Failures by code, when they may be retried, and their place in the queue."""
-    time = safe_timestamp(F.col("last_failed_at"))
+    time = F.expr(safe_timestamp("last_failed_at"))
     state = (
         failures.where(is_filled(F.col("isrc")))
         .groupBy(tidy_code(F.col("isrc")).alias("isrc"))

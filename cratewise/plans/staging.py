@@ -6,47 +6,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.moments import strict_timestamp
-from cratewise.functions.text import join_parts, tidy_code
+from cratewise.functions.text import tidy_code
 from cratewise.operators.ranking import best_match, latest_per_key
 
 
 def saved_tracks(raw: DataFrame) -> DataFrame:
     """Saved tracks, one row per landing row; a bad value stops the query."""
-    added_at = strict_timestamp(F.col("added_at"))
-    ingested = strict_timestamp(F.col("ingest_run_at"))
-    return raw.select(
-        F.col("track_id").alias("id"),
+    return raw.selectExpr(
+        "track_id as id",
         "track_id",
-        added_at.alias("added_at"),
+        "timestamp(added_at) as added_at",
         "track_name",
-        tidy_code(F.col("isrc")).alias("isrc"),
+        "upper(trim(isrc)) as isrc",
         "album_id",
         "album_name",
-        F.col("album_release_date").cast("date").alias("album_release_date"),
-        F.col("album_total_tracks").cast("int").alias("album_total_tracks"),
-        F.col("track_number").cast("int").alias("track_number"),
-        F.col("disc_number").cast("int").alias("disc_number"),
-        F.col("duration_ms").cast("int").alias("duration_ms"),
-        F.col("explicit").cast("boolean").alias("explicit"),
-        F.col("popularity").cast("int").alias("popularity"),
-        F.col("is_local").cast("boolean").alias("is_local"),
+        "date(album_release_date) as album_release_date",
+        "int(album_total_tracks) as album_total_tracks",
+        "int(track_number) as track_number",
+        "int(disc_number) as disc_number",
+        "int(duration_ms) as duration_ms",
+        "boolean(explicit) as explicit",
+        "int(popularity) as popularity",
+        "boolean(is_local) as is_local",
         "primary_artist_id",
         "primary_artist_name",
         "spotify_track_url",
-        ingested.alias("ingest_run_at"),
-        F.coalesce(ingested, added_at).alias("spotify_updated_at"),
+        "timestamp(ingest_run_at) as ingest_run_at",
+        "coalesce(timestamp(ingest_run_at), timestamp(added_at)) as spotify_updated_at",
     )
 
 
 def track_artists(raw: DataFrame) -> DataFrame:
     """Credits, keyed by track and place in the credit list."""
-    return raw.select(
-        join_parts(F.col("track_id"), F.lit(":"), F.col("artist_order")).alias("id"),
+    return raw.selectExpr(
+        "concat_ws('', track_id, ':', artist_order) as id",
         "track_id",
         "artist_id",
         "artist_name",
-        F.col("artist_order").cast("int").alias("artist_order"),
-        strict_timestamp(F.col("ingest_run_at")).alias("ingest_run_at"),
+        "int(artist_order) as artist_order",
+        "timestamp(ingest_run_at) as ingest_run_at",
     )
 
 

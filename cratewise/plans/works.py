@@ -2,85 +2,89 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
-from cratewise.functions.lists import EMPTY_LIST, by_lower, first_of_each, join_sorted, json_text
-from cratewise.functions.text import is_filled, join_parts
-from cratewise.sources.documents import relations_to
+from cratewise.functions.lists import (
+    EMPTY_LIST,
+    by_lower,
+    filled,
+    first_of_each,
+    join_sorted,
+    json_text,
+    relations_to,
+)
 
 # Relation types that make an artist a writer.
 WRITER_ROLES = ["writer", "composer", "lyricist", "librettist"]
 
 
-def parsed(latest: DataFrame) -> DataFrame:
-    return latest.select(
+def prepared(latest: DataFrame) -> DataFrame:
+    """Latest payloads with their document's fields and its writers, each role once."""
+    roles = ", ".join(f"'{role}'" for role in WRITER_ROLES)
+    artists = filled(relations_to("doc.`relation-list`", "artist"), "x.artist.id")
+    writers = f"""
+        transform(filter({artists}, x -> lower(x.type) in ({roles})), x -> struct(
+            struct(x.artist.id, lower(x.type) as role) as key, x.artist.name,
+            coalesce(x.`attribute-list`, '{EMPTY_LIST}') as attributes))
+    """
+    document = latest.selectExpr(
         "work_mbid",
         "last_seen_at",
-        F.from_json("payload_json", schemas.WORK_DOCUMENT).alias("doc"),
+        f"from_json(payload_json, '{schemas.WORK_DOCUMENT}') as doc",
     )
+    return document.selectExpr(
+        "work_mbid",
+        "last_seen_at",
+        "doc.title",
+        "doc.type",
+        "doc.language",
+        "doc.disambiguation",
+        f"if(trim(work_mbid) <> '', {writers}, null) as writers",
+    ).withColumns({"writers": F.expr(first_of_each("writers", "key"))})
 
 
 def works(latest: DataFrame) -> DataFrame:
     """Title, type and language of every work."""
-    return parsed(latest).select(
-        F.col("work_mbid").alias("id"),
+    return prepared(latest).selectExpr(
+        "work_mbid as id",
         "work_mbid",
-        F.col("doc.title").alias("work_title"),
-        F.col("doc.type").alias("work_type"),
-        F.col("doc.language").alias("work_language"),
-        F.col("doc.disambiguation").alias("disambiguation"),
+        "title as work_title",
+        "type as work_type",
+        "language as work_language",
+        "disambiguation",
         "last_seen_at",
     )
 
 
 def work_writers(latest: DataFrame) -> DataFrame:
     """Writers of every work, one row per artist and role."""
-    rows = parsed(latest).where(is_filled(F.col("work_mbid")))
-    return rows.select("work_mbid", "last_seen_at", F.explode(_writers()).alias("writer")).select(
-        join_parts(
-            F.col("work_mbid"),
-            F.lit(":"),
-            F.col("writer.artist.id"),
-            F.lit(":"),
-            F.lower("writer.type"),
-        ).alias("id"),
+    rows = prepared(latest).selectExpr("work_mbid", "last_seen_at", "explode(writers) as writer")
+    return rows.selectExpr(
+        "concat(work_mbid, ':', writer.key.id, ':', writer.key.role) as id",
         "work_mbid",
-        F.col("writer.artist.id").alias("artist_mbid"),
-        F.col("writer.artist.name").alias("artist_name"),
-        F.lower("writer.type").alias("writer_role"),
-        F.coalesce("writer.attribute-list", F.lit(EMPTY_LIST)).alias("attributes_json"),
+        "writer.key.id as artist_mbid",
+        "writer.name as artist_name",
+        "writer.key.role as writer_role",
+        "writer.attributes as attributes_json",
         "last_seen_at",
     )
 
 
 def writer_figures(latest: DataFrame) -> DataFrame:
     """Writer names and roles of every work; NULL for a work without writers."""
-    listed = (
-        parsed(latest)
-        .where(is_filled(F.col("work_mbid")))
-        .select("work_mbid", "last_seen_at", _writers().alias("writers"))
+    listed = prepared(latest).selectExpr(
+        "work_mbid",
+        "last_seen_at",
+        "writers",
+        f"{by_lower(f'array_distinct({filled("writers.name")})')} as named",
     )
-    names = F.transform("writers", lambda writer: writer["artist"]["name"])
-    roles = F.transform("writers", lambda writer: F.lower(writer["type"]))
-    named = F.array_distinct(F.filter(names, is_filled))
-    return listed.select(
+    return listed.selectExpr(
         "work_mbid",
-        join_sorted(names, ", ").alias("writer_names"),
-        join_sorted(roles, ", ").alias("writer_roles"),
-        F.when(F.size("writers") > 0, F.col("last_seen_at")).alias("writers_updated_at"),
-        json_text(by_lower(named)).alias("work_writer_list_json"),
-        F.when(F.size(named) > 0, F.col("last_seen_at")).alias("named_writers_updated_at"),
+        f"{join_sorted('writers.name', ', ')} as writer_names",
+        f"{join_sorted('writers.key.role', ', ')} as writer_roles",
+        "if(size(writers) > 0, last_seen_at, null) as writers_updated_at",
+        f"{json_text('named')} as work_writer_list_json",
+        "if(size(named) > 0, last_seen_at, null) as named_writers_updated_at",
     )
-
-
-def _writers() -> Column:
-    def counts(relation: Column) -> Column:
-        return F.lower(relation["type"]).isin(WRITER_ROLES) & is_filled(relation["artist"]["id"])
-
-    def key(relation: Column) -> Column:
-        return F.struct(relation["artist"]["id"].alias("id"), F.lower(relation["type"]).alias("as"))
-
-    relations = relations_to(F.col("doc.relation-list"), "artist")
-    return first_of_each(F.filter(relations, counts), key)

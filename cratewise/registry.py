@@ -22,7 +22,7 @@ from cratewise.operators.lists import (
     ordered_texts,
 )
 from cratewise.operators.ranking import best_match, keep_first, last_wins, latest_per_key
-from cratewise.plans import checks, queue, recordings, reports
+from cratewise.plans import checks, queue, reports
 from cratewise.plans.models import PUBLISHED, Models
 from cratewise.session import prepare, shared_folder
 from cratewise.sources import documents, files
@@ -383,7 +383,7 @@ def lookup_failures(spark, sf_dir):
 
 @query
 def work_links(spark, sf_dir):
-    return recordings.work_links(models(spark, sf_dir).latest_recordings)
+    return documents.work_links(models(spark, sf_dir).latest_recordings)
 
 
 @query
@@ -470,7 +470,7 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def run_summary(spark, sf_dir):
-    return files.run_summary(landing(spark, sf_dir), AS_OF)
+    return files.run_summary(landing(spark, sf_dir).all(), AS_OF)
 
 
 def _published(spark, sf_dir):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
-from cratewise.functions.lists import present
+from cratewise.functions.lists import filled, relations_to
 from cratewise.functions.moments import pad_release_date
-from cratewise.functions.text import is_filled, status_code, tidy_code
+from cratewise.functions.text import status_code, tidy_code
 from cratewise.operators.ranking import last_wins
 
 POSITION = ["page_no", "item_no"]
@@ -152,22 +152,10 @@ def lookup_failures(responses: DataFrame, failed_at: str) -> DataFrame:
     return last_wins(rows, ["isrc"], ["error_message"])
 
 
-def work_links(recordings: DataFrame) -> DataFrame:
-    """Works linked from recording payloads, one row per link."""
-    document = F.from_json("payload_json", schemas.RECORDING_DOCUMENT)
-    return recordings.select(
-        "recording_mbid", F.explode(linked_works(document["relation-list"])).alias("work")
-    ).select("recording_mbid", F.col("work.id").alias("work_mbid"))
-
-
-def linked_works(blocks: Column) -> Column:
-    """Works of the 'work' relation blocks that carry an id."""
-    works = F.transform(relations_to(blocks, "work"), lambda relation: relation["work"])
-    return F.filter(works, lambda work: is_filled(work["id"]))
-
-
-def relations_to(blocks: Column, target: str) -> Column:
-    """All relations of the blocks with the given target type, in document order."""
-    wanted = F.filter(blocks, lambda block: block["target-type"] == target)
-    return F.flatten(present(F.transform(wanted, lambda block: block["relation"])))
-
+def work_links(payloads: DataFrame) -> DataFrame:
+    """Works linked from recording payloads, one row per link that carries an id."""
+    document = F.from_json("payload_json", schemas.RECORDING_DOCUMENT).alias("doc")
+    relations = filled(relations_to("doc.`relation-list`", "work"), "x.work.id")
+    return payloads.select("recording_mbid", document).selectExpr(
+        "recording_mbid", f"explode(transform({relations}, x -> x.work.id)) as work_mbid"
+    )
