@@ -17,7 +17,6 @@ from cratewise.session import checkpointed
 GROUP_SIZE = "group_size"
 HOT_GROUP_ROWS = 1_000_000
 BROADCAST_ROWS = 500_000
-SPREAD = 4096
 
 
 def group_sizes(df: DataFrame, keys: list[str], *figures: Column) -> DataFrame:
@@ -67,19 +66,16 @@ def attach(
 
 
 def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
-    """Left join to a table with one row per ``key``.
+    """Left join to a table with one row per text ``key``.
 
-    Facts without a key would all hash to one task; they are spread by another column.
-    A hot key is split by AQE, which replicates the one dimension row it meets.
+    Facts without a key would all hash to one task; a stand-in made from another column
+    spreads them, and the second condition keeps it from ever matching. A hot key is
+    split by AQE, which replicates the one dimension row it meets.
     """
-    spread = F.when(
-        F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)) + 1
-    ).otherwise(F.lit(0))
-    return (
-        facts.withColumn("spread", spread.cast("int"))
-        .join(dimension.withColumn("spread", F.lit(0)), [key, "spread"], "left")
-        .drop("spread")
-    )
+    listed = dimension.withColumnRenamed(key, f"{key}__other")
+    stand_in = F.concat(F.lit("no key "), F.col(spread_by).cast("string"))
+    same = F.coalesce(F.col(key), stand_in) == F.col(f"{key}__other")
+    return facts.join(listed, same & F.col(key).isNotNull(), "left").drop(f"{key}__other")
 
 
 def _sized(hot_keys: DataFrame) -> DataFrame:
