@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cratewise.operators.skew import GROUP_SIZE, HOT_GROUP_ROWS, attach, group_sizes, hot_groups
+from cratewise.operators.skew import GROUP_SIZE, HOT_GROUP_ROWS, attach, hot_groups, measured
 
 
 def gap_clusters(
@@ -30,7 +30,7 @@ def gap_clusters(
     width = F.lit(tolerance + 1).cast("bigint")
     number = F.col(value).cast("bigint")
     celled = df.withColumn("cell", number - F.pmod(number, width))
-    cells = group_sizes(
+    cells = measured(
         celled, [*keys, "cell"], F.min(value).alias("low"), F.max(value).alias("high")
     )
     in_order = Window.partitionBy(*keys).orderBy("cell")

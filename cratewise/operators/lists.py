@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.operators.ranking import number_within
+from cratewise.operators.ranking import UNMEASURED, number_within
 from cratewise.operators.skew import HOT_GROUP_ROWS
 
 PAGE = "list_page"
@@ -18,6 +18,7 @@ def ordered_lists(
     order: list[Column],
     values: dict[str, Column],
     page_rows: int = PAGE_ROWS,
+    hot: DataFrame | None | object = UNMEASURED,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Lists of values per group in a total order, NULL elements kept.
@@ -26,7 +27,7 @@ def ordered_lists(
     elements, numbered from 0, of which an ordinary group has one.
     """
     columns = [column.alias(name) for name, column in values.items()]
-    numbered = number_within(df, keys, order, "at", hot_rows=hot_rows)
+    numbered = number_within(df, keys, order, "at", hot, hot_rows)
     entries = numbered.select(
         *keys,
         F.floor((F.col("at") - 1) / page_rows).alias(PAGE),
@@ -48,10 +49,11 @@ def ordered_texts(
     out: str,
     separator: str = ", ",
     page_rows: int = PAGE_ROWS,
+    hot: DataFrame | None | object = UNMEASURED,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Values of every group joined in a total order, NULL ones left out, in pages."""
-    lists = ordered_lists(df, keys, order, {"texts": value}, page_rows, hot_rows)
+    lists = ordered_lists(df, keys, order, {"texts": value}, page_rows, hot, hot_rows)
     kept = F.filter("texts", lambda text: text.isNotNull())
     return lists.select(
         *keys,
@@ -71,7 +73,9 @@ def distinct_lists(
     """Distinct non-NULL texts of every group without regard to case in order, in pages."""
     pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     order = [F.lower(value).asc(), F.col(value).asc()]
-    return ordered_lists(pairs, keys, order, {out: F.col(value)}, page_rows, hot_rows)
+    return ordered_lists(
+        pairs, keys, order, {out: F.col(value)}, page_rows, hot_rows=hot_rows
+    )
 
 
 def newest_filled(value: Column, timestamp: Column) -> Column:

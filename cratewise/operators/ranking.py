@@ -14,7 +14,8 @@ from cratewise.operators.skew import (
 )
 from cratewise.session import checkpointed
 
-_UNMEASURED = object()
+# Passed for ``hot`` by callers that know nothing of the group sizes yet.
+UNMEASURED = object()
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], n: int = 1) -> DataFrame:
@@ -55,7 +56,7 @@ def number_within(
     keys: list[str],
     order: list[Column],
     out: str,
-    hot: DataFrame | None | object = _UNMEASURED,
+    hot: DataFrame | None | object = UNMEASURED,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Number the rows of every group from 1; no keys means the whole table.
@@ -64,12 +65,12 @@ def number_within(
     the hot groups it already knows. Groups that fit a task are numbered by a window,
     hot ones range by range.
     """
-    if hot is _UNMEASURED:
+    if hot is UNMEASURED:
         hot = hot_groups(group_sizes(df, keys), hot_rows)
     if hot is None:
         return _number(df, keys, order, out)
     rest, big = split_hot(df, hot, keys)
-    tasks = int(hot.agg(F.sum(GROUP_SIZE)).first()[0] // hot_rows + 1) * 4
+    tasks = int(hot.agg(F.sum(GROUP_SIZE)).first()[0] // hot_rows + 1)
     numbered = _number_by_ranges(big, keys, order, out, tasks)
     return _number(rest, keys, order, out).unionByName(numbered) if keys else numbered
 

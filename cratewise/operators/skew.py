@@ -1,8 +1,7 @@
 """Groups too large for one task: find them, set them apart, join their figures back.
 
 Sizes come from an aggregate that Spark combines before its shuffle, so measuring a hot
-group is cheap. No more than rows / HOT_GROUP_ROWS groups can be hot, which bounds the
-tables that are broadcast here.
+group is cheap. The list of hot groups is counted before anything broadcasts it.
 """
 
 from __future__ import annotations
@@ -24,19 +23,32 @@ def group_sizes(df: DataFrame, keys: list[str], *figures: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(GROUP_SIZE), *figures)
 
 
+def measured(df: DataFrame, keys: list[str], *figures: Column) -> DataFrame:
+    """Group sizes, stored: the check for hot groups and the later join read one copy."""
+    return checkpointed(group_sizes(df, keys, *figures))
+
+
 def hot_groups(sizes: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
-    """The rows of ``sizes`` whose group is hot, stored; None when no group is."""
+    """The rows of ``sizes`` whose group is hot, stored; None when no group is.
+
+    At most rows / ``hot_rows`` groups can be hot. Should these exceed BROADCAST_ROWS, the
+    smaller ones are left to the ordinary way, whose sorts can spill.
+    """
     largest = sizes.agg(F.max(GROUP_SIZE)).first()[0]
     if largest is None or largest <= hot_rows:
         return None
-    return checkpointed(sizes.where(F.col(GROUP_SIZE) > hot_rows))
+    hot = checkpointed(sizes.where(F.col(GROUP_SIZE) > hot_rows))
+    while hot.count() > BROADCAST_ROWS:
+        hot_rows *= 2
+        hot = checkpointed(hot.where(F.col(GROUP_SIZE) > hot_rows))
+    return hot
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of the other groups, rows of the hot groups."""
     if not keys:
         return df.limit(0), df
-    listed = _sized(hot.select(*keys))
+    listed = F.broadcast(hot.select(*keys))
     return (
         _match(df, listed, keys, "left_anti", null_safe=True),
         _match(df, listed, keys, "left_semi", null_safe=True),
@@ -58,7 +70,8 @@ def attach(
     if hot is None:
         return _match(df, figures, keys, "inner", null_safe)
     rest, big = split_hot(df, hot, keys)
-    listed = _sized(hot.select(*keys))
+    # One row per hot group at most.
+    listed = F.broadcast(hot.select(*keys))
     hot_figures = _match(figures, listed, keys, "left_semi", null_safe=True)
     return _match(rest, figures, keys, "inner", null_safe).unionByName(
         _match(big, F.broadcast(hot_figures), keys, "inner", null_safe=True)
@@ -78,13 +91,6 @@ def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) ->
     return facts.join(listed, same & F.col(key).isNotNull(), "left").drop(f"{key}__other")
 
 
-def _sized(hot_keys: DataFrame) -> DataFrame:
-    """Ask for a broadcast while the stored key list is within its bound."""
-    if hot_keys.count() <= BROADCAST_ROWS:
-        return F.broadcast(hot_keys)
-    return hot_keys
-
-
 def _match(
     left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool
 ) -> DataFrame:

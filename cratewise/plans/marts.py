@@ -15,9 +15,9 @@ from cratewise.operators.skew import (
     GROUP_SIZE,
     HOT_GROUP_ROWS,
     attach,
-    group_sizes,
     hot_groups,
     lookup,
+    measured,
 )
 from cratewise.plans import recordings, works
 
@@ -187,7 +187,8 @@ def isrc_duplicates(
     Tracks without a code form one group, as published; such a group can hold much of
     the library, so its lists come in pages (see ``ordered_lists``).
     """
-    sizes = group_sizes(tracks, ["isrc"])
+    sizes = measured(tracks, ["isrc"])
+    hot = hot_groups(sizes, hot_rows)
     lists = ordered_lists(
         tracks.select("isrc", "added_at", "track_id", "album_name", "album_release_date"),
         ["isrc"],
@@ -197,11 +198,12 @@ def isrc_duplicates(
             "album_release_dates": F.col("album_release_date"),
         },
         page_rows,
+        hot,
         hot_rows,
     )
     repeated = sizes.where(F.col(GROUP_SIZE) > 1)
     # The lists are few beside the tracks: a hot code is a few pages here.
-    return attach(lists, repeated, ["isrc"], hot_groups(sizes, hot_rows), null_safe=True).select(
+    return attach(lists, repeated, ["isrc"], hot, null_safe=True).select(
         F.col("isrc").alias("id"),
         "isrc",
         "album_names",

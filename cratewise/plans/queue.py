@@ -43,8 +43,8 @@ def pending_tracks(
 ) -> DataFrame:
     """Coded tracks without candidates, or with a candidate that lacks its payload."""
     have = recording_payloads.select("recording_mbid").distinct().withColumn("has", F.lit(True))
-    # One row per recording first, so that a recording matched by many tracks is looked
-    # up once; then one flag per track.
+    # A recording matched by many tracks is a hot key of a many-to-one join, which AQE
+    # splits; the flags are then combined per track before their shuffle.
     known = (
         candidates.select("track_id", "recording_mbid")
         .distinct()

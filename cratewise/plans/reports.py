@@ -17,8 +17,8 @@ from cratewise.operators.skew import (
     GROUP_SIZE,
     HOT_GROUP_ROWS,
     attach,
-    group_sizes,
     hot_groups,
+    measured,
 )
 from cratewise.plans.queue import MAX_NOT_FOUND
 
@@ -226,6 +226,7 @@ def isrc_duplicate_summary(
         "duplicate_track_list",
         " | ",
         page_rows,
+        hot,
         hot_rows,
     )
     return (
@@ -334,7 +335,7 @@ def _duplicate_groups(
 ) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """Coded tracks, figures of the repeated codes, and the hot ones among these."""
     coded = tracks.where(F.col("isrc").isNotNull())
-    sizes = group_sizes(
+    sizes = measured(
         coded,
         ["isrc"],
         F.min("added_at").alias("first_added_at"),
