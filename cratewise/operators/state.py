@@ -99,7 +99,9 @@ def up_to_distinct(items: DataFrame, key: str, position: list[str], n: int | Non
         return items
     at = F.struct(*position)
     firsts = items.groupBy(key).agg(F.min(at).alias("first_at")).orderBy("first_at").limit(n)
-    return items.where(at <= firsts.agg(F.max("first_at")).scalar())
+    # NULL, which stops nothing, when there are fewer than n.
+    stop = firsts.agg(F.when(F.count(F.lit(1)) == n, F.max("first_at"))).scalar()
+    return items.where(F.coalesce(at <= stop, F.lit(True)))
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -29,7 +29,10 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """Rows of a file or folder with the columns of ``schema``; None when it is absent."""
+    """Rows of a file or folder with the columns of ``schema``; None when it is absent.
+
+    Empty fields are NULL, quoted or not.
+    """
     if not Folder(spark, path).exists():
         log.info("no file at %s, skipped", path)
         return None
