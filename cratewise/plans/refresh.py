@@ -76,13 +76,13 @@ class Refresh:
 
     def collect_results(self, answers_path: str, queue_path: str) -> None:
         """Turn lookup answers (JSON lines per kind) into result files and a summary."""
+        queued = files.read_csv(self.spark, queue_path, schemas.QUEUE_FILE)
+        if queued is None:
+            raise FileNotFoundError(f"no queue file at {queue_path}; export it first")
         answers = {
             kind: self.spark.read.schema(ddl).json(f"{answers_path}/{kind}")
             for kind, ddl in ANSWERS.items()
         }
-        queued = files.read_csv(self.spark, queue_path, schemas.QUEUE_FILE)
-        if queued is None:
-            raise FileNotFoundError(f"no queue file at {queue_path}; export it first")
         codes = answers["codes"].join(
             queued.select(tidy_code(F.col("isrc")).alias("isrc")).distinct(), "isrc", "left_semi"
         )

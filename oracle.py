@@ -588,7 +588,8 @@ select o_orderkey, null from orders o where o_orderpriority = '5-LOW' and (
     where x.o_orderpriority <> '5-LOW' and x.o_orderdate < timestamp '2000-08-10'))
 """,
     "capped_intake": """
-select event_id, user_id from events where event_id <= (
+select event_id, user_id from events
+where (select count(distinct user_id) from events) < 100 or event_id <= (
   select max(first_id) from (select min(event_id) as first_id from events
                              group by user_id order by first_id limit 100))
 """,
