@@ -128,24 +128,23 @@ def track_instruments(
     matches: DataFrame, latest_recordings: DataFrame, strip_wrappers: bool = False
 ) -> DataFrame:
     """Normalised instrument names per track, one row each."""
-    return instrument_lists(matches, latest_recordings, strip_wrappers).select(
-        "track_id", F.explode("instrument_names").alias("instrument_name")
-    )
+    lists = instrument_lists(matches, latest_recordings, strip_wrappers)
+    return lists.select(
+        "track_id", F.explode_outer("instrument_names").alias("instrument_name")
+    ).where("instrument_name is not null")
 
 
 def instrument_lists(
     matches: DataFrame, latest_recordings: DataFrame, strip_wrappers: bool = False
 ) -> DataFrame:
-    """Distinct normalised instrument names of every matched track, in order, as a list.
+    """Distinct normalised instrument names of every matched track, in order, maybe none.
 
     Names are cleaned once per recording; a track has one match, so the list is whole.
     """
     cleaned = F.transform("instruments", lambda name: normalize_label(name, strip_wrappers))
     names = F.array_sort(F.array_distinct(F.filter(cleaned, lambda name: name != "")))
-    listed = (
-        recordings.instruments(latest_recordings)
-        .select("recording_mbid", names.alias("instrument_names"))
-        .where(F.size("instrument_names") > 0)
+    listed = recordings.instruments(latest_recordings).select(
+        "recording_mbid", names.alias("instrument_names")
     )
     return matches.select("track_id", "recording_mbid").join(listed, "recording_mbid").select(
         "track_id", "instrument_names"

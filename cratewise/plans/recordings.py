@@ -3,6 +3,9 @@
 A document holds all that is known of its recording, so after the latest snapshot is
 picked nothing here groups, joins or shuffles. ``profiles`` carries every per-recording
 column of the track tables; other tables explode one list each.
+
+Lists are exploded with ``_outer`` and the empty rows dropped afterwards: for a plain
+explode Spark adds a size filter below it, and evaluating that parses each document again.
 """
 
 from __future__ import annotations
@@ -163,7 +166,7 @@ def metadata(latest: DataFrame) -> DataFrame:
 def recording_artists(latest: DataFrame) -> DataFrame:
     """Credited artists, numbered by name within their recording."""
     rows = prepared(latest).selectExpr(
-        "recording_mbid", "last_seen_at", "posexplode(credits_by_name) as (place, artist)"
+        "recording_mbid", "last_seen_at", "posexplode_outer(credits_by_name) as (place, artist)"
     )
     return rows.where("trim(artist.id) <> ''").selectExpr(
         "concat(artist.id, ':', recording_mbid, ':', place + 1) as id",
@@ -183,9 +186,9 @@ def recording_artists(latest: DataFrame) -> DataFrame:
 def releases(latest: DataFrame) -> DataFrame:
     """Releases of every recording, the first entry where an id repeats."""
     rows = prepared(latest).selectExpr(
-        "recording_mbid", "last_seen_at", "explode(releases) as release"
+        "recording_mbid", "last_seen_at", "explode_outer(releases) as release"
     )
-    return rows.selectExpr(
+    return rows.where("release is not null").selectExpr(
         "concat(release.id, ':', recording_mbid) as id",
         "release.id as release_mbid",
         "release.title as release_title",

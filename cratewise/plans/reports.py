@@ -120,7 +120,7 @@ def artist_instrument_playlist(
     first = first_listed(F.col("artist_names"))
     return (
         ready.where(first == artist)
-        .join(instruments, "track_id")
+        .join(instruments.where(F.size("instrument_names") > 0), "track_id")
         .select(
             "track_id",
             "track_name",

@@ -60,8 +60,10 @@ def works(latest: DataFrame) -> DataFrame:
 
 def work_writers(latest: DataFrame) -> DataFrame:
     """Writers of every work, one row per artist and role."""
-    rows = prepared(latest).selectExpr("work_mbid", "last_seen_at", "explode(writers) as writer")
-    return rows.selectExpr(
+    rows = prepared(latest).selectExpr(
+        "work_mbid", "last_seen_at", "explode_outer(writers) as writer"
+    )
+    return rows.where("writer is not null").selectExpr(
         "concat(work_mbid, ':', writer.key.id, ':', writer.key.role) as id",
         "work_mbid",
         "writer.key.id as artist_mbid",

@@ -20,7 +20,7 @@ def page_items(pages: DataFrame) -> DataFrame:
     Items without a track or a track id are dropped; an item added_at is kept as text.
     """
     page = F.from_json("body", schemas.SAVED_TRACK_PAGE)
-    items = pages.select("page_no", F.posexplode(page["items"]).alias("item_no", "item"))
+    items = pages.select("page_no", F.posexplode_outer(page["items"]).alias("item_no", "item"))
     track = F.col("item.track")
     return items.where(F.coalesce(track["id"], F.lit("")) != "").select(
         *POSITION,
@@ -62,9 +62,10 @@ def flatten_tracks(items: DataFrame, ingest_run_at: str) -> DataFrame:
 
 def flatten_track_artists(items: DataFrame, ingest_run_at: str) -> DataFrame:
     """Credited artists of every item, numbered from 1; repeated items repeat theirs."""
-    return items.select(
-        "track_id", F.posexplode("track.artists").alias("position", "artist")
-    ).select(
+    listed = items.select(
+        "track_id", F.posexplode_outer("track.artists").alias("position", "artist")
+    )
+    return listed.where("position is not null").select(
         "track_id",
         F.col("artist.id").alias("artist_id"),
         F.col("artist.name").alias("artist_name"),
@@ -81,7 +82,7 @@ def response_recordings(responses: DataFrame) -> DataFrame:
     answer = F.from_json("body", schemas.ISRC_RESPONSE)
     listed = responses.select(
         tidy_code(F.col("isrc")).alias("isrc"),
-        F.posexplode(answer["isrc"]["recording-list"]).alias("position", "recording"),
+        F.posexplode_outer(answer["isrc"]["recording-list"]).alias("position", "recording"),
     )
     identified = listed.select(
         "isrc",

@@ -161,6 +161,9 @@ def test_documents_are_parsed_once_and_never_joined(latest, plan_of):
     plan = plan_of(recordings.profiles(latest(FULL)))
     assert plan.count("from_json(StructField(title") == 1
     assert plan.count("Exchange") == 1 and "Join" not in plan
+    # Exploding a list must not parse its document again for a size filter.
+    for exploded, parses in ((recordings.releases, 1), (recordings.recording_artists, 2)):
+        assert plan_of(exploded(latest(FULL))).count("from_json(") == parses
 
 
 def test_writers(rows):
