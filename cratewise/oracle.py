@@ -324,6 +324,24 @@ select 'c' || c_custkey as track_id, c_mktsegment as track_name, {LATE} as inges
 from customer
 """
 
+CTES["new_candidates"] = f"""
+select track_id, isrc, id as recording_mbid, match_rank, {LATE} as matched_at,
+  '{{"id":"' || id || '","title":"' || title || '"}}' as isrc_response_json
+from queue_rows join (
+  select isrc, 'r' || p_partkey as id, p_name as title, 1 as match_rank from answers
+  where p_size <= 45
+  union all
+  select isrc, 's' || p_size, 'other', 3 from answers where p_size <= 45) using (isrc)
+"""
+# A recording without details has the title of its code's entry.
+CTES["new_payloads"] = f"""
+select 'r' || p_partkey as recording_mbid,
+  '{{"id":"r' || p_partkey || '","title":"'
+    || case when p_size <= 15 then p_type else p_name end || '"}}' as payload_json,
+  {LATE} as last_seen_at
+from part where p_size <= 30
+"""
+
 QUERIES: dict[str, str] = {
     "saved_tracks": "select * from tracks",
     "track_artists": "select * from credits",
@@ -562,15 +580,28 @@ from lines join (select o_orderkey, 1 as copy from orders
                  select o_orderkey, 2 from orders where o_orderpriority = '1-URGENT')
   on o_orderkey = l_orderkey
 """,
-    "flatten_candidates": f"""
-select track_id, isrc, id as recording_mbid, match_rank, {LATE} as matched_at,
-  '{{"id":"' || id || '","title":"' || title || '"}}' as isrc_response_json
-from queue_rows join (
-  select isrc, 'r' || p_partkey as id, p_name as title, 1 as match_rank from answers
-  where p_size <= 45
-  union all
-  select isrc, 's' || p_size, 'other', 3 from answers where p_size <= 45) using (isrc)
+    "flatten_candidates": "select * from new_candidates",
+    "recording_results": "select * from new_payloads",
+    "work_results": f"""
+select 'w' || p_partkey as work_mbid, '{{"title":"' || p_name || '"}}' as payload_json,
+  {LATE} as last_seen_at
+from part where p_size <= 15
+""",
+    "load_candidates": """
+select * from raw_isrc_candidates where track_id not in (select track_id from new_candidates)
+union all by name select * from new_candidates
+""",
+    "load_payloads": """
+select * from raw_recording_payloads
+where recording_mbid not in (select recording_mbid from new_payloads)
+union all by name select * from new_payloads
+""",
+    "schema_evolution": """
+select isrc, error_status_code, null::varchar as error_message, last_failed_at,
+  0 as error_404_count
+from raw_isrc_failures
 """,
+    "stored_table": "select * from incoming",
     "lookup_failures": f"""
 select isrc, case when p_size > 48 then '404' else '503' end as error_status_code,
   'caused by: HTTP Error ' || case when p_size > 48 then '404' else '503: busy' end

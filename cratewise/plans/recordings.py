@@ -67,10 +67,14 @@ _RELEASES = [
 ]
 
 
-def prepared(latest: DataFrame) -> DataFrame:
+def prepared(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
     """Latest payloads with their document's lists cut out, cleaned and ordered.
 
     Every table below selects from this one; what a table does not use is not computed.
+    Instruments are the distinct attributes of artist relations, in the present and the
+    older layout. As published, only ``attribute-list`` is read and an attribute that is an
+    object stays JSON text; ``attribute_fallback`` reads ``attributes`` where a relation
+    has no list, and the name inside an object.
     """
     releases = f"""
         transform({filled("doc.`release-list`", "x.id")}, x -> struct(
@@ -89,20 +93,23 @@ def prepared(latest: DataFrame) -> DataFrame:
         transform({relations_to("doc.`relation-list`", "recording")}, x -> struct(
             lower(coalesce(x.type, '')) as kind, x.recording.id, x.recording.title))
     """
-    # Distinct attributes of artist relations, in the present and the older layout. Only
-    # `attribute-list` is read, as published: a relation without one contributes nothing,
-    # and an attribute that is an object stays JSON text.
     artists = f"""
         concat(coalesce(doc.`artist-relation-list`, array()),
                coalesce({relations_to("doc.`relation-list`", "artist")}, array()))
     """
-    attributes = f"flatten(filter(({artists}).`attribute-list`, x -> x is not null))"
+    if attribute_fallback:
+        lists = f"transform({artists}, x -> coalesce(x.`attribute-list`, x.attributes))"
+        name = "coalesce(get_json_object(x, '$.attribute'), x)"
+    else:
+        lists, name = f"({artists}).`attribute-list`", "x"
+    attributes = f"transform(flatten(filter({lists}, x -> x is not null)), x -> {name})"
+    instruments = by_lower(f"array_distinct({filled(attributes)})")
     document = latest.selectExpr(
         "recording_mbid",
         "last_seen_at",
         f"from_json(payload_json, '{schemas.RECORDING_DOCUMENT}') as doc",
     )
-    lists = document.selectExpr(
+    cut = document.selectExpr(
         "recording_mbid",
         "last_seen_at",
         "doc.title",
@@ -116,9 +123,9 @@ def prepared(latest: DataFrame) -> DataFrame:
         f"{sort_by(tags, '-x.votes', 'lower(x.name)', 'x.name')}.name as tag_names",
         f"{sort_by(f'{works}.work', 'lower(x.id)', 'x.id')} as works",
         f"{related} as related",
-        f"{by_lower(f'array_distinct({filled(attributes)})')} as instruments",
+        f"{instruments} as instruments",
     )
-    return lists.selectExpr(
+    return cut.selectExpr(
         "*",
         f"{sort_by('credits', 'lower(x.name)', 'x.name')} as credits_by_name",
         "filter(related, x -> x.kind = 'cover of') as originals",
@@ -127,9 +134,9 @@ def prepared(latest: DataFrame) -> DataFrame:
     ).withColumns({"releases": F.expr(first_of_each("releases", "id"))})
 
 
-def profiles(latest: DataFrame) -> DataFrame:
+def profiles(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
     """Every per-recording column of the track tables, from one pass."""
-    return prepared(latest).selectExpr(
+    return prepared(latest, attribute_fallback).selectExpr(
         "recording_mbid",
         *_TITLES,
         "last_seen_at as musicbrainz_recording_updated_at",
@@ -150,9 +157,9 @@ def recordings(latest: DataFrame) -> DataFrame:
     )
 
 
-def metadata(latest: DataFrame) -> DataFrame:
+def metadata(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
     """Tags, works, covers and instruments of every recording."""
-    return prepared(latest).selectExpr(
+    return prepared(latest, attribute_fallback).selectExpr(
         "recording_mbid as id",
         "recording_mbid",
         *_METADATA,
@@ -204,6 +211,6 @@ def releases(latest: DataFrame) -> DataFrame:
     )
 
 
-def instruments(latest: DataFrame) -> DataFrame:
+def instruments(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
     """Instrument names of every recording as a list."""
-    return prepared(latest).select("recording_mbid", "instruments")
+    return prepared(latest, attribute_fallback).select("recording_mbid", "instruments")

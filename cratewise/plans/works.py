@@ -76,11 +76,9 @@ def work_writers(latest: DataFrame) -> DataFrame:
 
 def writer_figures(latest: DataFrame) -> DataFrame:
     """Writer names and roles of every work; NULL for a work without writers."""
+    named = by_lower(f"array_distinct({filled('writers.name')})")
     listed = prepared(latest).selectExpr(
-        "work_mbid",
-        "last_seen_at",
-        "writers",
-        f"{by_lower(f'array_distinct({filled("writers.name")})')} as named",
+        "work_mbid", "last_seen_at", "writers", f"{named} as named"
     )
     return listed.selectExpr(
         "work_mbid",

@@ -24,8 +24,9 @@ from cratewise.operators.lists import (
 from cratewise.operators.ranking import best_match, keep_first, last_wins, latest_per_key
 from cratewise.plans import checks, queue, reports
 from cratewise.plans.models import PUBLISHED, Models
-from cratewise.session import prepare, shared_folder
+from cratewise.session import checkpointed, prepare, shared_folder
 from cratewise.sources import documents, files
+from cratewise.sources.tables import Tables, conform, fill_counter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -415,6 +416,20 @@ def queue_groups(spark, sf_dir):
     return _as_json(groups, "track_ids")
 
 
+@query
+def recording_results(spark, sf_dir):
+    """Payloads of the recordings whose detail lookup succeeded."""
+    answers = samples.lookup_answers(spark, sf_dir)
+    details = samples.recording_answers(spark, sf_dir)
+    return documents.recording_payloads(details, answers, samples.LATE_STAMP)
+
+
+@query
+def work_results(spark, sf_dir):
+    """Payloads of the works whose lookup gave something."""
+    return documents.work_payloads(samples.work_answers(spark, sf_dir), samples.LATE_STAMP)
+
+
 # --- updates ------------------------------------------------------------------------
 
 
@@ -440,6 +455,43 @@ def replace_children(spark, sf_dir):
     return state.replace_children(rows["track_artists"], parents, incoming, "track_id")
 
 
+@query
+def load_candidates(spark, sf_dir):
+    """New candidates take the place of all earlier ones of their tracks."""
+    incoming = documents.flatten_candidates(
+        samples.lookup_answers(spark, sf_dir), samples.queue_file(spark, sf_dir), samples.LATE_STAMP
+    )
+    return state.upsert_by_key(landing(spark, sf_dir)["isrc_candidates"], incoming, ["track_id"])
+
+
+@query
+def load_payloads(spark, sf_dir):
+    """A new payload takes the place of all snapshots of its recording."""
+    incoming = recording_results(spark, sf_dir)
+    payloads = landing(spark, sf_dir)["recording_payloads"]
+    return state.upsert_by_key(payloads, incoming, ["recording_mbid"])
+
+
+@query
+def schema_evolution(spark, sf_dir):
+    """A ledger stored before the counter and the message came, read in today's layout."""
+    older = landing(spark, sf_dir)["isrc_failures"].drop("error_404_count", "error_message")
+    return fill_counter(conform(older, schemas.ISRC_FAILURES), "error_404_count")
+
+
+@query
+def stored_table(spark, sf_dir):
+    """Saved tracks stored, cleared and stored again with a batch, then read back."""
+    tables = Tables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    saved = landing(spark, sf_dir)["saved_tracks"]
+    tables.replace(saved_tracks=saved)
+    tables.clear("saved_tracks", schemas.SAVED_TRACKS)
+    before = tables.read("saved_tracks", schemas.SAVED_TRACKS)
+    batch = samples.incoming_tracks(spark, sf_dir, saved)
+    tables.replace(saved_tracks=state.upsert_by_key(before, batch, ["track_id"]))
+    return tables.read("saved_tracks", schemas.SAVED_TRACKS)
+
+
 @query
 def failure_ledger_merge(spark, sf_dir):
     ledger = landing(spark, sf_dir)["isrc_failures"]
@@ -474,7 +526,8 @@ def run_summary(spark, sf_dir):
 
 
 def _published(spark, sf_dir):
-    m = models(spark, sf_dir)
+    """Finished tables; what several of them read is stored once."""
+    m = Models(landing(spark, sf_dir), AS_OF, keep=lambda _, df: checkpointed(df))
     return {name: m.published(name) for name in PUBLISHED}
 
 

@@ -113,6 +113,32 @@ def lookup_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def recording_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail answers for the parts: a recording, none (the code's entry serves), or an error."""
+    detail = F.to_json(
+        F.struct(
+            F.struct(
+                F.concat(F.lit("r"), _text("p_partkey")).alias("id"), F.col("p_type").alias("title")
+            ).alias("recording")
+        )
+    )
+    return sample(spark, sf_dir, "part").select(
+        F.concat(F.lit("r"), _text("p_partkey")).alias("recording_mbid"),
+        F.when(F.col("p_size") <= 15, detail).when(F.col("p_size") <= 30, "{}").alias("body"),
+        F.when(F.col("p_size") > 30, "HTTP Error 500").alias("error"),
+    )
+
+
+def work_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Work answers for the parts: a work, an empty one, or an error."""
+    work = F.to_json(F.struct(F.struct(F.col("p_name").alias("title")).alias("work")))
+    return sample(spark, sf_dir, "part").select(
+        F.concat(F.lit("w"), _text("p_partkey")).alias("work_mbid"),
+        F.when(F.col("p_size") <= 15, work).when(F.col("p_size") <= 30, '{"work":{}}').alias("body"),
+        F.when(F.col("p_size") > 30, "HTTP Error 500").alias("error"),
+    )
+
+
 def queue_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queued tracks: the orders, coded by a part number each."""
     return sample(spark, sf_dir, "orders").select(

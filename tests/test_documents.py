@@ -132,6 +132,11 @@ def test_metadata(latest):
     )
 
 
+def test_attribute_fallback(latest):
+    row = recordings.metadata(latest(FULL), attribute_fallback=True).first()
+    assert row["instrument_list_json"] == '["Harp","harp","lead vocals","organ","piano"]'
+
+
 def test_a_single_tag_has_no_second_rank(latest):
     row = recordings.metadata(latest({"tag-list": [{"name": "solo"}]})).first()
     assert (row["top_genre"], row["top_style"]) == ("solo", None)
