@@ -78,6 +78,20 @@ def attach(
     )
 
 
+def repeated_groups(
+    df: DataFrame, keys: list[str], size: str, hot_rows: int, *figures: Column
+) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose key occurs more than once, with the group's size and further figures.
+
+    Also returns the hot ones among these groups. Both carry the figures, so a following
+    operator may count them among its keys and keep the partitioning of this join.
+    """
+    sizes = measured(df, keys, *figures).where(F.col(GROUP_SIZE) > 1)
+    sizes = sizes.withColumn(size, F.col(GROUP_SIZE))
+    hot = hot_groups(sizes, hot_rows)
+    return attach(df, sizes.drop(GROUP_SIZE), keys, hot), hot
+
+
 def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join to a table with one row per text ``key``.
 

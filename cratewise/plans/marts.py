@@ -11,14 +11,7 @@ from cratewise.functions.lists import joined
 from cratewise.functions.moments import days_until, or_never
 from cratewise.functions.text import normalize_label
 from cratewise.operators.lists import PAGE, PAGE_ROWS, ordered_lists
-from cratewise.operators.skew import (
-    GROUP_SIZE,
-    HOT_GROUP_ROWS,
-    attach,
-    hot_groups,
-    lookup,
-    measured,
-)
+from cratewise.operators.skew import HOT_GROUP_ROWS, lookup, repeated_groups
 from cratewise.plans import recordings, works
 
 # Score weights, decimal so that rounding is exact.
@@ -186,11 +179,19 @@ def isrc_duplicates(
     Tracks without a code form one group, as published; such a group can hold much of
     the library, so its lists come in pages (see ``ordered_lists``).
     """
-    sizes = measured(tracks, ["isrc"])
-    hot = hot_groups(sizes, hot_rows)
+    # Two columns without NULL stand for the code, so that join and lists share a shuffle.
+    rows = tracks.select(
+        F.coalesce("isrc", F.lit("")).alias("code"),
+        F.col("isrc").isNotNull().alias("is_coded"),
+        "added_at",
+        "track_id",
+        "album_name",
+        "album_release_date",
+    )
+    repeated, hot = repeated_groups(rows, ["code", "is_coded"], "duplicate_occurrences", hot_rows)
     lists = ordered_lists(
-        tracks.select("isrc", "added_at", "track_id", "album_name", "album_release_date"),
-        ["isrc"],
+        repeated,
+        ["code", "is_coded", "duplicate_occurrences"],
         [F.col("added_at").desc_nulls_last(), F.col("track_id").asc()],
         {
             "album_names": F.col("album_name"),
@@ -200,14 +201,13 @@ def isrc_duplicates(
         hot,
         hot_rows,
     )
-    repeated = sizes.where(F.col(GROUP_SIZE) > 1)
-    # The lists are few beside the tracks: a hot code is a few pages here.
-    return attach(lists, repeated, ["isrc"], hot, null_safe=True).select(
-        F.col("isrc").alias("id"),
-        "isrc",
+    code = F.when(F.col("is_coded"), F.col("code"))
+    return lists.select(
+        code.alias("id"),
+        code.alias("isrc"),
         "album_names",
         "album_release_dates",
-        F.col(GROUP_SIZE).alias("duplicate_occurrences"),
+        "duplicate_occurrences",
         PAGE,
     )
 

@@ -13,13 +13,7 @@ from cratewise.functions.text import first_listed, has_word, is_filled, join_par
 from cratewise.operators.clusters import gap_clusters
 from cratewise.operators.lists import PAGE, PAGE_ROWS, newest_filled, ordered_texts
 from cratewise.operators.ranking import keep_first, number_within
-from cratewise.operators.skew import (
-    GROUP_SIZE,
-    HOT_GROUP_ROWS,
-    attach,
-    hot_groups,
-    measured,
-)
+from cratewise.operators.skew import HOT_GROUP_ROWS, repeated_groups
 from cratewise.plans.queue import MAX_NOT_FOUND
 
 
@@ -178,9 +172,8 @@ def title_duration_duplicates(
 
 def isrc_duplicate_detail(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Every track of the codes saved more than once, numbered newest first."""
-    coded, figures, hot = _duplicate_groups(tracks, hot_rows)
+    rows, hot = _repeated_codes(tracks, hot_rows)
     newest_first = [F.col("added_at").desc_nulls_last(), F.col("track_id").asc()]
-    rows = attach(coded, figures, ["isrc"], hot)
     numbered = number_within(
         rows, ["isrc"], newest_first, "duplicate_rank_in_isrc", hot=hot, hot_rows=hot_rows
     )
@@ -203,7 +196,8 @@ def isrc_duplicate_summary(
     tracks: DataFrame, page_rows: int = PAGE_ROWS, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """Codes saved more than once with their tracks as one text, newest first, in pages."""
-    coded, figures, hot = _duplicate_groups(tracks, hot_rows)
+    rows, hot = _repeated_codes(tracks, hot_rows)
+    figures = ["duplicate_count", "first_added_at", "latest_added_at"]
     line = join_parts(
         F.coalesce("track_name", F.lit("<unknown track>")),
         F.lit(" - "),
@@ -215,8 +209,8 @@ def isrc_duplicate_summary(
         F.lit(")"),
     )
     lines = ordered_texts(
-        coded.select("isrc", "added_at", "track_id", line.alias("track_line")),
-        ["isrc"],
+        rows.select("isrc", *figures, "added_at", "track_id", line.alias("track_line")),
+        ["isrc", *figures],
         [
             F.col("added_at").desc_nulls_last(),
             F.col("track_line").asc(),
@@ -229,22 +223,15 @@ def isrc_duplicate_summary(
         hot,
         hot_rows,
     )
-    return (
-        attach(lines, figures, ["isrc"], hot)
-        .select(
-            "isrc",
-            "duplicate_count",
-            "duplicate_track_list",
-            "first_added_at",
-            "latest_added_at",
-            PAGE,
-        )
-        .orderBy(
-            F.col("duplicate_count").desc(),
-            F.col("latest_added_at").desc_nulls_last(),
-            "isrc",
-            PAGE,
-        )
+    return lines.select(
+        "isrc",
+        "duplicate_count",
+        "duplicate_track_list",
+        "first_added_at",
+        "latest_added_at",
+        PAGE,
+    ).orderBy(
+        F.col("duplicate_count").desc(), F.col("latest_added_at").desc_nulls_last(), "isrc", PAGE
     )
 
 
@@ -330,19 +317,16 @@ def retry_error_state(failures: DataFrame, ranks: DataFrame, as_of: dt.datetime)
     )
 
 
-def _duplicate_groups(
-    tracks: DataFrame, hot_rows: int
-) -> tuple[DataFrame, DataFrame, DataFrame | None]:
-    """Coded tracks, figures of the repeated codes, and the hot ones among these."""
-    coded = tracks.where(F.col("isrc").isNotNull())
-    sizes = measured(
-        coded,
+def _repeated_codes(tracks: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """Tracks of the codes saved more than once, with figures of the code."""
+    return repeated_groups(
+        tracks.where(F.col("isrc").isNotNull()),
         ["isrc"],
+        "duplicate_count",
+        hot_rows,
         F.min("added_at").alias("first_added_at"),
         F.max("added_at").alias("latest_added_at"),
     )
-    figures = sizes.where(F.col(GROUP_SIZE) > 1).withColumnRenamed(GROUP_SIZE, "duplicate_count")
-    return coded, figures, hot_groups(sizes.select("isrc", GROUP_SIZE), hot_rows)
 
 
 def _percent(part: str) -> Column:
