@@ -83,9 +83,9 @@ class Refresh:
             kind: self.spark.read.schema(ddl).json(f"{answers_path}/{kind}")
             for kind, ddl in ANSWERS.items()
         }
-        codes = answers["codes"].join(
-            queued.select(tidy_code(F.col("isrc")).alias("isrc")).distinct(), "isrc", "left_semi"
-        )
+        asked = documents.queued_tracks(queued).select("isrc").distinct()
+        codes = answers["codes"].withColumn("isrc", tidy_code(F.col("isrc")))
+        codes = codes.join(asked, "isrc", "left_semi")
         results = {
             "isrc_candidates": documents.flatten_candidates(codes, queued, self.stamp),
             "recording_payloads": documents.recording_payloads(

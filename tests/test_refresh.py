@@ -47,7 +47,7 @@ def answers(tmp_path):
     work = {"work": {"title": "W", "relation-list": [{"target-type": "artist", "relation": [
         {"type": "composer", "artist": {"id": "m", "name": "Writer"}}]}]}}
     write_lines(root / "codes", [
-        {"isrc": "US1", "body": json.dumps(found)},
+        {"isrc": " us1", "body": json.dumps(found)},
         {"isrc": "US2", "error": "caused by: HTTP Error 404: Not Found"},
         {"isrc": "US9", "body": json.dumps(found)},
     ])
