@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 # Timestamps land as ISO-8601 text in UTC, so the session reads and prints UTC.
 # Many-to-one joins lean on AQE to split a hot key; `force` lets it do so even where
 # a later operator would have liked the partitioning kept.
+# ANSI mode makes a bad value in a strict cast stop the query.
 SETTINGS = {
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
