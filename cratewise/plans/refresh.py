@@ -19,7 +19,7 @@ from cratewise.operators import quality, state
 from cratewise.plans import queue
 from cratewise.plans.checks import not_null_checks, unique_checks
 from cratewise.plans.models import PUBLISHED, Models
-from cratewise.session import prepare
+from cratewise.session import checkpointed, prepare
 from cratewise.sources import documents, files
 from cratewise.sources.tables import Tables, fill_counter
 
@@ -56,7 +56,10 @@ class Refresh:
         pages = self.spark.read.schema(PAGES).json(pages_path)
         items = documents.page_items(pages)
         fresh = state.until_older(items, documents.POSITION, self.high_water_mark())
-        taken = state.up_to_distinct(fresh, "track_id", documents.POSITION, max_tracks)
+        # Both tables are made from these items; they are cut out of the pages once.
+        taken = checkpointed(
+            state.up_to_distinct(fresh, "track_id", documents.POSITION, max_tracks)
+        )
         tracks = documents.flatten_tracks(taken, self.stamp)
         artists = documents.flatten_track_artists(taken, self.stamp)
         now = self.tables()

@@ -244,28 +244,37 @@ def request_metrics(
 ) -> DataFrame:
     """One row: tracks with a code, queued, queued after an error, and matched."""
     coded = tracks.where(is_filled(F.col("isrc"))).select("track_id", "isrc").distinct()
-    waiting = queued.select("track_id", "isrc").distinct()
     failed = failures.where(is_filled(F.col("isrc"))).select(
-        tidy_code(F.col("isrc")).alias("isrc")
+        tidy_code(F.col("isrc")).alias("isrc"), F.lit(True).alias("failed")
+    )
+    # Counted per code first: the join then meets each code once, however many tracks it has.
+    waiting = (
+        queued.select("track_id", "isrc")
+        .distinct()
+        .groupBy("isrc")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .join(failed.distinct(), "isrc", "left")
     )
     matched = (
         matches.join(latest_recordings.select("recording_mbid"), "recording_mbid", "left_semi")
         .select("track_id")
         .distinct()
     )
-    counts = {
-        "total_tracks_with_isrc": coded,
-        "pending_queue_tracks": waiting,
-        "pending_queue_with_errors_tracks": waiting.join(failed, "isrc", "left_semi"),
-        "succeeded_tracks": matched,
-    }
-    rows = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in counts.items()
-    ]
-    row = reduce(DataFrame.unionByName, rows).agg(
-        *[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in counts]
+    row = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [
+            coded.agg(F.count(F.lit(1)).alias("total_tracks_with_isrc")),
+            waiting.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("pending_queue_tracks"),
+                F.coalesce(F.sum(F.when(F.col("failed"), F.col("n"))), F.lit(0)).alias(
+                    "pending_queue_with_errors_tracks"
+                ),
+            ),
+            matched.agg(F.count(F.lit(1)).alias("succeeded_tracks")),
+        ],
     )
+    # One row out of three, each with some of the columns.
+    row = row.agg(*[F.max(name).alias(name) for name in row.columns])
     return row.select(
         "total_tracks_with_isrc",
         "pending_queue_tracks",
