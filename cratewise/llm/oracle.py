@@ -50,3 +50,17 @@ select doc_id, size, source_size, target,
   )::bigint as taken
 from placed
 """
+
+ORACLE_SQL["op9_exact_dedup"] = r"""
+with clean as (
+  select doc_id, coalesce(length(text), 0) as chars,
+    regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as body
+  from documents
+), ranked as (
+  select doc_id, body, first_value(doc_id) over best as keep_id,
+    row_number() over best as place, count(*) over (partition by body) as group_size
+  from clean
+  window best as (partition by body order by chars desc, doc_id nulls last)
+)
+select doc_id, keep_id, group_size, place = 1 as kept, sha256(body) as text_sha256 from ranked
+"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.mixing import mix
 from cratewise.llm.tables import table
 from cratewise.session import prepare
@@ -24,6 +25,11 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op9_exact_dedup(spark, sf_dir):
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("chars")
+
+
 @query
 def op10_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).documents.drop("source")
