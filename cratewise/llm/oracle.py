@@ -64,3 +64,42 @@ with clean as (
 )
 select doc_id, keep_id, group_size, place = 1 as kept, sha256(body) as text_sha256 from ranked
 """
+
+ORACLE_SQL["op3_benchmark_hits"] = r"""
+with words as (
+  select row_number() over () as row_no, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as words
+  from documents
+), items as (
+  select item_id::varchar as item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark
+), item_windows as (
+  select distinct item_id, least(13, len(words)) as n, unnest([array_to_string(words[i:i + 12], ' ')
+    for i in range(1, greatest(len(words) - 12, 1) + 1)]) as passage
+  from items where len(words) > 0
+), lengths as (
+  select distinct n from item_windows
+), places as (
+  select row_no, words, n, unnest(range(1, len(words) - n + 2)) as start
+  from words, lengths where len(words) >= n
+), occurs as (
+  select p.row_no, p.start, p.n, w.item_id
+  from (select row_no, start, n, array_to_string(words[start:start + n - 1], ' ') as passage
+        from places) p
+  join item_windows w on w.n = p.n and w.passage = p.passage
+), hit as (
+  select row_no, count(distinct place) as n_hit
+  from (select row_no, unnest(range(start, start + n)) as place from occurs) group by row_no
+), found as (
+  select row_no, count(distinct item_id) as n_items,
+    array_to_string(list_sort(list(distinct item_id)), ',') as listed
+  from occurs group by row_no
+)
+select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
+  coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(listed, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
+from words left join hit using (row_no) left join found using (row_no)
+"""

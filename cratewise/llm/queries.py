@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.mixing import mix
 from cratewise.llm.tables import table
@@ -25,6 +27,19 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op3_benchmark_hits(spark, sf_dir):
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("chars")
