@@ -103,3 +103,37 @@ select doc_id, len(words)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
   coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(words) as contaminated
 from words left join hit using (row_no) left join found using (row_no)
 """
+
+ORACLE_SQL["op4_ngram_jaccard"] = r"""
+with recursive words as (
+  select row_number() over () as row_no, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+'), []) as words
+  from documents
+), shingles as (
+  select distinct row_no, unnest([array_to_string(words[i:i + 4], ' ')
+    for i in range(1, greatest(len(words) - 4, 1) + 1)]) as shingle
+  from words where len(words) > 0
+), sizes as (
+  select row_no, count(*) as n from shingles group by row_no
+), shared as (
+  select a.row_no as a, b.row_no as b, count(*) as n_both
+  from shingles a join shingles b on a.shingle = b.shingle and a.row_no < b.row_no
+  group by a.row_no, b.row_no
+), links as (
+  select a, b from shared join sizes x on x.row_no = a join sizes y on y.row_no = b
+  where 100 * n_both >= 75 * (x.n + y.n - n_both)
+), edges as (
+  select a, b from links union all select b, a from links
+), reached as (
+  select row_no as root, row_no from words
+  union
+  select r.root, e.b from reached r join edges e on e.a = r.row_no
+)
+select w.doc_id, coalesce(s.n, 0)::bigint as n_shingles, min(o.doc_id) as component_id
+from words w
+join reached r on r.root = w.row_no
+join words o on o.row_no = r.row_no
+left join sizes s on s.row_no = w.row_no
+group by w.row_no, w.doc_id, s.n
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
+from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
 from cratewise.llm.tables import table
 from cratewise.session import prepare
@@ -40,6 +41,11 @@ def op3_benchmark_hits(spark, sf_dir):
     )
 
 
+@query
+def op4_ngram_jaccard(spark, sf_dir):
+    return jaccard_classes(table(spark, sf_dir, "documents")).drop("set_id")
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("chars")
