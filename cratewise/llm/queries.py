@@ -12,6 +12,7 @@ from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
 from cratewise.llm.tables import table
+from cratewise.llm.toxicity import held_out, toxicity
 from cratewise.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,12 @@ def op4_ngram_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("set_id")
 
 
+@query
+def op7_toxicity(spark, sf_dir):
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("chars")
