@@ -137,3 +137,29 @@ join words o on o.row_no = r.row_no
 left join sizes s on s.row_no = w.row_no
 group by w.row_no, w.doc_id, s.n
 """
+
+ORACLE_SQL["op6_substring_dedup"] = r"""
+with words as (
+  select row_number() over () as row_no, doc_id,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words
+  from documents
+), windows as (
+  select row_no, doc_id, start, array_to_string(words[start:start + 12], ' ') as passage
+  from (select *, unnest(range(1, len(words) - 11)) as start from words where len(words) >= 13)
+), least as (
+  select passage, min(doc_id) as first_id from windows group by passage
+), covered as (
+  select distinct row_no, unnest(range(start, start + 13)) as place
+  from windows join least using (passage) where first_id < doc_id or doc_id is null and first_id is not null
+), kept as (
+  select w.row_no, list(word order by place) as left_words
+  from (select row_no, unnest(words) as word, unnest(range(1, len(words) + 1)) as place
+        from words) w
+  anti join covered c on c.row_no = w.row_no and c.place = w.place
+  group by w.row_no
+)
+select doc_id, len(words)::bigint as n_words,
+  (len(words) - coalesce(len(left_words), 0))::bigint as n_removed,
+  sha256(coalesce(array_to_string(left_words, ' '), '')) as kept_sha256
+from words left join kept using (row_no)
+"""

@@ -11,6 +11,7 @@ from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
+from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
 from cratewise.llm.toxicity import held_out, toxicity
 from cratewise.session import prepare
@@ -47,6 +48,12 @@ def op4_ngram_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("set_id")
 
 
+@query
+def op6_substring_dedup(spark, sf_dir):
+    kept = without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op7_toxicity(spark, sf_dir):
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
