@@ -12,19 +12,84 @@ that only keys, names and positions move.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.tables import ROW, numbered
+from cratewise.llm.words import slices
 from cratewise.session import checkpointed
 
 BLOCK_BYTES = 4096
-SPACE = " \t\n\x0b\x0c\r"
+# Deleted before texts are compared: \x20\x09-\x0D.
+_KEPT = np.ones(256, bool)
+_KEPT[[32, *range(9, 14)]] = False
+
+
+def block_key(block: bytes, turn: int) -> int:
+    return xxhash.xxh64_intdigest(block, turn)
+
+
+def _normalized(data: np.ndarray, offsets: np.ndarray) -> Iterator[bytes]:
+    """Every text in UTF-8 without the deleted characters."""
+    kept = _KEPT[data]
+    ends = np.concatenate([[0], np.cumsum(kept)])[offsets]
+    clean = data[kept].tobytes()
+    for low, high in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        yield clean[low:high]
+
+
+def _cut(text: bytes, size: int) -> list[bytes]:
+    """Blocks of a text; an empty text is one empty block."""
+    return [text[i : i + size] for i in range(0, max(len(text), 1), size)]
+
+
+def _keys(blocks: list[bytes], key, turn: int) -> list[int]:
+    """Keys as signed 64-bit numbers."""
+    return np.array([key(x, turn) for x in blocks], np.uint64).view(np.int64).tolist()
+
+
+def _emit_blocks(size: int, key, turn: int):
+    """(key, block) of all blocks, each once per slice of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in slices(batch):
+                blocks = list({x for text in _normalized(data, offsets) for x in _cut(text, size)})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_keys(blocks, key, turn), pa.int64()), pa.array(blocks, pa.binary())],
+                    ["key", "block"],
+                )
 
+    return run
 
-def normalized(text: Column) -> Column:
-    """The text without the characters of SPACE; null is empty."""
-    return F.translate(F.coalesce(text, F.lit("")), SPACE, "")
+
+def _emit_rows(size: int, key, turn: int):
+    """Every row with its length in code points, its digest and its blocks' keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in slices(batch):
+                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+                texts = list(_normalized(data, offsets))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array(np.diff(points[offsets]), pa.int64()),
+                        pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
+                        pa.array(
+                            [_keys(_cut(x, size), key, turn) for x in texts], pa.list_(pa.int64())
+                        ),
+                    ],
+                    ["doc_id", "chars", "text_sha256", "keys"],
+                )
+
+    return run
 
 
 def named(df: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -33,45 +98,30 @@ def named(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return checkpointed(distinct.withColumn(name, F.monotonically_increasing_id()))
 
 
-def _blocks(text: Column, size: int) -> Column:
-    """Array of the blocks of a text in UTF-8; an empty text is one empty block."""
-    data = text.cast("binary")
-    count = F.greatest(F.ceil(F.octet_length(data) / size), F.lit(1)).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), count - 1), lambda i: F.substring(data, i * size + 1, F.lit(size))
-    )
-
-
 def block_names(docs: DataFrame, size: int, key) -> tuple[DataFrame, DataFrame]:
     """Stored (row, doc_id, chars, text_sha256), and (row, names) by the names of the blocks.
 
     A key may stand for one block only. Where two blocks share one, all blocks are keyed
     anew by the next turn of ``key``; the blocks themselves decide that, not a hash.
     """
-    clean = normalized(F.col("text"))
     turn, clash = 0, True
     while clash:
-        keyed = _blocks(clean, size)
-        blocks = docs.select(F.explode(keyed).alias("block"))
-        distinct = blocks.select(key(F.col("block"), turn).alias("key"), "block").distinct()
+        blocks = docs.select("text").mapInArrow(
+            _emit_blocks(size, key, turn), "key bigint, block binary"
+        )
         names = checkpointed(
-            distinct.groupBy("key")
+            blocks.distinct()
+            .groupBy("key")
             .agg(F.count(F.lit(1)).alias("blocks"))
             .sortWithinPartitions("key")
             .withColumn("name", F.monotonically_increasing_id())
         )
         clash = not names.where("blocks > 1").isEmpty()
         turn += clash
-    rows = checkpointed(
-        numbered(
-            docs.select(
-                "doc_id",
-                F.coalesce(F.length("text"), F.lit(0)).alias("chars"),
-                F.sha2(clean, 256).alias("text_sha256"),
-                F.transform(keyed, lambda block: key(block, turn)).alias("keys"),
-            )
-        )
-    )
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, chars bigint, text_sha256 string, keys array<bigint>"
+    rows = docs.select("doc_id", "text").mapInArrow(_emit_rows(size, key, turn), schema)
+    rows = checkpointed(numbered(rows))
     parts = rows.select(ROW, F.posexplode("keys").alias("place", "key"))
     return rows.drop("keys"), _lists(parts.join(names.drop("blocks"), "key"))
 
@@ -117,10 +167,6 @@ def identities(lists: DataFrame) -> DataFrame:
     return done
 
 
-def block_key(block: Column, turn: int) -> Column:
-    return F.xxhash64(F.lit(turn), block)
-
-
 def exact_duplicates(
     docs: DataFrame, block_bytes: int = BLOCK_BYTES, key=block_key
 ) -> DataFrame:
@@ -138,7 +184,7 @@ def exact_duplicates(
         F.col("doc_id").alias("doc_id"),
         F.col(ROW).alias("row"),
     )
-    groups = (
+    groups = checkpointed(
         members.groupBy("rounds", "name")
         .agg(F.count(F.lit(1)).alias("group_size"), F.min(order).alias("best"))
         .select(
