@@ -11,6 +11,8 @@ from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
+from cratewise.llm import secrets as secret_rules
+from cratewise.llm.spans import as_text, count_of, of_kinds
 from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
 from cratewise.llm.toxicity import held_out, toxicity
@@ -48,6 +50,22 @@ def op4_ngram_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("set_id")
 
 
+def _span_digests(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """doc_id, a count per base kind, the digest of the base spans, and all spans as text."""
+    return found.select(
+        "doc_id",
+        *[count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(as_text(of_kinds(F.col("spans"), kinds)), 256).alias("base_sha256"),
+        as_text(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    found = secret_rules.secrets(table(spark, sf_dir, "documents"))
+    return _span_digests(found, [rule.kind for rule in secret_rules.BASE])
+
+
 @query
 def op6_substring_dedup(spark, sf_dir):
     kept = without_repeats(table(spark, sf_dir, "documents"))
