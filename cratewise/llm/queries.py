@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
+from cratewise.llm.language import languages
 from cratewise.llm.mixing import mix
 from cratewise.llm import secrets as secret_rules
+from cratewise.llm import pii
 from cratewise.llm.spans import as_text, count_of, of_kinds
 from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
@@ -50,20 +52,27 @@ def op4_ngram_jaccard(spark, sf_dir):
     return jaccard_classes(table(spark, sf_dir, "documents")).drop("set_id")
 
 
-def _span_digests(found: DataFrame, kinds: list[str]) -> DataFrame:
+def _span_digests(found: DataFrame, base: Column, kinds: list[str]) -> DataFrame:
     """doc_id, a count per base kind, the digest of the base spans, and all spans as text."""
     return found.select(
         "doc_id",
-        *[count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in kinds],
-        F.sha2(as_text(of_kinds(F.col("spans"), kinds)), 256).alias("base_sha256"),
+        *[count_of(base, kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(as_text(base), 256).alias("base_sha256"),
         as_text(F.col("spans")).alias("spans"),
     )
 
 
+@query
+def op2_personal_data(spark, sf_dir):
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    return _span_digests(found, F.col("base"), pii.KINDS)
+
+
 @query
 def op5_secret_scan(spark, sf_dir):
     found = secret_rules.secrets(table(spark, sf_dir, "documents"))
-    return _span_digests(found, [rule.kind for rule in secret_rules.BASE])
+    kinds = [rule.kind for rule in secret_rules.BASE]
+    return _span_digests(found, of_kinds(F.col("spans"), kinds), kinds)
 
 
 @query
@@ -78,6 +87,12 @@ def op7_toxicity(spark, sf_dir):
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_language(spark, sf_dir):
+    found = languages(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op9_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("chars")
