@@ -18,6 +18,7 @@ from cratewise.llm.spans import as_text, count_of, of_kinds
 from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
 from cratewise.llm.toxicity import held_out, toxicity
+from cratewise.llm.urls import url_verdicts
 from cratewise.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,11 @@ def query(function: Query) -> Query:
     return run
 
 
+@query
+def op1_url_filter(spark, sf_dir):
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_benchmark_hits(spark, sf_dir):
     hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
