@@ -34,19 +34,19 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); the root is the least node reached.
 
-    Ends when a round changes nothing: then every edge leads from a node to its root. Edges
+    Ends when every edge leads from a node, that has no other, to a root, that has none. Edges
     from a node to itself say nothing; repeated ones count once.
     """
-    before = None
-    edges = checkpointed(edges.where("a != b").distinct())
-    while True:
+    edges = edges.where("a != b")
+    done = False
+    while not done:
         edges = checkpointed(_small_star(_large_star(edges)).distinct())
-        state = edges.agg(
-            F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))
-        ).first()
-        if state == before:
-            break
-        before = state
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+        ends = ends.unionByName(
+            edges.select(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into"))
+        )
+        unsettled = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        done = unsettled.where("out > 1 or out > 0 and into > 0").isEmpty()
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return nodes.unionByName(roots)

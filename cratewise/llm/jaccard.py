@@ -30,8 +30,10 @@ from cratewise.llm.components import components
 from cratewise.llm.tables import partitions
 from cratewise.llm.words import (
     SPACED_FOLDED,
+    from_six_bytes,
     mixed,
     sequence_hashes,
+    six_bytes,
     slices,
     split_words,
 )
@@ -42,7 +44,7 @@ SHINGLE = 5
 NEED, OF = 3, 7
 SMALL = 12
 CHUNK_BYTES = 8 << 20
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1024
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -121,7 +123,6 @@ def light_links(sets: DataFrame, most: int) -> DataFrame:
     rows = small.mapInArrow(
         _subsets(most), "size bigint, subset bigint, set_id bigint, n bigint"
     )
-    rows = checkpointed(rows)
     hubs = (
         rows.groupBy("size", "subset")
         .agg(F.min(F.struct("n", "set_id")).alias("hub"), F.count(F.lit(1)).alias("sets"))
@@ -138,9 +139,18 @@ def light_links(sets: DataFrame, most: int) -> DataFrame:
 
 # --- heavy: inverted lists --------------------------------------------------------------
 
-_ENTRIES = "bucket int, chunk bigint, keys binary, at binary, sets binary, sizes binary"
-_SHARED = "chunk bigint, keys binary, df binary, sets binary, sizes binary"
+# Of a chunk of texts and a bucket of the hash range: the low 48 bits of the shingles, the
+# places of their sets in the chunk, and the low 48 bits of these sets' ids. One row of each
+# chunk has all its sets in full, and their sizes.
+_ENTRIES = "bucket int, chunk bigint, keys binary, at binary, sets binary, all_sets binary, sizes binary"
+_SHARED = "bucket int, chunk bigint, keys binary, at binary, df binary, all_sets binary, sizes binary"
 _CANDIDATES = "set_id bigint, n bigint, s bigint, tokens binary, prefix array<bigint>"
+_KINDS = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+
+
+def _columns(rows: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*rows)) if rows else [[]] * len(_KINDS)
+    return [pa.array(x, kind) for x, kind in zip(columns, _KINDS)]
 
 
 def _entries(buckets: int, shingle: int):
@@ -166,21 +176,24 @@ def _entries(buckets: int, shingle: int):
                 for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
                     if low < high:
                         used, own = np.unique(at[low:high], return_inverse=True)
-                        own = own.astype(np.uint32 if len(used) > 65535 else np.uint16)
-                        rows.append(
-                            (bucket, chunk, keys[low:high].tobytes(), own.tobytes(),
-                             ids[used].tobytes(), sizes[used].astype(np.int32).tobytes())
-                        )
+                        part = (six_bytes(keys[low:high]), _places(used[own]))
+                        rows.append([bucket, chunk, *part, six_bytes(ids[used]), b"", b""])
+                rows[chunk % len(rows)][5:] = [ids.tobytes(), sizes.astype(np.int32).tobytes()]
                 chunk += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, t) for x, t in zip(zip(*rows), _ENTRY_TYPES)],
-                    ["bucket", "chunk", "keys", "at", "sets", "sizes"],
+                    _columns(rows), ["bucket", "chunk", "keys", "at", "sets", "all_sets", "sizes"]
                 )
 
     return run
 
 
-_ENTRY_TYPES = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+def _places(values: np.ndarray) -> bytes:
+    wide = len(values) and int(values.max()) > 65535
+    return (b"w" if wide else b"n") + values.astype(np.uint32 if wide else np.uint16).tobytes()
+
+
+def _from_places(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint32 if data[:1] == b"w" else np.uint16, offset=1)
 
 
 def _bounded(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np.ndarray]:
@@ -195,20 +208,16 @@ def _bounded(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np
         at = to
 
 
-def _unpacked(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    keys = np.frombuffer(row["keys"], np.uint64)
-    wide = len(row["at"]) == 4 * len(keys)
-    at = np.frombuffer(row["at"], np.uint32 if wide else np.uint16)
-    return keys, at, np.frombuffer(row["sets"], np.int64), np.frombuffer(row["sizes"], np.int32)
-
-
 def _shared(table: pa.Table) -> pa.Table:
     """Of a bucket, the postings of shingles that stand in two different sets or more."""
-    rows = [_unpacked(row) for row in table.to_pylist()]
-    keys = np.concatenate([r[0] for r in rows])
-    sets = np.concatenate([r[2][r[1]] for r in rows])
-    sizes = np.concatenate([r[3][r[1]] for r in rows])
-    row = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+    lists = [from_six_bytes(x) for x in table.column("keys").to_pylist()]
+    places = [_from_places(x) for x in table.column("at").to_pylist()]
+    owners = [
+        from_six_bytes(x)[np.unique(at, return_inverse=True)[1]]
+        for x, at in zip(table.column("sets").to_pylist(), places)
+    ]
+    keys, sets, at = (np.concatenate(x) for x in (lists, owners, places))
+    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     order = np.argsort(keys)
     same = keys[order][1:] == keys[order][:-1]
     often = np.zeros(len(keys), bool)
@@ -223,22 +232,18 @@ def _shared(table: pa.Table) -> pa.Table:
     new[1:] |= of[1:] != of[:-1]
     group = np.cumsum(first) - 1
     df = np.bincount(group, weights=new).astype(np.int64)[group] if len(key) else group
-    kept = df > 1
-    picked, df = picked[kept], df[kept]
-    order = np.lexsort((sets[picked], row[picked]))
+    picked, df = picked[df > 1], df[df > 1]
+    order = np.lexsort((at[picked], row[picked]))
     picked, df = picked[order], np.minimum(df[order], 65535).astype(np.uint16)
-    cuts = np.searchsorted(row[picked], np.arange(len(rows) + 1))
-    chunks = table.column("chunk").to_pylist()
-    out = [
-        (chunks[i], keys[picked[a:z]].tobytes(), df[a:z].tobytes(), sets[picked[a:z]].tobytes(),
-         sizes[picked[a:z]].tobytes())
-        for i, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a
-    ]
-    columns = list(zip(*out)) if out else [[]] * 5
-    kinds = [pa.int64(), *[pa.binary()] * 4]
+    cuts = np.searchsorted(row[picked], np.arange(len(lists) + 1))
+    fixed = [table.column(x).to_pylist() for x in ("bucket", "chunk", "all_sets", "sizes")]
+    out = []
+    for (bucket, chunk, all_sets, sizes), a, z in zip(zip(*fixed), cuts[:-1], cuts[1:]):
+        if z > a or all_sets:
+            found = (six_bytes(keys[picked[a:z]]), _places(at[picked[a:z]]), df[a:z].tobytes())
+            out.append((bucket, chunk, *found, all_sets, sizes))
     return pa.table(
-        [pa.array(x, t) for x, t in zip(columns, kinds)],
-        names=["chunk", "keys", "df", "sets", "sizes"],
+        _columns(out), names=["bucket", "chunk", "keys", "at", "df", "all_sets", "sizes"]
     )
 
 
@@ -249,19 +254,23 @@ def _candidates(table: pa.Table) -> pa.Table:
     many as a link can lack and one more. Shingles of one set only come first and cannot be
     shared.
     """
-    load = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
-    keys, df = load("keys", np.uint64), load("df", np.uint16)
-    sets, sizes = load("sets", np.int64), load("sizes", np.int32)
-    order = np.lexsort((keys, df, sets))
-    keys, sets, sizes = keys[order], sets[order], sizes[order]
-    cuts = np.flatnonzero(np.r_[True, sets[1:] != sets[:-1], True])
+    ids = np.frombuffer(b"".join(table.column("all_sets").to_pylist()), np.int64)
+    sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int32)
+    buckets = table.column("bucket").to_pylist()
+    parts = [from_six_bytes(x) for x in table.column("keys").to_pylist()]
+    keys = np.concatenate([x | np.uint64(b << 48) for b, x in zip(buckets, parts)])
+    at = np.concatenate([_from_places(x) for x in table.column("at").to_pylist()])
+    df = np.frombuffer(b"".join(table.column("df").to_pylist()), np.uint16)
+    order = np.lexsort((keys, df, at))
+    keys, at = keys[order], at[order]
+    cuts = np.searchsorted(at, np.arange(len(ids) + 1))
     rows = []
-    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        n, s = int(sizes[low]), high - low
+    for place, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+        n, s = int(sizes[place]), high - low
         prefix = s - -(-3 * n // 4) + 1
-        if prefix > 0:
+        if s and prefix > 0:
             tokens = np.sort(keys[low:high]).tobytes()
-            rows.append((int(sets[low]), n, s, tokens, keys[low : low + prefix].view(np.int64)))
+            rows.append((int(ids[place]), n, s, tokens, keys[low : low + prefix].view(np.int64)))
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
     columns = list(zip(*rows)) if rows else [[]] * 5
     return pa.table(
@@ -272,13 +281,16 @@ def _candidates(table: pa.Table) -> pa.Table:
 
 def list_candidates(docs: DataFrame, shingle: int) -> DataFrame:
     """One row per different set that shares enough shingles with others to have a link."""
-    buckets = 2 * partitions(docs.sparkSession)
+    buckets = min(partitions(docs.sparkSession), 1 << 16)
     entries = docs.select("text").mapInArrow(_entries(buckets, shingle), _ENTRIES)
     shared = entries.groupBy("bucket").applyInArrow(_shared, _SHARED)
     found = shared.groupBy("chunk").applyInArrow(_candidates, _CANDIDATES)
     return checkpointed(found.dropDuplicates(["set_id"]))
 
 
+_PAIR = ["a", "b", "a_n", "b_n", "a_s", "b_s"]
+
+
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sides = [batch.column(x).to_pylist() for x in ("a_tokens", "b_tokens")]
@@ -286,37 +298,34 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True))
             for x, y in zip(*sides)
         ]
-        names = ["a", "b", "a_n", "b_n"]
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(x) for x in names], pa.array(found, pa.int64())], [*names, "overlap"]
+            [*[batch.column(x) for x in _PAIR], pa.array(found, pa.int64())], [*_PAIR, "overlap"]
         )
 
 
 def overlaps(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b, a_n, b_n, overlap) of every pair, stored."""
+    """Every pair (a, b) with sizes, shared shingles and overlap, stored."""
     side = lambda x: found.select(
-        F.col("set_id").alias(x), F.col("n").alias(f"{x}_n"), F.col("tokens").alias(f"{x}_tokens")
+        F.col("set_id").alias(x),
+        *[F.col(y).alias(f"{x}_{y}") for y in ("n", "s", "tokens")],
     )
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    both = both.select("a", "b", "a_n", "b_n", "a_tokens", "b_tokens")
-    return checkpointed(
-        both.mapInArrow(_overlaps, "a bigint, b bigint, a_n bigint, b_n bigint, overlap bigint")
-    )
+    schema = ", ".join(f"{x} bigint" for x in [*_PAIR, "overlap"])
+    return checkpointed(both.select(*_PAIR, "a_tokens", "b_tokens").mapInArrow(_overlaps, schema))
 
 
-def _linked(verified: DataFrame) -> DataFrame:
-    return verified.where(f"{OF} * overlap >= {NEED} * (a_n + b_n)").select("a", "b")
+_ALIKE = f"{OF} * overlap >= {NEED} * (a_n + b_n)"
 
 
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a hub's members in different classes whose overlap could make a link.
+    """Pairs of a hub's members, not both linked to it, whose overlap could make a link.
 
     Rows come sorted by cell. Members at ``left`` meet those at ``right``; within one block
     each row is both.
     """
     for cell in _cells(batches):
         left, right = cell["side"] != 1, cell["side"] != 0
-        n, o, rest, root = cell["n"], cell["overlap"], cell["s"] - cell["overlap"], cell["root"]
+        n, o, rest, linked = cell["n"], cell["overlap"], cell["s"] - cell["overlap"], cell["linked"]
         own = cell["set_id"]
         at_right = np.flatnonzero(right)
         seen = []
@@ -324,9 +333,9 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = np.flatnonzero(left)[start : start + 256][:, None]
             need = -(-NEED * (n[rows] + n[at_right]) // OF)
             most = np.minimum(o[rows], o[at_right]) + np.minimum(rest[rows], rest[at_right])
-            x, y = np.nonzero((most >= need) & (root[rows] != root[at_right]))
+            x, y = np.nonzero((most >= need) & ~(linked[rows] & linked[at_right]))
             a, b = own[rows[x, 0]], own[at_right[y]]
-            seen.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
+            seen.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b])
         if seen:
             pairs = np.unique(np.concatenate(seen), axis=0)
             yield pa.RecordBatch.from_arrays(
@@ -353,24 +362,27 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]
             yield {name: column[low:high] for name, column in columns.items()}
 
 
-def open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
-    """(a, b): pairs that the hubs left open, from (hub, set_id, overlap).
+def open_pairs(stars: DataFrame) -> DataFrame:
+    """(a, b): pairs of members that the hubs left open, from the members' overlaps with them.
 
     A hub of more than BLOCK_ROWS members meets in cells of two blocks each.
     """
-    known = found.select("set_id", "n", "s")
-    rows = members.join(known, "set_id").join(
-        classes.select(F.col("node").alias("set_id"), "root"), "set_id", "left"
+    members = stars.select(
+        F.col("b").alias("hub"),
+        F.col("a").alias("set_id"),
+        F.col("a_n").alias("n"),
+        F.col("a_s").alias("s"),
+        "overlap",
+        F.expr(_ALIKE).alias("linked"),
     )
-    rows = checkpointed(rows.withColumn("root", F.coalesce("root", "set_id")))
     mixed_hubs = (
-        rows.groupBy("hub")
-        .agg(F.count(F.lit(1)).alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low != high")
+        members.groupBy("hub")
+        .agg(F.count(F.lit(1)).alias("members"), F.bool_and("linked").alias("closed"))
+        .where("not closed and members > 2")
         .select("hub", F.ceil(F.col("members") / BLOCK_ROWS).alias("blocks"))
     )
     block = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    placed = rows.join(mixed_hubs, "hub").withColumn("block", block)
+    placed = members.join(mixed_hubs, "hub").withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     cells = placed.withColumn("other", other).select(
         "hub",
@@ -380,44 +392,30 @@ def open_pairs(members: DataFrame, found: DataFrame, classes: DataFrame) -> Data
         .when(F.col("block") < F.col("other"), 0)
         .otherwise(1)
         .alias("side"),
-        "set_id", "n", "s", "overlap", "root",
+        "set_id", "n", "s", "overlap", "linked",
     )
     dealt = cells.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high")
     return dealt.mapInArrow(_open_pairs, "a bigint, b bigint").distinct()
 
 
-def heavy_links(found: DataFrame, most: int, known: DataFrame) -> DataFrame:
-    """(a, b): links that join all sets linked over the lists; those of ``known`` come too.
+def heavy_links(found: DataFrame, most: int) -> DataFrame:
+    """(a, b): links that join all sets linked over the lists.
 
     Lists without a set of more than ``most`` shingles are left to the subsets.
     """
-    postings = found.select(
-        "set_id", "n", "s", F.explode("prefix").alias("token")
-    )
+    postings = found.select("set_id", "n", "s", F.explode("prefix").alias("token"))
     # A set that shares most of its shingles is the likeliest original of a group.
     first = F.struct((F.col("s") / F.col("n")).alias("share"), -F.col("n"), "set_id")
     hubs = (
         postings.groupBy("token")
         .agg(F.max(first).alias("first"), F.count(F.lit(1)).alias("sets"), F.max("n").alias("n"))
         .where((F.col("sets") > 1) & (F.col("n") > most))
-        .select("token", F.col("first.set_id").alias("hub"))
-    )
-    stars = checkpointed(
-        postings.select("token", "set_id").join(hubs, "token").select("hub", "set_id").distinct()
-    )
-    pairs = stars.where("hub != set_id").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
-    verified = overlaps(pairs, found)
-    links = checkpointed(_linked(verified).unionByName(known).distinct())
-    own = (
-        found.select("set_id", F.col("s").alias("overlap"))
-        .join(stars.where("hub = set_id").select("hub"), F.col("set_id") == F.col("hub"))
-        .select("hub", "set_id", "overlap")
+        .select("token", F.col("first.set_id").alias("b"))
     )
-    members = verified.select(
-        F.col("b").alias("hub"), F.col("a").alias("set_id"), "overlap"
-    ).unionByName(own)
-    more = _linked(overlaps(open_pairs(members, found, components(links)), found))
-    return links.unionByName(more)
+    members = postings.select("token", F.col("set_id").alias("a")).join(hubs, "token")
+    stars = overlaps(members.select("a", "b").distinct(), found)
+    more = overlaps(open_pairs(stars), found)
+    return stars.unionByName(more).where(f"a != b and {_ALIKE}").select("a", "b")
 
 
 # --- the join ---------------------------------------------------------------------------
@@ -465,7 +463,7 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, small: int = SMALL)
     entries = found.where(F.col("n") <= small).groupBy("n").agg(F.sum(F.size("prefix")).alias("entries"))
     counted = sizes.join(entries, "n", "left").collect()  # a row per small size
     most = choose_boundary({row["n"]: (row["sets"], row["entries"] or 0) for row in counted}, small)
-    classes = components(heavy_links(found, most, light_links(sets, most)))
+    classes = components(heavy_links(found, most).unionByName(light_links(sets, most)))
     rooted = sets.select("set_id", "doc_id").join(
         classes.withColumnRenamed("node", "set_id"), "set_id", "left"
     )

@@ -8,7 +8,8 @@ message passing over all edges gives each token its label; tokens inside base sp
 evidence. What it adds are spans that overlap no base span.
 
 The weights are fitted piecewise in numpy on a bounded, hash-ordered sample of tokens that
-the patterns label; patterns are never features.
+the patterns label; patterns are never features. A token that the patterns pass over though
+they label its like teaches nothing.
 """
 
 from __future__ import annotations
@@ -220,6 +221,21 @@ def observed(found: Tokens, spans: dict[int, list[Span]]) -> np.ndarray:
     return labels
 
 
+def known_labels(found: Tokens, labels: np.ndarray) -> np.ndarray:
+    """Mask of the tokens whose label teaches something.
+
+    The patterns say what is personal data, not what is none: a token outside their spans
+    that is the same as or similar to one inside, over any number of edges, is left open.
+    """
+    reached = labels > 0
+    size = -1
+    while reached.sum() != size:
+        size = reached.sum()
+        for a, b in ((0, 1), (1, 0)):
+            reached[found.skip[reached[found.skip[:, a]], b]] = True
+    return (labels > 0) | ~reached
+
+
 # --- the field --------------------------------------------------------------------------
 
 
@@ -316,8 +332,11 @@ def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offsets in slices(batch):
             found, spans, _ = _read(part, data, offsets)
             labels = observed(found, spans)
-            rows = [(f, k, None, None, 1) for f, k in zip(found.features.tolist(), labels.tolist())]
+            known = known_labels(found, labels)
+            told = zip(found.features[known].tolist(), labels[known].tolist())
+            rows = [(f, k, None, None, 1) for f, k in told]
             for number, pairs in enumerate((found.chain, found.skip)):
+                pairs = pairs[known[pairs].all(1)]
                 counts = np.zeros((LABELS, LABELS), np.int64)
                 np.add.at(counts, (labels[pairs[:, 0]], labels[pairs[:, 1]]), 1)
                 rows += [(None, i, number, j, int(counts[i, j])) for i, j in zip(*np.nonzero(counts))]

@@ -24,7 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.tables import partitions
-from cratewise.llm.words import SPACED, sequence_hashes, slices, split_words
+from cratewise.llm.words import (
+    SPACED,
+    from_six_bytes,
+    sequence_hashes,
+    six_bytes,
+    slices,
+    split_words,
+)
 from cratewise.session import shared_folder
 
 WINDOW = 13
@@ -146,17 +153,6 @@ def _cut(values: np.ndarray, bits: int, buckets: int) -> list[tuple[int, int, in
     return [(i, a, z) for i, (a, z) in enumerate(zip(cuts.tolist(), ends)) if a < z]
 
 
-def _six(values: np.ndarray) -> bytes:
-    """48-bit numbers in six bytes each."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def _from_six(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return wide.view("<u8").reshape(-1)
-
-
 def _rows(rows: list[tuple]) -> tuple[list[pa.Array], list[str]]:
     columns = list(zip(*rows)) if rows else [[]] * 4
     kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
@@ -170,7 +166,7 @@ def _send_anchors(buckets: int):
                 number = row.pop("chunk")
                 values = np.unique(_short(Chunk(**row).anchors()[1]))
                 rows = [
-                    (bucket, number, _six(values[a:z]), b"")
+                    (bucket, number, six_bytes(values[a:z]), b"")
                     for bucket, a, z in _cut(values, 48, buckets)
                 ]
                 yield pa.RecordBatch.from_arrays(*_rows(rows))
@@ -180,14 +176,14 @@ def _send_anchors(buckets: int):
 
 def _repeated(table: pa.Table) -> pa.Table:
     """Of a bucket, the anchors of two chunks or more, for each chunk that has them."""
-    lists = [_from_six(x) for x in table.column("numbers").to_pylist()]
+    lists = [from_six_bytes(x) for x in table.column("numbers").to_pylist()]
     values = np.sort(np.concatenate(lists))
     often = np.unique(values[1:][values[1:] == values[:-1]])
     rows = []
     for chunk, own in zip(table.column("chunk").to_pylist(), lists):
         kept = own[_among(own, often)]
         if len(kept):
-            rows.append((0, chunk, _six(kept), b""))
+            rows.append((0, chunk, six_bytes(kept), b""))
     arrays, names = _rows(rows)
     return pa.table(arrays, names=names)
 
@@ -204,7 +200,7 @@ def _send_windows(buckets: int):
         for row in chunks.to_pylist():
             number = row.pop("chunk")
             chunk = Chunk(**row)
-            at, hashes = chunk.candidates(_only(shared, _from_six))
+            at, hashes = chunk.candidates(_only(shared, from_six_bytes))
             ids = chunk.ids[chunk.text_of(at)]
             order = np.lexsort((ids, hashes))
             hashes, ids = hashes[order], ids[order]

@@ -21,9 +21,9 @@ from cratewise.llm.words import mixed, slices
 ALLOW, BLOCK = "allow", "block"
 BUCKETS = 1 << 15
 SIZES = (3, 4, 5)
-STEPS = 400
+STEPS = 1500
 STRENGTH = 4.0
-DECAY = 0.002
+DECAY = 0.0003
 
 # Fixed values: (host, path, verdict).
 RULES = [
@@ -37,22 +37,27 @@ RULES = [
 # The labelled table: hosts that are blocked with any path, hosts that are not, paths for both.
 BLOCKED_HOSTS = """
 free-bets.example.com adult-x.example.com spam-farm.example.com ads-track.example.com
-best-casino.example.net www.casino-bonus.example.com online-poker.example.net xxx-videos.example.com
-adult-cams.example.net cheap-pills.example.org buy-pills-now.example.com track-ads.example.net
-m.ad-server.example.com click-track.example.org win-free-prizes.example.com free-slots.example.net
-link-farm.example.com spam-links.example.net blog.betting-tips.example.org payday-loans.example.com
-hot-singles.example.net crack-warez.example.com free-torrents.example.org pixel-ads.example.com
+casino-bonus.example.com xxx-videos.example.com buy-pills-now.example.com payday-loans.example.com
+best-casino.example.net online-poker.example.net adult-cams.example.net track-ads.example.net
+free-slots.example.net spam-links.example.net hot-singles.example.net win-free-prizes.example.net
+cheap-pills.example.org click-track.example.org betting-tips.example.org free-torrents.example.org
+crack-warez.example.org casino-win.example.org link-farm.example.org pixel-ads.example.org
 """.split()
 ALLOWED_HOSTS = """
-www.example.com example.org m.example.net blog.thing.example.com news.then.example.net
-library.example.org wiki.example.com docs.example.net school.example.org www.city-council.example.com
-recipes.example.net gardening.example.org weather.example.com the-times.example.net museum.example.org
-therere.example.com tionand.example.net onthe.example.org reading.example.com history.example.net
-physics-notes.example.org music.example.com travel.example.net www.tiontion.example.com
+example.com thing.example.com weather.example.com city-council.example.com
+wiki.example.com reading.example.com music.example.com travel.example.com
+example.net news.then.net docs.example.net school.example.net
+therere.example.net recipes.example.net the-times.example.net history.example.net
+example.org library.example.org gardening.example.org museum.example.org
+onthe.example.org physics-notes.example.org tionand.example.org news.town.org
 """.split()
 PATHS = "/ /en/1204 /de/77.html /fr/3051/ /es/912 /about /index.html /news/2001/05/item.html".split()
-LABELLED = [(f"http://{host}{path}", 1) for host in BLOCKED_HOSTS for path in PATHS] + [
-    (f"http://{host}{path}", 0) for host in ALLOWED_HOSTS for path in PATHS
+FRONTS = ("", "www.", "m.", "blog.")
+LABELLED = [
+    (f"http://{FRONTS[i % 4]}{host}{path}", label)
+    for label, hosts in ((1, BLOCKED_HOSTS), (0, ALLOWED_HOSTS))
+    for host in hosts
+    for i, path in enumerate(PATHS)
 ]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -49,6 +49,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return out
 
 
+def six_bytes(values: np.ndarray) -> bytes:
+    """The low 48 bits of 64-bit numbers, in six bytes each."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def from_six_bytes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").reshape(-1)
+
+
 class _Powers:
     """Powers of the multiplier and of its inverse, as far as asked for."""
 
