@@ -116,7 +116,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float = SWITCH) -> n
     steps = int(sizes[0]) if len(sizes) else 0
     active = np.searchsorted(-sizes, -np.arange(steps), side="left") if steps else []
     labels = np.zeros(len(scores), np.int16)
-    if not steps:
+    if not steps or not scores.shape[1]:
         return labels
     switched = np.zeros(scores.shape, bool)
     best_at = np.zeros(len(scores), np.int16)
