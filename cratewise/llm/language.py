@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.llm.spans import Span, spans_array
+from cratewise.llm.tables import thinned
 from cratewise.llm.toxicity import held_out
 from cratewise.llm.words import ALNUM_FOLDED, Words, mixed, slices, split_words
 from cratewise.operators.ranking import keep_first
@@ -185,8 +186,11 @@ def learn(docs: DataFrame) -> Model:
     usable = docs.where(
         F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & ~held_out()
     )
-    order = [F.xxhash64(F.lit("language"), "doc_id"), F.col("doc_id")]
-    chosen = keep_first(usable.select("doc_id", "lang"), ["lang"], order, SAMPLE_DOCS)
+    place = F.xxhash64(F.lit("language"), "doc_id")
+    some = thinned(usable.select("doc_id", "lang"), ["lang"], place, SAMPLE_DOCS)
+    # The shifted hash orders as the unsigned one, as which it was cut.
+    order = [F.shiftrightunsigned(place, 1), F.col("doc_id")]
+    chosen = keep_first(some, ["lang"], order, SAMPLE_DOCS)
     texts = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
     counted = texts.select("lang", "text").mapInArrow(
         _count, "lang string, place bigint, bucket bigint, n bigint"

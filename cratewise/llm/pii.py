@@ -350,6 +350,7 @@ def learn(docs: DataFrame) -> Field:
     """Weights from about SAMPLE_DOCS documents by hash of doc_id, SAMPLE_TOKENS tokens at most."""
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
     place = F.pmod(F.xxhash64(F.lit("pii"), "doc_id"), F.lit(1 << 30))
+    # Of a giant document only tokens are chosen, below.
     chosen = docs.where(place < int(share * (1 << 30))).select("text")
     rows = chosen.mapInArrow(
         _teach, "features array<bigint>, label bigint, table bigint, other bigint, n bigint"

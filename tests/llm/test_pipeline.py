@@ -72,9 +72,11 @@ def test_stages_take_awkward_rows(spark, documents, awkward):
     assert len(rows_of(near)) == len({x[2] for x in class_brute(
         [(i, *r[1:]) for i, r in enumerate(awkward)]
     )})
-    for name in ("toxicity", "benchmark decontamination"):
-        kept = STAGE[name](spark, docs, SF_DIR)
-        assert kept.columns == docs.columns and len(rows_of(kept)) >= len(awkward) - 3
+    clean = STAGE["benchmark decontamination"](spark, docs, SF_DIR)
+    assert clean.columns == docs.columns and rows_of(clean).sort(key=str) == list(awkward).sort(key=str)
+    # The labels of the sample tables say nothing of these texts; only the form is tested.
+    calm = STAGE["toxicity"](spark, docs, SF_DIR)
+    assert calm.columns == docs.columns and set(rows_of(calm)) <= set(rows_of(docs))
     mixed = STAGE["mixing sources to target weights"](spark, docs, SF_DIR)
     assert mixed.count() == len(awkward)
 

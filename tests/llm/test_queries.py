@@ -34,7 +34,7 @@ def test_a_row_per_row_of_the_table_with_the_contract_columns(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(df.columns)
     source = "pages" if name.startswith("op1_") else "documents"
-    assert df.count() == duckdb.sql(f"select count(*) from '{SF_DIR}/{source}.parquet'").fetchone()[0]
+    assert df.count() == duckdb.sql(f"select count(*) from '{SF_DIR}/{source}.parquet'").fetchall()[0][0]
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
