@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 # Fixed value: the date that stands for "never" in date padding and in update times.
 NEVER = "1900-01-01"
 
+# Fixed value: how long a failed code rests.
 RETRY_AFTER = "INTERVAL 7 DAYS"
 
 # A year alone, a year and month, or a bare clock time is not a date here, although
@@ -22,6 +23,11 @@ def strict_timestamp(text: Column) -> Column:
     return text.cast("timestamp")
 
 
+def added_time(text: Column) -> Column:
+    """When an item was added, strictly read; blank text is no date."""
+    return strict_timestamp(F.nullif(F.trim(text), F.lit("")))
+
+
 def safe_timestamp(text: str) -> str:
     """SQL for a UTC timestamp, NULL for text that is none."""
     return f"if({text} rlike '{_FULL_DATE}', try_cast({text} as timestamp), null)"

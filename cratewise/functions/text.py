@@ -61,5 +61,5 @@ def status_code(message: Column) -> Column:
 
 
 def has_word(text: Column, word: str) -> Column:
-    """True where ``word`` stands between word boundaries."""
-    return F.coalesce(text, F.lit("")).rlike(rf"\b{word}\b")
+    """True where ``word``, taken literally, stands between word boundaries."""
+    return F.coalesce(text, F.lit("")).rlike(rf"\b\Q{word}\E\b")

@@ -1,4 +1,4 @@
-"""Groups gathered into lists."""
+"""Groups listed in an order, an element a row, so that no cell grows with its group."""
 
 from __future__ import annotations
 
@@ -7,75 +7,46 @@ from pyspark.sql import functions as F
 
 from cratewise.operators.ranking import UNMEASURED, number_within
 from cratewise.operators.skew import HOT_GROUP_ROWS
+from cratewise.session import stored
 
-PAGE = "list_page"
-PAGE_ROWS = 10_000
+POSITION = "position"
 
 
-def ordered_lists(
+def ordered_elements(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
     values: dict[str, Column],
-    page_rows: int = PAGE_ROWS,
     hot: DataFrame | None | object = UNMEASURED,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Lists of values per group in a total order, NULL elements kept.
-
-    A list cell must fit a task, a group need not: it comes in pages of ``page_rows``
-    elements, numbered from 0, of which an ordinary group has one.
-    """
+    """Values of every group in a total order, numbered from 1, NULL elements kept."""
     columns = [column.alias(name) for name, column in values.items()]
-    numbered = number_within(df, keys, order, "at", hot, hot_rows)
-    entries = numbered.select(
-        *keys,
-        F.floor((F.col("at") - 1) / page_rows).alias(PAGE),
-        F.struct("at", *columns).alias("entry"),
-    )
-    gathered = entries.groupBy(*keys, PAGE).agg(
-        F.sort_array(F.collect_list("entry")).alias("entries")
-    )
-    return gathered.select(
-        *keys, PAGE, *[F.col(f"entries.{name}").alias(name) for name in values]
-    )
+    numbered = number_within(df, keys, order, POSITION, hot, hot_rows)
+    return numbered.select(*keys, POSITION, *columns)
 
 
-def ordered_texts(
+def filled_elements(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
     value: Column,
     out: str,
-    separator: str = ", ",
-    page_rows: int = PAGE_ROWS,
     hot: DataFrame | None | object = UNMEASURED,
     hot_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
-    """Values of every group joined in a total order, NULL ones left out, in pages."""
-    lists = ordered_lists(df, keys, order, {"texts": value}, page_rows, hot, hot_rows)
-    kept = F.filter("texts", lambda text: text.isNotNull())
-    return lists.select(
-        *keys,
-        PAGE,
-        F.when(F.size(kept) > 0, F.array_join(kept, separator)).alias(out),
-    )
+    """Values of every group in a total order, numbered from 1, NULL ones left out."""
+    filled = df.withColumn(out, value).where(F.col(out).isNotNull())
+    return ordered_elements(filled, keys, order, {out: F.col(out)}, hot, hot_rows)
 
 
-def distinct_lists(
-    df: DataFrame,
-    keys: list[str],
-    value: str,
-    out: str,
-    page_rows: int = PAGE_ROWS,
-    hot_rows: int = HOT_GROUP_ROWS,
+def distinct_elements(
+    df: DataFrame, keys: list[str], value: str, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
-    """Distinct non-NULL texts of every group without regard to case in order, in pages."""
-    pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    """Distinct non-NULL texts of every group without regard to case in order, numbered from 1."""
+    pairs = stored(df.where(F.col(value).isNotNull()).select(*keys, value).distinct())
     order = [F.lower(value).asc(), F.col(value).asc()]
-    return ordered_lists(
-        pairs, keys, order, {out: F.col(value)}, page_rows, hot_rows=hot_rows
-    )
+    return ordered_elements(pairs, keys, order, {value: F.col(value)}, hot_rows=hot_rows)
 
 
 def newest_filled(value: Column, timestamp: Column) -> Column:

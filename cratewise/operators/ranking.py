@@ -75,6 +75,19 @@ def number_within(
     return _number(rest, keys, order, out).unionByName(numbered) if keys else numbered
 
 
+def first_rows(
+    df: DataFrame, order: list[Column], n: int, out: str, hot_rows: int = HOT_GROUP_ROWS
+) -> DataFrame:
+    """The first ``n`` rows of a table in a total order, numbered from 1.
+
+    Up to ``hot_rows`` rows are cut before one task numbers them; beyond, the table is
+    numbered range by range.
+    """
+    if n <= hot_rows:
+        return _number(df.orderBy(*order).limit(n), [], order, out)
+    return number_within(df, [], order, out, hot_rows=hot_rows).where(F.col(out) <= n)
+
+
 def _number(df: DataFrame, keys: list[str], order: list[Column], out: str) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(out, F.row_number().over(window).cast("bigint"))

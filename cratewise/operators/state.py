@@ -11,9 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cratewise.functions.moments import moment, strict_timestamp
+from cratewise.functions.moments import added_time, moment
 from cratewise.functions.text import tidy_code
-from cratewise.operators.ranking import keep_first
+from cratewise.operators.ranking import first_rows, keep_first
 
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -88,7 +88,7 @@ def until_older(items: DataFrame, position: list[str], mark: dt.datetime | None)
     if mark is None:
         return items
     at = F.struct(*position)
-    older = items.where(strict_timestamp(F.col("added_at")) < moment(mark))
+    older = items.where(added_time(F.col("added_at")) < moment(mark))
     stop = older.agg(F.min(at)).scalar()
     return items.where(F.coalesce(at < stop, F.lit(True)))
 
@@ -98,9 +98,10 @@ def up_to_distinct(items: DataFrame, key: str, position: list[str], n: int | Non
     if not n:
         return items
     at = F.struct(*position)
-    firsts = items.groupBy(key).agg(F.min(at).alias("first_at")).orderBy("first_at").limit(n)
+    firsts = items.groupBy(key).agg(F.min(at).alias("first_at"))
+    numbered = first_rows(firsts, [F.col("first_at").asc()], n, "place")
     # NULL, which stops nothing, when there are fewer than n.
-    stop = firsts.agg(F.when(F.count(F.lit(1)) == n, F.max("first_at"))).scalar()
+    stop = numbered.agg(F.max(F.when(F.col("place") == n, F.col("first_at")))).scalar()
     return items.where(F.coalesce(at <= stop, F.lit(True)))
 
 

@@ -282,16 +282,9 @@ select artist_id as id, artist_id, artist_name,
 from credits left join (select track_id, popularity, added_at from tracks) using (track_id)
 group by all
 """
-_PAGE = "(row_number() over (partition by {key} order by {order}) - 1) // 10000"
-CTES["duplicates"] = f"""
-select isrc as id, isrc, to_json(list(album_name order by n))::varchar as album_names,
-  to_json(list(album_release_date order by n))::varchar as album_release_dates,
-  any_value(size) as duplicate_occurrences, list_page
-from (select *, count(*) over (partition by isrc) as size,
-        row_number() over (partition by isrc order by added_at desc nulls last, track_id) as n,
-        (n - 1) // 10000 as list_page
-      from tracks)
-where size > 1 group by isrc, list_page
+CTES["duplicates"] = """
+select isrc as id, isrc, count(*) as duplicate_occurrences
+from tracks group by isrc having count(*) > 1
 """
 CTES["clusters"] = """
 select *, count(*) over (partition by a, t, cluster) as duplicate_occurrences
@@ -341,6 +334,13 @@ select 'r' || p_partkey as recording_mbid,
   {LATE} as last_seen_at
 from part where p_size <= 30
 """
+# What the answers to queued codes list; their documents link no works.
+CTES["asked_payloads"] = """
+select * from new_payloads where recording_mbid in (
+  select 'r' || p_partkey from answers where p_size <= 45 and isrc in (select isrc from queue_rows)
+  union all
+  select 's' || p_size from answers where p_size <= 45 and isrc in (select isrc from queue_rows))
+"""
 
 QUERIES: dict[str, str] = {
     "saved_tracks": "select * from tracks",
@@ -377,7 +377,10 @@ from work_docs
     "queue_export": """
 select * exclude (id) from queue where isrc_queue_rank <= 1000
 """,
+    "queue_export_all": "select * exclude (id) from queue",
     "queue_rank": "select * from codes",
+    "ready_tracks_base": "select * from ready",
+    "entity_context_base": "select * from entity",
     "ready_tracks": "select * from ready",
     "entity_context": "select * from entity",
     "track_instrument": "select * from track_instruments",
@@ -387,6 +390,11 @@ select * from stats order by saved_track_count desc, avg_popularity desc nulls l
   artist_id, artist_name limit 1
 """,
     "isrc_duplicates": "select * from duplicates",
+    "isrc_duplicate_albums": """
+select isrc, row_number() over (partition by isrc
+    order by added_at desc nulls last, track_id) as position, album_name, album_release_date
+from tracks qualify count(*) over (partition by isrc) > 1
+""",
     "top_artists": """
 select * exclude (id) from stats order by saved_track_count desc, artist_name, artist_id limit 10
 """,
@@ -434,19 +442,19 @@ window same as (partition by isrc)
 qualify duplicate_count > 1
 """,
     "isrc_duplicate_summary": """
-select isrc, any_value(size) as duplicate_count,
-  string_agg(line, ' | ' order by n) as duplicate_track_list,
-  any_value(first_at) as first_added_at, any_value(last_at) as latest_added_at, list_page
-from (select isrc, line, count(*) over same as size, min(added_at) over same as first_at,
-        max(added_at) over same as last_at,
-        row_number() over (partition by isrc order by added_at desc nulls last, line, track_id)
-          as n, (n - 1) // 10000 as list_page
-      from (select *, concat(ifnull(track_name, '<unknown track>'), ' - ',
-              ifnull(primary_artist_name, '<unknown artist>'), ' (',
-              ifnull(album_name, '<unknown album>'), ', added ', added_at::varchar, ')') as line
-            from tracks where isrc is not null)
-      window same as (partition by isrc))
-where size > 1 group by isrc, list_page
+select isrc, count(*) as duplicate_count, min(added_at) as first_added_at,
+  max(added_at) as latest_added_at
+from tracks where isrc is not null group by isrc having count(*) > 1
+""",
+    "isrc_duplicate_lines": """
+select isrc, row_number() over (partition by isrc
+    order by added_at desc nulls last, track_line, track_id) as position, track_line
+from (select *, count(*) over (partition by isrc) as size,
+        concat(ifnull(track_name, '<unknown track>'), ' - ',
+          ifnull(primary_artist_name, '<unknown artist>'), ' (',
+          ifnull(album_name, '<unknown album>'), ', added ', added_at::varchar, ')') as track_line
+      from tracks where isrc is not null)
+where size > 1
 """,
     "request_metrics": """
 select total as total_tracks_with_isrc, waiting as pending_queue_tracks,
@@ -503,25 +511,21 @@ from (select *, sum(jump) over (partition by user_id order by micros, event_id
             from events))
 """,
     "ordered_array_agg": """
-select l_orderkey, list_page,
-  to_json(list(case when l_returnflag <> 'R' then l_partkey end order by n))::varchar as parts
-from (select *, row_number() over (partition by l_orderkey
-               order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as n,
-        (n - 1) // 10000 as list_page from lineitem)
-group by all
+select l_orderkey, row_number() over (partition by l_orderkey
+    order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as position,
+  case when l_returnflag <> 'R' then l_partkey end as part
+from lineitem
 """,
     "ordered_string_agg": """
-select l_orderkey, list_page,
-  string_agg(case when l_returnflag <> 'R' then l_partkey::varchar end, ', ' order by n) as parts
-from (select *, row_number() over (partition by l_orderkey
-               order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as n,
-        (n - 1) // 10000 as list_page from lineitem)
-group by all
+select l_orderkey, row_number() over (partition by l_orderkey
+    order by l_linenumber, l_partkey, l_suppkey, l_returnflag) as position,
+  l_partkey::varchar as part
+from lineitem where l_returnflag <> 'R'
 """,
     "distinct_list_json": """
-select o_custkey, 0::bigint as list_page,
-  to_json(list_sort(list(distinct o_orderpriority)))::varchar as priorities
-from orders group by all
+select o_custkey, row_number() over (partition by o_custkey
+    order by lower(o_orderpriority), o_orderpriority) as position, o_orderpriority
+from (select distinct o_custkey, o_orderpriority from orders where o_orderpriority is not null)
 """,
     "arg_max_non_null": """
 select user_id, max({'at': ts, 'kind': event_type}) filter (event_type <> 'error').kind
@@ -602,6 +606,16 @@ select isrc, error_status_code, null::varchar as error_message, last_failed_at,
 from raw_isrc_failures
 """,
     "stored_table": "select * from incoming",
+    "missing_file": "select * from raw_saved_tracks",
+    "collected_results": """
+select 'isrc_candidates' as output_name, track_id as key, recording_mbid as value
+from new_candidates
+union all
+select 'recording_payloads', recording_mbid, payload_json from asked_payloads
+union all
+select 'isrc_failures', isrc, case when p_size > 48 then '404' else '503' end
+from answers where p_size > 45 and isrc in (select isrc from queue_rows)
+""",
     "lookup_failures": f"""
 select isrc, case when p_size > 48 then '404' else '503' end as error_status_code,
   'caused by: HTTP Error ' || case when p_size > 48 then '404' else '503: busy' end
@@ -625,10 +639,8 @@ where (select count(distinct user_id) from events) < 100 or event_id <= (
                              group by user_id order by first_id limit 100))
 """,
     "queue_groups": """
-select isrc, (n - 1) // 10000 as list_page,
-  to_json(list(track_id order by n))::varchar as track_ids
-from (select *, row_number() over (partition by isrc order by track_id) as n from queue_rows)
-group by all
+select isrc, row_number() over (partition by isrc order by track_id) as position, track_id
+from queue_rows
 """,
     "upsert_by_key": """
 select * from raw_saved_tracks where track_id not in (select track_id from incoming)
@@ -659,7 +671,8 @@ from raw_isrc_failures k full join (
     "csv_roundtrip": "select * from raw_recording_payloads",
     "run_summary": "\nunion all\n".join(
         f"select '{name}' as output_name, count(*) as row_count, "
-        f"'2001-08-10T00:00:00' as generated_at from raw_{name}"
+        f"'2001-08-10T00:00:00' as generated_at, "
+        f"(select count(distinct isrc) from queue_rows) as processed_isrcs from raw_{name}"
         for name in LANDING_SQL
     ),
     "dq_freshness": "\nunion all\n".join(
@@ -673,9 +686,6 @@ from raw_{name}"""
     ),
 }
 
-# The retry queue runs on saved tracks that have candidates.
-_MATCHED = "select * from all_tracks where track_id in (select track_id from raw_isrc_candidates)"
-
 # Checked tables as (report name, block or select).
 _CHECKED = {
     "stg_spotify_saved_tracks": "tracks",
@@ -695,7 +705,7 @@ _CHECKED = {
     "fct_playlist_entity_context": "entity",
     "fct_artist_stats": "stats",
     "dim_favorite_artist": "(select id from stats limit 1)",
-    "fct_track_duplicates": "(select * from duplicates where list_page = 0)",
+    "fct_track_duplicates": "duplicates",
 }
 
 
@@ -752,6 +762,8 @@ def with_blocks(text: str, blocks: dict[str, str]) -> str:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL per registered query."""
     texts = {name: with_blocks(text, CTES) for name, text in QUERIES.items()}
-    matched = CTES | {"all_tracks": CTES["raw_saved_tracks"], "raw_saved_tracks": _MATCHED}
-    texts["retry_queue"] = with_blocks(QUERIES["enrichment_queue"], matched)
+    # The queue of the tracks with missing works, whether or not others wait.
+    retries = CTES | {"due": "select * from retry"}
+    texts["retry_queue"] = with_blocks(QUERIES["enrichment_queue"], retries)
+    texts["intake_resumed"] = texts["flatten_tracks"]
     return texts

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.operators import quality
-from cratewise.operators.lists import PAGE
 
 # Checks by published table.
 NOT_NULL = {
@@ -46,17 +45,11 @@ UNIQUE = {
     "fct_track_duplicates": ["id", "isrc"],
 }
 
-# The two base tables have the rows of the tables made from them.
-_SAME_ROWS = {
-    "int_playlist_ready_tracks_base": "fct_playlist_ready_tracks",
-    "int_playlist_entity_context_base": "fct_playlist_entity_context",
-}
-
 
 def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows without a value, per checked table and column."""
     reports = [
-        quality.not_null(_rows(tables, table), table, columns)
+        quality.not_null(tables[table], table, columns)
         for table, columns in NOT_NULL.items()
     ]
     return reduce(DataFrame.unionByName, reports)
@@ -65,12 +58,7 @@ def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
 def unique_checks(tables: dict[str, DataFrame]) -> DataFrame:
     """Repeated values, per checked table and column."""
     reports = [
-        quality.unique(_rows(tables, table), table, columns) for table, columns in UNIQUE.items()
+        quality.unique(tables[table], table, columns) for table, columns in UNIQUE.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 
-
-def _rows(tables: dict[str, DataFrame], table: str) -> DataFrame:
-    rows = tables[_SAME_ROWS.get(table, table)]
-    # A code's further pages repeat its key by design.
-    return rows.where(F.col(PAGE) == 0) if PAGE in rows.columns else rows

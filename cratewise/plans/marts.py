@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cratewise.functions.lists import joined
 from cratewise.functions.moments import days_until, or_never
 from cratewise.functions.text import normalize_label
-from cratewise.operators.lists import PAGE, PAGE_ROWS, ordered_lists
+from cratewise.operators.lists import ordered_elements
 from cratewise.operators.skew import HOT_GROUP_ROWS, lookup, repeated_groups
 from cratewise.plans import recordings, works
 
@@ -29,28 +29,93 @@ AUTO_SCORE = f"""
 """
 
 # Columns of the two track tables, in their published order.
-READY_COLUMNS = """
-    id track_id track_name isrc artist_names album_name album_release_date added_at
-    spotify_updated_at duration_ms explicit popularity recording_mbid
-    musicbrainz_map_updated_at mb_recording_title mb_primary_artist_name mb_release_title
-    mb_release_date mb_disambiguation musicbrainz_recording_updated_at top_genre top_style
-    genre_list_json style_list_json instrument_list_json primary_work_mbid
-    primary_work_title work_writer_list_json is_cover cover_of_recording_mbid
-    cover_of_recording_title covered_by_recordings_json musicbrainz_metadata_updated_at
-    updated_at days_since_added freshness_score playlist_fit_score
-""".split()
-CONTEXT_COLUMNS = """
-    id track_id track_name isrc artist_names spotify_primary_artist_name album_name
-    album_release_date added_at spotify_updated_at explicit popularity recording_mbid
-    musicbrainz_map_updated_at mb_recording_title mb_primary_artist_name mb_release_title
-    mb_release_date mb_disambiguation musicbrainz_recording_updated_at top_genre top_style
-    genre_list_json style_list_json instrument_list_json primary_work_mbid
-    primary_work_title is_cover cover_of_recording_mbid cover_of_recording_title
-    covered_by_recordings_json musicbrainz_metadata_updated_at first_release_date
-    latest_release_date release_titles release_group_types has_single_release
-    has_album_release releases_updated_at writer_names writer_roles writers_updated_at
-    updated_at days_since_added freshness_score auto_playlist_score
-""".split()
+READY_COLUMNS = [
+    "id",
+    "track_id",
+    "track_name",
+    "isrc",
+    "artist_names",
+    "album_name",
+    "album_release_date",
+    "added_at",
+    "spotify_updated_at",
+    "duration_ms",
+    "explicit",
+    "popularity",
+    "recording_mbid",
+    "musicbrainz_map_updated_at",
+    "mb_recording_title",
+    "mb_primary_artist_name",
+    "mb_release_title",
+    "mb_release_date",
+    "mb_disambiguation",
+    "musicbrainz_recording_updated_at",
+    "top_genre",
+    "top_style",
+    "genre_list_json",
+    "style_list_json",
+    "instrument_list_json",
+    "primary_work_mbid",
+    "primary_work_title",
+    "work_writer_list_json",
+    "is_cover",
+    "cover_of_recording_mbid",
+    "cover_of_recording_title",
+    "covered_by_recordings_json",
+    "musicbrainz_metadata_updated_at",
+    "updated_at",
+    "days_since_added",
+    "freshness_score",
+    "playlist_fit_score",
+]
+CONTEXT_COLUMNS = [
+    "id",
+    "track_id",
+    "track_name",
+    "isrc",
+    "artist_names",
+    "spotify_primary_artist_name",
+    "album_name",
+    "album_release_date",
+    "added_at",
+    "spotify_updated_at",
+    "explicit",
+    "popularity",
+    "recording_mbid",
+    "musicbrainz_map_updated_at",
+    "mb_recording_title",
+    "mb_primary_artist_name",
+    "mb_release_title",
+    "mb_release_date",
+    "mb_disambiguation",
+    "musicbrainz_recording_updated_at",
+    "top_genre",
+    "top_style",
+    "genre_list_json",
+    "style_list_json",
+    "instrument_list_json",
+    "primary_work_mbid",
+    "primary_work_title",
+    "is_cover",
+    "cover_of_recording_mbid",
+    "cover_of_recording_title",
+    "covered_by_recordings_json",
+    "musicbrainz_metadata_updated_at",
+    "first_release_date",
+    "latest_release_date",
+    "release_titles",
+    "release_group_types",
+    "has_single_release",
+    "has_album_release",
+    "releases_updated_at",
+    "writer_names",
+    "writer_roles",
+    "writers_updated_at",
+    "updated_at",
+    "days_since_added",
+    "freshness_score",
+    "auto_playlist_score",
+]
 
 
 def credit_lines(credits: DataFrame) -> DataFrame:
@@ -64,6 +129,32 @@ def credit_lines(credits: DataFrame) -> DataFrame:
     return credits.groupBy("track_id").agg(F.expr(line).alias("credit_line"))
 
 
+def matched_tracks(
+    tracks: DataFrame, credits: DataFrame, matches: DataFrame, as_of: dt.datetime
+) -> DataFrame:
+    """Saved tracks with their credit line and match; one row per saved track."""
+    found = matches.select("track_id", "recording_mbid", "musicbrainz_map_updated_at")
+    return (
+        tracks.join(credit_lines(credits), "track_id", "left")
+        .join(found, "track_id", "left")
+        .withColumns(
+            {
+                "artist_names": F.coalesce("credit_line", "primary_artist_name"),
+                "spotify_primary_artist_name": F.col("primary_artist_name"),
+                "popularity": F.coalesce("popularity", F.lit(0)),
+                "days_since_added": days_until(as_of, F.col("added_at")),
+            }
+        )
+    )
+
+
+def scored_tracks(
+    tracks: DataFrame, credits: DataFrame, matches: DataFrame, as_of: dt.datetime
+) -> DataFrame:
+    """Tracks with the score for picking playlists, without what only documents tell."""
+    return _scored(matched_tracks(tracks, credits, matches, as_of), "playlist_fit_score", FIT_SCORE)
+
+
 def track_context(
     tracks: DataFrame,
     credits: DataFrame,
@@ -83,22 +174,8 @@ def track_context(
         "primary_work_mbid",
         spread_by="recording_mbid",
     )
-    matched = (
-        tracks.join(credit_lines(credits), "track_id", "left")
-        .join(
-            matches.select("track_id", "recording_mbid", "musicbrainz_map_updated_at"),
-            "track_id",
-            "left",
-        )
-    )
-    return lookup(matched, profiles, "recording_mbid", spread_by="track_id").withColumns(
-        {
-            "artist_names": F.coalesce("credit_line", "primary_artist_name"),
-            "spotify_primary_artist_name": F.col("primary_artist_name"),
-            "popularity": F.coalesce("popularity", F.lit(0)),
-            "days_since_added": days_until(as_of, F.col("added_at")),
-        }
-    )
+    matched = matched_tracks(tracks, credits, matches, as_of)
+    return lookup(matched, profiles, "recording_mbid", spread_by="track_id")
 
 
 def ready_tracks(context: DataFrame) -> DataFrame:
@@ -171,15 +248,23 @@ def favorite_artist(stats: DataFrame) -> DataFrame:
     ).limit(1)
 
 
-def isrc_duplicates(
-    tracks: DataFrame, page_rows: int = PAGE_ROWS, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
-    """Codes saved more than once, with their albums, newest first.
+def isrc_duplicates(tracks: DataFrame) -> DataFrame:
+    """Codes saved more than once, with their number of tracks; one row per code.
 
-    Tracks without a code form one group, as published; such a group can hold much of
-    the library, so its lists come in pages (see ``ordered_lists``).
+    Tracks without a code form one group, as published.
     """
-    # Two columns without NULL stand for the code, so that join and lists share a shuffle.
+    counts = tracks.groupBy("isrc").agg(F.count(F.lit(1)).alias("duplicate_occurrences"))
+    return counts.where("duplicate_occurrences > 1").select(
+        F.col("isrc").alias("id"), "isrc", "duplicate_occurrences"
+    )
+
+
+def isrc_duplicate_albums(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """Albums of the codes saved more than once, newest first; one row per track.
+
+    The group without a code can hold much of the library, so no list is put in a cell.
+    """
+    # Two columns without NULL stand for the code, so that join and order share a shuffle.
     rows = tracks.select(
         F.coalesce("isrc", F.lit("")).alias("code"),
         F.col("isrc").isNotNull().alias("is_coded"),
@@ -189,26 +274,20 @@ def isrc_duplicates(
         "album_release_date",
     )
     repeated, hot = repeated_groups(rows, ["code", "is_coded"], "duplicate_occurrences", hot_rows)
-    lists = ordered_lists(
+    listed = ordered_elements(
         repeated,
-        ["code", "is_coded", "duplicate_occurrences"],
+        ["code", "is_coded"],
         [F.col("added_at").desc_nulls_last(), F.col("track_id").asc()],
         {
-            "album_names": F.col("album_name"),
-            "album_release_dates": F.col("album_release_date"),
+            "album_name": F.col("album_name"),
+            "album_release_date": F.col("album_release_date"),
         },
-        page_rows,
         hot,
         hot_rows,
     )
     code = F.when(F.col("is_coded"), F.col("code"))
-    return lists.select(
-        code.alias("id"),
-        code.alias("isrc"),
-        "album_names",
-        "album_release_dates",
-        "duplicate_occurrences",
-        PAGE,
+    return listed.select(
+        code.alias("isrc"), "position", "album_name", "album_release_date"
     )
 
 

@@ -24,11 +24,14 @@ PUBLISHED = {
     "stg_musicbrainz_work_writers": "work_writers",
     "stg_musicbrainz_recording_metadata": "metadata",
     "int_track_instrument": "track_instruments",
+    "int_playlist_ready_tracks_base": "ready_tracks_base",
+    "int_playlist_entity_context_base": "entity_context_base",
     "fct_playlist_ready_tracks": "ready_tracks",
     "fct_playlist_entity_context": "entity_context",
     "fct_artist_stats": "artist_stats",
     "dim_favorite_artist": "favorite_artist",
     "fct_track_duplicates": "isrc_duplicates",
+    "fct_track_duplicate_albums": "isrc_duplicate_albums",
 }
 
 
@@ -107,6 +110,17 @@ class Models:
             self.as_of,
         )
 
+    @cached_property
+    def retries(self) -> queue.Queue:
+        """Tracks whose works are missing, whether or not others wait."""
+        tracks = queue.retry_tracks(
+            self.landing["saved_tracks"],
+            self.landing["isrc_candidates"],
+            self.latest_recordings,
+            self.landing["work_payloads"],
+        )
+        return queue.asked(tracks, self.landing["isrc_failures"], self.as_of)
+
     @cached_property
     def enrichment_queue(self) -> DataFrame:
         return queue.enrichment_queue(self.due)
@@ -125,13 +139,26 @@ class Models:
             ),
         )
 
+    @cached_property
+    def ready_tracks_base(self) -> DataFrame:
+        return self.keep("ready_tracks_base", marts.ready_tracks(self.context))
+
+    @cached_property
+    def entity_context_base(self) -> DataFrame:
+        return self.keep("entity_context_base", marts.entity_context(self.context))
+
     @cached_property
     def ready_tracks(self) -> DataFrame:
-        return marts.ready_tracks(self.context)
+        return self.ready_tracks_base.select(marts.READY_COLUMNS)
 
     @cached_property
     def entity_context(self) -> DataFrame:
-        return marts.entity_context(self.context)
+        return self.entity_context_base.select(marts.CONTEXT_COLUMNS)
+
+    @cached_property
+    def scored_tracks(self) -> DataFrame:
+        """Track scores for reports that need nothing from the documents."""
+        return marts.scored_tracks(self.tracks, self.credits, self.matches, self.as_of)
 
     @cached_property
     def instrument_lists(self) -> DataFrame:
@@ -153,6 +180,10 @@ class Models:
     def isrc_duplicates(self) -> DataFrame:
         return marts.isrc_duplicates(self.tracks)
 
+    @cached_property
+    def isrc_duplicate_albums(self) -> DataFrame:
+        return marts.isrc_duplicate_albums(self.tracks)
+
     def published(self, name: str) -> DataFrame:
         """A finished table by its published name."""
         return getattr(self, PUBLISHED[name])

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from cratewise.functions.moments import RETRY_AFTER, moment, safe_timestamp
 from cratewise.functions.text import is_filled, tidy_code
-from cratewise.operators.lists import ordered_lists
-from cratewise.operators.ranking import number_within
+from cratewise.operators.lists import ordered_elements
+from cratewise.operators.ranking import first_rows, number_within
 from cratewise.operators.skew import (
     GROUP_SIZE,
     HOT_GROUP_ROWS,
@@ -19,7 +19,7 @@ from cratewise.operators.skew import (
     group_sizes,
     hot_groups,
 )
-from cratewise.session import checkpointed
+from cratewise.session import stored
 from cratewise.sources.documents import queued_tracks, work_links
 
 # Fixed value: a code is given up after this many 404 answers.
@@ -47,7 +47,6 @@ def pending_tracks(
     # splits; the flags are then combined per track before their shuffle.
     known = (
         candidates.select("track_id", "recording_mbid")
-        .distinct()
         .join(have, "recording_mbid", "left")
         .groupBy("track_id")
         .agg(F.bool_and(F.coalesce("has", F.lit(False))).alias("complete"))
@@ -116,6 +115,12 @@ class Queue:
         return self.tracks.join(self.codes.select("isrc"), "isrc", "left_semi")
 
 
+def asked(tracks: DataFrame, failures: DataFrame, as_of: dt.datetime) -> Queue:
+    """The queue of some tracks: those whose code may be asked now."""
+    tracks = stored(tracks)
+    return Queue(tracks, stored(eligible_codes(tracks, failures, as_of)))
+
+
 def due(
     saved_tracks: DataFrame,
     candidates: DataFrame,
@@ -131,14 +136,11 @@ def due(
     retry side, which opens every recording document, is not even planned unless needed.
     """
 
-    def stored(tracks: DataFrame) -> Queue:
-        tracks = checkpointed(tracks)
-        return Queue(tracks, checkpointed(eligible_codes(tracks, failures, as_of)))
-
-    pending = stored(pending_tracks(saved_tracks, candidates, recording_payloads))
+    pending = asked(pending_tracks(saved_tracks, candidates, recording_payloads), failures, as_of)
     if not pending.codes.isEmpty():
         return pending
-    return stored(retry_tracks(saved_tracks, candidates, latest_recordings, work_payloads))
+    retries = retry_tracks(saved_tracks, candidates, latest_recordings, work_payloads)
+    return asked(retries, failures, as_of)
 
 
 def ranked_codes(
@@ -156,8 +158,7 @@ def ranked_codes(
     ]
     if max_codes is None:
         return number_within(queue.codes, [], order, "isrc_queue_rank", hot_rows=hot_rows)
-    first = queue.codes.orderBy(*order).limit(max_codes)
-    return number_within(first, [], order, "isrc_queue_rank", hot=None)
+    return first_rows(queue.codes, order, max_codes, "isrc_queue_rank", hot_rows)
 
 
 def enrichment_queue(
@@ -176,11 +177,11 @@ def enrichment_queue(
 
 
 def queue_groups(rows: DataFrame, position: list[str], max_codes: int | None = None) -> DataFrame:
-    """Tracks per code in file order, for the first ``max_codes`` codes of the file."""
+    """Tracks of every code in file order, a row each, for the first ``max_codes`` codes."""
     named = queued_tracks(rows)
     if max_codes:
         firsts = named.groupBy("isrc").agg(F.min(F.struct(*position)).alias("first_at"))
-        wanted = firsts.orderBy("first_at").limit(max_codes)
+        wanted = first_rows(firsts, [F.col("first_at").asc()], max_codes, "place")
         named = named.join(wanted.select("isrc"), "isrc", "left_semi")
     order = [F.col(column).asc() for column in position]
-    return ordered_lists(named, ["isrc"], order, {"track_ids": F.col("track_id")})
+    return ordered_elements(named, ["isrc"], order, {"track_id": F.col("track_id")})

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
+from cratewise.functions.documents import parsed
 from cratewise.functions.lists import (
     EMPTY_LIST,
     by_lower,
@@ -104,10 +105,10 @@ def prepared(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
         lists, name = f"({artists}).`attribute-list`", "x"
     attributes = f"transform(flatten(filter({lists}, x -> x is not null)), x -> {name})"
     instruments = by_lower(f"array_distinct({filled(attributes)})")
-    document = latest.selectExpr(
+    document = latest.select(
         "recording_mbid",
         "last_seen_at",
-        f"from_json(payload_json, '{schemas.RECORDING_DOCUMENT}') as doc",
+        parsed("payload_json", schemas.RECORDING_DOCUMENT).alias("doc"),
     )
     cut = document.selectExpr(
         "recording_mbid",

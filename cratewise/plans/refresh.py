@@ -14,14 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratewise import schemas
+from cratewise.functions.documents import STRICT
 from cratewise.functions.text import tidy_code
 from cratewise.operators import quality, state
-from cratewise.plans import queue
+from cratewise.plans import intake, queue
 from cratewise.plans.checks import not_null_checks, unique_checks
 from cratewise.plans.models import PUBLISHED, Models
-from cratewise.session import checkpointed, prepare
+from cratewise.session import prepare, stored
 from cratewise.sources import documents, files
-from cratewise.sources.tables import Tables, fill_counter
+from cratewise.sources.folders import Folder
+from cratewise.sources.tables import BucketedTables, Change, Tables, fill_counter
 
 PAGES = "page_no BIGINT, body STRING"
 ANSWERS = {
@@ -32,12 +34,12 @@ ANSWERS = {
 
 
 class Refresh:
-    def __init__(self, spark: SparkSession, root: str, as_of: dt.datetime):
+    def __init__(self, spark: SparkSession, root: str, as_of: dt.datetime, buckets: int = 64):
         self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self.as_of = as_of
         self.stamp = as_of.replace(tzinfo=dt.timezone.utc).isoformat()
-        self.landing = Tables(spark, f"{self.root}/landing")
+        self.landing = BucketedTables(spark, f"{self.root}/landing", buckets)
         self.finished = Tables(spark, f"{self.root}/finished")
 
     def tables(self) -> dict[str, DataFrame]:
@@ -51,83 +53,110 @@ class Refresh:
         newest = state.high_water_mark(self.tables()["saved_tracks"]).first()[0]
         return dt.datetime.fromisoformat(newest) if newest else None
 
-    def take_in(self, pages_path: str, max_tracks: int | None = 1000) -> None:
-        """Merge the new items of the saved-track pages (JSON lines) into the landing tables."""
-        pages = self.spark.read.schema(PAGES).json(pages_path)
-        items = documents.page_items(pages)
-        fresh = state.until_older(items, documents.POSITION, self.high_water_mark())
-        # Both tables are made from these items; they are cut out of the pages once.
-        taken = checkpointed(
-            state.up_to_distinct(fresh, "track_id", documents.POSITION, max_tracks)
+    def take_in(
+        self, pages_path: str, max_tracks: int | None = None, complete: bool = True
+    ) -> None:
+        """Merge the unread items of the saved-track pages (JSON lines) into the landing tables."""
+        self.take_pages(self.spark.read.schema(PAGES).json(pages_path, **STRICT), max_tracks, complete)
+
+    def take_pages(
+        self, pages: DataFrame, max_tracks: int | None = None, complete: bool = True
+    ) -> None:
+        """Merge the unread items of pages, newest first, into the landing tables.
+
+        ``max_tracks`` caps the new tracks of this run; the next run goes on from there.
+        ``complete`` says that the pages go down to the oldest track.
+        """
+        # Everything below reads these items; the pages are parsed once.
+        items = stored(documents.page_items(pages))
+        reached = Change("track_id", schemas.SAVED_TRACKS, items.select("track_id"), lambda x: x)
+        saved = self.landing.read(
+            "saved_tracks", schemas.SAVED_TRACKS, self.landing.touched(reached)
         )
+        gaps = intake.read_gaps(self.landing.read("intake_gaps", intake.GAPS))
+        gaps = gaps or [intake.Gap(self.high_water_mark(), None)]
+        wanted = stored(intake.wanted_items(items, gaps, saved))
+        taken, left = intake.take(wanted, gaps, max_tracks, complete)
         tracks = documents.flatten_tracks(taken, self.stamp)
         artists = documents.flatten_track_artists(taken, self.stamp)
-        now = self.tables()
-        self.landing.replace(
-            saved_tracks=state.upsert_by_key(now["saved_tracks"], tracks, ["track_id"]),
-            track_artists=state.replace_children(
-                now["track_artists"], tracks, artists, "track_id"
+        keys = taken.select("track_id")
+        rest = self.spark.createDataFrame(intake.gap_rows(left), intake.GAPS)
+        self.landing.update(
+            saved_tracks=Change(
+                "track_id", schemas.SAVED_TRACKS, keys,
+                lambda now: state.upsert_by_key(now, tracks, ["track_id"]),
             ),
-        )
+            track_artists=Change(
+                "track_id", schemas.TRACK_ARTISTS, keys,
+                lambda now: state.replace_children(now, tracks, artists, "track_id"),
+            ),
+            # A few rows in one bucket.
+            intake_gaps=Change("above", intake.GAPS, rest, lambda _: rest, lambda _: F.lit("gaps")),
+        )
 
-    def export_queue(self, max_codes: int = 1000) -> str:
-        """Write the queue file and return its path."""
+    def export_queue(self, max_codes: int | None = None) -> str:
+        """Write the queue file, of all codes or of the first ones, and return its path."""
         models = Models(self.tables(), self.as_of)
         path = f"{self.root}/exchange/enrichment_queue.csv"
-        files.export_queue(queue.enrichment_queue(models.due, max_codes), path, max_codes)
+        files.export_queue(queue.enrichment_queue(models.due, max_codes), path)
         return path
 
     def collect_results(self, answers_path: str, queue_path: str) -> None:
-        """Turn lookup answers (JSON lines per kind) into result files and a summary."""
+        """Turn lookup answers (JSON lines per kind) into result files and a summary.
+
+        The files are CSV, as published, and Parquet for the next step.
+        """
         queued = files.read_csv(self.spark, queue_path, schemas.QUEUE_FILE)
         if queued is None:
             raise FileNotFoundError(f"no queue file at {queue_path}; export it first")
+        queued = stored(queued)
         answers = {
-            kind: self.spark.read.schema(ddl).json(f"{answers_path}/{kind}")
+            kind: self.spark.read.schema(ddl).json(f"{answers_path}/{kind}", **STRICT)
             for kind, ddl in ANSWERS.items()
         }
-        asked = documents.queued_tracks(queued).select("isrc").distinct()
-        codes = answers["codes"].withColumn("isrc", tidy_code(F.col("isrc")))
-        codes = codes.join(asked, "isrc", "left_semi")
-        results = {
-            "isrc_candidates": documents.flatten_candidates(codes, queued, self.stamp),
-            "recording_payloads": documents.recording_payloads(
-                answers["recordings"], codes, self.stamp
-            ),
-            "work_payloads": documents.work_payloads(answers["works"], self.stamp),
-            "isrc_failures": documents.lookup_failures(codes, self.stamp),
-        }
-        for name, df in results.items():
-            files.write_csv(df, self._result_path(name))
-        written = {
-            name: files.read_csv(self.spark, self._result_path(name), ddl)
-            for name, ddl in schemas.RESULT_FILES.items()
-        }
-        summary = files.run_summary(written, self.as_of)
+        found = documents.results(
+            answers["codes"], answers["recordings"], answers["works"], queued, self.stamp
+        )
+        written = {}
+        for name, df in found.items():
+            path = self._result_path(name)
+            df.write.mode("overwrite").parquet(f"{path}.parquet")
+            written[name] = self.spark.read.schema(df.schema).parquet(f"{path}.parquet")
+            files.write_csv(written[name], f"{path}.csv")
+        codes = documents.queued_tracks(queued).select("isrc")
+        summary = files.run_summary(written, self.as_of, codes)
         summary.write.mode("overwrite").json(f"{self.root}/exchange/summary.json")
 
     def load_results(self) -> None:
-        """Merge the result files that are there into the landing tables."""
-        now = self.tables()
-        new = {
-            name: files.read_csv(self.spark, self._result_path(name), ddl)
-            for name, ddl in schemas.RESULT_FILES.items()
-        }
-        merged = {}
+        """Merge the result files that are there into the landing tables.
+
+        The Parquet files of ``collect_results`` are taken, CSV files where there are none.
+        """
+        new = {name: self._result(name, ddl) for name, ddl in schemas.RESULT_FILES.items()}
+        changes = {}
+
+        def merge(name: str, key: str, rows: DataFrame) -> None:
+            changes[name] = Change(
+                key, schemas.LANDING[name], rows.select(key),
+                lambda now: state.upsert_by_key(now, rows, [key]),
+            )
+
         if (candidates := new["isrc_candidates"]) is not None:
             rows = candidates.withColumns(
                 {"isrc": tidy_code(F.col("isrc")), "match_rank": F.col("match_rank").cast("int")}
             )
-            merged["isrc_candidates"] = state.upsert_by_key(
-                now["isrc_candidates"], rows, ["track_id"]
-            )
+            merge("isrc_candidates", "track_id", rows)
         for name, key in (("recording_payloads", "recording_mbid"), ("work_payloads", "work_mbid")):
             if (payloads := new[name]) is not None:
-                merged[name] = state.upsert_by_key(now[name], payloads, [key])
+                merge(name, key, payloads)
         if (failures := new["isrc_failures"]) is not None:
-            merged["isrc_failures"] = state.merge_failures(now["isrc_failures"], failures)
-        if merged:
-            self.landing.replace(**merged)
+            changes["isrc_failures"] = Change(
+                "isrc", schemas.ISRC_FAILURES, failures.select("isrc"),
+                lambda now: state.merge_failures(fill_counter(now, "error_404_count"), failures),
+                tidy_code,
+            )
+        if changes:
+            self.landing.update(**changes)
 
     def build(self) -> Models:
         """Store all finished tables and register them as views under their names."""
@@ -162,8 +191,16 @@ class Refresh:
         """Empty the saved tracks; False when there are none stored."""
         return self.landing.clear("saved_tracks", schemas.SAVED_TRACKS)
 
+    def _result(self, name: str, ddl: str) -> DataFrame | None:
+        path = self._result_path(name)
+        if Folder(self.spark, f"{path}.parquet").exists():
+            return self.spark.read.parquet(f"{path}.parquet")
+        rows = files.read_csv(self.spark, f"{path}.csv", ddl)
+        # A CSV file is read by one task; what follows reads a copy.
+        return None if rows is None else stored(rows)
+
     def _result_path(self, name: str) -> str:
-        return f"{self.root}/exchange/results/{name}.csv"
+        return f"{self.root}/exchange/results/{name}"
 
 
 def _ddl(df: DataFrame) -> str:

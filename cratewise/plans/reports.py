@@ -11,13 +11,24 @@ from pyspark.sql import functions as F
 from cratewise.functions.moments import RETRY_AFTER, moment, safe_timestamp
 from cratewise.functions.text import first_listed, has_word, is_filled, join_parts, tidy_code
 from cratewise.operators.clusters import gap_clusters
-from cratewise.operators.lists import PAGE, PAGE_ROWS, newest_filled, ordered_texts
+from cratewise.operators.lists import filled_elements, newest_filled
 from cratewise.operators.ranking import keep_first, number_within
 from cratewise.operators.skew import HOT_GROUP_ROWS, repeated_groups
 from cratewise.plans.queue import MAX_NOT_FOUND
 
 
-def top_artists(stats: DataFrame, n: int = 10) -> DataFrame:
+# Stand-ins for missing names, closeness of durations in milliseconds, and how
+# many rows the published reports show.
+UNKNOWN_TRACK = "<unknown track>"
+UNKNOWN_ARTIST = "<unknown artist>"
+UNKNOWN_ALBUM = "<unknown album>"
+CLOSE_MS = 3000
+TOP_ARTISTS = 10
+TOP_TRACKS = 50
+PER_ARTIST = 3
+
+
+def top_artists(stats: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
     """Artists with the most saved tracks."""
     return (
         stats.orderBy(
@@ -30,7 +41,7 @@ def top_artists(stats: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def top_ready_tracks(ready: DataFrame, n: int = 50) -> DataFrame:
+def top_ready_tracks(ready: DataFrame, n: int = TOP_TRACKS) -> DataFrame:
     """Tracks with the best fit score."""
     return (
         ready.orderBy(F.col("playlist_fit_score").desc_nulls_last(), F.col("track_id").asc())
@@ -41,7 +52,7 @@ def top_ready_tracks(ready: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def top_entity_context(context: DataFrame, n: int = 50) -> DataFrame:
+def top_entity_context(context: DataFrame, n: int = TOP_TRACKS) -> DataFrame:
     """Tracks with the best automatic score."""
     return (
         context.orderBy(F.col("auto_playlist_score").desc_nulls_last(), F.col("track_id").asc())
@@ -59,10 +70,9 @@ def top_entity_context(context: DataFrame, n: int = 50) -> DataFrame:
     )
 
 
-def playlist_candidates(ready: DataFrame, tracks: DataFrame, per_artist: int = 3) -> DataFrame:
+def playlist_candidates(scored: DataFrame, per_artist: int = PER_ARTIST) -> DataFrame:
     """The best few tracks of every first artist, local files left out."""
-    remote = tracks.where(~F.col("is_local")).select("track_id")
-    eligible = ready.join(remote, "track_id", "left_semi").select(
+    eligible = scored.where(~F.col("is_local")).select(
         "track_id",
         "track_name",
         "artist_names",
@@ -132,7 +142,7 @@ def artist_instrument_playlist(
 
 
 def title_duration_duplicates(
-    tracks: DataFrame, tolerance_ms: int = 3000, hot_rows: int = HOT_GROUP_ROWS
+    tracks: DataFrame, tolerance_ms: int = CLOSE_MS, hot_rows: int = HOT_GROUP_ROWS
 ) -> DataFrame:
     """Tracks of one artist and title whose durations lie close together."""
     rows = tracks.where(
@@ -192,47 +202,34 @@ def isrc_duplicate_detail(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) ->
     ).orderBy(F.col("duplicate_count").desc(), "isrc", "duplicate_rank_in_isrc")
 
 
-def isrc_duplicate_summary(
-    tracks: DataFrame, page_rows: int = PAGE_ROWS, hot_rows: int = HOT_GROUP_ROWS
-) -> DataFrame:
-    """Codes saved more than once with their tracks as one text, newest first, in pages."""
+def isrc_duplicate_summary(tracks: DataFrame) -> DataFrame:
+    """Codes saved more than once, with their figures; one row per code."""
+    counted = tracks.where(F.col("isrc").isNotNull()).groupBy("isrc").agg(
+        F.count(F.lit(1)).alias("duplicate_count"),
+        F.min("added_at").alias("first_added_at"),
+        F.max("added_at").alias("latest_added_at"),
+    )
+    return counted.where("duplicate_count > 1").orderBy(
+        F.col("duplicate_count").desc(), F.col("latest_added_at").desc_nulls_last(), "isrc"
+    )
+
+
+def isrc_duplicate_lines(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+    """The tracks of the codes saved more than once as lines of text, newest first."""
     rows, hot = _repeated_codes(tracks, hot_rows)
-    figures = ["duplicate_count", "first_added_at", "latest_added_at"]
     line = join_parts(
-        F.coalesce("track_name", F.lit("<unknown track>")),
+        F.coalesce("track_name", F.lit(UNKNOWN_TRACK)),
         F.lit(" - "),
-        F.coalesce("primary_artist_name", F.lit("<unknown artist>")),
+        F.coalesce("primary_artist_name", F.lit(UNKNOWN_ARTIST)),
         F.lit(" ("),
-        F.coalesce("album_name", F.lit("<unknown album>")),
+        F.coalesce("album_name", F.lit(UNKNOWN_ALBUM)),
         F.lit(", added "),
         F.col("added_at"),
         F.lit(")"),
     )
-    lines = ordered_texts(
-        rows.select("isrc", *figures, "added_at", "track_id", line.alias("track_line")),
-        ["isrc", *figures],
-        [
-            F.col("added_at").desc_nulls_last(),
-            F.col("track_line").asc(),
-            F.col("track_id").asc(),
-        ],
-        F.col("track_line"),
-        "duplicate_track_list",
-        " | ",
-        page_rows,
-        hot,
-        hot_rows,
-    )
-    return lines.select(
-        "isrc",
-        "duplicate_count",
-        "duplicate_track_list",
-        "first_added_at",
-        "latest_added_at",
-        PAGE,
-    ).orderBy(
-        F.col("duplicate_count").desc(), F.col("latest_added_at").desc_nulls_last(), "isrc", PAGE
-    )
+    order = [F.col("added_at").desc_nulls_last(), F.col("track_line"), F.col("track_id")]
+    lines = filled_elements(rows, ["isrc"], order, line, "track_line", hot, hot_rows)
+    return lines.orderBy("isrc", "position")
 
 
 def request_metrics(
@@ -240,7 +237,7 @@ def request_metrics(
     queued: DataFrame,
     failures: DataFrame,
     matches: DataFrame,
-    latest_recordings: DataFrame,
+    recording_payloads: DataFrame,
 ) -> DataFrame:
     """One row: tracks with a code, queued, queued after an error, and matched."""
     coded = tracks.where(is_filled(F.col("isrc"))).select("track_id", "isrc").distinct()
@@ -256,7 +253,7 @@ def request_metrics(
         .join(failed.distinct(), "isrc", "left")
     )
     matched = (
-        matches.join(latest_recordings.select("recording_mbid"), "recording_mbid", "left_semi")
+        matches.join(recording_payloads.select("recording_mbid"), "recording_mbid", "left_semi")
         .select("track_id")
         .distinct()
     )

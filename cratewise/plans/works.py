@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
+from cratewise.functions.documents import parsed
 from cratewise.functions.lists import (
     EMPTY_LIST,
     by_lower,
@@ -29,10 +30,10 @@ def prepared(latest: DataFrame) -> DataFrame:
             struct(x.artist.id, lower(x.type) as role) as key, x.artist.name,
             coalesce(x.`attribute-list`, '{EMPTY_LIST}') as attributes))
     """
-    document = latest.selectExpr(
+    document = latest.select(
         "work_mbid",
         "last_seen_at",
-        f"from_json(payload_json, '{schemas.WORK_DOCUMENT}') as doc",
+        parsed("payload_json", schemas.WORK_DOCUMENT).alias("doc"),
     )
     return document.selectExpr(
         "work_mbid",

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,17 +18,20 @@ from cratewise.operators import quality, state
 from cratewise.operators.clusters import gap_clusters
 from cratewise.operators.fallback import fallback_union
 from cratewise.operators.lists import (
-    distinct_lists,
+    distinct_elements,
+    filled_elements,
     newest_filled,
-    ordered_lists,
-    ordered_texts,
+    ordered_elements,
 )
 from cratewise.operators.ranking import best_match, keep_first, last_wins, latest_per_key
 from cratewise.plans import checks, queue, reports
 from cratewise.plans.models import PUBLISHED, Models
-from cratewise.session import checkpointed, prepare, shared_folder
+from cratewise.plans.refresh import Refresh
+from cratewise.session import prepare, shared_folder, stored
 from cratewise.sources import documents, files
-from cratewise.sources.tables import Tables, conform, fill_counter
+from cratewise.sources.tables import BucketedTables, Change, conform, fill_counter
+
+LATE = dt.datetime.fromisoformat(samples.LATE_STAMP).replace(tzinfo=None)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,11 +113,8 @@ def enrichment_queue(spark, sf_dir):
 
 @query
 def retry_queue(spark, sf_dir):
-    """Only tracks that have candidates: nothing is pending, so retries make the queue."""
-    rows = landing(spark, sf_dir)
-    matched = rows["isrc_candidates"].select("track_id")
-    rows["saved_tracks"] = rows["saved_tracks"].join(matched, "track_id", "left_semi")
-    return Models(rows, AS_OF).enrichment_queue
+    """The queue that the tracks with missing works would make."""
+    return queue.enrichment_queue(models(spark, sf_dir).retries)
 
 
 @query
@@ -122,12 +124,29 @@ def queue_export(spark, sf_dir):
     return queue.enrichment_queue(due, max_codes=1000).drop("id").orderBy("isrc", "track_id")
 
 
+@query
+def queue_export_all(spark, sf_dir):
+    """The queue file of all codes."""
+    due = models(spark, sf_dir).due
+    return queue.enrichment_queue(due).drop("id").orderBy("isrc", "track_id")
+
+
 @query
 def queue_rank(spark, sf_dir):
     ranks = queue.ranked_codes(models(spark, sf_dir).due)
     return ranks.select("isrc", "error_404_count", "newest_added_at", "isrc_queue_rank")
 
 
+@query
+def ready_tracks_base(spark, sf_dir):
+    return models(spark, sf_dir).ready_tracks_base
+
+
+@query
+def entity_context_base(spark, sf_dir):
+    return models(spark, sf_dir).entity_context_base
+
+
 @query
 def ready_tracks(spark, sf_dir):
     return models(spark, sf_dir).ready_tracks
@@ -155,7 +174,12 @@ def favorite_artist(spark, sf_dir):
 
 @query
 def isrc_duplicates(spark, sf_dir):
-    return _as_json(models(spark, sf_dir).isrc_duplicates, "album_names", "album_release_dates")
+    return models(spark, sf_dir).isrc_duplicates
+
+
+@query
+def isrc_duplicate_albums(spark, sf_dir):
+    return models(spark, sf_dir).isrc_duplicate_albums
 
 
 # --- reports ------------------------------------------------------------------------
@@ -168,7 +192,7 @@ def top_artists(spark, sf_dir):
 
 @query
 def top_ready_tracks(spark, sf_dir):
-    return reports.top_ready_tracks(models(spark, sf_dir).ready_tracks)
+    return reports.top_ready_tracks(models(spark, sf_dir).scored_tracks)
 
 
 @query
@@ -184,8 +208,7 @@ def artist_sample(spark, sf_dir):
 
 @query
 def playlist_candidates(spark, sf_dir):
-    m = models(spark, sf_dir)
-    return reports.playlist_candidates(m.ready_tracks, m.tracks)
+    return reports.playlist_candidates(models(spark, sf_dir).scored_tracks)
 
 
 @query
@@ -216,11 +239,20 @@ def isrc_duplicate_summary(spark, sf_dir):
     return reports.isrc_duplicate_summary(models(spark, sf_dir).tracks)
 
 
+@query
+def isrc_duplicate_lines(spark, sf_dir):
+    return reports.isrc_duplicate_lines(models(spark, sf_dir).tracks)
+
+
 @query
 def request_metrics(spark, sf_dir):
     m = models(spark, sf_dir)
     return reports.request_metrics(
-        m.tracks, m.due.queued(), m.landing["isrc_failures"], m.matches, m.latest_recordings
+        m.tracks,
+        m.due.queued(),
+        m.landing["isrc_failures"],
+        m.matches,
+        m.landing["recording_payloads"],
     )
 
 
@@ -272,9 +304,9 @@ def ordered_array_agg(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"
     )
     order = [F.col(c).asc() for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")]
-    # Returned lines count as NULL elements, which stay in the list.
+    # Returned lines count as NULL elements, which stay.
     part = F.when(F.col("l_returnflag") != "R", F.col("l_partkey"))
-    return _as_json(ordered_lists(lines, ["l_orderkey"], order, {"parts": part}), "parts")
+    return ordered_elements(lines, ["l_orderkey"], order, {"part": part})
 
 
 @query
@@ -284,14 +316,13 @@ def ordered_string_agg(spark, sf_dir):
     )
     order = [F.col(c).asc() for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")]
     part = F.when(F.col("l_returnflag") != "R", F.col("l_partkey").cast("string"))
-    return ordered_texts(lines, ["l_orderkey"], order, part, "parts")
+    return filled_elements(lines, ["l_orderkey"], order, part, "part")
 
 
 @query
 def distinct_list_json(spark, sf_dir):
     orders = sample(spark, sf_dir, "orders").select("o_custkey", "o_orderpriority")
-    lists = distinct_lists(orders, ["o_custkey"], "o_orderpriority", "priorities")
-    return _as_json(lists, "priorities")
+    return distinct_elements(orders, ["o_custkey"], "o_orderpriority")
 
 
 @query
@@ -412,8 +443,45 @@ def capped_intake(spark, sf_dir):
 @query
 def queue_groups(spark, sf_dir):
     rows = samples.queue_file(spark, sf_dir)
-    groups = queue.queue_groups(rows, ["isrc", "track_id"])
-    return _as_json(groups, "track_ids")
+    return queue.queue_groups(rows, ["isrc", "track_id"])
+
+
+@query
+def intake_resumed(spark, sf_dir):
+    """Pages taken in by runs that are capped at half the tracks, until nothing is left."""
+    pages = samples.saved_track_pages(spark, sf_dir)
+    orders = sample(spark, sf_dir, "orders")
+    cap = max(1, -(-orders.agg(F.countDistinct("o_orderkey")).first()[0] // 2))
+    run = Refresh(spark, f"{shared_folder(spark)}/intake-{uuid.uuid4().hex}", LATE, buckets=8)
+    # The last run finds no new track, only those that come twice.
+    for _ in range(3):
+        run.take_pages(pages, max_tracks=cap)
+    return run.tables()["saved_tracks"]
+
+
+@query
+def collected_results(spark, sf_dir):
+    """Keys of what a batch of answers brings; answers nobody asked for are left out."""
+    found = documents.results(
+        samples.lookup_answers(spark, sf_dir),
+        samples.recording_answers(spark, sf_dir),
+        samples.work_answers(spark, sf_dir),
+        samples.queue_file(spark, sf_dir),
+        samples.LATE_STAMP,
+    )
+    keys = {
+        "isrc_candidates": ["track_id", "recording_mbid"],
+        "recording_payloads": ["recording_mbid", "payload_json"],
+        "work_payloads": ["work_mbid", "payload_json"],
+        "isrc_failures": ["isrc", "error_status_code"],
+    }
+    rows = [
+        found[name].select(
+            F.lit(name).alias("output_name"), F.col(a).alias("key"), F.col(b).alias("value")
+        )
+        for name, (a, b) in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query
@@ -482,13 +550,19 @@ def schema_evolution(spark, sf_dir):
 @query
 def stored_table(spark, sf_dir):
     """Saved tracks stored, cleared and stored again with a batch, then read back."""
-    tables = Tables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    tables = BucketedTables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", 8)
     saved = landing(spark, sf_dir)["saved_tracks"]
-    tables.replace(saved_tracks=saved)
+
+    def put(batch: DataFrame) -> None:
+        change = Change(
+            "track_id", schemas.SAVED_TRACKS, batch.select("track_id"),
+            lambda now: state.upsert_by_key(now, batch, ["track_id"]),
+        )
+        tables.update(saved_tracks=change)
+
+    put(saved)
     tables.clear("saved_tracks", schemas.SAVED_TRACKS)
-    before = tables.read("saved_tracks", schemas.SAVED_TRACKS)
-    batch = samples.incoming_tracks(spark, sf_dir, saved)
-    tables.replace(saved_tracks=state.upsert_by_key(before, batch, ["track_id"]))
+    put(samples.incoming_tracks(spark, sf_dir, saved))
     return tables.read("saved_tracks", schemas.SAVED_TRACKS)
 
 
@@ -520,14 +594,24 @@ def csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, schemas.RECORDING_PAYLOADS)
 
 
+@query
+def missing_file(spark, sf_dir):
+    """Saved tracks after a result file that is not there was loaded: as they were."""
+    saved = landing(spark, sf_dir)["saved_tracks"]
+    absent = f"{shared_folder(spark)}/absent-{uuid.uuid4().hex}.csv"
+    batch = files.read_csv(spark, absent, schemas.SAVED_TRACKS)
+    return saved if batch is None else state.upsert_by_key(saved, batch, ["track_id"])
+
+
 @query
 def run_summary(spark, sf_dir):
-    return files.run_summary(landing(spark, sf_dir).all(), AS_OF)
+    codes = documents.queued_tracks(samples.queue_file(spark, sf_dir))
+    return files.run_summary(landing(spark, sf_dir).all(), AS_OF, codes)
 
 
 def _published(spark, sf_dir):
     """Finished tables; what several of them read is stored once."""
-    m = Models(landing(spark, sf_dir), AS_OF, keep=lambda _, df: checkpointed(df))
+    m = Models(landing(spark, sf_dir), AS_OF, keep=lambda _, df: stored(df))
     return {name: m.published(name) for name in PUBLISHED}
 
 

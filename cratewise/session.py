@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share for stored intermediate results.
 
     It is the cluster's ``spark.checkpoint.dir``. Only a local session that names none
-    gets a scratch folder; a cluster session without one is an error.
+    gets a scratch folder, which goes when the process ends; a cluster session without one
+    is an error.
     """
     context = spark.sparkContext
     if not context.getCheckpointDir():
@@ -40,6 +44,7 @@ def shared_folder(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             named = tempfile.mkdtemp(prefix="checkpoints-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
         context.setCheckpointDir(named)
     return context.getCheckpointDir()
 
@@ -48,3 +53,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return the stored copy, lineage cut."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and return what reads it back.
+
+    Unlike a checkpoint, readers take only the columns they need.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise import schemas
+from cratewise.functions.documents import parsed, parsed_strictly
 from cratewise.functions.lists import filled, relations_to
 from cratewise.functions.moments import pad_release_date
 from cratewise.functions.text import status_code, tidy_code
@@ -19,7 +20,7 @@ def page_items(pages: DataFrame) -> DataFrame:
 
     Items without a track or a track id are dropped; an item added_at is kept as text.
     """
-    page = F.from_json("body", schemas.SAVED_TRACK_PAGE)
+    page = parsed_strictly("body", schemas.SAVED_TRACK_PAGE)
     items = pages.select("page_no", F.posexplode_outer(page["items"]).alias("item_no", "item"))
     track = F.col("item.track")
     return items.where(F.coalesce(track["id"], F.lit("")) != "").select(
@@ -79,14 +80,14 @@ def response_recordings(responses: DataFrame) -> DataFrame:
 
     Entries without an id are dropped but keep their place in the ranking.
     """
-    answer = F.from_json("body", schemas.ISRC_RESPONSE)
+    answer = parsed("body", schemas.ISRC_RESPONSE)
     listed = responses.select(
         tidy_code(F.col("isrc")).alias("isrc"),
         F.posexplode_outer(answer["isrc"]["recording-list"]).alias("position", "recording"),
     )
     identified = listed.select(
         "isrc",
-        F.from_json("recording", "STRUCT<id: STRING>")["id"].alias("recording_mbid"),
+        parsed("recording", "id STRING")["id"].alias("recording_mbid"),
         (F.col("position") + 1).alias("match_rank"),
         "recording",
     )
@@ -115,9 +116,10 @@ def flatten_candidates(responses: DataFrame, queue: DataFrame, matched_at: str)
 def recording_payloads(details: DataFrame, responses: DataFrame, seen_at: str) -> DataFrame:
     """One payload per recording whose detail lookup (``recording_mbid``, ``body``) succeeded.
 
-    A detail answer without a recording falls back to the entry of the code lookup.
+    A detail answer without a recording falls back to the entry of the code lookup; one
+    that has no entry either gives nothing.
     """
-    detail = F.from_json("body", "STRUCT<recording: STRING>")["recording"]
+    detail = parsed("body", "recording STRING")["recording"]
     found = details.where(F.col("body").isNotNull()).select(
         "recording_mbid", F.when(~detail.isin("", "{}"), detail).alias("detail")
     )
@@ -130,12 +132,40 @@ def recording_payloads(details: DataFrame, responses: DataFrame, seen_at: str) -
         F.coalesce("detail", "entry").alias("payload_json"),
         F.lit(seen_at).alias("last_seen_at"),
     )
-    return last_wins(rows, ["recording_mbid"], ["payload_json"])
+    found = rows.where(F.col("payload_json").isNotNull())
+    return last_wins(found, ["recording_mbid"], ["payload_json"])
+
+
+def results(
+    codes: DataFrame,
+    recordings: DataFrame,
+    works: DataFrame,
+    queue: DataFrame,
+    stamp: str,
+) -> dict[str, DataFrame]:
+    """The result tables of a batch of answers, of which only what was asked for counts.
+
+    Codes are asked for by the queue, recordings by the answers to those codes, works by the
+    recordings' payloads.
+    """
+    asked = queued_tracks(queue).select("isrc").distinct()
+    codes = codes.withColumn("isrc", tidy_code(F.col("isrc"))).join(asked, "isrc", "left_semi")
+    listed = response_recordings(codes).select("recording_mbid").distinct()
+    payloads = recording_payloads(
+        recordings.join(listed, "recording_mbid", "left_semi"), codes, stamp
+    )
+    linked = work_links(payloads).select("work_mbid").distinct()
+    return {
+        "isrc_candidates": flatten_candidates(codes, queue, stamp),
+        "recording_payloads": payloads,
+        "work_payloads": work_payloads(works.join(linked, "work_mbid", "left_semi"), stamp),
+        "isrc_failures": lookup_failures(codes, stamp),
+    }
 
 
 def work_payloads(details: DataFrame, seen_at: str) -> DataFrame:
     """One payload per work whose lookup (``work_mbid``, ``body``) gave something."""
-    work = F.from_json("body", "STRUCT<work: STRING>")["work"]
+    work = parsed("body", "work STRING")["work"]
     rows = details.select(
         "work_mbid", work.alias("payload_json"), F.lit(seen_at).alias("last_seen_at")
     ).where(F.coalesce("payload_json", F.lit("{}")) != "{}")
@@ -155,7 +185,7 @@ def lookup_failures(responses: DataFrame, failed_at: str) -> DataFrame:
 
 def work_links(payloads: DataFrame) -> DataFrame:
     """Works linked from recording payloads, one row per link that carries an id."""
-    document = F.from_json("payload_json", schemas.RECORDING_DOCUMENT).alias("doc")
+    document = parsed("payload_json", schemas.RECORDING_DOCUMENT).alias("doc")
     relations = filled(relations_to("doc.`relation-list`", "work"), "x.work.id")
     return payloads.select("recording_mbid", document).selectExpr(
         "recording_mbid", f"explode(transform({relations}, x -> x.work.id)) as work_mbid"

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratewise.functions.documents import STRICT
 from cratewise.sources.folders import Folder
 
 log = logging.getLogger(__name__)
@@ -20,7 +21,7 @@ _WRITE = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-_READ = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False}
+_READ = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False, **STRICT}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -31,7 +32,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """Rows of a file or folder with the columns of ``schema``; None when it is absent.
 
-    Empty fields are NULL, quoted or not.
+    Empty fields are NULL, quoted or not. A row with more or fewer fields than the header
+    stops the query.
     """
     if not Folder(spark, path).exists():
         log.info("no file at %s, skipped", path)
@@ -39,24 +41,26 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     return spark.read.csv(path, schema=schema, **_READ)
 
 
-def export_queue(queue: DataFrame, path: str, max_codes: int) -> None:
-    """The first ``max_codes`` codes of the queue, sorted by code and track.
+def export_queue(queue: DataFrame, path: str) -> None:
+    """The queue, sorted by code and track.
 
     One code may bring any number of tracks, so the file stays in sorted parts.
     """
-    capped = queue.where(F.col("isrc_queue_rank") <= max_codes)
     columns = ["track_id", "isrc", "isrc_queue_rank", "isrc_track_rank"]
-    write_csv(capped.select(*columns).orderBy("isrc", "track_id"), path)
+    write_csv(queue.select(*columns).orderBy("isrc", "track_id"), path)
 
 
-def run_summary(outputs: dict[str, DataFrame], generated_at: dt.datetime) -> DataFrame:
-    """Row count of every output, with the time of the run."""
+def run_summary(
+    outputs: dict[str, DataFrame], generated_at: dt.datetime, codes: DataFrame
+) -> DataFrame:
+    """Row count of every output, with the time of the run and the number of codes asked for."""
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("output_name"), "row_count"
         )
         for name, df in outputs.items()
     ]
-    return reduce(DataFrame.unionByName, counts).withColumn(
-        "generated_at", F.lit(generated_at.isoformat())
+    processed = codes.agg(F.countDistinct("isrc")).scalar()
+    return reduce(DataFrame.unionByName, counts).withColumns(
+        {"generated_at": F.lit(generated_at.isoformat()), "processed_isrcs": processed}
     )

@@ -22,3 +22,6 @@ class Folder:
 
     def create(self) -> None:
         self._files.mkdirs(self._path)
+
+    def delete(self) -> None:
+        self._files.delete(self._path, True)

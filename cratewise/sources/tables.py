@@ -1,12 +1,18 @@
-"""Parquet tables that are replaced as a whole, several at a time.
+"""Parquet tables of which several become current together.
 
 A run writes new copies beside the old ones (``<root>/<table>/run=<n>``) and then one
 marker (``<root>/_committed/<n>``). Readers take the newest copy that has a marker, so a
 run that dies half-way leaves every table as it was. One writer at a time is assumed.
+
+``Tables`` are replaced as a whole, ``BucketedTables`` bucket by bucket: a copy is then
+``run=<n>/bucket=<b>``, and each bucket has its own newest one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +55,10 @@ class Tables:
 
     def replace(self, **tables: DataFrame) -> None:
         """Store new versions of the given tables; all become current together."""
-        run = 1 + max(
-            [0, *self._runs("_committed"), *[n for name in tables for n in self._runs(name)]]
-        )
+        run = self._next_run(tables)
         for name, df in tables.items():
             df.write.parquet(f"{self.root}/{name}/run={run}")
-        Folder(self.spark, f"{self.root}/_committed/{run}").create()
+        self._commit(run)
 
     def clear(self, table: str, schema: str) -> bool:
         """Empty a table; False when there is none."""
@@ -63,9 +67,122 @@ class Tables:
         self.replace(**{table: empty(self.spark, schema)})
         return True
 
+    def _next_run(self, tables) -> int:
+        return 1 + max(
+            [0, *self._runs("_committed"), *[n for name in tables for n in self._runs(name)]]
+        )
+
+    def _commit(self, run: int) -> None:
+        Folder(self.spark, f"{self.root}/_committed/{run}").create()
+
     def _runs(self, table: str) -> list[int]:
         names = Folder(self.spark, f"{self.root}/{table}").names()
         return [int(name.removeprefix("run=")) for name in names]
 
     def _newest(self, table: str) -> int | None:
         return max(set(self._runs(table)) & set(self._runs("_committed")), default=None)
+
+
+@dataclass(frozen=True)
+class Change:
+    """What a batch does to a keyed table.
+
+    ``keys`` has the key values that the batch touches, in a column named as ``key`` or in
+    what ``key_of`` makes of it; ``apply`` makes the new rows from the present ones of the
+    touched buckets.
+    """
+
+    key: str
+    schema: str
+    keys: DataFrame
+    apply: Callable[[DataFrame], DataFrame]
+    key_of: Callable[[Column], Column] = lambda column: column
+
+
+class BucketedTables(Tables):
+    """Tables dealt by a hash of their key into a fixed number of buckets.
+
+    A batch rewrites the buckets it touches. Of every bucket the newest committed copy and
+    the one before are kept, so a reader that has begun can end. The number of buckets is
+    fixed when the store begins: about as many as the largest table has times 10 GB.
+    """
+
+    VERSIONS = 2
+
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
+        super().__init__(spark, root)
+        named = Folder(spark, f"{self.root}/_buckets").names()
+        self.buckets = int(named[0]) if named else buckets
+
+    def bucket_of(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def read(self, table: str, schema: str, only: list[int] | None = None) -> DataFrame:
+        """Current rows, of all buckets or of some; an empty table while none was stored."""
+        copies = self._copies(table)
+        paths = [
+            f"{self.root}/{table}/run={runs[-1]}/bucket={bucket}"
+            for bucket, runs in sorted(copies.items())
+            if only is None or bucket in only
+        ]
+        if not paths:
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def touched(self, change: Change) -> list[int]:
+        """Buckets of a change, at most as many as there are."""
+        bucket = self.bucket_of(change.key_of(F.col(change.key)))
+        return sorted(row[0] for row in change.keys.select(bucket).distinct().collect())
+
+    def update(self, **changes: Change) -> None:
+        """Rewrite the buckets that the changes touch; all become current together."""
+        run = self._next_run(changes)
+        Folder(self.spark, f"{self.root}/_buckets/{self.buckets}").create()
+        for name, change in changes.items():
+            touched = self.touched(change)
+            rows = change.apply(self.read(name, change.schema, touched))
+            bucket = self.bucket_of(change.key_of(F.col(change.key)))
+            # Rebalanced by bucket: a large bucket comes in several files, a small one in one.
+            dealt = conform(rows, change.schema).withColumn("bucket", bucket)
+            dealt.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
+                f"{self.root}/{name}/run={run}"
+            )
+            for number in touched:
+                # A bucket that lost its last row is an empty copy.
+                Folder(self.spark, f"{self.root}/{name}/run={run}/bucket={number}").create()
+        self._commit(run)
+        for name in changes:
+            self._drop_old(name)
+
+    def replace(self, **tables: DataFrame) -> None:
+        raise TypeError("keyed tables change by update() or clear()")
+
+    def clear(self, table: str, schema: str) -> bool:
+        """Empty a table; False when there is none."""
+        copies = self._copies(table)
+        if not copies:
+            return False
+        run = self._next_run([table])
+        for bucket in copies:
+            Folder(self.spark, f"{self.root}/{table}/run={run}/bucket={bucket}").create()
+        self._commit(run)
+        self._drop_old(table)
+        return True
+
+    def _copies(self, table: str) -> dict[int, list[int]]:
+        """Committed runs that hold each bucket, oldest first."""
+        found: dict[int, list[int]] = {}
+        for run in sorted(set(self._runs(table)) & set(self._runs("_committed"))):
+            for name in Folder(self.spark, f"{self.root}/{table}/run={run}").names():
+                if name.startswith("bucket="):
+                    found.setdefault(int(name.removeprefix("bucket=")), []).append(run)
+        return found
+
+    def _drop_old(self, table: str) -> None:
+        for bucket, runs in self._copies(table).items():
+            for run in runs[: -self.VERSIONS]:
+                Folder(self.spark, f"{self.root}/{table}/run={run}/bucket={bucket}").delete()
+        for run in set(self._runs(table)) & set(self._runs("_committed")):
+            folder = Folder(self.spark, f"{self.root}/{table}/run={run}")
+            if not any(name.startswith("bucket=") for name in folder.names()):
+                folder.delete()

@@ -185,23 +185,34 @@ def test_duplicates(models, hot_rows):
         track("f", isrc=None, album_name="F"),
     ]
     tracks = models(saved_tracks=saved).tracks
-    got = marts.isrc_duplicates(tracks, hot_rows=hot_rows).collect()
-    by_code = {row["isrc"]: row for row in got}
-    assert by_code["US1"]["album_names"] == [None, "A", "C"]
-    assert by_code["US1"]["duplicate_occurrences"] == 3
-    assert by_code[None]["album_names"] == ["E", "F"] and len(got) == 2
+    got = marts.isrc_duplicates(tracks).collect()
+    assert {row["isrc"]: row["duplicate_occurrences"] for row in got} == {"US1": 3, None: 2}
+    albums = marts.isrc_duplicate_albums(tracks, hot_rows=hot_rows).orderBy("position").collect()
+    names = {code: [r["album_name"] for r in albums if r["isrc"] == code] for code in ("US1", None)}
+    assert names == {"US1": [None, "A", "C"], None: ["E", "F"]} and len(albums) == 5
     detail = reports.isrc_duplicate_detail(tracks, hot_rows=hot_rows)
     assert [(r["track_id"], r["duplicate_rank_in_isrc"]) for r in detail.collect()] == [
         ("b", 1), ("a", 2), ("c", 3)
     ]
     assert detail.first()["first_added_at"] == dt.datetime(2001, 8, 1)
-    summary = reports.isrc_duplicate_summary(tracks, page_rows=2, hot_rows=hot_rows).collect()
-    assert [(r["isrc"], r["list_page"], r["duplicate_count"]) for r in summary] == [
-        ("US1", 0, 3), ("US1", 1, 3)
-    ]
-    assert summary[0]["duplicate_track_list"].startswith(
-        "<unknown track> - <unknown artist> (<unknown album>, added 2001-08-02 00:00:00) | "
+    summary = reports.isrc_duplicate_summary(tracks).collect()
+    assert [(r["isrc"], r["duplicate_count"]) for r in summary] == [("US1", 3)]
+    lines = reports.isrc_duplicate_lines(tracks, hot_rows=hot_rows).collect()
+    assert [r["position"] for r in lines] == [1, 2, 3]
+    assert lines[0]["track_line"] == (
+        "<unknown track> - <unknown artist> (<unknown album>, added 2001-08-02 00:00:00)"
+    )
+
+
+def test_a_code_has_one_row_whatever_its_size(spark, models):
+    saved = spark.range(10_001).selectExpr(
+        "concat('t', id) as track_id", "'us1' as isrc", "'2001-08-01T00:00:00Z' as added_at"
     )
+    m = models()
+    m.landing["saved_tracks"] = m.landing["saved_tracks"].unionByName(saved, allowMissingColumns=True)
+    assert [r["duplicate_occurrences"] for r in m.isrc_duplicates.collect()] == [10_001]
+    assert [r["duplicate_count"] for r in reports.isrc_duplicate_summary(m.tracks).collect()] == [10_001]
+    assert m.isrc_duplicate_albums.count() == reports.isrc_duplicate_lines(m.tracks).count() == 10_001
 
 
 @pytest.mark.parametrize("hot_rows", [2, 1_000_000])
@@ -228,7 +239,7 @@ def test_playlist_candidates(models):
         for n in range(10)
     ]
     m = models(saved_tracks=saved)
-    got = reports.playlist_candidates(m.ready_tracks, m.tracks)
+    got = reports.playlist_candidates(m.scored_tracks)
     assert [row["track_id"] for row in got.collect()] == ["t8", "t7", "t6"]
 
 
@@ -259,7 +270,8 @@ def test_retry_error_state(models, as_of):
 def test_request_metrics_of_an_empty_library(models):
     m = models()
     row = reports.request_metrics(
-        m.tracks, m.due.queued(), m.landing["isrc_failures"], m.matches, m.latest_recordings
+        m.tracks, m.due.queued(), m.landing["isrc_failures"], m.matches,
+        m.landing["recording_payloads"],
     ).first()
     assert row["total_tracks_with_isrc"] == 0 and row["succeeded_pct_of_tracks_with_isrc"] is None
 
@@ -275,6 +287,19 @@ def test_plans_shuffle_tracks_no_more_than_needed(spark, sf_dir, as_of, plan_of)
     assert "o_totalprice" not in plan and "l_extendedprice" not in plan
 
 
+def test_reports_read_what_they_show(spark, sf_dir, as_of, plan_of):
+    m = Models(landing(spark, sf_dir), as_of)
+    for df in (reports.top_ready_tracks(m.scored_tracks), reports.playlist_candidates(m.scored_tracks)):
+        plan = plan_of(df)
+        # Payloads are made from the parts, saved tracks from the orders.
+        assert "part.parquet" not in plan and plan.count("orders.parquet") == 1
+    metrics = reports.request_metrics(
+        m.tracks, m.due.queued(), m.landing["isrc_failures"], m.matches,
+        m.landing["recording_payloads"],
+    )
+    assert "payload_json" not in plan_of(metrics)
+
+
 def test_scan_reads_and_filters_what_a_query_needs(spark, sf_dir, plan_of):
     from cratewise.fixtures import sample
 

@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 from cratewise.operators.clusters import gap_clusters
 from cratewise.operators.fallback import fallback_union
-from cratewise.operators.lists import distinct_lists, newest_filled, ordered_lists, ordered_texts
+from cratewise.operators.lists import (
+    distinct_elements,
+    filled_elements,
+    newest_filled,
+    ordered_elements,
+)
 from cratewise.operators.ranking import (
     best_match,
+    first_rows,
     keep_first,
     last_wins,
     latest_per_key,
@@ -177,14 +183,14 @@ def test_keep_first_limits_groups_before_the_shuffle(skewed, plan_of):
 
 
 @pytest.mark.parametrize("hot_rows", [30, 1_000_000])
-def test_ordered_lists_keep_nulls_and_come_in_pages(skewed, hot_rows):
+def test_ordered_elements_keep_nulls(skewed, hot_rows):
     value = F.when(F.col("v") != 3, F.col("v"))
     order = [F.col("v").asc(), F.col("id").asc()]
-    lists = ordered_lists(skewed, ["k"], order, {"vs": value}, page_rows=16, hot_rows=hot_rows)
+    lists = ordered_elements(skewed, ["k"], order, {"one": value}, hot_rows=hot_rows)
     got = {}
-    for row in sorted(lists.collect(), key=lambda r: r["list_page"]):
-        assert len(row["vs"]) <= 16
-        got.setdefault(row["k"], []).extend(row["vs"])
+    for row in sorted(lists.collect(), key=lambda r: r["position"]):
+        got.setdefault(row["k"], []).append(row["one"])
+        assert row["position"] == len(got[row["k"]])
     data = sorted((str(r["k"]), r["v"]) for r in skewed.collect())
     want = {
         key: [v if v != 3 else None for _, v in group]
@@ -193,15 +199,41 @@ def test_ordered_lists_keep_nulls_and_come_in_pages(skewed, hot_rows):
     assert {str(k): v for k, v in got.items()} == want
 
 
-def test_ordered_texts_leave_nulls_out(rows):
+def test_filled_elements_leave_nulls_out(rows):
     df = rows([("a", 2, "y"), ("a", 1, None), ("a", 3, "z"), ("b", 1, None)], "k string, o int, v string")
-    got = ordered_texts(df, ["k"], [F.col("o").asc()], F.col("v"), "vs")
-    assert as_set(got.select("k", "vs").na.fill("-")) == [("a", "y, z"), ("b", "-")]
+    got = filled_elements(df, ["k"], [F.col("o").asc()], F.col("v"), "one")
+    assert as_set(got.select("k", "position", "one")) == [("a", 1, "y"), ("a", 2, "z")]
 
 
-def test_distinct_lists(rows):
+def test_distinct_elements(rows):
     df = rows([("a", "b"), ("a", "B"), ("a", "a"), ("a", "b"), ("a", None)], "k string, v string")
-    assert distinct_lists(df, ["k"], "v", "vs").first()["vs"] == ["a", "B", "b"]
+    got = distinct_elements(df, ["k"], "v").orderBy("position")
+    assert [row["v"] for row in got.collect()] == ["a", "B", "b"]
+
+
+@pytest.mark.parametrize("hot_rows", [30, 1_000_000])
+def test_first_rows(skewed, hot_rows):
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = first_rows(skewed, order, 100, "n", hot_rows).orderBy("n").collect()
+    want = sorted(skewed.collect(), key=lambda r: (-r["v"], r["id"]))[:100]
+    assert [(r["id"], r["n"]) for r in got] == [(r["id"], n) for n, r in enumerate(want, 1)]
+
+
+def test_a_hot_group_of_many_distinct_values(rows):
+    """Wide values and a small tolerance: nearly as many cells as rows."""
+    pick = random.Random(9)
+    data = [("a", pick.randrange(100_000), n) for n in range(400)] + [("b", 5, -1), ("b", 6, -2)]
+    got = gap_clusters(
+        rows(data, "k string, v int, id int"), ["k"], "v", 100, "c", "n", hot_rows=25
+    ).collect()
+    for key in ("a", "b"):
+        want = brute_clusters([(v, i) for k, v, i in data if k == key], 100)
+        assert {(r["v"], r["id"]): (r["c"], r["n"]) for r in got if r["k"] == key} == want
+
+
+def test_ordinary_groups_are_walked_after_one_shuffle(skewed, plan_of):
+    df = gap_clusters(skewed, ["k"], "v", 3, "c", "n")
+    assert plan_of(df).count("Exchange hashpartitioning") == 1
 
 
 def test_newest_filled_ignores_rows_without_value_or_time(rows):

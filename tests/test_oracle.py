@@ -5,8 +5,10 @@ from conftest import SF_DIR
 
 import __spark_entry__ as entry
 from cratewise.fixtures import landing
+from cratewise.oracle import oracle_sql
 from cratewise.plans import marts, queue, reports
 from cratewise.plans.models import Models
+from cratewise.registry import QUERIES
 from tools.compare import compare, duck
 
 
@@ -16,10 +18,11 @@ def connection():
 
 
 def test_every_query_has_oracle_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
+    assert set(QUERIES) <= set(entry.queries()) and set(oracle_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, connection, name):
     note, _, _ = compare(spark, connection, name, SF_DIR)
     assert note is None or note.startswith("types"), note
@@ -32,9 +35,9 @@ def test_entry(spark):
 HOT_WAYS = {
     "queue": lambda m, hot: queue.enrichment_queue(m.due, hot_rows=hot),
     "codes": lambda m, hot: queue.ranked_codes(m.due, hot_rows=hot),
-    "duplicates": lambda m, hot: marts.isrc_duplicates(m.tracks, hot_rows=hot),
+    "albums": lambda m, hot: marts.isrc_duplicate_albums(m.tracks, hot_rows=hot),
     "detail": lambda m, hot: reports.isrc_duplicate_detail(m.tracks, hot_rows=hot),
-    "summary": lambda m, hot: reports.isrc_duplicate_summary(m.tracks, hot_rows=hot),
+    "lines": lambda m, hot: reports.isrc_duplicate_lines(m.tracks, hot_rows=hot),
     "durations": lambda m, hot: reports.title_duration_duplicates(m.tracks, hot_rows=hot),
 }
 

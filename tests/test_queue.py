@@ -166,5 +166,25 @@ def test_queue_groups_keep_file_order(rows):
             ("t5", "us5", 6)]
     df = rows(data, "track_id string, isrc string, line int")
     got = queue.queue_groups(df, ["line"], max_codes=2)
-    assert as_set(got.select("isrc", "track_ids")) == [("US1", ["t1"]), ("US2", ["t2", "t9"])]
-    assert queue.queue_groups(df, ["line"]).count() == 3
+    assert as_set(got.select("isrc", "position", "track_id")) == [
+        ("US1", 1, "t1"), ("US2", 1, "t2"), ("US2", 2, "t9")
+    ]
+    assert queue.queue_groups(df, ["line"]).count() == 4
+
+
+def test_pending_tracks_need_four_shuffles(spark, rows, plan_of):
+    from cratewise import schemas
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        empty = {name: rows([], ddl) for name, ddl in schemas.LANDING.items()}
+        pending = queue.pending_tracks(
+            empty["saved_tracks"].repartition(2), empty["isrc_candidates"].repartition(2),
+            empty["recording_payloads"].repartition(2),
+        )
+        text = pending._jdf.queryExecution().sparkPlan().toString()
+        assert "payload_json" not in text.split("Scan")[0]
+        assert plan_of(pending).count("Exchange hashpartitioning") <= 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

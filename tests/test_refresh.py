@@ -99,6 +99,9 @@ def test_two_runs(spark, tmp_path, answers):
     assert reports["unique"].where("repeated_values > 0").isEmpty()
     assert {r["status"] for r in reports["freshness"].collect()} == {"pass"}
 
+    base = spark.table("int_playlist_ready_tracks_base")
+    assert base.columns == spark.table("fct_playlist_ready_tracks").columns and base.count() == 3
+
     later = Refresh(spark, root, dt.datetime(2001, 8, 12))
     later.take_in(pages(
         tmp_path / "pages2",
@@ -123,3 +126,137 @@ def test_results_without_files_change_nothing(spark, tmp_path):
     assert all(df.isEmpty() for df in run.tables().values())
     with pytest.raises(FileNotFoundError):
         run.collect_results(str(tmp_path), f"{tmp_path}/absent.csv")
+
+
+def saved_ids(run):
+    return sorted(r["track_id"] for r in run.tables()["saved_tracks"].collect())
+
+
+def newest_first(n, added=lambda i: f"2001-07-{i + 1:02}T00:00:00Z"):
+    listed = [item(f"t{i:02}", added(i), f"us{i}") for i in reversed(range(n))]
+    return [listed[:7], listed[7:14], listed[14:]]
+
+
+@pytest.mark.parametrize("dates", ["spread", "equal", "none"])
+def test_a_capped_intake_goes_on_where_it_stopped(spark, tmp_path, dates):
+    added = {
+        "spread": lambda i: f"2001-07-{i + 1:02}T00:00:00Z",
+        "equal": lambda i: "2001-07-01T00:00:00Z",
+        "none": lambda i: " ",
+    }[dates]
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=4)
+    path = pages(tmp_path / "pages", *newest_first(20, added))
+    counts = []
+    for _ in range(3):
+        run.take_in(path, max_tracks=8)
+        counts.append(len(saved_ids(run)))
+    assert counts == [8, 16, 20]
+    # New tracks come while older ones are still open.
+    other = Refresh(spark, str(tmp_path / "other"), dt.datetime(2001, 8, 10), buckets=4)
+    other.take_in(path, max_tracks=8)
+    more = [[item(f"n{i}", f"2001-08-0{9 - i}T00:00:00Z", f"un{i}") for i in range(5)]]
+    grown = pages(tmp_path / "grown", *more, *newest_first(20, added))
+    for _ in range(4):
+        other.take_in(grown, max_tracks=6)
+    assert len(saved_ids(other)) == 25
+    # All is read: only what is as new as the newest track is looked at again.
+    changed = pages(tmp_path / "changed", [item("t03", "2001-07-04T00:00:00Z", "changed")])
+    if dates == "spread":
+        other.take_in(changed)
+        codes = {r["track_id"]: r["isrc"] for r in other.tables()["saved_tracks"].collect()}
+        assert codes["t03"] == "us3"
+
+
+def test_pages_that_end_early_leave_a_gap_open(spark, tmp_path):
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=4)
+    contents = newest_first(20)
+    run.take_in(pages(tmp_path / "all", *contents), max_tracks=5)
+    run.take_in(pages(tmp_path / "first", contents[0]), complete=False)
+    assert len(saved_ids(run)) == 7
+    run.take_in(pages(tmp_path / "again", *contents))
+    assert len(saved_ids(run)) == 20
+
+
+def test_pages_are_parsed_once(spark, tmp_path, monkeypatch, plan_of):
+    from cratewise.plans import intake
+
+    seen = []
+    real = intake.wanted_items
+    monkeypatch.setattr(
+        intake, "wanted_items", lambda items, *rest: seen.append(items) or real(items, *rest)
+    )
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
+    run.take_in(pages(tmp_path / "pages", *newest_first(20)), max_tracks=8)
+    assert len(seen) == 1 and "from_json" not in plan_of(seen[0])
+
+
+def test_broken_input_stops_the_run_and_changes_nothing(spark, tmp_path, answers):
+    root = tmp_path / "library"
+    run = Refresh(spark, str(root), dt.datetime(2001, 8, 10), buckets=2)
+    run.take_in(pages(tmp_path / "good", [item("t1", "2001-08-01T00:00:00Z", "us1")]))
+    queue_path = run.export_queue()
+    run.collect_results(answers, queue_path)
+    run.load_results()
+    before = {name: sorted(map(str, df.collect())) for name, df in run.tables().items()}
+
+    def unchanged():
+        now = {name: sorted(map(str, df.collect())) for name, df in run.tables().items()}
+        return now == before
+
+    body = json.dumps({"items": [item("t9", "2001-08-09T00:00:00Z", "us9")]})
+    cut_page = tmp_path / "cut_page"
+    write_lines(cut_page, [{"page_no": 0, "body": body}, {"page_no": 1, "body": body[:60]}])
+    with pytest.raises(Exception, match="MALFORMED|does not parse"):
+        run.take_in(str(cut_page))
+    assert unchanged()
+    cut_line = tmp_path / "cut_line"
+    write_lines(cut_line, [{"page_no": 0, "body": body}])
+    with (cut_line / "part.json").open("a") as file:
+        file.write('{"page_no": 1, "body": "{')
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILED_READ|parsing"):
+        run.take_in(str(cut_line))
+    assert unchanged()
+    write_lines(tmp_path / "answers" / "recordings", [{"recording_mbid": "r1", "body": '{"recording":{"id'}])
+    with pytest.raises(Exception, match="MALFORMED|does not parse"):
+        run.collect_results(answers, queue_path)
+    assert unchanged()
+
+
+def test_a_stored_payload_that_does_not_parse_stops_the_tables(spark, rows):
+    from cratewise import schemas
+    from cratewise.plans import recordings
+
+    latest = rows([("r1", '{"title":"a', "t")], schemas.RECORDING_PAYLOADS)
+    with pytest.raises(Exception, match="MALFORMED|does not parse"):
+        recordings.recordings(latest).collect()
+
+
+def test_only_what_was_asked_for_is_loaded(spark, tmp_path, answers):
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
+    run.take_in(pages(tmp_path / "pages", [item("t1", "2001-08-01T00:00:00Z", "us1")]))
+    queue_path = run.export_queue()
+    full = {"recording": {"id": "r1", "relation-list": [
+        {"target-type": "work", "relation": [{"work": {"id": "w1"}}]}]}}
+    work = {"work": {"title": "W"}}
+    write_lines(tmp_path / "answers" / "recordings", [
+        {"recording_mbid": "r1", "body": json.dumps(full)},
+        {"recording_mbid": "stray", "body": json.dumps({"recording": {"id": "stray"}})},
+    ])
+    write_lines(tmp_path / "answers" / "works", [
+        {"work_mbid": "w1", "body": json.dumps(work)}, {"work_mbid": "w9", "body": json.dumps(work)},
+    ])
+    run.collect_results(answers, queue_path)
+    run.load_results()
+    now = run.tables()
+    assert [r["recording_mbid"] for r in now["recording_payloads"].collect()] == ["r1"]
+    assert [r["work_mbid"] for r in now["work_payloads"].collect()] == ["w1"]
+    summary = spark.read.json(f"{run.root}/exchange/summary.json")
+    assert {r["processed_isrcs"] for r in summary.collect()} == {1}
+    stored = now["recording_payloads"].first()["payload_json"]
+    # An answer without a recording, for a code whose list has gone, leaves what is stored.
+    write_lines(tmp_path / "answers" / "recordings", [{"recording_mbid": "r1", "body": "{}"}])
+    write_lines(tmp_path / "answers" / "codes", [
+        {"isrc": "us1", "body": json.dumps({"isrc": {"recording-list": []}})}])
+    run.collect_results(answers, queue_path)
+    run.load_results()
+    assert run.tables()["recording_payloads"].first()["payload_json"] == stored

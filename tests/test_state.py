@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cratewise import schemas
 from cratewise.operators import quality, state
 from cratewise.sources import files
-from cratewise.sources.tables import Tables, conform, fill_counter
+from cratewise.sources.tables import BucketedTables, Change, Tables, conform, fill_counter
 
 
 def test_upsert_is_idempotent_and_keeps_null_keys(rows):
@@ -84,6 +84,8 @@ def test_reading_stops_at_the_first_older_item(rows):
     assert as_set(got.select("page_no", "item_no")) == [(1, 0), (1, 1), (1, 2)]
     assert state.until_older(items, ["page_no", "item_no"], None).count() == 6
     assert state.until_older(items, ["page_no", "item_no"], dt.datetime(2000, 1, 1)).count() == 6
+    blank = items.na.fill(" ", ["added_at"])
+    assert state.until_older(blank, ["page_no", "item_no"], dt.datetime(2001, 8, 5)).count() == 3
 
 
 def test_reading_stops_at_the_nth_distinct_track(rows):
@@ -122,6 +124,60 @@ def test_tables_are_replaced_together(spark, rows, tmp_path):
     assert tables.read("a", "x int").count() == 0
 
 
+def merged(rows, data, key_of=lambda column: column):
+    batch = rows(data, "k string, v int")
+    return Change(
+        "k", "k string, v int", batch.select("k"),
+        lambda now: state.upsert_by_key(now, batch, ["k"]), key_of,
+    )
+
+
+def files_of(root):
+    return {path: path.stat().st_mtime_ns for path in root.rglob("*.parquet")}
+
+
+def test_an_upsert_rewrites_the_buckets_it_touches(spark, rows, tmp_path):
+    tables = BucketedTables(spark, str(tmp_path), buckets=8)
+    schema = "k string, v int"
+    assert tables.read("a", schema).count() == 0 and tables.clear("a", schema) is False
+    data = [(f"k{n}", n) for n in range(100)] + [(None, 7)]
+    tables.update(a=merged(rows, data), b=merged(rows, data[:3]))
+    before = files_of(tmp_path / "a")
+    tables.update(a=merged(rows, [("k1", 1000)]))
+    after = files_of(tmp_path / "a")
+    new = set(after) - set(before)
+    assert new and len({path.parent.name for path in new}) == 1
+    assert all(after[path] == time for path, time in before.items() if path in after)
+    got = dict(tuple(r) for r in tables.read("a", schema).collect())
+    assert got == {**dict(data), "k1": 1000}
+    for n in range(4):
+        tables.update(a=merged(rows, [("k1", n)]))
+    copies = [path for path in (tmp_path / "a").glob("run=*/bucket=*") if path.parent.name]
+    by_bucket = [path.name for path in copies]
+    assert max(by_bucket.count(name) for name in by_bucket) == 2
+    assert tables.read("a", schema).count() == 101
+    # A store keeps the number of buckets it began with.
+    assert BucketedTables(spark, str(tmp_path), buckets=3).buckets == 8
+    # A run without its marker does not count.
+    rows([("x", 1, 0)], "k string, v int, bucket int").write.partitionBy("bucket").parquet(
+        f"{tmp_path}/a/run=99"
+    )
+    assert tables.read("a", schema).count() == 101
+    assert tables.clear("a", schema) is True and tables.read("a", schema).count() == 0
+    assert tables.read("b", schema).count() == 3
+    tables.update(a=merged(rows, [("k5", 5)]))
+    assert as_set(tables.read("a", schema)) == [("k5", 5)]
+
+
+def test_broken_csv_rows_stop_the_query(spark, tmp_path):
+    head = "recording_mbid,payload_json,last_seen_at\n"
+    for name, line in (("comma", 'r1,{"title":"a","b"},t\n'), ("short", "r1,{}\n")):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(head + "r0,{},t\n" + line)
+        with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+            files.read_csv(spark, str(path), schemas.RECORDING_PAYLOADS).collect()
+
+
 def test_csv_round_trip(spark, rows, tmp_path):
     data = [
         ("r1", '{"a":"x, \\"y\\""}', " padded "),
@@ -154,10 +210,13 @@ def test_absent_and_header_only_files(spark, rows, tmp_path):
 
 
 def test_run_summary(rows):
+    codes = rows([("us1",), ("us1",), ("us2",)], "isrc string")
     got = files.run_summary(
-        {"a": rows([(1,), (2,)], "x int"), "b": rows([], "x int")}, dt.datetime(2001, 8, 10)
+        {"a": rows([(1,), (2,)], "x int"), "b": rows([], "x int")}, dt.datetime(2001, 8, 10), codes
     )
-    assert as_set(got) == [("a", 2, "2001-08-10T00:00:00"), ("b", 0, "2001-08-10T00:00:00")]
+    assert as_set(got.select("output_name", "row_count", "generated_at", "processed_isrcs")) == [
+        ("a", 2, "2001-08-10T00:00:00", 2), ("b", 0, "2001-08-10T00:00:00", 2)
+    ]
 
 
 def test_quality_reports(rows, as_of):
