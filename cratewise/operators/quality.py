@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,23 +26,24 @@ def not_null(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
 
 
 def unique(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    """Values that occur more than once, per column; NULL is not compared."""
-    reports = []
-    for column in columns:
-        repeated = (
-            df.where(F.col(column).isNotNull())
-            .groupBy(column)
-            .count()
-            .agg(F.count_if(F.col("count") > 1).alias("repeated_values"))
-        )
-        reports.append(
-            repeated.select(
-                F.lit(table).alias("table_name"),
-                F.lit(column).alias("column_name"),
-                "repeated_values",
-            )
-        )
-    return reduce(DataFrame.unionByName, reports)
+    """Values that occur more than once, per column, in one pass; NULL is not compared."""
+    cells = F.array(
+        *[
+            F.struct(F.lit(column).alias("column_name"), F.col(column).cast("string").alias("cell"))
+            for column in columns
+        ]
+    )
+    counted = df.select(F.inline(cells)).groupBy("column_name", "cell").count()
+    repeated = counted.groupBy("column_name").agg(
+        F.count_if(F.col("cell").isNotNull() & (F.col("count") > 1)).alias("repeated_values")
+    )
+    # An empty table has no cells; its columns are reported all the same.
+    named = df.sparkSession.createDataFrame([(column,) for column in columns], "column_name string")
+    return named.join(repeated, "column_name", "left").select(
+        F.lit(table).alias("table_name"),
+        "column_name",
+        F.coalesce("repeated_values", F.lit(0).cast("bigint")).alias("repeated_values"),
+    )
 
 
 def freshness(df: DataFrame, table: str, loaded_at: str, as_of: dt.datetime) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cratewise.operators.skew import (
+    BROADCAST_ROWS,
     GROUP_SIZE,
     HOT_GROUP_ROWS,
     group_sizes,
@@ -123,8 +124,9 @@ def _number_by_ranges(
     same = F.col("part") == F.col("part__part")
     for key in keys:
         same = same & F.col(key).eqNullSafe(F.col(f"{key}__part"))
-    # One row per range, plus one per hot group: within the broadcast bound.
-    return placed.join(F.broadcast(starts), same).select(
+    # One row per range, and one more for every group that begins inside a range.
+    few = tasks <= BROADCAST_ROWS and (not keys or starts.count() <= BROADCAST_ROWS)
+    return placed.join(F.broadcast(starts) if few else starts, same).select(
         *df.columns,
         (F.col("at") - F.col("part_start") + F.col("rows_before") + 1).alias(out),
     )

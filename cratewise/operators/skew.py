@@ -31,24 +31,28 @@ def measured(df: DataFrame, keys: list[str], *figures: Column) -> DataFrame:
 def hot_groups(sizes: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> DataFrame | None:
     """The rows of ``sizes`` whose group is hot, stored; None when no group is.
 
-    At most rows / ``hot_rows`` groups can be hot. Should these exceed BROADCAST_ROWS, the
-    smaller ones are left to the ordinary way, whose sorts can spill.
+    At most rows / ``hot_rows`` groups can be hot.
     """
     largest = sizes.agg(F.max(GROUP_SIZE)).first()[0]
     if largest is None or largest <= hot_rows:
         return None
-    hot = checkpointed(sizes.where(F.col(GROUP_SIZE) > hot_rows))
-    while hot.count() > BROADCAST_ROWS:
-        hot_rows *= 2
-        hot = checkpointed(hot.where(F.col(GROUP_SIZE) > hot_rows))
-    return hot
+    return checkpointed(sizes.where(F.col(GROUP_SIZE) > hot_rows))
+
+
+def listed_groups(hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys of the hot groups, broadcast if there are at most BROADCAST_ROWS of them.
+
+    More of them meet the rows in a shuffled join, whose hot keys AQE splits.
+    """
+    listed = hot.select(*keys)
+    return F.broadcast(listed) if hot.count() <= BROADCAST_ROWS else listed
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of the other groups, rows of the hot groups."""
     if not keys:
         return df.limit(0), df
-    listed = F.broadcast(hot.select(*keys))
+    listed = listed_groups(hot, keys)
     return (
         _match(df, listed, keys, "left_anti", null_safe=True),
         _match(df, listed, keys, "left_semi", null_safe=True),
@@ -70,11 +74,12 @@ def attach(
     if hot is None:
         return _match(df, figures, keys, "inner", null_safe)
     rest, big = split_hot(df, hot, keys)
+    hot_figures = _match(figures, listed_groups(hot, keys), keys, "left_semi", null_safe=True)
     # One row per hot group at most.
-    listed = F.broadcast(hot.select(*keys))
-    hot_figures = _match(figures, listed, keys, "left_semi", null_safe=True)
+    if hot.count() <= BROADCAST_ROWS:
+        hot_figures = F.broadcast(hot_figures)
     return _match(rest, figures, keys, "inner", null_safe).unionByName(
-        _match(big, F.broadcast(hot_figures), keys, "inner", null_safe=True)
+        _match(big, hot_figures, keys, "inner", null_safe=True)
     )
 
 
