@@ -6,6 +6,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cratewise import schemas
+
 AS_OF = dt.datetime(2001, 8, 10)
 
 # Layout of the sample tables that are read; named here so that no file is opened to infer it.
@@ -78,6 +80,17 @@ def sample(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(SAMPLE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Folders with landing tables that were stored, by the sample folder they were made from.
+_STORED: dict[str, str] = {}
+
+
+def store_landing(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Store the landing tables once; from now on they are read instead of derived."""
+    for name, df in landing(spark, sf_dir).all().items():
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+    _STORED[sf_dir] = folder
+
+
 class Landing(dict):
     """Landing tables by name over one set of sample tables, each planned when asked for."""
 
@@ -87,6 +100,10 @@ class Landing(dict):
         self._sf_dir = sf_dir
 
     def __missing__(self, name: str) -> DataFrame:
+        if self._sf_dir in _STORED:
+            path = f"{_STORED[self._sf_dir]}/{name}"
+            self[name] = self._spark.read.schema(schemas.LANDING[name]).parquet(path)
+            return self[name]
         table = MADE_FROM[name]
         sample(self._spark, self._sf_dir, table).createOrReplaceTempView(table)
         self[name] = self._spark.sql(LANDING_SQL[name])

@@ -22,8 +22,20 @@ def by_lower(names: str) -> str:
 
 
 def first_of_each(column: str, key: str) -> str:
-    """Elements of a list column whose field ``key`` did not occur before."""
-    return f"filter({column}, (x, i) -> array_position({column}.{key}, x.{key}) = i + 1)"
+    """Elements of a list column whose field ``key``, not NULL, did not occur before.
+
+    Equal keys come to lie side by side by sorting, the first element in front.
+    """
+    placed = f"transform({column}, (x, i) -> struct(x.{key} as key, i as place, x as item))"
+    ordered = f"sort_array(filter({placed}, e -> e.key is not null))"
+    # The one-element array names the sorted list, so that it is sorted once.
+    firsts = (
+        f"transform(array({ordered}), "
+        "s -> filter(s, (e, j) -> j = 0 or not (e.key <=> s[j - 1].key)))[0]"
+    )
+    return (
+        f"transform(sort_array(transform({firsts}, e -> struct(e.place, e.item))), e -> e.item)"
+    )
 
 
 def filled(items: str, field: str = "x") -> str:

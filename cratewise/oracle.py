@@ -759,11 +759,15 @@ def with_blocks(text: str, blocks: dict[str, str]) -> str:
     return f"with {ctes}\n{text.strip()}"
 
 
-def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL per registered query."""
-    texts = {name: with_blocks(text, CTES) for name, text in QUERIES.items()}
+def oracle_sql(stored: str | None = None) -> dict[str, str]:
+    """DuckDB SQL per registered query, over landing tables stored in a folder if one is given."""
+    blocks = dict(CTES)
+    if stored:
+        for name in LANDING_SQL:
+            blocks[f"raw_{name}"] = f"select * from read_parquet('{stored}/{name}/*.parquet')"
+    texts = {name: with_blocks(text, blocks) for name, text in QUERIES.items()}
     # The queue of the tracks with missing works, whether or not others wait.
-    retries = CTES | {"due": "select * from retry"}
+    retries = blocks | {"due": "select * from retry"}
     texts["retry_queue"] = with_blocks(QUERIES["enrichment_queue"], retries)
     texts["intake_resumed"] = texts["flatten_tracks"]
     return texts
