@@ -44,7 +44,7 @@ SHINGLE = 5
 NEED, OF = 3, 7
 SMALL = 12
 CHUNK_BYTES = 8 << 20
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -139,13 +139,17 @@ def light_links(sets: DataFrame, most: int) -> DataFrame:
 
 # --- heavy: inverted lists --------------------------------------------------------------
 
-# Of a chunk of texts and a bucket of the hash range: the low 48 bits of the shingles, the
-# places of their sets in the chunk, and the low 48 bits of these sets' ids. One row of each
-# chunk has all its sets in full, and their sizes.
-_ENTRIES = "bucket int, chunk bigint, keys binary, at binary, sets binary, all_sets binary, sizes binary"
-_SHARED = "bucket int, chunk bigint, keys binary, at binary, df binary, all_sets binary, sizes binary"
+# Of a chunk of texts and a bucket of the hash range, every shingle once: its low 48 bits, the
+# place of the set that has it plus one, or 0 where several sets of the chunk do, and how many
+# these are. One row of each chunk also has its sets, their sizes, and which sets have the
+# shingles of several. So a shingle that a third of all sets share is one number per chunk.
+_ENTRIES = (
+    "bucket int, chunk bigint, keys binary, at binary, several binary, "
+    "sets binary, sizes binary, own_keys binary, own_at binary"
+)
+_SHARED = _ENTRIES.replace("several", "df")
 _CANDIDATES = "set_id bigint, n bigint, s bigint, tokens binary, prefix array<bigint>"
-_KINDS = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+_KINDS = [pa.int32(), pa.int64(), *[pa.binary()] * 7]
 
 
 def _columns(rows: list[tuple]) -> list[pa.Array]:
@@ -153,8 +157,12 @@ def _columns(rows: list[tuple]) -> list[pa.Array]:
     return [pa.array(x, kind) for x, kind in zip(columns, _KINDS)]
 
 
+def _names(schema: str) -> list[str]:
+    return [field.split()[0] for field in schema.split(", ")]
+
+
 def _entries(buckets: int, shingle: int):
-    """Postings of a chunk of texts, one row per bucket of the shingles' hash range."""
+    """Shingles of a chunk of texts, one row per bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -167,22 +175,28 @@ def _entries(buckets: int, shingle: int):
                 if not sets:
                     continue
                 ids, sizes = np.array(list(sets), np.int64), np.array([*map(len, sets.values())])
-                keys = np.concatenate(list(sets.values()))
-                at = np.repeat(np.arange(len(ids)), sizes)
-                order = np.argsort(keys)
-                keys, at = keys[order], at[order]
-                cuts = np.searchsorted(keys, np.arange(buckets + 1, dtype=np.uint64)[:-1] * step)
+                every = np.concatenate(list(sets.values()))
+                owner = np.repeat(np.arange(len(ids)), sizes)
+                order = np.argsort(every, kind="stable")
+                every, owner = every[order], owner[order]
+                first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+                count = np.diff(np.r_[first, len(every)])
+                keys, at = every[first], np.where(count > 1, 0, owner[first] + 1)
+                several = np.repeat(count > 1, count)
+                own = [
+                    ids.tobytes(), sizes.astype(np.int32).tobytes(),
+                    every[several].tobytes(), _places(owner[several]),
+                ]
+                cuts = np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) * step)
                 rows = []
                 for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
                     if low < high:
-                        used, own = np.unique(at[low:high], return_inverse=True)
-                        part = (six_bytes(keys[low:high]), _places(used[own]))
-                        rows.append([bucket, chunk, *part, six_bytes(ids[used]), b"", b""])
-                rows[chunk % len(rows)][5:] = [ids.tobytes(), sizes.astype(np.int32).tobytes()]
+                        counts = count[low:high][count[low:high] > 1].astype(np.uint32)
+                        part = [six_bytes(keys[low:high]), _places(at[low:high]), counts.tobytes()]
+                        rows.append([bucket, chunk, *part, *[b""] * 4])
+                rows[chunk % len(rows)][5:] = own
                 chunk += 1
-                yield pa.RecordBatch.from_arrays(
-                    _columns(rows), ["bucket", "chunk", "keys", "at", "sets", "all_sets", "sizes"]
-                )
+                yield pa.RecordBatch.from_arrays(_columns(rows), _names(_ENTRIES))
 
     return run
 
@@ -209,82 +223,99 @@ def _bounded(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bucket, the postings of shingles that stand in two different sets or more."""
+    """Of a bucket, the shingles that two sets or more have, for each chunk that has them.
+
+    Sets of different chunks count one by one, equal ones too.
+    """
     lists = [from_six_bytes(x) for x in table.column("keys").to_pylist()]
     places = [_from_places(x) for x in table.column("at").to_pylist()]
-    owners = [
-        from_six_bytes(x)[np.unique(at, return_inverse=True)[1]]
-        for x, at in zip(table.column("sets").to_pylist(), places)
-    ]
-    keys, sets, at = (np.concatenate(x) for x in (lists, owners, places))
-    row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    order = np.argsort(keys)
-    same = keys[order][1:] == keys[order][:-1]
-    often = np.zeros(len(keys), bool)
-    often[1:] |= same
-    often[:-1] |= same
-    picked = order[often]
-    picked = picked[np.lexsort((sets[picked], keys[picked]))]
-    key, of = keys[picked], sets[picked]
-    first = np.ones(len(key), bool)
-    first[1:] = key[1:] != key[:-1]
-    new = first.copy()
-    new[1:] |= of[1:] != of[:-1]
-    group = np.cumsum(first) - 1
-    df = np.bincount(group, weights=new).astype(np.int64)[group] if len(key) else group
-    picked, df = picked[df > 1], df[df > 1]
-    order = np.lexsort((at[picked], row[picked]))
-    picked, df = picked[order], np.minimum(df[order], 65535).astype(np.uint16)
-    cuts = np.searchsorted(row[picked], np.arange(len(lists) + 1))
-    fixed = [table.column(x).to_pylist() for x in ("bucket", "chunk", "all_sets", "sizes")]
-    out = []
-    for (bucket, chunk, all_sets, sizes), a, z in zip(zip(*fixed), cuts[:-1], cuts[1:]):
-        if z > a or all_sets:
-            found = (six_bytes(keys[picked[a:z]]), _places(at[picked[a:z]]), df[a:z].tobytes())
-            out.append((bucket, chunk, *found, all_sets, sizes))
-    return pa.table(
-        _columns(out), names=["bucket", "chunk", "keys", "at", "df", "all_sets", "sizes"]
-    )
-
-
-def _candidates(table: pa.Table) -> pa.Table:
+    counts = []
+    for at, several in zip(places, table.column("several").to_pylist()):
+        own = np.ones(len(at), np.int64)
+        own[at == 0] = np.frombuffer(several, np.uint32)
+        counts.append(own)
+    keys, inverse = np.unique(np.concatenate(lists), return_inverse=True)
+    df = np.zeros(len(keys), np.int64)
+    np.add.at(df, inverse, np.concatenate(counts))
+    df = np.minimum(df, 65535).astype(np.uint16)[inverse]
+    fixed = [table.column(x).to_pylist() for x in ("bucket", "chunk")]
+    own = [table.column(x).to_pylist() for x in _names(_SHARED)[5:]]
+    out, start = [], 0
+    for bucket, chunk, key, at, *rest in zip(*fixed, lists, places, *own):
+        total = df[start : start + len(key)]
+        start += len(key)
+        kept = total > 1
+        if kept.any() or rest[0]:
+            found = (six_bytes(key[kept]), _places(at[kept]), total[kept].tobytes())
+            out.append((bucket, chunk, *found, *rest))
+    return pa.table(_columns(out), names=_names(_SHARED))
+
+
+def _candidates(buckets: int):
     """Of a chunk, the sets that can have a link, with their shared shingles and prefix.
 
     The prefix is what any linked set must share one shingle of: the rarest shingles, as
     many as a link can lack and one more. Shingles of one set only come first and cannot be
     shared.
     """
-    ids = np.frombuffer(b"".join(table.column("all_sets").to_pylist()), np.int64)
-    sizes = np.frombuffer(b"".join(table.column("sizes").to_pylist()), np.int32)
-    buckets = table.column("bucket").to_pylist()
-    parts = [from_six_bytes(x) for x in table.column("keys").to_pylist()]
-    keys = np.concatenate([x | np.uint64(b << 48) for b, x in zip(buckets, parts)])
-    at = np.concatenate([_from_places(x) for x in table.column("at").to_pylist()])
-    df = np.frombuffer(b"".join(table.column("df").to_pylist()), np.uint16)
-    order = np.lexsort((keys, df, at))
-    keys, at = keys[order], at[order]
-    cuts = np.searchsorted(at, np.arange(len(ids) + 1))
-    rows = []
-    for place, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-        n, s = int(sizes[place]), high - low
-        prefix = s - -(-3 * n // 4) + 1
-        if s and prefix > 0:
-            tokens = np.sort(keys[low:high]).tobytes()
-            rows.append((int(ids[place]), n, s, tokens, keys[low : low + prefix].view(np.int64)))
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    return pa.table(
-        [pa.array(x, t) for x, t in zip(columns, kinds)],
-        names=["set_id", "n", "s", "tokens", "prefix"],
-    )
+    step = (1 << 64) // buckets + 1
+
+    def run(table: pa.Table) -> pa.Table:
+        load = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+        ids, sizes = load("sets", np.int64), load("sizes", np.int32)
+        numbers = table.column("bucket").to_pylist()
+        parts = [from_six_bytes(x) for x in table.column("keys").to_pylist()]
+        keys = np.concatenate([_tagged(x, b) for b, x in zip(numbers, parts)])
+        at = np.concatenate([_from_places(x) for x in table.column("at").to_pylist()])
+        df = load("df", np.uint16)
+        # Shingles of several sets of the chunk: their sets are known here.
+        own = load("own_keys", np.uint64)
+        own_at = np.concatenate(
+            [np.zeros(0, np.uint16), *[_from_places(x) for x in table.column("own_at").to_pylist() if x]]
+        )
+        own = _tagged(own & np.uint64((1 << 48) - 1), own // np.uint64(step))
+        several = np.flatnonzero(at == 0)
+        several = several[np.argsort(keys[several])]
+        own_df = df[several][np.searchsorted(keys[several], own)] if len(own) else df[:0]
+        single = at > 0
+        keys = np.concatenate([keys[single], own])
+        place = np.concatenate([at[single].astype(np.int64) - 1, own_at.astype(np.int64)])
+        df = np.concatenate([df[single], own_df])
+        order = np.lexsort((keys, df, place))
+        keys, place = keys[order], place[order]
+        cuts = np.searchsorted(place, np.arange(len(ids) + 1))
+        rows = []
+        for number, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
+            n, s = int(sizes[number]), high - low
+            prefix = s - -(-3 * n // 4) + 1
+            if s and prefix > 0:
+                tokens = np.sort(keys[low:high]).tobytes()
+                rows.append((int(ids[number]), n, s, tokens, keys[low : low + prefix].view(np.int64)))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+        columns = list(zip(*rows)) if rows else [[]] * 5
+        return pa.table(
+            [pa.array(x, t) for x, t in zip(columns, kinds)],
+            names=["set_id", "n", "s", "tokens", "prefix"],
+        )
+
+    return run
+
+
+def _tagged(keys: np.ndarray, bucket) -> np.ndarray:
+    """48 bits of a shingle and its bucket in one number."""
+    return keys | (np.asarray(bucket, np.uint64) << np.uint64(48))
 
 
 def list_candidates(docs: DataFrame, shingle: int) -> DataFrame:
-    """One row per different set that shares enough shingles with others to have a link."""
+    """One row per different set that shares enough shingles with others to have a link.
+
+    Chunks are numbered where they are read: ``docs`` must give the same rows in the same
+    order when a lost task reads them again, as a stored table does.
+    """
     buckets = min(partitions(docs.sparkSession), 1 << 16)
     entries = docs.select("text").mapInArrow(_entries(buckets, shingle), _ENTRIES)
     shared = entries.groupBy("bucket").applyInArrow(_shared, _SHARED)
-    found = shared.groupBy("chunk").applyInArrow(_candidates, _CANDIDATES)
+    found = shared.groupBy("chunk").applyInArrow(_candidates(buckets), _CANDIDATES)
     return checkpointed(found.dropDuplicates(["set_id"]))
 
 
@@ -320,27 +351,22 @@ _ALIKE = f"{OF} * overlap >= {NEED} * (a_n + b_n)"
 def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a hub's members, not both linked to it, whose overlap could make a link.
 
-    Rows come sorted by cell. Members at ``left`` meet those at ``right``; within one block
-    each row is both.
+    Rows come sorted by cell. Members at side 0, which are not linked, meet those at side 1.
     """
     for cell in _cells(batches):
-        left, right = cell["side"] != 1, cell["side"] != 0
-        n, o, rest, linked = cell["n"], cell["overlap"], cell["s"] - cell["overlap"], cell["linked"]
-        own = cell["set_id"]
-        at_right = np.flatnonzero(right)
-        seen = []
-        for start in range(0, int(left.sum()), 256):
-            rows = np.flatnonzero(left)[start : start + 256][:, None]
-            need = -(-NEED * (n[rows] + n[at_right]) // OF)
-            most = np.minimum(o[rows], o[at_right]) + np.minimum(rest[rows], rest[at_right])
-            x, y = np.nonzero((most >= need) & ~(linked[rows] & linked[at_right]))
-            a, b = own[rows[x, 0]], own[at_right[y]]
+        n, o, rest = cell["n"], cell["overlap"], cell["s"] - cell["overlap"]
+        own, right = cell["set_id"], np.flatnonzero(cell["side"] == 1)
+        left = np.flatnonzero(cell["side"] == 0)
+        seen = [np.zeros((0, 2), np.int64)]
+        for start in range(0, len(left), 256):
+            rows = left[start : start + 256][:, None]
+            need = -(-NEED * (n[rows] + n[right]) // OF)
+            most = np.minimum(o[rows], o[right]) + np.minimum(rest[rows], rest[right])
+            x, y = np.nonzero(most >= need)
+            a, b = own[rows[x, 0]], own[right[y]]
             seen.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b])
-        if seen:
-            pairs = np.unique(np.concatenate(seen), axis=0)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"]
-            )
+        pairs = np.unique(np.concatenate(seen), axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
@@ -365,7 +391,8 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]
 def open_pairs(stars: DataFrame) -> DataFrame:
     """(a, b): pairs of members that the hubs left open, from the members' overlaps with them.
 
-    A hub of more than BLOCK_ROWS members meets in cells of two blocks each.
+    Members that are not linked to their hub meet all its members, in cells of BLOCK_ROWS
+    rows a side.
     """
     members = stars.select(
         F.col("b").alias("hub"),
@@ -375,25 +402,24 @@ def open_pairs(stars: DataFrame) -> DataFrame:
         "overlap",
         F.expr(_ALIKE).alias("linked"),
     )
-    mixed_hubs = (
+    blocks = lambda rows: F.ceil(rows / BLOCK_ROWS)
+    open_hubs = (
         members.groupBy("hub")
-        .agg(F.count(F.lit(1)).alias("members"), F.bool_and("linked").alias("closed"))
-        .where("not closed and members > 2")
-        .select("hub", F.ceil(F.col("members") / BLOCK_ROWS).alias("blocks"))
+        .agg(F.count(F.lit(1)).alias("members"), F.count_if(~F.col("linked")).alias("open"))
+        .where("open > 0 and members > 2")
+        .select("hub", blocks(F.col("open")).alias("lefts"), blocks(F.col("members")).alias("rights"))
+    )
+    placed = members.join(open_hubs, "hub")
+    of_block = lambda count: F.pmod(F.xxhash64("set_id"), F.col(count))
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["hub", "low", "high", "side", "set_id", "n", "s", "overlap"]
+    left = placed.where(~F.col("linked")).withColumns(
+        {"low": of_block("lefts"), "high": every("rights"), "side": F.lit(0)}
+    )
+    right = placed.withColumns(
+        {"high": of_block("rights"), "low": every("lefts"), "side": F.lit(1)}
     )
-    block = F.pmod(F.xxhash64("set_id"), F.col("blocks"))
-    placed = members.join(mixed_hubs, "hub").withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    cells = placed.withColumn("other", other).select(
-        "hub",
-        F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"),
-        F.when(F.col("block") == F.col("other"), 2)
-        .when(F.col("block") < F.col("other"), 0)
-        .otherwise(1)
-        .alias("side"),
-        "set_id", "n", "s", "overlap", "linked",
-    )
+    cells = left.select(columns).unionByName(right.select(columns))
     dealt = cells.repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high")
     return dealt.mapInArrow(_open_pairs, "a bigint, b bigint").distinct()
 
@@ -468,7 +494,8 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, small: int = SMALL)
         classes.withColumnRenamed("node", "set_id"), "set_id", "left"
     )
     rooted = rooted.withColumn("root", F.coalesce("root", "set_id"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join below can split a class that holds many sets.
+    least = checkpointed(rooted.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     named = rooted.join(least, "root").select("set_id", "component_id")
     full = described.select("doc_id", "n_shingles", "set_id")
     linked = full.where("set_id is not null").join(named, "set_id")
