@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
+from cratewise.llm.decontaminate import without_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
 from cratewise.llm.tables import table
-from cratewise.llm.toxicity import toxicity
+from cratewise.llm.toxicity import without_toxic
 from cratewise.session import prepare, shared_folder
 
 
@@ -44,15 +44,14 @@ def _kept(docs: DataFrame, dropped: Callable[[DataFrame], DataFrame]) -> DataFra
             F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")
         )
     )
-    texts = numbered.select(F.col("number").alias("doc_id"), "row.text", "row.lang")
+    texts = numbered.select(F.col("number").alias("doc_id"), "row.text")
     gone = dropped(texts).select(F.col("doc_id").alias("number"))
     return numbered.join(gone, "number", "left_anti").select("row.*")
 
 
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
-    labels = table(spark, sf_dir, "labels")
-    return _kept(docs, lambda x: toxicity(x, labels, learn_from=docs).where("predicted = 1"))
+    return without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,8 +66,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that do not hold the benchmark's passages."""
-    benchmark = table(spark, sf_dir, "benchmark")
-    return _kept(docs, lambda x: benchmark_hits(x, benchmark).where(is_contaminated()))
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

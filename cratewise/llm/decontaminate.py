@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cratewise.llm.words import (
     ALNUM_FOLDED,
@@ -170,7 +171,9 @@ def _occurrences(words: Words, index: Index, widths: list[int]) -> tuple[np.ndar
     return np.array(starts, np.int64), np.array(windows, np.int64)
 
 
-_KEPT = "doc_id {id}, text string, n_words bigint, spans array<bigint>, item_ids array<string>"
+# Names of what is gathered while it stands beside columns of any name.
+_WORDS, _SPANS, _ITEMS = "__words__", "__spans__", "__items__"
+HITS = "__hits__"
 
 
 def _mark(index, widths: list[int], names: list[str]):
@@ -183,22 +186,20 @@ def _mark(index, widths: list[int], names: list[str]):
                 words = split_words(data, offsets, ALNUM_FOLDED)
                 starts, windows = _occurrences(words, own, widths)
                 texts = np.searchsorted(words.first, starts, side="right") - 1
-                spans = [x or [] for x in part.column("spans").to_pylist()]
-                items = [x or [] for x in part.column("item_ids").to_pylist()]
+                spans = [x or [] for x in part.column(_SPANS).to_pylist()]
+                items = [x or [] for x in part.column(_ITEMS).to_pylist()]
                 for text, start, window in zip(texts.tolist(), starts.tolist(), windows.tolist()):
                     start -= int(words.first[text])
                     spans[text] += [start, start + int(own.lengths[window])]
                     items[text] += own.items[window]
-                spans = [_merged(x) for x in spans]
-                items = [sorted(set(x)) for x in items]
-                columns = {
-                    "doc_id": part.column("doc_id"),
-                    "text": part.column("text"),
-                    "n_words": pa.array(words.counts, pa.int64()),
-                    "spans": pa.array(spans, pa.list_(pa.int64())),
-                    "item_ids": pa.array(items, pa.list_(pa.string())),
+                gathered = {
+                    _WORDS: pa.array(words.counts, pa.int64()),
+                    _SPANS: pa.array([_merged(x) for x in spans], pa.list_(pa.int64())),
+                    _ITEMS: pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())),
                 }
-                yield pa.RecordBatch.from_arrays([columns[x] for x in names], names)
+                yield pa.RecordBatch.from_arrays(
+                    [gathered.get(x, part.column(x)) for x in names], names
+                )
 
     return run
 
@@ -214,35 +215,30 @@ def _merged(spans: list[int]) -> list[int]:
     return out
 
 
-def benchmark_hits(
+def marked_rows(
     docs: DataFrame,
     benchmark: DataFrame,
+    names: list[str],
     window: int = WINDOW,
     shingle: int = SHINGLE,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): what of it stands in ``benchmark``.
+    """The columns ``names`` of every row, with what of its text stands in ``benchmark``.
 
-    ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``spans`` (start and end
-    of the hit stretches in words) and ``item_ids`` (items with an occurring window, as sorted
-    strings). A null or wordless text has no words and no hits; an item without text, words or
-    id has no windows; an item of fewer words than ``window`` is one window. Rows with one
-    item_id are one item. An empty benchmark hits nothing.
+    Column HITS has the fields of ``benchmark_hits``. Rows are marked where they lie.
     """
     spark = docs.sparkSession
     listed = checkpointed(item_windows(benchmark, window))
     total = listed.agg(F.sum(F.octet_length("passage") + F.octet_length("item_id"))).first()[0]
-    blocks = -(-(total or 0) // block_bytes)
-    share = F.pmod(F.xxhash64("item_id", "passage"), F.lit(max(blocks, 1)))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    blocks = max(1, -(-(total or 0) // block_bytes))
+    share = F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks))
     marked = docs.select(
-        "doc_id",
-        "text",
-        F.lit(0).cast("bigint").alias("n_words"),
-        F.array().cast("array<bigint>").alias("spans"),
-        F.array().cast("array<string>").alias("item_ids"),
+        *dict.fromkeys([*names, "text"]),
+        F.lit(0).cast("bigint").alias(_WORDS),
+        F.array().cast("array<bigint>").alias(_SPANS),
+        F.array().cast("array<string>").alias(_ITEMS),
     )
-    for number in range(max(blocks, 1)):
+    for number in range(blocks):
         # Bounded by block_bytes, as is all that is made of it.
         block = Block([tuple(row) for row in listed.where(share == number).collect()], shingle)
         counts = np.zeros(len(block.distinct), np.int64)
@@ -255,18 +251,37 @@ def benchmark_hits(
             for token, n in found.groupBy("token").agg(F.sum("n").alias("n")).collect():
                 counts[token] = n
         index = spark.sparkContext.broadcast(block.index(counts))
-        schema = _KEPT.format(id=kind)
-        if number == max(blocks, 1) - 1:
-            schema = schema.replace(" text string,", "")
-        names = [field.split()[0] for field in schema.split(", ")]
-        marked = marked.mapInArrow(_mark(index, block.widths, names), schema)
-    zero = F.lit(0).cast("bigint")
+        # The text goes on to the next block, after the last only if it is asked for.
+        last = number == blocks - 1
+        kept = [x for x in marked.columns if not last or x != "text" or "text" in names]
+        schema = T.StructType([marked.schema[x] for x in kept])
+        marked = marked.mapInArrow(_mark(index, block.widths, kept), schema)
     # Starts come first and count negative.
-    signed = F.transform("spans", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
-    hit = F.aggregate(signed, zero, lambda total, x: total + x)
-    return marked.select("doc_id", "n_words", hit.alias("n_hit"), "spans", "item_ids")
+    signed = F.transform(_SPANS, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x))
+    hit = F.aggregate(signed, F.lit(0).cast("bigint"), lambda total, x: total + x)
+    fields = {"n_words": F.col(_WORDS), "n_hit": hit, "spans": F.col(_SPANS), "item_ids": F.col(_ITEMS)}
+    return marked.select(*names, F.struct(*[c.alias(x) for x, c in fields.items()]).alias(HITS))
+
+
+def benchmark_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): what of it stands in ``benchmark``.
+
+    ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``spans`` (start and end
+    of the hit stretches in words) and ``item_ids`` (items with an occurring window, as sorted
+    strings). A null or wordless text has no words and no hits; an item without text, words or
+    id has no windows; an item of fewer words than ``window`` is one window. Rows with one
+    item_id are one item. An empty benchmark hits nothing. ``options``: see ``marked_rows``.
+    """
+    return marked_rows(docs, benchmark, ["doc_id"], **options).select("doc_id", f"{HITS}.*")
 
 
-def is_contaminated():
+def is_contaminated(n_words: str = "n_words", n_hit: str = "n_hit"):
     """A twentieth of the words, at least one, stand in the benchmark."""
-    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (text), all columns, that are not contaminated."""
+    marked = marked_rows(docs, benchmark, docs.columns)
+    bad = is_contaminated(f"{HITS}.n_words", f"{HITS}.n_hit")
+    return marked.where(~bad).select(docs.columns)
