@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Many-to-one joins lean on AQE to split a hot key; `force` lets it do so even where
 # a later operator would have liked the partitioning kept.
 # ANSI mode makes a bad value in a strict cast stop the query.
+# Batches for Python tasks are bounded by bytes, because texts differ much in length.
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
@@ -20,6 +21,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
