@@ -69,8 +69,8 @@ def running_sum(
 
 
 def chunk_rows(rows: int) -> int:
-    """Rows of a chunk: as many as there are chunks, 1,000 at least."""
-    return max(1000, math.isqrt(max(rows, 1)))
+    """Rows of a chunk: as many as there are chunks, 256 at least."""
+    return max(256, math.isqrt(max(rows, 1)))
 
 
 def source_targets(
