@@ -1,5 +1,9 @@
 """Every registered query against its oracle SQL in DuckDB, and skewed against plain ways."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from conftest import SF_DIR
 
@@ -32,6 +36,26 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 10
 
 
+WITHOUT = """
+import sys
+
+class Absent:
+    def find_spec(self, name, path=None, target=None):
+        if name in ("corpus_pipeline", "cratewise.llm"):
+            raise ModuleNotFoundError(f"No module named {name!r}", name=name)
+
+sys.meta_path.insert(0, Absent())
+import __spark_entry__ as entry
+assert "top_artists" in entry.queries() and "pipeline" not in entry.queries()
+assert set(entry.queries()) == set(entry.oracle_sql())
+"""
+
+
+def test_entry_works_without_the_optional_subpackage():
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", WITHOUT], cwd=root, check=True)
+
+
 HOT_WAYS = {
     "queue": lambda m, hot: queue.enrichment_queue(m.due, hot_rows=hot),
     "codes": lambda m, hot: queue.ranked_codes(m.due, hot_rows=hot),
