@@ -24,6 +24,7 @@ from cratewise.llm.tables import thinned
 from cratewise.llm.toxicity import held_out
 from cratewise.llm.words import ALNUM_FOLDED, Words, mixed, slices, split_words
 from cratewise.operators.ranking import keep_first
+from cratewise.session import checkpointed
 
 UNKNOWN = "und"
 # Bounds of the training sample: documents of a language, and characters of one.
@@ -190,7 +191,9 @@ def learn(docs: DataFrame) -> Model:
     some = thinned(usable.select("doc_id", "lang"), ["lang"], place, SAMPLE_DOCS)
     # The shifted hash orders as the unsigned one, as which it was cut.
     order = [F.shiftrightunsigned(place, 1), F.col("doc_id")]
-    chosen = keep_first(some, ["lang"], order, SAMPLE_DOCS)
+    chosen = checkpointed(keep_first(some, ["lang"], order, SAMPLE_DOCS))
+    # The sample of up to 64 languages meets the texts where these are.
+    chosen = F.broadcast(chosen) if chosen.count() <= 64 * SAMPLE_DOCS else chosen
     texts = usable.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"], "left_semi")
     counted = texts.select("lang", "text").mapInArrow(
         _count, "lang string, place bigint, bucket bigint, n bigint"
