@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cratewise.llm.tables import partitions
 from cratewise.llm.words import (
