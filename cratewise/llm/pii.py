@@ -3,9 +3,11 @@
 The patterns give the base spans. The field labels the tokens with a digit or an @ of every
 text. Neighbouring tokens share a potential, and so do a token and the next one that is the
 same or similar (equal letters and digits, or the same part after the @): a number that is
-personal data in one place is so in another, where it lacks what the pattern asks for. Loopy
-message passing over all edges gives each token its label; tokens inside base spans are
-evidence. What it adds are spans that overlap no base span.
+personal data in one place is so in another, where it lacks what the pattern asks for. Tokens
+inside base spans are evidence, and every like token is also joined to the nearest evidence on
+either side, however many repeats lie between. Loopy message passing over all edges, until the
+messages of a text stand still, gives each token its label. What it adds are spans that overlap
+no base span.
 
 The weights are fitted piecewise in numpy on a bounded, hash-ordered sample of tokens that
 the patterns label; patterns are never features. A token that the patterns pass over though
@@ -33,8 +35,9 @@ LABELS = 1 + len(KINDS)
 SAMPLE_DOCS = 5000
 SAMPLE_TOKENS = 40_000
 FEATURES = 1 << 12
-ROUNDS = 6
 SURE = 0.9
+# A text is settled when no message of it changes by more in a round.
+SETTLED = 1e-5
 # Tokens further apart than this many words are no neighbours.
 NEAR_WORDS = 4
 EVIDENCE = 8.0
@@ -120,6 +123,7 @@ class Tokens:
     features: np.ndarray  # tokens x templates: numbers of the features that hold
     chain: np.ndarray  # pairs of neighbours
     skip: np.ndarray  # pairs of same or similar tokens, each with the next
+    alike: np.ndarray  # (key, token) of all tokens with a key, in this order
 
 
 _STRIP = b"()[]{}<>,;:!?\"'*|"
@@ -180,7 +184,7 @@ def tokens(words: Words) -> Tokens:
         np.array(end, np.int64) - begin,
         np.stack(numbers, 1).astype(np.int64),
         np.stack([first, first + 1], 1),
-        _repeats(text, keys),
+        *_repeats(text, keys),
     )
 
 
@@ -191,18 +195,46 @@ def _neighbour(words: Words, of_word: np.ndarray, chosen: np.ndarray, step: int)
     return np.where(same, words.hashes[at], np.uint64(0))
 
 
-def _repeats(text: np.ndarray, keys: list[tuple[bytes, bytes]]) -> np.ndarray:
-    """Each token with the next of its text that has the same key: edges grow as tokens do."""
-    pairs = set()
+def _repeats(text: np.ndarray, keys: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    """Each token with the next of its text that has the same key: edges grow as tokens do.
+
+    Second, (key, token) of all, keys numbered by text.
+    """
+    pairs, alike = set(), []
     for place in (0, 1):
         last: dict[tuple[int, bytes], int] = {}
+        numbers: dict[tuple[int, int, bytes], int] = {}
+        shift = max((key for key, _ in alike), default=-1) + 1
         for number, (owner, key) in enumerate(zip(text.tolist(), keys)):
             if len(key[place]) >= 4:
                 before = last.get((owner, key[place]))
                 if before is not None:
                     pairs.add((before, number))
                 last[owner, key[place]] = number
-    return np.array(sorted(pairs), np.int64).reshape(-1, 2)
+                alike.append((shift + numbers.setdefault((place, owner, key[place]), len(numbers)), number))
+    as_array = lambda x: np.array(sorted(x), np.int64).reshape(-1, 2)
+    return as_array(pairs), as_array(alike)
+
+
+def to_evidence(found: Tokens, labels: np.ndarray) -> np.ndarray:
+    """Pairs of a token without a label and the nearest labelled like one before and after it.
+
+    Evidence lets nothing pass, so these are all that the repeats of a key can tell it. Pairs
+    that ``skip`` has are left out.
+    """
+    key, token = found.alike.T
+    place = np.arange(len(key))
+    told = labels[token] > 0
+    before = np.maximum.accumulate(np.where(told, place, -1)) if len(key) else place
+    after = np.minimum.accumulate(np.where(told, place, len(key))[::-1])[::-1] if len(key) else place
+    pairs = []
+    for other in (before, after):
+        near = (other >= 0) & (other < len(key)) & ~told
+        near[near] = key[other[near]] == key[near]
+        pairs.append(np.sort(np.stack([token[near], token[other[near]]], 1), axis=1))
+    code = lambda x: x[:, 0] * (len(labels) + 1) + x[:, 1]
+    found_pairs = np.unique(np.concatenate(pairs), axis=0)
+    return found_pairs[~np.isin(code(found_pairs), code(found.skip))]
 
 
 def observed(found: Tokens, spans: dict[int, list[Span]]) -> np.ndarray:
@@ -251,35 +283,68 @@ def _log_sum(values: np.ndarray, axis: int) -> np.ndarray:
     return (np.log(np.exp(values - top).sum(axis, keepdims=True)) + top).squeeze(axis)
 
 
-def marginals(found: Tokens, labels: np.ndarray, field: Field, rounds: int = ROUNDS) -> np.ndarray:
+def _sums(target: np.ndarray, messages: np.ndarray, size: int) -> np.ndarray:
+    """Sum of the messages to every token."""
+    place = target[:, None] * LABELS + np.arange(LABELS)
+    return np.bincount(place.ravel(), messages.ravel(), size * LABELS).reshape(size, LABELS)
+
+
+def marginals(
+    found: Tokens, labels: np.ndarray, field: Field, rounds: int | None = None
+) -> np.ndarray:
     """Probability of every label of every token, by loopy message passing.
 
-    Tokens with a label are evidence. Messages are damped by half and sent ``rounds`` times.
+    Tokens with a label are evidence, which no message changes, however many it is joined to.
+    Messages are damped by half and sent until those of a text change by SETTLED at most (or
+    ``rounds`` times, if given). The step is halved again
+    each time a text has had rounds for two ways through all its tokens, so that messages that
+    go to and fro come to rest as well.
     """
     own = field.unary[found.features].sum(1)
     known = np.flatnonzero(labels)
     own[known] = 0
     own[known, labels[known]] = EVIDENCE
-    edges = [(found.chain, field.chain), (found.skip, field.skip)]
+    similar = np.concatenate([found.skip, to_evidence(found, labels)])
+    edges = [(found.chain, field.chain), (similar, field.skip)]
     source = np.concatenate([x for pairs, _ in edges for x in (pairs[:, 0], pairs[:, 1])])
     target = np.concatenate([x for pairs, _ in edges for x in (pairs[:, 1], pairs[:, 0])])
-    potential = np.concatenate(
-        [np.broadcast_to(p, (len(pairs), LABELS, LABELS)) for pairs, table in edges for p in (table, table.T)]
-    )
+    tables = np.stack([p for _, table in edges for p in (table, table.T)])
     sizes = [len(pairs) for pairs, _ in edges for _ in (0, 1)]
     starts = np.cumsum([0, *sizes])
+    which = np.repeat(np.arange(len(sizes)), sizes)
     back = np.concatenate(
         [np.arange(starts[i ^ 1], starts[i ^ 1] + sizes[i]) for i in range(len(sizes))]
     ).astype(np.int64)
     messages = np.zeros((len(source), LABELS))
-    belief = own
-    for _ in range(rounds if len(source) else 0):
-        to_send = belief[source] - messages[back]
-        fresh = _log_sum(to_send[:, :, None] + potential, 1)
-        fresh -= _log_sum(fresh, 1)[:, None]
-        messages = 0.5 * messages + 0.5 * fresh
-        belief = own.copy()
-        np.add.at(belief, target, messages)
+    # Nothing is sent to evidence.
+    heard = labels[target] == 0
+    text = found.text[source]
+    patience = 200 + 2 * np.bincount(found.text)[text]
+    # Edges of the texts that are not settled; each text ends as it would alone.
+    live = np.arange(len(source))
+    turn = 0
+    while len(live) and turn != rounds:
+        place = np.zeros(len(source), np.int64)
+        place[live] = np.arange(len(live))
+        nodes, ends = np.unique(np.concatenate([source[live], target[live]]), return_inverse=True)
+        low, high = ends[: len(live)], ends[len(live) :]
+        sent, reverse, potential = messages[live], place[back[live]], tables[which[live]]
+        owner, wait, base = text[live], patience[live], own[nodes]
+        open_ = heard[live][:, None]
+        moving = len(np.unique(owner))
+        while turn != rounds:
+            turn += 1
+            belief = base + _sums(high, sent, len(nodes))
+            fresh = _log_sum((belief[low] - sent[reverse])[:, :, None] + potential, 1)
+            fresh -= _log_sum(fresh, 1)[:, None]
+            change = (0.5 ** (1 + turn // wait))[:, None] * (fresh - sent) * open_
+            sent += change
+            unsettled = np.unique(owner[np.abs(change).max(1) > SETTLED])
+            if len(unsettled) < moving:
+                break
+        messages[live] = sent
+        live = live[np.isin(owner, unsettled)]
+    belief = own + _sums(target, messages, len(own))
     return np.exp(belief - _log_sum(belief, 1)[:, None]) if len(belief) else belief
 
 

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from cratewise.llm import pii
 from cratewise.llm.pii import KINDS, personal_data
@@ -119,6 +120,49 @@ def test_consistency_in_whole_documents(documents):
     assert more > 130
 
 
+@pytest.mark.parametrize("repeats", [50, 3000])
+def test_evidence_reaches_every_repeat(repeats):
+    found = tokens_of("+12125551234 is it, " + "so 12125551234 is the line to call " * repeats)
+    labels = pii.observed(found, {0: [("phone", 0, 12)]})
+    same = np.where(np.eye(pii.LABELS), 4.0, -4.0)
+    field = pii.Field(np.zeros((pii.FEATURES, pii.LABELS)), np.zeros(same.shape), same)
+    chance = pii.marginals(found, labels, field)
+    assert len(chance) == repeats + 1 and chance[:, 4].min() >= pii.SURE
+    # A text ends as it would alone, whatever lies beside it.
+    data, offsets = buffers(pa.array(["7a 8b 9c"] * 3 + ["+12125551234 or 12125551234"]))
+    beside = pii.tokens(split_words(data, offsets, SPACED))
+    seen = pii.observed(beside, {3: [("phone", 0, 12)]})
+    alone = tokens_of("+12125551234 or 12125551234")
+    one = pii.marginals(alone, pii.observed(alone, {0: [("phone", 0, 12)]}), field)
+    assert np.array_equal(pii.marginals(beside, seen, field)[-2:], one)
+
+
+def test_evidence_edges_are_the_nearest_on_either_side():
+    found = tokens_of("551-234 551234 551234 551234 551-234 551234 other@b.org")
+    labels = np.array([4, 0, 0, 0, 4, 0, 0])
+    assert pii.to_evidence(found, labels).tolist() == [[0, 2], [0, 3], [1, 4], [2, 4]]
+
+
+def test_messages_that_go_to_and_fro_come_to_rest():
+    found = tokens_of("1a 2b 3c 4d " * 6)
+    apart = np.where(np.eye(pii.LABELS), -9.0, 9.0)
+    unary = np.random.default_rng(2).normal(size=(pii.FEATURES, pii.LABELS))
+    chance = pii.marginals(found, np.zeros(24, int), pii.Field(unary, apart, apart))
+    assert np.allclose(chance.sum(1), 1)
+
+
+def test_all_repeats_of_a_long_document_are_found(documents):
+    random.seed(5)
+    rows = []
+    for i in range(150):
+        number = "".join(random.choices("0123456789", k=10))
+        twice = f"ring +1{number} now, or +1{number} later"
+        rows.append((i, f"{twice}, and {1000 + i} or {1000 + i} are here, yes 1{number} is the line"))
+    rows.append((900, "ring +12125550123 now, " + "yes 12125550123 is the line and we are here " * 50))
+    found = {r.doc_id: r for r in personal_data(documents(rows)).collect()}
+    assert sum(s.kind == "phone" for s in found[900].spans) == 51
+
+
 def test_no_rows_and_no_tokens(documents):
     assert personal_data(documents([])).count() == 0
     assert [r.spans for r in personal_data(documents([(1, None), (2, "no data")])).collect()] == [[], []]
