@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -82,3 +83,36 @@ def test_scripts():
 
     got = [_NAMES[i] for i in scripts(split_words(data, offsets, ALNUM_FOLDED))]
     assert got == "latin latin cyrillic cyrillic han hangul greek other latin arabic".split()
+
+
+def test_every_letter_has_a_script():
+    from cratewise.llm.language import _NAMES, _SCRIPT
+
+    letters = [i for i in range(0x110000) if chr(i).isalpha()]
+    assert len(_SCRIPT) > max(letters)
+    assert all(_NAMES[_SCRIPT[i]] != "other" for i in letters)
+    samples = "aжαאعकবਕગଓகతಕമසกລཀကგ한አᎠᐁកᠠかㄅ日ꀀ𐎀𠀀"
+    assert len({_SCRIPT[ord(x)] for x in samples}) == len(samples) - 1
+    # Signs and digits are no letters; words are told by the first letter.
+    text = "«» — 12 ₹५ “ಕನ್ನಡ” —mot"
+    data, offsets = buffers(pa.array([text]))
+    got = [_NAMES[i] for i in scripts(split_words(data, offsets, ALNUM_FOLDED))]
+    assert got == "other other other other kannada latin".split()
+
+
+def test_languages_in_scripts_of_their_own(documents):
+    random.seed(8)
+    letters = {"kn": "ಕಗಚಜಟ", "ml": "കഗചജട", "gu": "કગચજટ", "am": "ሀለሐመሠ", "km": "កខគឃង", "zz": "abcde"}
+    made = lambda lang, n: " ".join("".join(random.choices(letters[lang], k=4)) for _ in range(n))
+    rows = [(i, made(lang, 40), lang) for i, lang in enumerate(list(letters) * 30)]
+    tests = [(1000 + i, made(lang, 30), None) for i, lang in enumerate(letters)]
+    found = {r.doc_id: r for r in languages(documents(rows + tests)).collect()}
+    for i, lang in enumerate(letters):
+        assert (found[1000 + i].lang_pred, found[1000 + i].score) == (lang, 1.0)
+
+
+def test_a_script_of_no_language_is_told_by_trigrams(documents, trained):
+    # Greek words are less than a hundredth of the words of either language.
+    rows = [(i, f"{text} {sentence(lang, 160)}" + " λόγος" * (lang == "bb"), lang) for i, text, lang in trained]
+    found = {r.doc_id: r for r in languages(documents([*rows, (1000, "λόγος λόγος", None)])).collect()}
+    assert (found[1000].lang_pred, found[1000].score) == ("bb", 1.0)
