@@ -43,11 +43,14 @@ _MAP_BITS = 22
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Distinct (item_id, passage): the windows of every item, words joined by a blank."""
+    """Distinct (item_id, passage): the windows of every item, words joined by a blank.
+
+    Items without an id have windows as well.
+    """
     lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     words = F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), words.alias("words"))
-    items = items.where("item_id is not null and size(words) > 0")
+    items = items.where("size(words) > 0")
     last = F.greatest(F.size("words") - window, F.lit(0))
     passages = F.transform(
         F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", F.slice("words", i + 1, window))
@@ -85,10 +88,10 @@ def _listed(hashes: np.ndarray, sorted_tokens: np.ndarray, bitmap: np.ndarray) -
 class Block:
     """Windows of one block with the shingles of each."""
 
-    def __init__(self, rows: list[tuple[str, str]], shingle: int):
+    def __init__(self, rows: list[tuple[str | None, str]], shingle: int):
         items: dict[bytes, list[str]] = {}
         for item_id, passage in rows:
-            items.setdefault(passage.encode(), []).append(item_id)
+            items.setdefault(passage.encode(), []).extend([] if item_id is None else [item_id])
         self.passages, self.items = list(items), list(items.values())
         data = np.frombuffer(b"".join(self.passages), np.uint8)
         offsets = np.cumsum([0, *map(len, self.passages)])
@@ -229,7 +232,8 @@ def marked_rows(
     """
     spark = docs.sparkSession
     listed = checkpointed(item_windows(benchmark, window))
-    total = listed.agg(F.sum(F.octet_length("passage") + F.octet_length("item_id"))).first()[0]
+    id_bytes = F.coalesce(F.octet_length("item_id"), F.lit(0))
+    total = listed.agg(F.sum(F.octet_length("passage") + id_bytes)).first()[0]
     blocks = max(1, -(-(total or 0) // block_bytes))
     share = F.pmod(F.xxhash64("item_id", "passage"), F.lit(blocks))
     marked = docs.select(
@@ -268,9 +272,9 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFram
 
     ``n_words``, ``n_hit`` (words inside an occurrence of a window), ``spans`` (start and end
     of the hit stretches in words) and ``item_ids`` (items with an occurring window, as sorted
-    strings). A null or wordless text has no words and no hits; an item without text, words or
-    id has no windows; an item of fewer words than ``window`` is one window. Rows with one
-    item_id are one item. An empty benchmark hits nothing. ``options``: see ``marked_rows``.
+    strings). A null or wordless text has no words and no hits; an item without text or words
+    has no windows; an item of fewer words than ``window`` is one window. Rows with one item_id
+    are one item; rows without one hit as others do and are not in ``item_ids``. An empty benchmark hits nothing. ``options``: see ``marked_rows``.
     """
     return marked_rows(docs, benchmark, ["doc_id"], **options).select("doc_id", f"{HITS}.*")
 

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
+from cratewise.llm.decontaminate import benchmark_hits, is_contaminated, without_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -83,3 +83,16 @@ def test_empty_tables(spark, documents, awkward):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert result(documents([]), none) == []
     assert all(r[2:] == (0, [], False) for r in result(documents(awkward), none))
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 24, 60])
+def test_items_without_an_id_hit(spark, documents, block_bytes):
+    first, second, both = (" ".join(f"{x}{i}" for i in range(15)) for x in "abc")
+    items = [(None, first), (None, both), (7, both), (8, second)]
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    docs = documents([(1, f"x {first} y"), (2, both), (3, second), (4, "x y")])
+    assert result(docs, table, block_bytes=block_bytes) == [
+        ("1", 17, 15, [], True), ("2", 15, 15, ["7"], True), ("3", 15, 15, ["8"], True),
+        ("4", 2, 0, [], False),
+    ]
+    assert [r.doc_id for r in without_contaminated(docs, table).collect()] == [4]
