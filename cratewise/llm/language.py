@@ -27,9 +27,8 @@ from cratewise.operators.ranking import keep_first
 from cratewise.session import checkpointed
 
 UNKNOWN = "und"
-# Bounds of the training sample: documents of a language, and characters of one.
+# Bound of the training sample: documents of a language.
 SAMPLE_DOCS = 1500
-SAMPLE_CHARS = 20_000
 TRIGRAMS = 1 << 16
 WORDS = 1 << 17
 # Times that a word must be seen in the sample for its own score.
@@ -265,12 +264,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame) -> Model:
     """Tables from rows with text and language that are not held out.
 
-    At most SAMPLE_DOCS documents of a language, by a hash of doc_id, with texts of up to
-    SAMPLE_CHARS characters.
+    At most SAMPLE_DOCS documents of a language, by a hash of doc_id. Their texts are counted
+    whole, however long, in the tasks; what the driver gets is bounded by the tables.
     """
-    usable = docs.where(
-        F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS) & ~held_out()
-    )
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     place = F.xxhash64(F.lit("language"), "doc_id")
     some = thinned(usable.select("doc_id", "lang"), ["lang"], place, SAMPLE_DOCS)
     # The shifted hash orders as the unsigned one, as which it was cut.

@@ -116,3 +116,9 @@ def test_a_script_of_no_language_is_told_by_trigrams(documents, trained):
     rows = [(i, f"{text} {sentence(lang, 160)}" + " λόγος" * (lang == "bb"), lang) for i, text, lang in trained]
     found = {r.doc_id: r for r in languages(documents([*rows, (1000, "λόγος λόγος", None)])).collect()}
     assert (found[1000].lang_pred, found[1000].score) == ("bb", 1.0)
+
+
+def test_a_language_with_long_texts_only_is_learned(documents, trained):
+    rows = [(i, sentence(lang, 8000 if lang == "bb" else 40), lang) for i, _, lang in trained]
+    found = {r.doc_id: r for r in languages(documents([*rows, (1000, sentence("bb", 30), None)])).collect()}
+    assert found[1000].lang_pred == "bb"
