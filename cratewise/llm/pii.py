@@ -390,21 +390,25 @@ def _read(part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
 
 
 def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Features and labels of tokens, and the counted labels of pairs (``table`` 0 or 1)."""
-    names = ["features", "label", "table", "other", "n"]
-    kinds = [pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+    """Features, labels and places of tokens, and the counted labels of pairs (``table`` 0 or 1)."""
+    names = ["features", "label", "table", "other", "n", "doc", "spot"]
+    kinds = [pa.list_(pa.int64()), *[pa.int64()] * 6]
     for batch in batches:
         for part, data, offsets in slices(batch):
             found, spans, _ = _read(part, data, offsets)
             labels = observed(found, spans)
             known = known_labels(found, labels)
-            told = zip(found.features[known].tolist(), labels[known].tolist())
-            rows = [(f, k, None, None, 1) for f, k in told]
+            doc = part.column("doc").to_numpy()[found.text[known]].tolist()
+            told = zip(found.features[known].tolist(), labels[known].tolist(), doc, found.start[known].tolist())
+            rows = [(f, k, None, None, 1, d, s) for f, k, d, s in told]
             for number, pairs in enumerate((found.chain, found.skip)):
                 pairs = pairs[known[pairs].all(1)]
                 counts = np.zeros((LABELS, LABELS), np.int64)
                 np.add.at(counts, (labels[pairs[:, 0]], labels[pairs[:, 1]]), 1)
-                rows += [(None, i, number, j, int(counts[i, j])) for i, j in zip(*np.nonzero(counts))]
+                rows += [
+                    (None, i, number, j, int(counts[i, j]), None, None)
+                    for i, j in zip(*np.nonzero(counts))
+                ]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, kind) for x, kind in zip(zip(*rows), kinds)], names
@@ -412,16 +416,24 @@ def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(docs: DataFrame) -> Field:
-    """Weights from about SAMPLE_DOCS documents by hash of doc_id, SAMPLE_TOKENS tokens at most."""
+    """Weights from about SAMPLE_DOCS documents by hash of doc_id, SAMPLE_TOKENS tokens at most.
+
+    Tokens are taken by a hash of where they stand, so equal ones have the share that they have
+    in the documents.
+    """
     share = min(1.0, SAMPLE_DOCS / max(docs.count(), 1))
     place = F.pmod(F.xxhash64(F.lit("pii"), "doc_id"), F.lit(1 << 30))
     # Of a giant document only tokens are chosen, below.
-    chosen = docs.where(place < int(share * (1 << 30))).select("text")
-    rows = chosen.mapInArrow(
-        _teach, "features array<bigint>, label bigint, table bigint, other bigint, n bigint"
+    chosen = docs.where(place < int(share * (1 << 30)))
+    # Documents without an id are told by their texts.
+    rows = chosen.select("text", F.xxhash64("doc_id", "text").alias("doc")).mapInArrow(
+        _teach,
+        "features array<bigint>, label bigint, table bigint, other bigint, n bigint, "
+        "doc bigint, spot bigint",
     )
-    order = F.xxhash64("features", "label")
-    some = rows.where("table is null").orderBy(order).limit(SAMPLE_TOKENS).collect()
+    order = [F.xxhash64("doc", "spot"), F.col("features"), F.col("label")]
+    some = rows.where("table is null").orderBy(*order).limit(SAMPLE_TOKENS)
+    some = some.select("features", "label").collect()
     counted = rows.where("table is not null").groupBy("table", "label", "other")
     pairs = np.zeros((2, LABELS, LABELS))
     for row in counted.agg(F.sum("n").alias("n")).collect():

@@ -163,6 +163,21 @@ def test_all_repeats_of_a_long_document_are_found(documents):
     assert sum(s.kind == "phone" for s in found[900].spans) == 51
 
 
+def test_repeated_tokens_keep_their_share_of_the_sample(documents, monkeypatch):
+    random.seed(7)
+    # One token of three kinds of boilerplate a document, and one that is never the same.
+    rows = [(i, f"page 12 of the {['7th', '3 xx', 'a-1-b'][i % 3]} is y{'z' * (i % 40)}{i}") for i in range(1500)]
+    taught = []
+    monkeypatch.setattr(pii, "SAMPLE_TOKENS", 600)
+    monkeypatch.setattr(pii, "fit", lambda f, labels, pairs: taught.append(f) or pii.Field(
+        np.zeros((pii.FEATURES, pii.LABELS)), *[np.zeros((pii.LABELS,) * 2)] * 2
+    ))
+    personal_data(documents(rows)).count()
+    page = tokens_of(rows[0][1]).features[0]
+    assert len(taught[0]) == 600
+    assert 0.27 < (taught[0] == page).all(1).mean() < 0.40
+
+
 def test_no_rows_and_no_tokens(documents):
     assert personal_data(documents([])).count() == 0
     assert [r.spans for r in personal_data(documents([(1, None), (2, "no data")])).collect()] == [[], []]
