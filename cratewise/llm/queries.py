@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cratewise.llm.align import aligned
 from cratewise.llm.decontaminate import benchmark_hits, is_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
@@ -107,3 +108,8 @@ def op9_exact_dedup(spark, sf_dir):
 @query
 def op10_source_mix(spark, sf_dir):
     return mix(table(spark, sf_dir, "documents")).documents.drop("source")
+
+
+@query
+def op11_tokenizer_alignment(spark, sf_dir):
+    return aligned(table(spark, sf_dir, "documents"))

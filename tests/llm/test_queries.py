@@ -19,6 +19,7 @@ COLUMNS = {
     "op8": "doc_id held_out lang_pred score",
     "op9": "doc_id keep_id group_size kept text_sha256",
     "op10": "doc_id size source_size target taken",
+    "op11": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
