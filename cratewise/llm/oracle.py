@@ -163,3 +163,29 @@ select doc_id, len(words)::bigint as n_words,
   sha256(coalesce(array_to_string(left_words, ' '), '')) as kept_sha256
 from words left join kept using (row_no)
 """
+
+ORACLE_SQL["op12_embedding_near_dedup"] = r"""
+with recursive vectors as (
+  select row_number() over () as row_no, vec_id, embedding::double[] as v from embeddings
+), sound as (
+  select * from vectors
+  where len(v) > 0 and len(list_filter(v, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(v, x -> x <> 0)) > 0
+), links as (
+  select a.row_no as a, b.row_no as b from sound a join sound b
+  on a.row_no <> b.row_no and len(a.v) = len(b.v)
+    and list_cosine_similarity(a.v, b.v) >= 0.95
+), reached as (
+  select row_no as root, row_no from vectors
+  union
+  select r.root, l.b from reached r join links l on l.a = r.row_no
+), classes as (
+  select r.root as row_no, min(v.vec_id) as component_id
+  from reached r join vectors v using (row_no) group by r.root
+), counts as (
+  select a as row_no, count(*) as n_links from links group by a
+)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id,
+  vec_id is not distinct from component_id as kept
+from vectors join classes using (row_no) left join counts using (row_no)
+"""

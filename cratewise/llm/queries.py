@@ -20,6 +20,7 @@ from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
 from cratewise.llm.toxicity import held_out, toxicity
 from cratewise.llm.urls import url_verdicts
+from cratewise.llm.vectors import near_vectors
 from cratewise.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +114,8 @@ def op10_source_mix(spark, sf_dir):
 @query
 def op11_tokenizer_alignment(spark, sf_dir):
     return aligned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))

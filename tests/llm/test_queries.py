@@ -20,8 +20,11 @@ COLUMNS = {
     "op9": "doc_id keep_id group_size kept text_sha256",
     "op10": "doc_id size source_size target taken",
     "op11": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op12": "vec_id n_links component_id kept",
 }
 
+SOURCES = {"op1": "pages", "op12": "embeddings"}
+
 
 def test_all_are_registered():
     found = entry.queries()
@@ -34,7 +37,7 @@ def test_all_are_registered():
 def test_a_row_per_row_of_the_table_with_the_contract_columns(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(df.columns)
-    source = "pages" if name.startswith("op1_") else "documents"
+    source = SOURCES.get(name.split("_")[0], "documents")
     assert df.count() == duckdb.sql(f"select count(*) from '{SF_DIR}/{source}.parquet'").fetchall()[0][0]
 
 

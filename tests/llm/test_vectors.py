@@ -1,0 +1,138 @@
+import numpy as np
+import pytest
+
+from cratewise.llm.vectors import dealt, near_vectors, spherical_k_means
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, uid string, cell int, home string"
+
+
+def brute(rows, threshold=0.95):
+    """Links by all cosines, components by repeated walks."""
+    vectors = []
+    for _, v in rows:
+        x = np.array([np.nan if c is None else c for c in v or []], np.float32).astype(float)
+        sound = len(x) > 0 and np.isfinite(x).all() and x.any()
+        vectors.append(x / np.abs(x).max() if sound else None)
+    n = len(rows)
+    near = [set() for _ in range(n)]
+    for i in range(n):
+        for j in range(n):
+            x, y = vectors[i], vectors[j]
+            if i != j and x is not None and y is not None and len(x) == len(y):
+                if x @ y / np.linalg.norm(x) / np.linalg.norm(y) >= threshold:
+                    near[i].add(j)
+    out = []
+    for i in range(n):
+        reached, todo = {i}, [i]
+        while todo:
+            new = near[todo.pop()] - reached
+            reached |= new
+            todo += new
+        ids = [rows[j][0] for j in reached if rows[j][0] is not None]
+        least = min(ids, default=None)
+        out.append((rows[i][0], len(near[i]), least, rows[i][0] == least))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture
+def table(spark):
+    def make(rows, partitions=3):
+        full = [(i, v, 1, "x", 2, "y") for i, v in rows]
+        return spark.createDataFrame(full, SCHEMA).repartition(partitions)
+
+    return make
+
+
+def sample(n, d=8, seed=3):
+    """Loose directions, groups about the threshold, a tight group of a third, equal vectors."""
+    random = np.random.default_rng(seed)
+    x = random.normal(size=(n, d))
+    x[: n // 3] = x[0] + 0.05 * random.normal(size=(n // 3, d))
+    for at in range(n // 3, 2 * n // 3, 5):
+        x[at : at + 5] = x[at] + 0.25 * random.normal(size=(5, d))
+    x[-4:] = x[5]
+    x[-6:-4] = 3 * x[7]
+    return [(i, [float(c) for c in v]) for i, v in enumerate(x.astype(np.float32))]
+
+
+@pytest.mark.parametrize("cell_rows, block_rows", [(4096, 4096), (15, 4096), (15, 7), (4096, 20)])
+def test_matches_all_cosines(table, cell_rows, block_rows):
+    rows = sample(150)
+    got = near_vectors(table(rows), reach=None, cell_rows=cell_rows, block_rows=block_rows)
+    assert result(got) == brute(rows)
+
+
+def test_odd_vectors_link_with_nothing(table):
+    rows = [
+        (1, None),
+        (2, []),
+        (3, [0.0, 0.0]),
+        (4, [1.0, None]),
+        (5, [1.0, float("nan")]),
+        (6, [float("inf"), 1.0]),
+        (7, [1.0, 0.0]),
+        (7, [2.0, 0.0]),
+        (9, [1.0, 0.0, 0.0]),
+        (10, [-1.0, 0.0]),
+        (None, [1e-30, 0.0]),
+        (None, [0.0, 3e38]),
+        (None, [5e-42, 3e38]),
+        (12, [0.0, -1.0]),
+        (13, [-0.0, -1.0]),
+    ]
+    assert result(near_vectors(table(rows))) == brute(rows)
+    assert result(near_vectors(table(rows), cell_rows=1, block_rows=2)) == brute(rows)
+
+
+def test_empty_tables(table):
+    assert near_vectors(table([(1, [1.0])]).where("false")).collect() == []
+    assert result(near_vectors(table([(1, None)]))) == [(1, 0, 1, True)]
+
+
+def test_double_vectors_keep_their_precision(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.95, float(np.sqrt(1 - 0.95**2))]), (3, [0.9499999, 0.3122502])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert [r["n_links"] for r in near_vectors(df).orderBy("vec_id").collect()][2] == 1
+
+
+def test_chains_are_one_component(table):
+    turn = np.arange(60) * 0.3
+    rows = [(100 - i, [float(np.cos(t)), float(np.sin(t))]) for i, t in enumerate(turn[:20])]
+    assert result(near_vectors(table(rows), cell_rows=5, block_rows=3, reach=None)) == brute(rows)
+
+
+def test_every_near_pair_meets_in_one_cell():
+    """Of each pair within reach, one lives in a cell that the other lives in or visits."""
+    random = np.random.default_rng(1)
+    x = random.normal(size=(400, 6))
+    x[200:] = x[:200] + 0.08 * random.normal(size=(200, 6))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    centroids = spherical_k_means(x, 20)
+    row, cell, lives = dealt(x, centroids, np.ones(len(x), bool), np.sqrt(1 - 0.95**2))
+    assert sorted(row[lives]) == list(range(400))
+    cells = [{} for _ in x]
+    for r, c, at_home in zip(row, cell, lives):
+        cells[r][c] = at_home
+    for i in range(400):
+        for j in range(i):
+            if x[i] @ x[j] >= 0.95:
+                assert sum(cells[i][c] or cells[j][c] for c in cells[i].keys() & cells[j].keys()) == 1
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_recall_with_bounded_reach(table, seed):
+    """Pairs about the threshold in 64 dimensions, cells of a few rows: the worst case."""
+    random = np.random.default_rng(seed)
+    base = random.normal(size=(300, 64))
+    rows = [
+        (i, [float(c) for c in v])
+        for i, v in enumerate(np.concatenate([base, base + 0.3 * random.normal(size=base.shape)]))
+    ]
+    got = near_vectors(table(rows), cell_rows=40, block_rows=64)
+    true = sum(n for _, n, _, _ in brute(rows))
+    found = sum(r["n_links"] for r in got.collect())
+    assert true > 200 and 0.99 * true <= found <= true
