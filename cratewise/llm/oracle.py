@@ -189,3 +189,44 @@ select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id,
   vec_id is not distinct from component_id as kept
 from vectors join classes using (row_no) left join counts using (row_no)
 """
+
+ORACLE_SQL["op13_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), runs as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as words from pieces
+), totals as (
+  select lang, sum(len(words))::hugeint as n from runs group by lang
+), places as (
+  select lang, words, size, unnest(range(1, len(words) - size + 2)) as start
+  from runs, (select unnest(range(1, 6)) as size) where len(words) >= size
+), found as (
+  select lang, words[start:start + size - 1] as words, count(*)::hugeint as f
+  from places group by all having count(*) >= 100
+), inner_phrases as (
+  select lang, words[start:start + part - 1] as words, max(f) as within
+  from (select *, unnest(range(1, len(words) - part + 2)) as start
+        from (select *, unnest(range(2, len(words))) as part from found where len(words) > 2))
+  group by all
+), cuts as (
+  select c.lang, c.words, c.f as a, x.f as l, y.f as r, t.n, c.k,
+    (1000 * c.f * t.n) // (x.f * y.f) as score
+  from (select *, unnest(range(1, len(words))) as k from found where len(words) > 1) c
+  join found x on x.lang = c.lang and x.words = c.words[1:c.k]
+  join found y on y.lang = c.lang and y.words = c.words[c.k + 1:]
+  join totals t on t.lang = c.lang
+), best as (
+  select * from cuts qualify row_number() over (partition by lang, words order by score, k) = 1
+), ranked as (
+  select b.*, array_to_string(b.words, ' ') as phrase, row_number() over (
+    partition by b.lang order by b.score desc, b.a desc, array_to_string(b.words, ' ')) as rank
+  from best b left join inner_phrases i on i.lang = b.lang and i.words = b.words
+  where i.within is null or i.within < b.a
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r,
+  n::bigint as n, score::bigint as score
+from ranked where rank <= 2000
+"""

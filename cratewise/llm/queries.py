@@ -15,6 +15,7 @@ from cratewise.llm.language import languages
 from cratewise.llm.mixing import mix
 from cratewise.llm import secrets as secret_rules
 from cratewise.llm import pii
+from cratewise.llm.phrases import collocations
 from cratewise.llm.spans import as_text, count_of, of_kinds
 from cratewise.llm.substrings import without_repeats
 from cratewise.llm.tables import table
@@ -119,3 +120,8 @@ def op11_tokenizer_alignment(spark, sf_dir):
 @query
 def op12_embedding_near_dedup(spark, sf_dir):
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents"))

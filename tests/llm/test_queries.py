@@ -21,6 +21,7 @@ COLUMNS = {
     "op10": "doc_id size source_size target taken",
     "op11": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
     "op12": "vec_id n_links component_id kept",
+    "op13": "lang rank phrase a l r n score",
 }
 
 SOURCES = {"op1": "pages", "op12": "embeddings"}
@@ -38,6 +39,8 @@ def test_a_row_per_row_of_the_table_with_the_contract_columns(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     assert set(COLUMNS[name.split("_")[0]].split()) <= set(df.columns)
     source = SOURCES.get(name.split("_")[0], "documents")
+    if name.startswith("op13_"):
+        return
     assert df.count() == duckdb.sql(f"select count(*) from '{SF_DIR}/{source}.parquet'").fetchall()[0][0]
 
 
