@@ -1,12 +1,14 @@
 import hashlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from cratewise.llm import align
 from cratewise.llm.align import BYTE_LEVEL, PIECES, TOKENIZERS, aligned, tokenizers
+from cratewise.llm.words import buffers
 
 
 def whole(text):
@@ -15,7 +17,7 @@ def whole(text):
     a = found.a.encode(" " + text, add_special_tokens=False).ids
     b = found.b.encode(text)
     target = (" " + text).encode()
-    if b"".join(found.bytes_a[i] for i in a) != target or b"".join(found.bytes_b[i] for i in b) != target:
+    if b"".join(found.of_a.entries[i] for i in a) != target or b"".join(found.of_b.entries[i] for i in b) != target:
         return None
     out, i, j, at_a, at_b = [], 0, 0, 0, 0
     while i < len(a):
@@ -23,11 +25,11 @@ def whole(text):
         while not mine or at_a != at_b:
             if at_a <= at_b and i < len(a) and (not mine or at_a < at_b or j == len(b)):
                 mine.append(a[i])
-                at_a += len(found.bytes_a[a[i]])
+                at_a += len(found.of_a.entries[a[i]])
                 i += 1
             else:
                 theirs.append(b[j])
-                at_b += len(found.bytes_b[b[j]])
+                at_b += len(found.of_b.entries[b[j]])
                 j += 1
         out.append((mine, theirs))
     return out
@@ -72,6 +74,7 @@ HARD = [
     " ",
     "\n",
     "the the the",
+    " " * 30_000 + "x" + "\n" * 30_000,
 ]
 
 
@@ -98,36 +101,52 @@ def test_empty_table(documents):
     assert [r["n_a"] for r in aligned(documents([(1, None), (2, "")])).collect()] == [0, 0]
 
 
-def test_a_worker_forgets_cells_at_its_bound(documents, awkward, monkeypatch):
-    found = tokenizers(TOKENIZERS, BYTE_LEVEL, PIECES)
-    texts = [x[1] for x in awkward if x[1]]
-    monkeypatch.setattr(align, "CACHED_CELLS", 3)
-    cells, top = align.Cells(found), len(found.bytes_a) * found.size_b
-    for text in texts:
-        kept = align._align_texts(align.Cells(found), [text], top)
-        if cells.full():
-            cells.clear()
-        assert [x.to_pylist() for x in align._align_texts(cells, [text], top)] == [
-            x.to_pylist() for x in kept
-        ]
-
-
-@pytest.mark.parametrize("alphabet", ["ab '1\n ▁.", None])
+ALPHABETS = [
+    "ab '1\n\u00a0\u2581.",
+    "a \u3000\u2003\u0085\x1c\u180eé",
+    "xy  \u2028\u2581«“",
+    None,
+]
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
 def test_cells_encode_as_the_whole_text(alphabet):
+    """One text, and several at once, for which short cells are encoded together."""
     found = tokenizers(TOKENIZERS, BYTE_LEVEL, PIECES)
     assert found.by_cells
+    letters = st.sampled_from(alphabet) if alphabet else st.characters(exclude_categories=["Cs"])
 
-    @settings(max_examples=400, deadline=None, derandomize=True)
-    @given(st.text(st.sampled_from(alphabet), min_size=1) if alphabet else st.text(st.characters(exclude_categories=["Cs"]), min_size=1))
-    def same(text):
-        (_, a, b), = found.encode([text])
-        cells = list(found.encode(found.cells(text)))
-        assert [i for _, x, _ in cells for i in x] == a
-        assert [i for _, _, x in cells for i in x] == b
+    @settings(max_examples=300, deadline=None, derandomize=True)
+    @given(st.lists(st.text(letters, min_size=1), min_size=1, max_size=4))
+    def same(texts):
+        data, offsets = buffers(pa.array(texts))
+        got = [x.to_pylist() for x in align.align_texts(found, data, offsets)]
+        for i, text in enumerate(texts):
+            truth = brute([(0, text)])[0]
+            assert [*[x[i] for x in got[:4]], got[4][i]] == [*truth[1:5], truth[7]]
 
     same()
 
 
+def test_cells_that_do_not_spell_back_when_joined_are_encoded_alone(monkeypatch):
+    found = tokenizers(TOKENIZERS, BYTE_LEVEL, PIECES)
+    text = "some cells joined by blanks"
+    data, offsets = buffers(pa.array([text]))
+    expected = [x.to_pylist() for x in align.align_texts(found, data, offsets)]
+    monkeypatch.setattr(type(found), "joined", lambda self, cells: None)
+    assert [x.to_pylist() for x in align.align_texts(found, data, offsets)] == expected
+    monkeypatch.setattr(found, "by_cells", False)
+    assert [x.to_pylist() for x in align.align_texts(found, data, offsets)] == expected
+
+
+def test_links_of_a_large_group_are_summed_up(monkeypatch):
+    found = tokenizers(TOKENIZERS, BYTE_LEVEL, PIECES)
+    data, offsets = buffers(pa.array(["日本語 😀x " * 30, "abc don't"]))
+    expected = [x.to_pylist() for x in align.align_texts(found, data, offsets)]
+    monkeypatch.setattr(align, "LISTED_LINKS", 1)
+    assert [x.to_pylist() for x in align.align_texts(found, data, offsets)] == expected
+
+
 def test_copies_are_tokenised_once(documents, plan_of):
     """A text that a third of all rows share comes to one task as a row per task before."""
     rows = [(i, "one and the same text" if i % 3 else f"text {i}") for i in range(600)]
