@@ -33,7 +33,9 @@ TOKENIZERS = "/opt/tokenizers"
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
+# Pairs of texts that are looked up at a time.
+SLICE_PAIRS = 1 << 19
 # Cells up to this length are encoded many at a time.
 SHORT_CELL = 256
 JOINED_CELLS = 1000
@@ -344,12 +346,23 @@ def _aligned(paths: tuple[str, str, str]) -> Callable:
     return run
 
 
+def _few_pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows with about SLICE_PAIRS pairs at most, or one row beyond it."""
+    ends = batch.column("pairs").offsets.to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        to = int(np.searchsorted(ends, ends[at] + SLICE_PAIRS, side="right")) - 1
+        to = max(to, at + 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def _weighed(known) -> Callable:
     """Measures with n_best and count_sum over the broadcast pairs, and the links beyond."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, held, best = known.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in _few_pairs(whole)):
             lists, links = batch.column("pairs"), batch.column("links").flatten().to_numpy()
             mine = lists.flatten().to_numpy().astype(np.int64)
             # The last of the pairs is larger than any other.
