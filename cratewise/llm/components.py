@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cratewise.operators.skew import splittable
 from cratewise.session import checkpointed
 
 
@@ -17,7 +18,9 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
     return (
-        both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
+        both.where("b > a")
+        .join(splittable(least), "a")
+        .select(F.col("b").alias("a"), F.col("root").alias("b"))
     )
 
 
@@ -25,7 +28,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the least of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("root"))
-    moved = down.join(least, "a").where("b > root")
+    moved = down.join(splittable(least), "a").where("b > root")
     return least.select("a", F.col("root").alias("b")).unionByName(
         moved.select(F.col("b").alias("a"), F.col("root").alias("b"))
     )

@@ -37,6 +37,7 @@ from cratewise.llm.words import (
     slices,
     split_words,
 )
+from cratewise.operators.skew import splittable
 from cratewise.session import checkpointed
 
 SHINGLE = 5
@@ -409,7 +410,7 @@ def open_pairs(stars: DataFrame) -> DataFrame:
         .where("open > 0 and members > 2")
         .select("hub", blocks(F.col("open")).alias("lefts"), blocks(F.col("members")).alias("rights"))
     )
-    placed = members.join(open_hubs, "hub")
+    placed = members.join(splittable(open_hubs), "hub")
     of_block = lambda count: F.pmod(F.xxhash64("set_id"), F.col(count))
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     columns = ["hub", "low", "high", "side", "set_id", "n", "s", "overlap"]
@@ -438,7 +439,7 @@ def heavy_links(found: DataFrame, most: int) -> DataFrame:
         .where((F.col("sets") > 1) & (F.col("n") > most))
         .select("token", F.col("first.set_id").alias("b"))
     )
-    members = postings.select("token", F.col("set_id").alias("a")).join(hubs, "token")
+    members = postings.select("token", F.col("set_id").alias("a")).join(splittable(hubs), "token")
     stars = overlaps(members.select("a", "b").distinct(), found)
     more = overlaps(open_pairs(stars), found)
     return stars.unionByName(more).where(f"a != b and {_ALIKE}").select("a", "b")

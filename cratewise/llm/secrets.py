@@ -96,12 +96,17 @@ def trigram_query(pattern: bytes) -> Query:
 
 @dataclass
 class Rule:
-    """A kind of secret: its regex over bytes, and what of a match must be how long."""
+    """A kind of secret: its regex over bytes, and what of a match must be how long.
+
+    ``needs`` is a group that must have matched: a rule may eat what it drops, so that no
+    part of a text is read again and again.
+    """
 
     kind: str
     pattern: bytes
     group: int = 0
     least: int = 1
+    needs: int = 0
     query: Query = field(init=False)
 
     def __post_init__(self):
@@ -111,7 +116,7 @@ class Rule:
         return [
             (self.kind, *match.span())
             for match in re.finditer(self.pattern, text)
-            if len(match[self.group]) >= self.least
+            if match[self.needs] is not None and len(match[self.group]) >= self.least
         ]
 
 
@@ -129,7 +134,7 @@ BASE = [
 MORE = [
     Rule("forge", rb"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("chat", rb"xox[abprs]-[A-Za-z0-9-]+", least=15),
-    Rule("signed", rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
+    Rule("signed", rb"eyJ[A-Za-z0-9_-]++(\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++)?", least=40, needs=1),
     Rule("key", rb"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
 ]
 RULES = BASE + MORE

@@ -1,5 +1,8 @@
 import random
 import re
+import time
+
+import pytest
 
 from cratewise.llm.secrets import BASE, RULES, Rule, Trigrams, secrets, trigram_query
 
@@ -77,3 +80,31 @@ def test_the_index_leaves_out_texts_without_trigrams():
 
 def test_no_rows(documents):
     assert secrets(documents([])).count() == 0
+
+
+HOSTILE = [
+    b"eyJ", b"eyJa.", b"eyJ.", b"a.eyJ-", b"password", b"password ", b'token"', b"token = ", b"api_", b"AKIA",
+    b"AKIA0", b"gh", b"ghp_", b"xox", b"xoxb-", b"-----BEGIN ", b"-----BEGIN A", b"PRIVATE KEY", b"0a", b" ", b"=",
+]
+
+
+@pytest.mark.parametrize("rule", RULES, ids=lambda rule: rule.kind)
+def test_a_rule_reads_hostile_texts_once(rule):
+    """A megabyte of every seed, alone and after what the rule begins with."""
+    for seed in HOSTILE:
+        for lead in (b"", b"eyJ", b"token", b"-----BEGIN "):
+            text = lead + seed * (1_000_000 // len(seed))
+            started = time.process_time()
+            rule.find(text)
+            assert time.process_time() - started < 1, (lead, seed)
+
+
+def test_signed_tokens_are_those_of_the_plain_pattern():
+    (rule,) = [rule for rule in RULES if rule.kind == "signed"]
+    plain = re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+")
+    pick = random.Random(4)
+    short = Rule("signed", rule.pattern, least=1, needs=1)
+    for _ in range(3000):
+        text = b"".join(pick.choices([b"eyJ", b"e", b".", b"..", b"a-", b" ", b"xyz"], k=pick.randint(0, 30)))
+        assert [x[1:] for x in short.find(text)] == [m.span() for m in plain.finditer(text)]
+    assert rule.query == trigram_query(plain.pattern)
