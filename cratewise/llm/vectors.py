@@ -29,7 +29,7 @@ THRESHOLD = 0.95
 REACH = 3.0
 # A cell of more rows is split, unless that saves less than a third of its products.
 CELL_ROWS = 4096
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 8192
 FANOUT = 256
 # Rows that a centroid is fitted on, and bytes of all sampled rows of one pass.
 SAMPLE_ROWS = 32
