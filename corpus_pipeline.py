@@ -32,13 +32,14 @@ def _kept(docs: DataFrame, dropped: Callable[[DataFrame], DataFrame]) -> DataFra
     """Rows of ``docs`` whose id is not among the ids that ``dropped`` gives for them.
 
     Where ids repeat or are missing, rows are numbered in the order of their ids (missing ones
-    last), and these numbers stand in for the ids.
+    last) and of digests of what they hold, and these numbers stand in for the ids. So rows of
+    one id spread over tasks, and reruns agree.
     """
     counts = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     if counts.where("rows > 1 or doc_id is null").isEmpty():
         return docs.join(dropped(docs).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    by = F.col("doc_id").asc_nulls_last()
-    sorted_rows = docs.repartitionByRange(by).sortWithinPartitions(by)
+    by = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.xxhash64("source", "lang")]
+    sorted_rows = docs.repartitionByRange(*by).sortWithinPartitions(*by)
     numbered = _stored(
         sorted_rows.select(
             F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")
