@@ -38,6 +38,25 @@ def latest_per_key(
     return keep_first(df, keys, [F.col(newest).desc_nulls_last(), *tie_breaks])
 
 
+def newest_documents(
+    df: DataFrame, keys: list[str], newest: str, document: str, place: list[str]
+) -> DataFrame:
+    """The newest row of every key, chosen without moving its document.
+
+    Keys, times and the documents' digests choose (of equal times the greatest digest, NULL
+    last); ``place`` names the columns that tell where each row is stored. Rows that were not
+    chosen are left out where they lie: by broadcast if they are few, as after a batch, else
+    by a join on the place, which has no hot keys. Rows without a key are one key.
+    """
+    listed = df.select(*keys, newest, F.md5(F.col(document).cast("binary")).alias("digest"), *place)
+    best = listed.groupBy(*keys).agg(F.max(F.struct(newest, "digest", *place)).alias("best"))
+    chosen = best.select(*[F.col(f"best.{name}").alias(name) for name in place])
+    passed_over = checkpointed(listed.select(*place).join(chosen, place, "left_anti"))
+    if passed_over.count() <= BROADCAST_ROWS:
+        passed_over = F.broadcast(passed_over)
+    return df.join(passed_over, place, "left_anti").drop(*place)
+
+
 def best_match(
     df: DataFrame, keys: list[str], rank: str, newest: str, tie_breaks: list[Column]
 ) -> DataFrame:

@@ -97,12 +97,24 @@ def repeated_groups(
     return attach(df, sizes.drop(GROUP_SIZE), keys, hot), hot
 
 
+def splittable(unique: DataFrame) -> DataFrame:
+    """The unique side of a many-to-one join, such that Spark can cut a hot key of the other.
+
+    AQE cuts a partition only if both inputs of the join come straight from a shuffle. An
+    aggregate, a distinct or a window on the join's key already lies by that key and gets
+    none. Its rows, one per key, are dealt evenly first, so that the join deals them anew.
+    What is read from storage, or lies by another key, needs nothing.
+    """
+    return unique.hint("rebalance")
+
+
 def lookup(facts: DataFrame, dimension: DataFrame, key: str, spread_by: str) -> DataFrame:
     """Left join to a table with one row per text ``key``.
 
     Facts without a key would all hash to one task; a stand-in made from another column
     spreads them, and the second condition keeps it from ever matching. A hot key is
-    split by AQE, which replicates the one dimension row it meets.
+    split by AQE, which replicates the one dimension row it meets; a dimension that is made
+    by its key must be ``splittable``.
     """
     listed = dimension.withColumnRenamed(key, f"{key}__other")
     stand_in = F.concat(F.lit("no key "), F.col(spread_by).cast("string"))

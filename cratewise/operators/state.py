@@ -7,6 +7,7 @@ Each function returns the new table; storing it beside the old one is the caller
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,39 @@ from pyspark.sql import functions as F
 from cratewise.functions.moments import added_time, moment
 from cratewise.functions.text import tidy_code
 from cratewise.operators.ranking import first_rows, keep_first
+from cratewise.operators.skew import BROADCAST_ROWS
+from cratewise.session import checkpointed
+
+# Key marks that are broadcast, 8 bytes each.
+BROADCAST_MARKS = 4_000_000
+
+
+def without_keys(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: list[str],
+    few: int = BROADCAST_ROWS,
+    marks: int = BROADCAST_MARKS,
+    mark: Callable[..., Column] = F.xxhash64,
+) -> DataFrame:
+    """Target rows whose key is not in ``batch``; rows with a missing key stay.
+
+    Only what may be in the batch is shuffled. Up to ``few`` keys are broadcast, and nothing
+    is. Up to ``marks`` keys have their marks broadcast: rows whose mark does not occur pass,
+    the others, a few of them by chance, meet the keys in a shuffled join. More keys meet all
+    rows in one.
+    """
+    listed = checkpointed(batch.select(*keys).distinct())
+    n = listed.count()
+    if n <= few:
+        return target.join(F.broadcast(listed), keys, "left_anti")
+    if n > marks:
+        return target.join(listed, keys, "left_anti")
+    marked = target.withColumn("__mark", mark(*keys))
+    known = F.broadcast(listed.select(mark(*keys).alias("__mark")))
+    outside = marked.join(known, "__mark", "left_anti")
+    candidates = marked.join(known, "__mark", "left_semi").join(listed, keys, "left_anti")
+    return outside.unionByName(candidates).drop("__mark")
 
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
@@ -21,7 +55,7 @@ def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: list[str]) -> Da
 
     Columns only one side has come out NULL on the other.
     """
-    kept = target.join(incoming.select(*keys).distinct(), keys, "left_anti")
+    kept = without_keys(target, incoming, keys)
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
@@ -32,7 +66,7 @@ def replace_children(
 
     A parent that comes in without children loses the ones it had.
     """
-    kept = children.join(parents.select(parent_key).distinct(), parent_key, "left_anti")
+    kept = without_keys(children, parents, [parent_key])
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 

@@ -39,12 +39,12 @@ qualify 1 = row_number() over (partition by c.track_id
 """
 CTES["docs"] = """
 select recording_mbid, best.at as last_seen_at, best.body as j
-from (select recording_mbid, max({'at': last_seen_at::timestamp, 'body': payload_json}) as best
+from (select recording_mbid, max({'at': last_seen_at::timestamp, 'digest': md5(payload_json), 'body': payload_json}) as best
       from raw_recording_payloads group by all)
 """
 CTES["work_docs"] = """
 select work_mbid, best.at as last_seen_at, best.body as j
-from (select work_mbid, max({'at': last_seen_at::timestamp, 'body': payload_json}) as best
+from (select work_mbid, max({'at': last_seen_at::timestamp, 'digest': md5(payload_json), 'body': payload_json}) as best
       from raw_work_payloads group by all)
 """
 CTES["credit_rows"] = """
@@ -769,5 +769,14 @@ def oracle_sql(stored: str | None = None) -> dict[str, str]:
     # The queue of the tracks with missing works, whether or not others wait.
     retries = blocks | {"due": "select * from retry"}
     texts["retry_queue"] = with_blocks(QUERIES["enrichment_queue"], retries)
-    texts["intake_resumed"] = texts["flatten_tracks"]
+    # Other ways to the same rows.
+    same = {
+        "intake_resumed": "flatten_tracks",
+        "built_recordings": "recordings",
+        "built_entity_context": "entity_context",
+        "refresh_delta": "entity_context",
+        "refresh_delta_artists": "artist_stats",
+        "refresh_delta_albums": "isrc_duplicate_albums",
+    }
+    texts.update({name: texts[other] for name, other in same.items()})
     return texts

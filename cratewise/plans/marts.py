@@ -11,9 +11,12 @@ from cratewise.functions.lists import joined
 from cratewise.functions.moments import days_until, or_never
 from cratewise.functions.text import normalize_label
 from cratewise.operators.lists import ordered_elements
-from cratewise.operators.skew import HOT_GROUP_ROWS, lookup, repeated_groups
+from cratewise.operators.skew import HOT_GROUP_ROWS, lookup, repeated_groups, splittable
 from cratewise.plans import recordings, works
 
+# Parts of the tracks over which an artist's figures are kept.
+ARTIST_PARTS = 64
+
 # Score weights, decimal so that rounding is exact.
 FRESHNESS = "greatest(0, 100 - least(days_since_added, 100))"
 FIT_SCORE = f"""
@@ -155,27 +158,36 @@ def scored_tracks(
     return _scored(matched_tracks(tracks, credits, matches, as_of), "playlist_fit_score", FIT_SCORE)
 
 
+def profiles(documents: DataFrame, work_documents: DataFrame) -> DataFrame:
+    """Every recording with the figures of its work: what the track tables tell of it."""
+    figures = works.writer_figures(work_documents)
+    return lookup(
+        recordings.profiles(documents),
+        splittable(figures.withColumnRenamed("work_mbid", "primary_work_mbid")),
+        "primary_work_mbid",
+        spread_by="recording_mbid",
+    )
+
+
 def track_context(
     tracks: DataFrame,
     credits: DataFrame,
     matches: DataFrame,
-    latest_recordings: DataFrame,
-    latest_works: DataFrame,
+    profiled: DataFrame,
     as_of: dt.datetime,
 ) -> DataFrame:
     """Saved tracks with all that is known of their match; one row per saved track.
 
-    Three inputs meet on the track, then one on the recording. Work figures join the
-    recordings, of which there are fewer, before those meet the tracks.
+    Three inputs meet on the track, then the profiles on the recording. Work figures have
+    joined the recordings, of which there are fewer, before those meet the tracks.
     """
-    profiles = lookup(
-        recordings.profiles(latest_recordings),
-        works.writer_figures(latest_works).withColumnRenamed("work_mbid", "primary_work_mbid"),
-        "primary_work_mbid",
-        spread_by="recording_mbid",
-    )
     matched = matched_tracks(tracks, credits, matches, as_of)
-    return lookup(matched, profiles, "recording_mbid", spread_by="track_id")
+    return lookup(matched, profiled, "recording_mbid", spread_by="track_id")
+
+
+def aged(context: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Stored track rows as of another day."""
+    return context.withColumn("days_since_added", days_until(as_of, F.col("added_at")))
 
 
 def ready_tracks(context: DataFrame) -> DataFrame:
@@ -216,9 +228,8 @@ def instrument_lists(
     listed = recordings.instruments(latest_recordings).select(
         "recording_mbid", names.alias("instrument_names")
     )
-    return matches.select("track_id", "recording_mbid").join(listed, "recording_mbid").select(
-        "track_id", "instrument_names"
-    )
+    named = matches.select("track_id", "recording_mbid")
+    return named.join(splittable(listed), "recording_mbid").select("track_id", "instrument_names")
 
 
 def artist_stats(credits: DataFrame, tracks: DataFrame) -> DataFrame:
@@ -238,6 +249,45 @@ def artist_stats(credits: DataFrame, tracks: DataFrame) -> DataFrame:
     )
 
 
+def artist_parts(credits: DataFrame, tracks: DataFrame, parts: int = ARTIST_PARTS) -> DataFrame:
+    """Figures of every artist over parts of the tracks, which add up to ``artist_stats``.
+
+    A track lies in one part, so counts of distinct tracks can be summed.
+    """
+    facts = tracks.select("track_id", "popularity", "added_at")
+    popularity = F.col("popularity").cast("double")
+    return (
+        credits.select("artist_id", "artist_name", "track_id", part_of("track_id", parts))
+        .join(facts, "track_id", "left")
+        .groupBy("artist_id", "artist_name", "part")
+        .agg(
+            F.countDistinct("track_id").alias("tracks"),
+            F.sum(popularity).alias("popularity"),
+            F.count(popularity).alias("rated"),
+            F.min("added_at").alias("first_saved_at"),
+            F.max("added_at").alias("last_saved_at"),
+        )
+    )
+
+
+def part_of(key: str, parts: int = ARTIST_PARTS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part")
+
+
+def merged_artist_stats(parts: DataFrame) -> DataFrame:
+    """``artist_stats`` from stored parts."""
+    return (
+        parts.groupBy("artist_id", "artist_name")
+        .agg(
+            F.sum("tracks").alias("saved_track_count"),
+            (F.sum("popularity") / F.sum(F.nullif("rated", F.lit(0)))).alias("avg_popularity"),
+            F.min("first_saved_at").alias("first_saved_at"),
+            F.max("last_saved_at").alias("last_saved_at"),
+        )
+        .select(F.col("artist_id").alias("id"), "*")
+    )
+
+
 def favorite_artist(stats: DataFrame) -> DataFrame:
     """The artist with the most saved tracks."""
     return stats.orderBy(

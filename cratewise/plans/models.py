@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from cratewise.operators.skew import splittable
 from cratewise.plans import marts, queue, recordings, staging, works
 
 # The names under which finished tables are queried, and where they are
@@ -38,65 +39,79 @@ PUBLISHED = {
 class Models:
     """``landing`` maps landing names to DataFrames; ``as_of`` is the run's 'now'.
 
-    ``keep`` receives the tables that several others read (latest payloads, matches, the
-    joined track rows) and returns what to read instead: a stored copy, or the same plan.
+    ``keep`` receives the tables that others, or the next update, read (documents cut out of
+    the latest payloads, profiles, matches, the joined track rows) and returns the stored copy
+    to read instead. With it every payload is parsed once, and the latest one is chosen from
+    landing tables read from files without moving a document. Without it nothing is stored.
     """
 
     def __init__(
         self,
         landing: dict[str, DataFrame],
         as_of: dt.datetime,
-        keep: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
+        keep: Callable[[str, DataFrame], DataFrame] | None = None,
     ):
         self.landing = landing
         self.as_of = as_of
-        self.keep = keep
+        self.stores = keep is not None
+        self.keep = keep or (lambda name, df: df)
 
     @cached_property
     def tracks(self) -> DataFrame:
-        return staging.saved_tracks(self.landing["saved_tracks"])
+        return self.keep("tracks", staging.saved_tracks(self.landing["saved_tracks"]))
 
     @cached_property
     def credits(self) -> DataFrame:
-        return staging.track_artists(self.landing["track_artists"])
+        return self.keep("credits", staging.track_artists(self.landing["track_artists"]))
 
     @cached_property
     def matches(self) -> DataFrame:
         return self.keep("matches", staging.match_map(self.landing["isrc_candidates"]))
 
+    def _latest(self, table: str, key: str) -> DataFrame:
+        if self.stores:
+            return staging.stored_latest_payloads(self.landing[table], key)
+        return staging.latest_payloads(self.landing[table], key)
+
+    @cached_property
+    def recording_documents(self) -> DataFrame:
+        """The lists of the newest recording payloads, the one place that parses them."""
+        latest = self._latest("recording_payloads", "recording_mbid")
+        return self.keep("recording_documents", recordings.prepared(latest))
+
     @cached_property
-    def latest_recordings(self) -> DataFrame:
-        payloads = self.landing["recording_payloads"]
-        return self.keep("latest_recordings", staging.latest_payloads(payloads, "recording_mbid"))
+    def work_documents(self) -> DataFrame:
+        latest = self._latest("work_payloads", "work_mbid")
+        return self.keep("work_documents", works.prepared(latest))
 
     @cached_property
-    def latest_works(self) -> DataFrame:
-        payloads = self.landing["work_payloads"]
-        return self.keep("latest_works", staging.latest_payloads(payloads, "work_mbid"))
+    def profiles(self) -> DataFrame:
+        rows = marts.profiles(self.recording_documents, self.work_documents)
+        return self.keep("profiles", rows) if self.stores else splittable(rows)
 
     @cached_property
     def recordings(self) -> DataFrame:
-        return recordings.recordings(self.latest_recordings)
+        return recordings.recordings(self.recording_documents)
 
     @cached_property
     def recording_artists(self) -> DataFrame:
-        return recordings.recording_artists(self.latest_recordings)
+        return recordings.recording_artists(self.recording_documents)
 
     @cached_property
     def releases(self) -> DataFrame:
-        return recordings.releases(self.latest_recordings)
+        return recordings.releases(self.recording_documents)
 
     @cached_property
     def metadata(self) -> DataFrame:
-        return recordings.metadata(self.latest_recordings)
+        return recordings.metadata(self.recording_documents)
 
     @cached_property
     def works(self) -> DataFrame:
-        return works.works(self.latest_works)
+        return works.works(self.work_documents)
 
     @cached_property
     def work_writers(self) -> DataFrame:
-        return works.work_writers(self.latest_works)
+        return works.work_writers(self.work_documents)
 
     @cached_property
     def due(self) -> queue.Queue:
@@ -105,7 +120,7 @@ class Models:
             self.landing["isrc_candidates"],
             self.landing["recording_payloads"],
             self.landing["work_payloads"],
-            self.latest_recordings,
+            self.recording_documents,
             self.landing["isrc_failures"],
             self.as_of,
         )
@@ -116,7 +131,7 @@ class Models:
         tracks = queue.retry_tracks(
             self.landing["saved_tracks"],
             self.landing["isrc_candidates"],
-            self.latest_recordings,
+            self.recording_documents,
             self.landing["work_payloads"],
         )
         return queue.asked(tracks, self.landing["isrc_failures"], self.as_of)
@@ -126,26 +141,21 @@ class Models:
         return queue.enrichment_queue(self.due)
 
     @cached_property
-    def context(self) -> DataFrame:
+    def track_context(self) -> DataFrame:
         return self.keep(
             "track_context",
             marts.track_context(
-                self.tracks,
-                self.credits,
-                self.matches,
-                self.latest_recordings,
-                self.latest_works,
-                self.as_of,
+                self.tracks, self.credits, self.matches, self.profiles, self.as_of
             ),
         )
 
     @cached_property
     def ready_tracks_base(self) -> DataFrame:
-        return self.keep("ready_tracks_base", marts.ready_tracks(self.context))
+        return self.keep("ready_tracks_base", marts.ready_tracks(self.track_context))
 
     @cached_property
     def entity_context_base(self) -> DataFrame:
-        return self.keep("entity_context_base", marts.entity_context(self.context))
+        return self.keep("entity_context_base", marts.entity_context(self.track_context))
 
     @cached_property
     def ready_tracks(self) -> DataFrame:
@@ -162,11 +172,17 @@ class Models:
 
     @cached_property
     def instrument_lists(self) -> DataFrame:
-        return marts.instrument_lists(self.matches, self.latest_recordings)
+        return marts.instrument_lists(self.matches, self.recording_documents)
 
     @cached_property
     def track_instruments(self) -> DataFrame:
-        return marts.track_instruments(self.matches, self.latest_recordings)
+        rows = marts.track_instruments(self.matches, self.recording_documents)
+        return self.keep("track_instruments", rows)
+
+    @cached_property
+    def artist_parts(self) -> DataFrame:
+        """What the next update starts from to know the artists."""
+        return self.keep("artist_parts", marts.artist_parts(self.credits, self.tracks))
 
     @cached_property
     def artist_stats(self) -> DataFrame:
@@ -178,11 +194,11 @@ class Models:
 
     @cached_property
     def isrc_duplicates(self) -> DataFrame:
-        return marts.isrc_duplicates(self.tracks)
+        return self.keep("isrc_duplicates", marts.isrc_duplicates(self.tracks))
 
     @cached_property
     def isrc_duplicate_albums(self) -> DataFrame:
-        return marts.isrc_duplicate_albums(self.tracks)
+        return self.keep("isrc_duplicate_albums", marts.isrc_duplicate_albums(self.tracks))
 
     def published(self, name: str) -> DataFrame:
         """A finished table by its published name."""

@@ -18,6 +18,7 @@ from cratewise.operators.skew import (
     attach,
     group_sizes,
     hot_groups,
+    splittable,
 )
 from cratewise.session import stored
 from cratewise.sources.documents import queued_tracks, work_links
@@ -43,11 +44,11 @@ def pending_tracks(
 ) -> DataFrame:
     """Coded tracks without candidates, or with a candidate that lacks its payload."""
     have = recording_payloads.select("recording_mbid").distinct().withColumn("has", F.lit(True))
-    # A recording matched by many tracks is a hot key of a many-to-one join, which AQE
-    # splits; the flags are then combined per track before their shuffle.
+    # A recording matched by many tracks is a hot key, which Spark cuts; the flags are then
+    # combined per track before their shuffle.
     known = (
         candidates.select("track_id", "recording_mbid")
-        .join(have, "recording_mbid", "left")
+        .join(splittable(have), "recording_mbid", "left")
         .groupBy("track_id")
         .agg(F.bool_and(F.coalesce("has", F.lit(False))).alias("complete"))
         .where("complete")
@@ -66,13 +67,13 @@ def pending_tracks(
 def retry_tracks(
     saved_tracks: DataFrame,
     candidates: DataFrame,
-    latest_recordings: DataFrame,
+    recordings: DataFrame,
     work_payloads: DataFrame,
 ) -> DataFrame:
     """Tracks with a candidate that links a work whose payload is missing."""
     incomplete = (
-        work_links(latest_recordings)
-        .join(work_payloads.select("work_mbid").distinct(), "work_mbid", "left_anti")
+        work_links(recordings)
+        .join(splittable(work_payloads.select("work_mbid").distinct()), "work_mbid", "left_anti")
         .select("recording_mbid")
         .distinct()
     )
@@ -82,7 +83,7 @@ def retry_tracks(
     return (
         candidates.where(is_filled(F.col("isrc")))
         .select("track_id", "recording_mbid", tidy_code(F.col("isrc")).alias("isrc"))
-        .join(incomplete, "recording_mbid", "left_semi")
+        .join(splittable(incomplete), "recording_mbid", "left_semi")
         .select("track_id", "isrc")
         .distinct()
         .join(added, "track_id")
@@ -126,7 +127,7 @@ def due(
     candidates: DataFrame,
     recording_payloads: DataFrame,
     work_payloads: DataFrame,
-    latest_recordings: DataFrame,
+    recordings: DataFrame,
     failures: DataFrame,
     as_of: dt.datetime,
 ) -> Queue:
@@ -139,7 +140,7 @@ def due(
     pending = asked(pending_tracks(saved_tracks, candidates, recording_payloads), failures, as_of)
     if not pending.codes.isEmpty():
         return pending
-    retries = retry_tracks(saved_tracks, candidates, latest_recordings, work_payloads)
+    retries = retry_tracks(saved_tracks, candidates, recordings, work_payloads)
     return asked(retries, failures, as_of)
 
 

@@ -71,12 +71,16 @@ _RELEASES = [
 def prepared(latest: DataFrame, attribute_fallback: bool = False) -> DataFrame:
     """Latest payloads with their document's lists cut out, cleaned and ordered.
 
-    Every table below selects from this one; what a table does not use is not computed.
+    Every table below selects from this one; what a table does not use is not computed. Rows
+    that were cut out already, and stored, are taken as they are: then no document is parsed
+    and only the nested columns that a table uses are read.
     Instruments are the distinct attributes of artist relations, in the present and the
     older layout. As published, only ``attribute-list`` is read and an attribute that is an
     object stays JSON text; ``attribute_fallback`` reads ``attributes`` where a relation
     has no list, and the name inside an object.
     """
+    if "payload_json" not in latest.columns:
+        return latest
     releases = f"""
         transform({filled("doc.`release-list`", "x.id")}, x -> struct(
             x.id, x.title, {safe_date("x.date")} as released, x.country, x.status,

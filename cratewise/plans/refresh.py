@@ -20,10 +20,11 @@ from cratewise.operators import quality, state
 from cratewise.plans import intake, queue
 from cratewise.plans.checks import not_null_checks, unique_checks
 from cratewise.plans.models import PUBLISHED, Models
+from cratewise.plans.update import KEPT, Touched, Update
 from cratewise.session import prepare, stored
 from cratewise.sources import documents, files
 from cratewise.sources.folders import Folder
-from cratewise.sources.tables import BucketedTables, Change, Tables, fill_counter
+from cratewise.sources.tables import Change, KeyedTables, Tables, empty, fill_counter
 
 PAGES = "page_no BIGINT, body STRING"
 ANSWERS = {
@@ -31,6 +32,8 @@ ANSWERS = {
     "recordings": "recording_mbid STRING, body STRING, error STRING",
     "works": "work_mbid STRING, body STRING, error STRING",
 }
+# What the landing tables are keyed by, for remembering what changed.
+KEYS = {"tracks": "track_id", "recordings": "recording_mbid", "works": "work_mbid"}
 
 
 class Refresh:
@@ -39,8 +42,10 @@ class Refresh:
         self.root = root.rstrip("/")
         self.as_of = as_of
         self.stamp = as_of.replace(tzinfo=dt.timezone.utc).isoformat()
-        self.landing = BucketedTables(spark, f"{self.root}/landing", buckets)
+        self.landing = KeyedTables(spark, f"{self.root}/landing", buckets)
         self.finished = Tables(spark, f"{self.root}/finished")
+        self.builds = f"{self.root}/builds"
+        self.changes = f"{self.root}/changes"
 
     def tables(self) -> dict[str, DataFrame]:
         """Current landing tables; absent ones are empty."""
@@ -80,6 +85,7 @@ class Refresh:
         tracks = documents.flatten_tracks(taken, self.stamp)
         artists = documents.flatten_track_artists(taken, self.stamp)
         keys = taken.select("track_id")
+        self._note(tracks=keys)
         rest = self.spark.createDataFrame(intake.gap_rows(left), intake.GAPS)
         self.landing.update(
             saved_tracks=Change(
@@ -145,9 +151,11 @@ class Refresh:
             rows = candidates.withColumns(
                 {"isrc": tidy_code(F.col("isrc")), "match_rank": F.col("match_rank").cast("int")}
             )
+            self._note(tracks=rows)
             merge("isrc_candidates", "track_id", rows)
         for name, key in (("recording_payloads", "recording_mbid"), ("work_payloads", "work_mbid")):
             if (payloads := new[name]) is not None:
+                self._note(**{name.replace("_payloads", "s"): payloads})
                 merge(name, key, payloads)
         if (failures := new["isrc_failures"]) is not None:
             changes["isrc_failures"] = Change(
@@ -160,19 +168,67 @@ class Refresh:
 
     def build(self) -> Models:
         """Store all finished tables and register them as views under their names."""
-        built = Tables(self.spark, f"{self.root}/built")
+        number = self._newest_build() + 1
+        return self._publish(Models(self.tables(), self.as_of, self._keep(number)), number)
 
-        def keep(name: str, df: DataFrame) -> DataFrame:
-            built.replace(**{name: df})
-            return built.read(name, _ddl(df))
+    def refresh(self) -> Models:
+        """The same from the last build: only keys touched since then are staged and joined.
+
+        Without a build, or after the tracks were cleared, everything is built.
+        """
+        last = self._newest_build()
+        if not last or Folder(self.spark, f"{self.changes}/all").exists():
+            return self.build()
+
+        def built(name: str) -> DataFrame:
+            return self.spark.read.parquet(f"{self.builds}/{last}/{name}")
 
-        models = Models(self.tables(), self.as_of, keep)
+        touched = Touched(**{kind: self._touched(kind) for kind in KEYS})
+        update = Update(built, self.tables(), touched, self.as_of, self._keep(last + 1))
+        return self._publish(update.models, last + 1)
+
+    def _publish(self, models: Models, number: int) -> Models:
+        for name in KEPT:
+            getattr(models, name)
         rows = {name: models.published(name) for name in PUBLISHED}
         self.finished.replace(**rows)
         for name, df in rows.items():
-            self.finished.read(name, _ddl(df)).createOrReplaceTempView(name)
+            self.finished.read(name, df.schema).createOrReplaceTempView(name)
+        # Only now the build is one to go on from, and the changes are done with.
+        Folder(self.spark, f"{self.builds}/{number}/_done").create()
+        Folder(self.spark, self.changes).delete()
+        if number > 2:
+            Folder(self.spark, f"{self.builds}/{number - 2}").delete()
         return models
 
+    def _keep(self, number: int):
+        """Store a table of a build and read it back; a build that died is written over."""
+
+        def keep(name: str, df: DataFrame) -> DataFrame:
+            path = f"{self.builds}/{number}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            return self.spark.read.schema(df.schema).parquet(path)
+
+        return keep
+
+    def _newest_build(self) -> int:
+        """The last build that was finished; 0 before the first."""
+        numbers = [int(name) for name in Folder(self.spark, self.builds).names()]
+        done = [n for n in numbers if Folder(self.spark, f"{self.builds}/{n}/_done").exists()]
+        return max(done, default=0)
+
+    def _note(self, **rows: DataFrame) -> None:
+        """Remember keys of a batch, before it is merged: a run that dies forgets none."""
+        for kind, df in rows.items():
+            keys = df.select(KEYS[kind]).distinct()
+            keys.write.mode("append").parquet(f"{self.changes}/{kind}")
+
+    def _touched(self, kind: str) -> DataFrame:
+        schema = f"{KEYS[kind]} STRING"
+        if not Folder(self.spark, f"{self.changes}/{kind}").exists():
+            return empty(self.spark, schema)
+        return self.spark.read.schema(schema).parquet(f"{self.changes}/{kind}")
+
     def check(self) -> dict[str, DataFrame]:
         """Data-quality reports over the registered tables and the landing tables."""
         stored = {name: self.spark.table(name) for name in PUBLISHED}
@@ -189,6 +245,7 @@ class Refresh:
 
     def clear_saved_tracks(self) -> bool:
         """Empty the saved tracks; False when there are none stored."""
+        Folder(self.spark, f"{self.changes}/all").create()
         return self.landing.clear("saved_tracks", schemas.SAVED_TRACKS)
 
     def _result(self, name: str, ddl: str) -> DataFrame | None:
@@ -201,7 +258,3 @@ class Refresh:
 
     def _result_path(self, name: str) -> str:
         return f"{self.root}/exchange/results/{name}"
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cratewise.functions.moments import strict_timestamp
 from cratewise.functions.text import tidy_code
-from cratewise.operators.ranking import best_match, latest_per_key
+from cratewise.operators.ranking import best_match, latest_per_key, newest_documents
 
 
 def saved_tracks(raw: DataFrame) -> DataFrame:
@@ -75,8 +76,27 @@ def match_map(candidates: DataFrame) -> DataFrame:
 
 
 def latest_payloads(payloads: DataFrame, key: str) -> DataFrame:
-    """The newest snapshot of every document."""
+    """The newest snapshot of every document; of equal times the greatest digest."""
     rows = payloads.select(
         key, "payload_json", strict_timestamp(F.col("last_seen_at")).alias("last_seen_at")
     )
-    return latest_per_key(rows, [key], "last_seen_at", [F.col("payload_json").desc_nulls_last()])
+    digest = F.md5(F.col("payload_json").cast("binary"))
+    return latest_per_key(rows, [key], "last_seen_at", [digest.desc_nulls_last()])
+
+
+def stored_latest_payloads(payloads: DataFrame, key: str) -> DataFrame:
+    """The same rows; those of a table read from files are chosen without moving a document."""
+    try:
+        payloads.select("_metadata.row_index")
+    except AnalysisException:
+        return latest_payloads(payloads, key)
+    rows = payloads.select(
+        key,
+        "payload_json",
+        strict_timestamp(F.col("last_seen_at")).alias("last_seen_at"),
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.row_index").alias("row_index"),
+    )
+    return newest_documents(
+        rows, [key], "last_seen_at", "payload_json", ["file_path", "row_index"]
+    )

@@ -22,7 +22,12 @@ WRITER_ROLES = ["writer", "composer", "lyricist", "librettist"]
 
 
 def prepared(latest: DataFrame) -> DataFrame:
-    """Latest payloads with their document's fields and its writers, each role once."""
+    """Latest payloads with their document's fields and its writers, each role once.
+
+    Rows that were cut out already, and stored, are taken as they are.
+    """
+    if "payload_json" not in latest.columns:
+        return latest
     roles = ", ".join(f"'{role}'" for role in WRITER_ROLES)
     artists = filled(relations_to("doc.`relation-list`", "artist"), "x.artist.id")
     writers = f"""

@@ -27,9 +27,10 @@ from cratewise.operators.ranking import best_match, keep_first, last_wins, lates
 from cratewise.plans import checks, queue, reports
 from cratewise.plans.models import PUBLISHED, Models
 from cratewise.plans.refresh import Refresh
+from cratewise.plans.update import Touched, Update
 from cratewise.session import prepare, shared_folder, stored
 from cratewise.sources import documents, files
-from cratewise.sources.tables import BucketedTables, Change, conform, fill_counter
+from cratewise.sources.tables import Change, KeyedTables, conform, fill_counter
 
 LATE = dt.datetime.fromisoformat(samples.LATE_STAMP).replace(tzinfo=None)
 
@@ -182,6 +183,53 @@ def isrc_duplicate_albums(spark, sf_dir):
     return models(spark, sf_dir).isrc_duplicate_albums
 
 
+def _updated(spark, sf_dir) -> Models:
+    """The tables after a batch of the newest tracks, from a build without them.
+
+    With them come the answers to their codes: the newest payloads of their recordings, and
+    the works that those name.
+    """
+    now = {name: stored(df) for name, df in landing(spark, sf_dir).all().items()}
+    added = F.try_to_timestamp("added_at")
+    newest = now["saved_tracks"].agg(F.max(added)).first()[0] or AS_OF
+    late = added >= F.lit(newest - dt.timedelta(days=14))
+    tracks = stored(now["saved_tracks"].where(late).select("track_id"))
+    answered = now["isrc_candidates"].join(tracks, "track_id", "left_semi")
+    answered = stored(answered.select("recording_mbid").distinct())
+    payloads = now["recording_payloads"].join(answered, "recording_mbid", "left_semi")
+    last_seen = payloads.groupBy("recording_mbid").agg(F.max("last_seen_at").alias("last_seen_at"))
+    works = stored(documents.work_links(payloads).select("work_mbid").distinct())
+    before = dict(now)
+    for name in ("saved_tracks", "track_artists", "isrc_candidates"):
+        before[name] = stored(now[name].join(tracks, "track_id", "left_anti"))
+    before["recording_payloads"] = stored(
+        now["recording_payloads"].join(last_seen, ["recording_mbid", "last_seen_at"], "left_anti")
+    )
+    before["work_payloads"] = stored(now["work_payloads"].join(works, "work_mbid", "left_anti"))
+    keep = lambda _, df: stored(df)
+    built = Models(before, AS_OF - dt.timedelta(days=3), keep)
+    touched = Touched(tracks, answered, works)
+    return Update(lambda name: getattr(built, name), now, touched, AS_OF, keep).models
+
+
+@query
+def refresh_delta(spark, sf_dir):
+    """Scored tracks brought up to date after a batch."""
+    return _updated(spark, sf_dir).entity_context
+
+
+@query
+def refresh_delta_artists(spark, sf_dir):
+    """Artist figures merged from stored parts after a batch."""
+    return _updated(spark, sf_dir).artist_stats
+
+
+@query
+def refresh_delta_albums(spark, sf_dir):
+    """Albums of repeated codes brought up to date after a batch."""
+    return _updated(spark, sf_dir).isrc_duplicate_albums
+
+
 # --- reports ------------------------------------------------------------------------
 
 
@@ -415,7 +463,7 @@ def lookup_failures(spark, sf_dir):
 
 @query
 def work_links(spark, sf_dir):
-    return documents.work_links(models(spark, sf_dir).latest_recordings)
+    return documents.work_links(models(spark, sf_dir).recording_documents)
 
 
 @query
@@ -550,7 +598,7 @@ def schema_evolution(spark, sf_dir):
 @query
 def stored_table(spark, sf_dir):
     """Saved tracks stored, cleared and stored again with a batch, then read back."""
-    tables = BucketedTables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", 8)
+    tables = KeyedTables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}", 8)
     saved = landing(spark, sf_dir)["saved_tracks"]
 
     def put(batch: DataFrame) -> None:
@@ -609,12 +657,30 @@ def run_summary(spark, sf_dir):
     return files.run_summary(landing(spark, sf_dir).all(), AS_OF, codes)
 
 
+def _built(spark, sf_dir) -> Models:
+    """Tables as a run builds them: what several of them read is stored once."""
+    rows = {name: stored(df) for name, df in landing(spark, sf_dir).all().items()}
+    return Models(rows, AS_OF, keep=lambda _, df: stored(df))
+
+
 def _published(spark, sf_dir):
-    """Finished tables; what several of them read is stored once."""
-    m = Models(landing(spark, sf_dir), AS_OF, keep=lambda _, df: stored(df))
+    """Finished tables of a build."""
+    m = _built(spark, sf_dir)
     return {name: m.published(name) for name in PUBLISHED}
 
 
+@query
+def built_recordings(spark, sf_dir):
+    """Recordings from stored documents, the newest chosen without moving any payload."""
+    return _built(spark, sf_dir).recordings
+
+
+@query
+def built_entity_context(spark, sf_dir):
+    """Scored tracks of a build, whose documents were parsed once."""
+    return _built(spark, sf_dir).entity_context
+
+
 @query
 def dq_not_null(spark, sf_dir):
     return checks.not_null_checks(_published(spark, sf_dir))

@@ -184,7 +184,12 @@ def lookup_failures(responses: DataFrame, failed_at: str) -> DataFrame:
 
 
 def work_links(payloads: DataFrame) -> DataFrame:
-    """Works linked from recording payloads, one row per link that carries an id."""
+    """Works linked from recording payloads, one row per link that carries an id.
+
+    Payloads may come as stored documents, whose works are cut out.
+    """
+    if "payload_json" not in payloads.columns:
+        return payloads.selectExpr("recording_mbid", "explode(works.id) as work_mbid")
     document = parsed("payload_json", schemas.RECORDING_DOCUMENT).alias("doc")
     relations = filled(relations_to("doc.`relation-list`", "work"), "x.work.id")
     return payloads.select("recording_mbid", document).selectExpr(

@@ -1,11 +1,9 @@
-"""Parquet tables of which several become current together.
+"""Parquet tables: finished ones, replaced as a whole and together, and keyed ones.
 
-A run writes new copies beside the old ones (``<root>/<table>/run=<n>``) and then one
+``Tables`` writes new copies beside the old ones (``<root>/<table>/run=<n>``) and then one
 marker (``<root>/_committed/<n>``). Readers take the newest copy that has a marker, so a
-run that dies half-way leaves every table as it was. One writer at a time is assumed.
-
-``Tables`` are replaced as a whole, ``BucketedTables`` bucket by bucket: a copy is then
-``run=<n>/bucket=<b>``, and each bucket has its own newest one.
+run that dies half-way leaves every table as it was. ``KeyedTables`` overwrites the
+partitions that a batch touches. One writer at a time is assumed.
 """
 
 from __future__ import annotations
@@ -15,11 +13,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from cratewise.session import stored
 from cratewise.sources.folders import Folder
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
+def empty(spark: SparkSession, schema: str | StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
@@ -45,7 +45,7 @@ class Tables:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def read(self, table: str, schema: str) -> DataFrame:
+    def read(self, table: str, schema: str | StructType) -> DataFrame:
         """Current rows; an empty table while none was stored."""
         run = self._newest(table)
         if run is None:
@@ -89,7 +89,7 @@ class Change:
 
     ``keys`` has the key values that the batch touches, in a column named as ``key`` or in
     what ``key_of`` makes of it; ``apply`` makes the new rows from the present ones of the
-    touched buckets.
+    touched partitions.
     """
 
     key: str
@@ -99,18 +99,19 @@ class Change:
     key_of: Callable[[Column], Column] = lambda column: column
 
 
-class BucketedTables(Tables):
-    """Tables dealt by a hash of their key into a fixed number of buckets.
+class KeyedTables:
+    """Tables partitioned by a hash of their key; a batch overwrites the partitions it touches.
 
-    A batch rewrites the buckets it touches. Of every bucket the newest committed copy and
-    the one before are kept, so a reader that has begun can end. The number of buckets is
-    fixed when the store begins: about as many as the largest table has times 10 GB.
+    New rows of all tables are stored beside them first, so input that does not parse changes
+    nothing. Then each table's partitions are overwritten, in the order in which the tables
+    are named. A run that dies between them is run again: keyed updates end alike, and a table
+    that must not be updated twice comes last. Partitions are fixed when the store begins:
+    about as many as the largest table has times 10 GB.
     """
 
-    VERSIONS = 2
-
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        super().__init__(spark, root)
+        self.spark = spark
+        self.root = root.rstrip("/")
         named = Folder(spark, f"{self.root}/_buckets").names()
         self.buckets = int(named[0]) if named else buckets
 
@@ -118,71 +119,38 @@ class BucketedTables(Tables):
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
     def read(self, table: str, schema: str, only: list[int] | None = None) -> DataFrame:
-        """Current rows, of all buckets or of some; an empty table while none was stored."""
-        copies = self._copies(table)
-        paths = [
-            f"{self.root}/{table}/run={runs[-1]}/bucket={bucket}"
-            for bucket, runs in sorted(copies.items())
-            if only is None or bucket in only
-        ]
-        if not paths:
+        """Rows of all partitions or of some; an empty table while none was stored."""
+        if not Folder(self.spark, f"{self.root}/{table}").exists():
             return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        rows = self.spark.read.schema(f"{schema}, bucket INT").parquet(f"{self.root}/{table}")
+        return (rows if only is None else rows.where(F.col("bucket").isin(only))).drop("bucket")
 
     def touched(self, change: Change) -> list[int]:
-        """Buckets of a change, at most as many as there are."""
+        """Partitions of a change, at most as many as there are."""
         bucket = self.bucket_of(change.key_of(F.col(change.key)))
         return sorted(row[0] for row in change.keys.select(bucket).distinct().collect())
 
     def update(self, **changes: Change) -> None:
-        """Rewrite the buckets that the changes touch; all become current together."""
-        run = self._next_run(changes)
+        """Overwrite the partitions that the changes touch."""
         Folder(self.spark, f"{self.root}/_buckets/{self.buckets}").create()
+        new = {}
         for name, change in changes.items():
             touched = self.touched(change)
             rows = change.apply(self.read(name, change.schema, touched))
             bucket = self.bucket_of(change.key_of(F.col(change.key)))
-            # Rebalanced by bucket: a large bucket comes in several files, a small one in one.
-            dealt = conform(rows, change.schema).withColumn("bucket", bucket)
-            dealt.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
-                f"{self.root}/{name}/run={run}"
-            )
-            for number in touched:
-                # A bucket that lost its last row is an empty copy.
-                Folder(self.spark, f"{self.root}/{name}/run={run}/bucket={number}").create()
-        self._commit(run)
-        for name in changes:
-            self._drop_old(name)
-
-    def replace(self, **tables: DataFrame) -> None:
-        raise TypeError("keyed tables change by update() or clear()")
+            new[name] = touched, stored(conform(rows, change.schema).withColumn("bucket", bucket))
+        for name, (touched, rows) in new.items():
+            # Rebalanced: a large partition comes in several files, a small one in one.
+            dealt = rows.hint("rebalance", "bucket").write.partitionBy("bucket").mode("overwrite")
+            dealt.option("partitionOverwriteMode", "dynamic").parquet(f"{self.root}/{name}")
+            # Only partitions with rows are overwritten; what lost its last row goes.
+            filled = {row[0] for row in rows.select("bucket").distinct().collect()}
+            for number in set(touched) - filled:
+                Folder(self.spark, f"{self.root}/{name}/bucket={number}").delete()
 
     def clear(self, table: str, schema: str) -> bool:
         """Empty a table; False when there is none."""
-        copies = self._copies(table)
-        if not copies:
+        if self.read(table, schema).isEmpty():
             return False
-        run = self._next_run([table])
-        for bucket in copies:
-            Folder(self.spark, f"{self.root}/{table}/run={run}/bucket={bucket}").create()
-        self._commit(run)
-        self._drop_old(table)
+        Folder(self.spark, f"{self.root}/{table}").delete()
         return True
-
-    def _copies(self, table: str) -> dict[int, list[int]]:
-        """Committed runs that hold each bucket, oldest first."""
-        found: dict[int, list[int]] = {}
-        for run in sorted(set(self._runs(table)) & set(self._runs("_committed"))):
-            for name in Folder(self.spark, f"{self.root}/{table}/run={run}").names():
-                if name.startswith("bucket="):
-                    found.setdefault(int(name.removeprefix("bucket=")), []).append(run)
-        return found
-
-    def _drop_old(self, table: str) -> None:
-        for bucket, runs in self._copies(table).items():
-            for run in runs[: -self.VERSIONS]:
-                Folder(self.spark, f"{self.root}/{table}/run={run}/bucket={bucket}").delete()
-        for run in set(self._runs(table)) & set(self._runs("_committed")):
-            folder = Folder(self.spark, f"{self.root}/{table}/run={run}")
-            if not any(name.startswith("bucket=") for name in folder.names()):
-                folder.delete()

@@ -1,6 +1,7 @@
 """Operators on small tables, each also with its hot-group way forced."""
 
 import itertools
+import hashlib
 import random
 
 import pytest
@@ -246,3 +247,36 @@ def test_fallback_union(rows, plan_of):
     assert as_set(fallback_union(a, b)) == [(1,)]
     assert as_set(fallback_union(a.where("x > 5"), b)) == [(2,), (3,)]
     assert "CartesianProduct" not in plan_of(fallback_union(a, b))
+
+
+def test_newest_documents_are_chosen_without_moving_them(spark, plan_of, tmp_path):
+    from cratewise.operators.ranking import newest_documents
+
+    data = [("a", 1, "old"), ("a", 2, "x"), ("a", 2, "y"), ("b", None, "only"), ("b", 1, None),
+            (None, 3, "n"), (None, 4, "m"), ("c", 5, None), ("c", 5, "filled")]
+    spark.createDataFrame(data, "k string, t int, doc string").repartition(3).write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t").selectExpr(
+        "*", "_metadata.file_path as file_path", "_metadata.row_index as row_index"
+    )
+    got = newest_documents(stored, ["k"], "t", "doc", ["file_path", "row_index"])
+    digest = lambda doc: hashlib.md5(doc.encode()).hexdigest()
+    tied = max(("x", "y"), key=digest)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(
+        map(str, [("a", 2, tied), ("b", 1, None), (None, 4, "m"), ("c", 5, "filled")])
+    )
+    plan = plan_of(got)
+    assert "Sort" not in plan and "hashpartitioning" not in plan
+
+
+def test_newest_documents_leave_many_rows_out_by_their_place(spark, tmp_path, monkeypatch):
+    from cratewise.operators import ranking
+
+    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 3)
+    spark.range(300).selectExpr("id % 20 as k", "id as t", "cast(id as string) as doc").write.parquet(
+        f"{tmp_path}/t"
+    )
+    stored = spark.read.parquet(f"{tmp_path}/t").selectExpr(
+        "*", "_metadata.file_path as file_path", "_metadata.row_index as row_index"
+    )
+    got = ranking.newest_documents(stored, ["k"], "t", "doc", ["file_path", "row_index"])
+    assert sorted(r["t"] for r in got.collect()) == list(range(280, 300))

@@ -260,3 +260,77 @@ def test_only_what_was_asked_for_is_loaded(spark, tmp_path, answers):
     run.collect_results(answers, queue_path)
     run.load_results()
     assert run.tables()["recording_payloads"].first()["payload_json"] == stored
+
+
+def published_rows(spark):
+    return {
+        name: sorted(str(r.asDict()) for r in spark.table(name).collect()) for name in PUBLISHED
+    }
+
+
+def test_a_refresh_gives_what_a_build_gives(spark, tmp_path, answers):
+    """Changed, new and emptied tracks, new answers for an old track, another day."""
+    root = str(tmp_path / "library")
+    run = Refresh(spark, root, dt.datetime(2001, 8, 10), buckets=2)
+    run.take_in(pages(tmp_path / "pages1", [
+        item("t3", "2001-08-05T00:00:00Z", "us2"),
+        item("t2", "2001-08-04T00:00:00Z", "us1", ("Cy",)),
+        item("t1", "2001-08-03T00:00:00Z", "us1", ("Ann", "Bob")),
+    ]))
+    run.refresh()  # nothing is built yet, so all is
+    assert spark.table("fct_playlist_ready_tracks").count() == 3
+    later = Refresh(spark, root, dt.datetime(2001, 8, 12), buckets=2)
+    later.collect_results(answers, later.export_queue())
+    later.load_results()
+    later.take_in(pages(tmp_path / "pages2", [
+        item("t4", "2001-08-11T00:00:00Z", "us1", ("Ann",)),
+        item("t3", "2001-08-05T00:00:00Z", "us3", ()),
+    ]))
+    for _ in range(2):  # the second time nothing is touched
+        later.refresh()
+        got = published_rows(spark)
+        assert not (tmp_path / "library" / "changes").exists()
+        numbers = {int(p.name) for p in (tmp_path / "library" / "builds").iterdir()}
+        assert len(numbers) == 2
+    later.build()
+    assert got == published_rows(spark)
+    ready = {r["track_id"]: r for r in spark.table("fct_playlist_ready_tracks").collect()}
+    assert ready["t1"]["mb_recording_title"] == 'One, "live"'
+    assert {r["artist_name"]: r["saved_track_count"] for r in spark.table("fct_artist_stats").collect()} == {
+        "Ann": 2, "Bob": 1, "Cy": 1
+    }
+    # After the tracks are cleared, everything is built again.
+    later.clear_saved_tracks()
+    later.refresh()
+    assert spark.table("fct_playlist_ready_tracks").isEmpty()
+
+
+def test_a_build_parses_every_payload_once(spark, tmp_path, answers, monkeypatch):
+    """Only the two tables of documents read payloads; all others read these."""
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
+    run.take_in(pages(tmp_path / "pages", [item("t1", "2001-08-03T00:00:00Z", "us1")]))
+    run.collect_results(answers, run.export_queue())
+    run.load_results()
+    plans = {}
+    real = Refresh._keep
+
+    def keep(self, number):
+        inner = real(self, number)
+
+        def record(name, df):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return inner(name, df)
+
+        return record
+
+    monkeypatch.setattr(Refresh, "_keep", keep)
+    models = run.build()
+    for name in PUBLISHED:
+        plans[f"published {name}"] = models.published(name)._jdf.queryExecution().executedPlan().toString()
+    assert {name for name, plan in plans.items() if "from_json" in plan} == {
+        "recording_documents", "work_documents"
+    }
+    # What an update parses are the rows of touched keys.
+    for name in ("recording_documents", "work_documents"):
+        choosing = plans[name][plans[name].index("from_json"):]
+        assert "Sort" not in choosing and "payload_json" in choosing

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cratewise import schemas
 from cratewise.operators import quality, state
 from cratewise.sources import files
-from cratewise.sources.tables import BucketedTables, Change, Tables, conform, fill_counter
+from cratewise.sources.tables import Change, KeyedTables, Tables, conform, fill_counter
 
 
 def test_upsert_is_idempotent_and_keeps_null_keys(rows):
@@ -136,8 +136,8 @@ def files_of(root):
     return {path: path.stat().st_mtime_ns for path in root.rglob("*.parquet")}
 
 
-def test_an_upsert_rewrites_the_buckets_it_touches(spark, rows, tmp_path):
-    tables = BucketedTables(spark, str(tmp_path), buckets=8)
+def test_an_upsert_overwrites_the_partitions_it_touches(spark, rows, tmp_path):
+    tables = KeyedTables(spark, str(tmp_path), buckets=8)
     schema = "k string, v int"
     assert tables.read("a", schema).count() == 0 and tables.clear("a", schema) is False
     data = [(f"k{n}", n) for n in range(100)] + [(None, 7)]
@@ -147,28 +147,41 @@ def test_an_upsert_rewrites_the_buckets_it_touches(spark, rows, tmp_path):
     after = files_of(tmp_path / "a")
     new = set(after) - set(before)
     assert new and len({path.parent.name for path in new}) == 1
+    # All other partitions are as they were, and nothing old is left of this one.
+    assert {path.parent.name for path in set(before) - set(after)} == {path.parent.name for path in new}
     assert all(after[path] == time for path, time in before.items() if path in after)
     got = dict(tuple(r) for r in tables.read("a", schema).collect())
     assert got == {**dict(data), "k1": 1000}
-    for n in range(4):
-        tables.update(a=merged(rows, [("k1", n)]))
-    copies = [path for path in (tmp_path / "a").glob("run=*/bucket=*") if path.parent.name]
-    by_bucket = [path.name for path in copies]
-    assert max(by_bucket.count(name) for name in by_bucket) == 2
-    assert tables.read("a", schema).count() == 101
-    # A store keeps the number of buckets it began with.
-    assert BucketedTables(spark, str(tmp_path), buckets=3).buckets == 8
-    # A run without its marker does not count.
-    rows([("x", 1, 0)], "k string, v int, bucket int").write.partitionBy("bucket").parquet(
-        f"{tmp_path}/a/run=99"
-    )
-    assert tables.read("a", schema).count() == 101
+    # A store keeps the number of partitions it began with.
+    assert KeyedTables(spark, str(tmp_path), buckets=3).buckets == 8
+    # A column added later reads as NULL.
+    assert tables.read("a", "k string, v int, w int").where("w is null").count() == 101
     assert tables.clear("a", schema) is True and tables.read("a", schema).count() == 0
+    assert tables.clear("a", schema) is False
     assert tables.read("b", schema).count() == 3
     tables.update(a=merged(rows, [("k5", 5)]))
     assert as_set(tables.read("a", schema)) == [("k5", 5)]
 
 
+def test_a_partition_that_loses_its_last_row_goes(spark, rows, tmp_path):
+    tables = KeyedTables(spark, str(tmp_path), buckets=4)
+    tables.update(a=merged(rows, [(f"k{n}", n) for n in range(10)]))
+    gone = rows([(f"k{n}",) for n in range(0, 10)], "k string")
+    change = Change("k", "k string, v int", gone, lambda now: now.where("k = 'k3'"))
+    tables.update(a=change)
+    assert as_set(tables.read("a", "k string, v int")) == [("k3", 3)]
+
+
+def test_rows_that_cannot_be_made_change_no_table(spark, rows, tmp_path):
+    tables = KeyedTables(spark, str(tmp_path), buckets=4)
+    tables.update(a=merged(rows, [("k1", 1)]), b=merged(rows, [("k1", 1)]))
+    broken = rows([("k1", "x")], "k string, v string").selectExpr("k", "cast(v as int) as v")
+    bad = Change("k", "k string, v int", broken.select("k"), lambda now: broken)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.update(a=merged(rows, [("k1", 2)]), b=bad)
+    assert as_set(tables.read("a", "k string, v int")) == [("k1", 1)]
+
+
 def test_broken_csv_rows_stop_the_query(spark, tmp_path):
     head = "recording_mbid,payload_json,last_seen_at\n"
     for name, line in (("comma", 'r1,{"title":"a","b"},t\n'), ("short", "r1,{}\n")):
@@ -242,3 +255,33 @@ def test_freshness_of_an_empty_table_is_an_error(rows, as_of):
 
 def test_row_count(rows):
     assert state.row_count(rows([(1,)], "x int").where(F.col("x") > 1)).first()[0] == 0
+
+
+MARKS = {
+    "exact": F.xxhash64,
+    # Nine marks for all keys: most rows are candidates without being in the batch.
+    "coarse": lambda *keys: F.pmod(F.xxhash64(*keys), F.lit(9)),
+}
+
+
+@pytest.mark.parametrize("few, marks", [(100, 100), (0, 100), (0, 0)])
+@pytest.mark.parametrize("mark", MARKS)
+def test_rows_of_other_keys_stay(rows, few, marks, mark):
+    target = rows([(None if i % 7 == 0 else f"k{i}", i) for i in range(60)], "k string, v int")
+    batch = rows([("k1",), ("k5",), ("k5",), (None,), ("new",)], "k string")
+    got = state.without_keys(target, batch, ["k"], few, marks, MARKS[mark])
+    assert sorted(r["v"] for r in got.collect()) == [i for i in range(60) if i not in (1, 5)]
+    assert got.columns == ["k", "v"]
+
+
+def test_what_cannot_be_in_the_batch_is_not_shuffled(spark, plan_of, tmp_path):
+    spark.range(0, 5000).selectExpr("concat('k', id) as k", "id").write.parquet(f"{tmp_path}/target")
+    target = spark.read.parquet(f"{tmp_path}/target")
+    batch = spark.range(100).selectExpr("concat('k', id) as k")
+    few = state.without_keys(target, batch, ["k"])
+    assert few.count() == 4900
+    assert "Exchange hashpartitioning" not in plan_of(few)
+    marked = state.without_keys(target, batch, ["k"], few=10)
+    marked.collect()
+    outside, candidates = plan_of(marked).split("Union", 1)[1].split("LeftSemi", 1)
+    assert "BroadcastHashJoin" in outside and "hashpartitioning" not in outside
