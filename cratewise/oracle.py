@@ -445,6 +445,26 @@ qualify duplicate_count > 1
 select isrc, count(*) as duplicate_count, min(added_at) as first_added_at,
   max(added_at) as latest_added_at
 from tracks where isrc is not null group by isrc having count(*) > 1
+""",
+    "isrc_duplicates_arrays": """
+select isrc as id, isrc,
+  to_json(list(album_name order by added_at desc nulls last, track_id))::varchar as album_names,
+  to_json(list(album_release_date order by added_at desc nulls last, track_id))::varchar
+    as album_release_dates,
+  count(*) as duplicate_occurrences
+from tracks group by isrc having count(*) > 1
+""",
+    "isrc_duplicate_text": """
+select isrc, count(*) as duplicate_count,
+  string_agg(concat(ifnull(track_name, '<unknown track>'), ' - ',
+    ifnull(primary_artist_name, '<unknown artist>'), ' (',
+    ifnull(album_name, '<unknown album>'), ', added ', added_at::varchar, ')'),
+    ' | ' order by added_at desc nulls last, concat(ifnull(track_name, '<unknown track>'), ' - ',
+    ifnull(primary_artist_name, '<unknown artist>'), ' (',
+    ifnull(album_name, '<unknown album>'), ', added ', added_at::varchar, ')'))
+    as duplicate_track_list,
+  min(added_at) as first_added_at, max(added_at) as latest_added_at
+from tracks where isrc is not null group by isrc having count(*) > 1
 """,
     "isrc_duplicate_lines": """
 select isrc, row_number() over (partition by isrc

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cratewise.functions.lists import joined
 from cratewise.functions.moments import days_until, or_never
 from cratewise.functions.text import normalize_label
-from cratewise.operators.lists import ordered_elements
+from cratewise.operators.lists import assembled, ordered_elements
 from cratewise.operators.skew import HOT_GROUP_ROWS, lookup, repeated_groups, splittable
 from cratewise.plans import recordings, works
 
@@ -341,6 +341,22 @@ def isrc_duplicate_albums(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) ->
     )
 
 
+def isrc_duplicate_arrays(albums: DataFrame) -> DataFrame:
+    """Codes saved more than once in the published shape, their albums as arrays, newest first.
+
+    ``albums`` is the table above. A group too large for a cell stops the query by name.
+    """
+    values = ["album_name", "album_release_date"]
+    lists = assembled(albums, ["isrc"], values)
+    return lists.select(
+        F.col("isrc").alias("id"),
+        "isrc",
+        F.col("elements.album_name").alias("album_names"),
+        F.col("elements.album_release_date").alias("album_release_dates"),
+        F.size("elements").cast("bigint").alias("duplicate_occurrences"),
+    )
+
+
 def _latest_update(*more: str) -> Column:
     times = [
         "spotify_updated_at",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cratewise.functions.moments import RETRY_AFTER, moment, safe_timestamp
 from cratewise.functions.text import first_listed, has_word, is_filled, join_parts, tidy_code
 from cratewise.operators.clusters import gap_clusters
-from cratewise.operators.lists import filled_elements, newest_filled
+from cratewise.operators.lists import assembled, filled_elements, newest_filled
 from cratewise.operators.ranking import keep_first, number_within
 from cratewise.operators.skew import HOT_GROUP_ROWS, repeated_groups
 from cratewise.plans.queue import MAX_NOT_FOUND
@@ -232,6 +232,18 @@ def isrc_duplicate_lines(tracks: DataFrame, hot_rows: int = HOT_GROUP_ROWS) -> D
     return lines.orderBy("isrc", "position")
 
 
+def isrc_duplicate_text(tracks: DataFrame) -> DataFrame:
+    """The codes saved more than once in the published shape: a line of text for each.
+
+    A text too large for a cell stops the query by its code.
+    """
+    lines = assembled(isrc_duplicate_lines(tracks), ["isrc"], ["track_line"])
+    text = F.array_join(F.col("elements.track_line"), " | ").alias("duplicate_track_list")
+    return isrc_duplicate_summary(tracks).join(lines.select("isrc", text), "isrc").select(
+        "isrc", "duplicate_count", "duplicate_track_list", "first_added_at", "latest_added_at"
+    )
+
+
 def request_metrics(
     tracks: DataFrame,
     queued: DataFrame,

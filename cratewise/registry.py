@@ -24,7 +24,7 @@ from cratewise.operators.lists import (
     ordered_elements,
 )
 from cratewise.operators.ranking import best_match, keep_first, last_wins, latest_per_key
-from cratewise.plans import checks, queue, reports
+from cratewise.plans import checks, marts, queue, reports
 from cratewise.plans.models import PUBLISHED, Models
 from cratewise.plans.refresh import Refresh
 from cratewise.plans.update import Touched, Update
@@ -287,6 +287,18 @@ def isrc_duplicate_summary(spark, sf_dir):
     return reports.isrc_duplicate_summary(models(spark, sf_dir).tracks)
 
 
+@query
+def isrc_duplicates_arrays(spark, sf_dir):
+    """Albums of repeated codes as arrays, here written as JSON."""
+    rows = marts.isrc_duplicate_arrays(models(spark, sf_dir).isrc_duplicate_albums)
+    return _as_json(rows, "album_names", "album_release_dates")
+
+
+@query
+def isrc_duplicate_text(spark, sf_dir):
+    return reports.isrc_duplicate_text(models(spark, sf_dir).tracks)
+
+
 @query
 def isrc_duplicate_lines(spark, sf_dir):
     return reports.isrc_duplicate_lines(models(spark, sf_dir).tracks)

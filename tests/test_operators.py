@@ -280,3 +280,25 @@ def test_newest_documents_leave_many_rows_out_by_their_place(spark, tmp_path, mo
     )
     got = ranking.newest_documents(stored, ["k"], "t", "doc", ["file_path", "row_index"])
     assert sorted(r["t"] for r in got.collect()) == list(range(280, 300))
+
+
+@pytest.mark.parametrize("block_rows", [3, 10_000])
+def test_elements_are_put_together_in_order(rows, block_rows):
+    from cratewise.operators.lists import assembled
+
+    data = [(k, i + 1, None if i % 4 == 0 else f"v{i}", i) for k in ("a", None) for i in range(25)]
+    random.shuffle(data)
+    elements = rows(data, "k string, position bigint, v string, n int")
+    got = {r["k"]: r["elements"] for r in assembled(elements, ["k"], ["v", "n"], block_rows).collect()}
+    expected = [(None if i % 4 == 0 else f"v{i}", i) for i in range(25)]
+    assert set(got) == {"a", None}
+    assert all([tuple(x) for x in listed] == expected for listed in got.values())
+
+
+def test_a_list_too_large_for_a_cell_is_named(rows):
+    from cratewise.operators.lists import assembled
+
+    data = [("small", 1, "x"), *[("large", i + 1, "x" * 50) for i in range(20)]]
+    elements = rows(data, "k string, position bigint, v string")
+    with pytest.raises(ValueError, match="large"):
+        assembled(elements, ["k"], ["v"], cell_bytes=500)

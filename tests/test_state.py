@@ -285,3 +285,26 @@ def test_what_cannot_be_in_the_batch_is_not_shuffled(spark, plan_of, tmp_path):
     marked.collect()
     outside, candidates = plan_of(marked).split("Union", 1)[1].split("LeftSemi", 1)
     assert "BroadcastHashJoin" in outside and "hashpartitioning" not in outside
+
+
+@pytest.mark.parametrize("few", [100, 0])
+def test_cells_whose_marks_clash_are_compared(rows, few):
+    """With three marks for all cells, every mark repeats; only equal cells count."""
+    data = [(f"a{i}", i % 5, None) for i in range(20)] + [("a1", None, "x"), ("a1", None, None)]
+    df = rows(data, "k string, v int, w string")
+    coarse = lambda cell: F.pmod(F.xxhash64(cell), F.lit(3))
+    for mark in (F.xxhash64, coarse):
+        got = quality.unique(df, "t", ["k", "v", "w"], mark, few)
+        assert as_set(got) == [("t", "k", 1), ("t", "v", 5), ("t", "w", 0)]
+    assert as_set(quality.unique(df.limit(0), "t", ["k"])) == [("t", "k", 0)]
+
+
+def test_no_text_is_shuffled_while_marks_are_counted(spark, monkeypatch, plan_of):
+    seen = []
+    real = quality.checkpointed
+    monkeypatch.setattr(quality, "checkpointed", lambda df: seen.append(df) or real(df))
+    df = spark.range(100).selectExpr("concat('text ', id) as k")
+    assert quality.unique(df, "t", ["k"]).first()["repeated_values"] == 0
+    (counted,) = seen
+    exchange = [line for line in plan_of(counted).splitlines() if "Exchange" in line]
+    assert exchange and dict(counted.dtypes) == {"column_no": "int", "mark": "bigint"}
