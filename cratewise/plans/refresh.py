@@ -32,6 +32,8 @@ ANSWERS = {
     "recordings": "recording_mbid STRING, body STRING, error STRING",
     "works": "work_mbid STRING, body STRING, error STRING",
 }
+# Columns of the result files that hold JSON documents.
+DOCUMENTS = ["payload_json", "isrc_response_json"]
 # What the landing tables are keyed by, for remembering what changed.
 KEYS = {"tracks": "track_id", "recordings": "recording_mbid", "works": "work_mbid"}
 
@@ -126,7 +128,8 @@ class Refresh:
         written = {}
         for name, df in found.items():
             path = self._result_path(name)
-            df.write.mode("overwrite").parquet(f"{path}.parquet")
+            folded = {x: files.one_line(F.col(x)) for x in DOCUMENTS if x in df.columns}
+            df.withColumns(folded).write.mode("overwrite").parquet(f"{path}.parquet")
             written[name] = self.spark.read.schema(df.schema).parquet(f"{path}.parquet")
             files.write_csv(written[name], f"{path}.csv")
         codes = documents.queued_tracks(queued).select("isrc")
@@ -253,7 +256,7 @@ class Refresh:
         if Folder(self.spark, f"{path}.parquet").exists():
             return self.spark.read.parquet(f"{path}.parquet")
         rows = files.read_csv(self.spark, f"{path}.csv", ddl)
-        # A CSV file is read by one task; what follows reads a copy.
+        # A CSV file may be read by one task; what follows reads a copy.
         return None if rows is None else stored(rows)
 
     def _result_path(self, name: str) -> str:

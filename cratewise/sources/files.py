@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratewise.functions.documents import STRICT
@@ -21,24 +22,42 @@ _WRITE = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
-_READ = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False, **STRICT}
+_READ = {"header": True, "escape": '"', "enforceSchema": False, **STRICT}
+
+# Marks a folder in whose files every record is one line.
+_ONE_LINE = "_one_line"
+
+
+def one_line(document: Column) -> Column:
+    """A JSON document without line ends, which it can hold only between its parts."""
+    return F.translate(document, "\r\n", "  ")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write with a header line, also when there are no rows."""
+    """Write with a header line, also when there are no rows.
+
+    Where no field holds a line end the folder is marked, so that its files are read in
+    splits; ``df`` is read twice for it.
+    """
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    broken = reduce(or_, [F.col(name).rlike("[\r\n]") for name in texts], F.lit(False))
     df.write.mode("overwrite").csv(path, **_WRITE)
+    if df.where(broken).isEmpty():
+        Folder(df.sparkSession, f"{path}/{_ONE_LINE}").create()
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """Rows of a file or folder with the columns of ``schema``; None when it is absent.
 
     Empty fields are NULL, quoted or not. A row with more or fewer fields than the header
-    stops the query.
+    stops the query. A file is read in splits if it is marked as having one line a record,
+    else by one task.
     """
     if not Folder(spark, path).exists():
         log.info("no file at %s, skipped", path)
         return None
-    return spark.read.csv(path, schema=schema, **_READ)
+    whole = not Folder(spark, f"{path}/{_ONE_LINE}").exists()
+    return spark.read.csv(path, schema=schema, multiLine=whole, **_READ)
 
 
 def export_queue(queue: DataFrame, path: str) -> None:

@@ -308,3 +308,29 @@ def test_no_text_is_shuffled_while_marks_are_counted(spark, monkeypatch, plan_of
     (counted,) = seen
     exchange = [line for line in plan_of(counted).splitlines() if "Exchange" in line]
     assert exchange and dict(counted.dtypes) == {"column_no": "int", "mark": "bigint"}
+
+
+def test_csv_of_one_line_records_is_read_in_splits(spark, rows, tmp_path):
+    data = [(f"r{i}", '{"a": "x, \\"y\\" \\n"}', " t ") for i in range(3000)]
+    df = rows(data, schemas.RECORDING_PAYLOADS).coalesce(1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for name, more, splits in (("plain", None, True), ("broken", ("r", "line\nend", None), False)):
+        whole = df.unionByName(rows([more], schemas.RECORDING_PAYLOADS)).coalesce(1) if more else df
+        path = f"{tmp_path}/{name}.csv"
+        files.write_csv(whole, path)
+        try:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+            back = files.read_csv(spark, path, schemas.RECORDING_PAYLOADS)
+            assert (back.rdd.getNumPartitions() > 1) is splits
+            assert as_set(back.na.fill("")) == as_set(whole.na.fill(""))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_documents_are_folded_to_one_line(rows):
+    df = rows([('{"a":\r\n 1,\n"b": "x\\\\n"}',)], "d string")
+    (text,) = df.select(files.one_line(F.col("d"))).first()
+    assert "\n" not in text and "\r" not in text
+    import json
+
+    assert json.loads(text) == json.loads(df.first()[0])
