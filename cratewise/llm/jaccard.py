@@ -3,15 +3,18 @@
 Documents with one set count once. Of small sets all subsets of the sizes that a link needs
 are enumerated: sets that share one are linked, no check needed, and linking each to the
 smallest set of that subset reaches all. For the others, inverted lists of rare shingles are
-scanned. Where to part is chosen by cost: subsets to write against list entries to read.
+scanned. Where to part is chosen by cost: subsets to write against list entries to read and
+the sets that these move. Only sets that share shingles have entries, so the boundary is 0
+where few short texts are alike, and above where many are.
 
 A list links its members through a hub, so a group of copies costs its size, not its
 square. What a hub leaves open (members in different classes) is settled from the members'
 exact overlaps with the hub: they bound the overlap of any two, and only pairs that the bound
 allows are compared. No pair that could be linked is left out.
 
-Shingles are 64-bit hashes of their words and sets 64-bit hashes of their shingles; two of n
-texts are taken for each other by chance with a probability of about n * n / 2^65.
+Shingles are 64-bit hashes of their words and sets 64-bit hashes of their shingles. Between
+chunks a shingle is told by 48 bits and its bucket, 48 + log2(buckets) bits b in all: two of n
+shingles are taken for each other by chance with a probability of about n * n / 2^(b + 1).
 """
 
 from __future__ import annotations
@@ -46,6 +49,9 @@ NEED, OF = 3, 7
 SMALL = 12
 CHUNK_BYTES = 8 << 20
 BLOCK_ROWS = 512
+# Numbers in a row of a subset; in those of a list entry and of the pair it makes.
+SUBSET_COST = 4
+ENTRY_COST = 10
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
@@ -449,7 +455,11 @@ def heavy_links(found: DataFrame, most: int) -> DataFrame:
 
 
 def choose_boundary(small: dict[int, tuple[int, int]], small_max: int) -> int:
-    """The size up to which sets are enumerated, from {size: (sets, list entries)}."""
+    """The size up to which sets are enumerated, from {size: (sets, list entries)}.
+
+    Costs are numbers moved. A subset is a row of SUBSET_COST. A list entry is a row of
+    ENTRY_COST, and its set meets the hub with the shingles of both.
+    """
 
     def cost(most: int) -> int:
         subsets = sum(
@@ -457,7 +467,8 @@ def choose_boundary(small: dict[int, tuple[int, int]], small_max: int) -> int:
             for n in range(1, most + 1)
             for size in subset_sizes(n, most)
         )
-        return subsets + sum(entries for n, (_, entries) in small.items() if n > most)
+        lists = sum((ENTRY_COST + 2 * n) * entries for n, (_, entries) in small.items() if n > most)
+        return SUBSET_COST * subsets + lists
 
     return min(range(small_max + 1), key=lambda most: (cost(most), most))
 

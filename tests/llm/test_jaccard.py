@@ -82,6 +82,31 @@ def test_small_sets_by_subsets_alone(documents, monkeypatch):
     assert result(documents(rows)) == brute(rows)
 
 
+def short_copies(groups, alone):
+    """Texts of seven and eight words, alike in groups of three, and others like none."""
+    rows = []
+    for g in range(groups):
+        words = [f"g{g}w{i}" for i in range(8)]
+        for own in (words, words[:7], words[1:]):
+            rows.append((len(rows), " ".join(own)))
+    return rows + [(len(rows) + i, " ".join(f"a{i}w{j}" for j in range(7 + i % 2))) for i in range(alone)]
+
+
+@pytest.mark.parametrize("groups, alone, low, high", [(60, 5, 3, 12), (3, 400, 0, 0)])
+def test_the_boundary_follows_the_table(documents, monkeypatch, groups, alone, low, high):
+    """Many short texts alike are enumerated, a few among many are scanned."""
+    chosen = []
+    real = jaccard.choose_boundary
+    monkeypatch.setattr(
+        jaccard, "choose_boundary", lambda *x: chosen.append(real(*x)) or chosen[-1]
+    )
+    rows = short_copies(groups, alone) + [
+        (10_000 + i, text) for i, (_, text) in enumerate(near_copies(5, 6, (2, 5), (20, 40), (0, 2)))
+    ]
+    assert result(documents(rows)) == brute(rows)
+    assert low <= chosen[0] <= high
+
+
 def test_links_at_the_limit(documents):
     # 11 words have 7 shingles; 10 of them have 6, 9 have 5 ...: 6 / 7 and 5 / 7.
     text = [f"w{i}" for i in range(11)]
