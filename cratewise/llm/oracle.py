@@ -167,10 +167,10 @@ from words left join kept using (row_no)
 ORACLE_SQL["op12_embedding_near_dedup"] = r"""
 with recursive vectors as (
   select row_number() over () as row_no, vec_id, embedding::double[] as v from embeddings
-), sound as (
+), sound as materialized (
   select * from vectors
-  where len(v) > 0 and len(list_filter(v, x -> x is null or not isfinite(x))) = 0
-    and len(list_filter(v, x -> x <> 0)) > 0
+  where len(v) > 0 and len([x for x in v if x is null or not isfinite(x)]) = 0
+    and len([x for x in v if x <> 0]) > 0
 ), links as (
   select a.row_no as a, b.row_no as b from sound a join sound b
   on a.row_no <> b.row_no and len(a.v) = len(b.v)
