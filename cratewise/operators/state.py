@@ -40,14 +40,14 @@ def without_keys(
     listed = checkpointed(batch.select(*keys).distinct())
     n = listed.count()
     if n <= few:
-        return target.join(F.broadcast(listed), keys, "left_anti")
+        return target.join(F.broadcast(listed), keys, "left_anti").select(target.columns)
     if n > marks:
-        return target.join(listed, keys, "left_anti")
+        return target.join(listed, keys, "left_anti").select(target.columns)
     marked = target.withColumn("__mark", mark(*keys))
     known = F.broadcast(listed.select(mark(*keys).alias("__mark")))
     outside = marked.join(known, "__mark", "left_anti")
     candidates = marked.join(known, "__mark", "left_semi").join(listed, keys, "left_anti")
-    return outside.unionByName(candidates).drop("__mark")
+    return outside.unionByName(candidates).select(target.columns)
 
 
 def upsert_by_key(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

@@ -51,7 +51,7 @@ class Touched:
 def only(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows of the given keys; few keys meet the rows where these lie."""
     few = keys.count() <= BROADCAST_ROWS
-    return rows.join(F.broadcast(keys) if few else keys, key, "left_semi")
+    return rows.join(F.broadcast(keys) if few else keys, key, "left_semi").select(rows.columns)
 
 
 def _keys(*columns: DataFrame) -> DataFrame:
@@ -204,11 +204,28 @@ class Update:
         return _Updated(self)
 
 
+def _taken(name: str) -> property:
+    return property(lambda self: getattr(self.update, name))
+
+
 class _Updated(Models):
+    """The tables of an update; what it does not know follows from what it does."""
+
     def __init__(self, update: Update):
         super().__init__(update.landing, update.as_of, update.keep)
         self.update = update
 
+    tracks = _taken("tracks")
+    credits = _taken("credits")
+    matches = _taken("matches")
+    recording_documents = _taken("recording_documents")
+    work_documents = _taken("work_documents")
+    profiles = _taken("profiles")
+    track_instruments = _taken("track_instruments")
+    artist_parts = _taken("artist_parts")
+    isrc_duplicates = _taken("isrc_duplicates")
+    isrc_duplicate_albums = _taken("isrc_duplicate_albums")
+
     @cached_property
     def track_context(self) -> DataFrame:
         return marts.aged(self.update.track_context, self.as_of)
@@ -216,8 +233,3 @@ class _Updated(Models):
     @cached_property
     def artist_stats(self) -> DataFrame:
         return marts.merged_artist_stats(self.artist_parts)
-
-
-for _name in KEPT:
-    if _name != "track_context":
-        setattr(_Updated, _name, property(lambda self, name=_name: getattr(self.update, name)))
