@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -57,6 +58,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no DataFrame refers to any more.
+
+    They go when the driver collects their owners, of itself once in half an hour. Worth
+    asking for between two steps that each shuffle about as much as the input.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and return what reads it back.
 
