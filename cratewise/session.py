@@ -6,6 +6,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,8 +65,11 @@ def release(spark: SparkSession) -> None:
     They go when the driver collects their owners, of itself once in half an hour. Worth
     asking for between two steps that each shuffle about as much as the input.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    # What Python lets go of reaches the JVM with a later call, so the first round is not enough.
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def stored(df: DataFrame) -> DataFrame:
