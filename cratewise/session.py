@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import shutil
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +24,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings above to a running session and return it."""
@@ -53,23 +53,21 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and return the stored copy, lineage cut."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+def checkpointed(df: DataFrame, release: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return the stored copy, lineage cut.
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no DataFrame refers to any more.
-
-    They go when the driver collects their owners, of itself once in half an hour. Worth
-    asking for between two steps that each shuffle about as much as the input.
+    With ``release`` the shuffle files it was made from are deleted with the end of the job,
+    not when the driver happens to collect their owners; for steps that shuffle about as much
+    as the input.
     """
-    # What Python lets go of reaches the JVM with a later call, so the first round is not enough.
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
+    conf = df.sparkSession.conf
+    shared_folder(df.sparkSession)
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true" if release else before)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def stored(df: DataFrame) -> DataFrame:
