@@ -41,7 +41,7 @@ from cratewise.llm.words import (
     split_words,
 )
 from cratewise.operators.skew import splittable
-from cratewise.session import checkpointed, release
+from cratewise.session import checkpointed
 
 SHINGLE = 5
 # A link: intersection / union of at least 3/4, so 7 * overlap >= 3 * (both sizes).
@@ -323,7 +323,7 @@ def list_candidates(docs: DataFrame, shingle: int) -> DataFrame:
     entries = docs.select("text").mapInArrow(_entries(buckets, shingle), _ENTRIES)
     shared = entries.groupBy("bucket").applyInArrow(_shared, _SHARED)
     found = shared.groupBy("chunk").applyInArrow(_candidates(buckets), _CANDIDATES)
-    return checkpointed(found.dropDuplicates(["set_id"]))
+    return checkpointed(found.dropDuplicates(["set_id"]), release=True)
 
 
 _PAIR = ["a", "b", "a_n", "b_n", "a_s", "b_s"]
@@ -497,8 +497,6 @@ def jaccard_classes(docs: DataFrame, shingle: int = SHINGLE, small: int = SMALL)
         )
     )
     found = list_candidates(docs, shingle)
-    # The shuffles of all shingles are done with.
-    release(docs.sparkSession)
     sizes = sets.where(F.col("n") <= small).groupBy("n").agg(F.count(F.lit(1)).alias("sets"))
     entries = found.where(F.col("n") <= small).groupBy("n").agg(F.sum(F.size("prefix")).alias("entries"))
     counted = sizes.join(entries, "n", "left").collect()  # a row per small size
