@@ -119,3 +119,36 @@ def test_an_id_on_many_rows_teaches_once(documents, labels, monkeypatch):
     monkeypatch.setattr(toxicity_module, "train", lambda ids, counts, *_: taught.append(len(counts)) or train(ids, counts, *_))
     assert toxicity(documents(many + docs), labels(known)).count() == len(many) + len(docs)
     assert 0 < taught[0] <= len(docs)
+
+
+def test_all_labelled_rows_teach_beyond_what_the_driver_learns(documents, labels, monkeypatch):
+    """Insults of a kind that few texts have, more texts than the driver takes."""
+    docs, known = made(7, 1600)
+    truth = {i: toxic for i, toxic, _ in known}
+    # One id on many rows, of which one teaches.
+    many = [(8, f"{docs[8][1]} {i % 3}", ["xx", "yy", None][i % 2]) for i in range(300)]
+    monkeypatch.setattr(toxicity_module, "SAMPLE", {1: 40, 0: 60})
+    learned = []
+    monkeypatch.setattr(toxicity_module, "train", lambda *_: pytest.fail("learned from a part"))
+
+    def all_features(docs, known):
+        rows = all_of(docs, known)
+        learned.append(rows.count())
+        return rows
+
+    all_of = toxicity_module._all_features
+    monkeypatch.setattr(toxicity_module, "_all_features", all_features)
+    rows = toxicity(documents(docs + many), labels(known)).withColumn("out", held_out()).collect()
+    out = [r for r in rows if r.out]
+    taught = {r.doc_id for r in rows if not r.out}
+    assert learned == [len(taught)] and len(rows) == len(docs) + len(many)
+    assert sum(r.predicted == truth[r.doc_id] for r in out) / len(out) > 0.95
+    again = toxicity(documents(docs + many), labels(known)).collect()
+    score = {(r.doc_id, round(r.score, 6)) for r in rows}
+    assert score == {(r.doc_id, round(r.score, 6)) for r in again}
+
+
+def test_one_class_beyond_what_the_driver_learns(documents, labels, monkeypatch):
+    monkeypatch.setattr(toxicity_module, "SAMPLE", {1: 2, 0: 2})
+    one = toxicity(documents([(i, "a b") for i in range(40)]), labels([(i, 1, 0) for i in range(40)]))
+    assert {r.score for r in one.collect()} == {1.0}
