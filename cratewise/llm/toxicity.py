@@ -52,9 +52,11 @@ SEEN = 5
 SCORE_BYTES = 1 << 18
 # Every so many-th text is left for the calibration.
 CALIBRATE = 5
-# Where texts are learned where they lie: rounds at least, words of a batch, buckets of a block
-# of the state, and groups of scores (per logit) among which thresholds are looked for.
-LEAST_ROUNDS = 3
+# Where texts are learned where they lie: rounds at least, texts and words of a batch (small ones,
+# as a task takes few steps a round), buckets of a block of the state, and groups of scores (per
+# logit) among which thresholds are looked for.
+LEAST_ROUNDS = 6
+BATCH_TEXTS = 16
 BATCH_WORDS = 1 << 16
 BLOCK = 1 << 13
 BINS = 256
@@ -199,13 +201,13 @@ class Fit:
         self.squares[name] = self.squares[name] + gradient**2
         self.values[name] = self.values[name] - 0.1 * gradient / np.sqrt(self.squares[name])
 
-    def epoch(self, ids, counts, labels, random, most_words: int | None = None) -> None:
-        """Gradient steps through the maxima, over batches of about 64 texts.
+    def epoch(self, ids, counts, labels, random, texts=64, most_words: int | None = None) -> None:
+        """Gradient steps through the maxima, over batches of about so many texts.
 
         With ``most_words`` a batch of more words is cut, down to one text.
         """
         starts = np.cumsum(counts) - counts
-        for batch in np.array_split(random.permutation(len(counts)), max(1, len(counts) // 64)):
+        for batch in np.array_split(random.permutation(len(counts)), max(1, len(counts) // texts)):
             if most_words is None:
                 self._batch(ids, starts, counts, labels, batch)
                 continue
@@ -609,7 +611,7 @@ def _round(shared, number: int):
         for batch in batches:
             ids, counts, labels = _arrays(batch)
             if len(counts):
-                fit.epoch(ids, counts, labels, random, BATCH_WORDS)
+                fit.epoch(ids, counts, labels, random, BATCH_TEXTS, BATCH_WORDS)
                 texts += len(counts)
         if not texts:
             return
