@@ -281,9 +281,16 @@ def frequent_phrases(
     if not n_words:
         return words, totals, phrases
     bits = max(1, (n_words - 1).bit_length())
-    # A chunk's list is bounded by its bytes.
-    known = listed.select("chunk", "code", "lang", "word").join(words.drop("n"), ["lang", "word"])
-    known = known.groupBy("chunk").agg(F.collect_list(F.struct("code", "id")).alias("known"))
+    # One row per entry of a chunk, whether its word is frequent or not: words have one row each.
+    # A chunk's list is bounded by its bytes; entries without an id are left out of it.
+    entry = F.when(F.col("id").isNotNull(), F.struct("code", "id"))
+    known = (
+        listed.select("chunk", "code", "lang", "word")
+        .join(words.drop("n"), ["lang", "word"], "left")
+        .groupBy("chunk")
+        .agg(F.collect_list(entry).alias("known"))
+        .where(F.size("known") > 0)
+    )
     bodies = chunks.select("chunk", F.size("words").alias("n_words"), "wide", "body")
     encoded = stored(
         bodies.join(known, "chunk")

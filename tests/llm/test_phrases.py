@@ -107,3 +107,24 @@ def test_scores_beyond_64_bits(spark):
     row = spark.sql("select 40000000000L as a, 900000000000L as total, 50000000000L as l, 60000000000L as r")
     a, n, left, right = row.first()
     assert row.selectExpr(phrases._score()).first()[0] == 1000 * a * n // (left * right)
+
+
+def test_rows_of_the_word_join_follow_the_entries(documents, monkeypatch):
+    """As many rows as entries of chunks, however many words are frequent; same phrases."""
+    from cratewise.llm import phrases
+
+    plans, store = [], phrases.stored
+
+    def spied(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(phrases, "stored", spied)
+    # The second text has no frequent word: its chunk gives nothing.
+    docs = documents([(1, "a b " * 6, "xx"), (2, "c d e", "xx"), (3, "a b", None)], partitions=3)
+    words, _, found = phrases.frequent_phrases(docs, least=3, longest=3)
+    assert sorted(r.word for r in words.collect()) == ["a", "b"]
+    # a, b, a b, b a, a b a, b a b
+    assert sorted(r.f for r in found.collect()) == [5, 5, 5, 6, 6, 6]
+    encoded = next(p for p in plans if "_frequent_only" in p or "run" in p and "known" in p and "body" in p)
+    assert "Join LeftOuter, ((lang" in encoded
