@@ -47,6 +47,15 @@ def gap_rows(gaps: list[Gap]) -> list[tuple[str | None, str | None]]:
     return [(text(gap.above), text(gap.below)) for gap in gaps]
 
 
+def open_items(items: DataFrame, gaps: list[Gap]) -> DataFrame:
+    """Items that lie in a gap or have no date."""
+    time = added_time(F.col("added_at"))
+    inside = time.isNull()
+    for gap in gaps:
+        inside = inside | gap.holds(time)
+    return items.where(inside)
+
+
 def wanted_items(items: DataFrame, gaps: list[Gap], saved: DataFrame) -> DataFrame:
     """Items that lie in a gap or have no date, with ``is_new``.
 
@@ -54,15 +63,12 @@ def wanted_items(items: DataFrame, gaps: list[Gap], saved: DataFrame) -> DataFra
     changes nothing or brings what changed since, and does not count against a cap.
     """
     time = added_time(F.col("added_at"))
-    inside = time.isNull()
-    for gap in gaps:
-        inside = inside | gap.holds(time)
     known = saved.select(
         "track_id", F.col("added_at").alias("known_at"), F.lit(True).alias("is_known")
     )
     same = F.col("is_known") & added_time(F.col("known_at")).eqNullSafe(time)
     return (
-        items.where(inside)
+        open_items(items, gaps)
         .join(known, "track_id", "left")
         .withColumn("is_new", ~F.coalesce(same, F.lit(False)))
         .drop("known_at", "is_known")
@@ -71,8 +77,8 @@ def wanted_items(items: DataFrame, gaps: list[Gap], saved: DataFrame) -> DataFra
 
 def take(
     wanted: DataFrame, gaps: list[Gap], max_tracks: int | None, complete: bool
-) -> tuple[DataFrame, list[Gap]]:
-    """The items to store now, and the gaps left after them.
+) -> tuple[Column, list[Gap]]:
+    """Which items, by their place, are left for a later run, and the gaps after this one.
 
     With a cap, items are taken in input order up to the one that brings the
     ``max_tracks``-th new track. ``complete`` says that the pages go down to the oldest
@@ -105,8 +111,8 @@ def take(
     kept = [gap for gap in rest if gap and (gap.above is None or gap.above <= gap.below)]
     if top is None:
         # Nothing dated was seen: all is still open.
-        return wanted.where(~beyond), [Gap(None, None)]
-    return wanted.where(~beyond), [Gap(top, None), *kept]
+        return beyond, [Gap(None, None)]
+    return beyond, [Gap(top, None), *kept]
 
 
 def _below(gap: Gap, time: dt.datetime) -> Gap | None:

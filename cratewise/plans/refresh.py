@@ -74,29 +74,32 @@ class Refresh:
         ``max_tracks`` caps the new tracks of this run; the next run goes on from there.
         ``complete`` says that the pages go down to the oldest track.
         """
-        # Everything below reads these items; the pages are parsed once.
-        items = stored(documents.page_items(pages))
+        gaps = intake.read_gaps(self.landing.read("intake_gaps", intake.GAPS))
+        gaps = gaps or [intake.Gap(self.high_water_mark(), None)]
+        # Everything below reads these items; the pages are parsed once, and of what earlier
+        # runs have read nothing is stored again.
+        items = stored(intake.open_items(documents.page_items(pages), gaps))
         reached = Change("track_id", schemas.SAVED_TRACKS, items.select("track_id"), lambda x: x)
         saved = self.landing.read(
             "saved_tracks", schemas.SAVED_TRACKS, self.landing.touched(reached)
         )
-        gaps = intake.read_gaps(self.landing.read("intake_gaps", intake.GAPS))
-        gaps = gaps or [intake.Gap(self.high_water_mark(), None)]
-        wanted = stored(intake.wanted_items(items, gaps, saved))
-        taken, left = intake.take(wanted, gaps, max_tracks, complete)
+        # Tracks stay where they lie: only keys, dates and places meet the saved tracks.
+        wanted = stored(intake.wanted_items(items.drop("track"), gaps, saved))
+        beyond, left = intake.take(wanted, gaps, max_tracks, complete)
+        taken = items.where(~beyond)
         tracks = documents.flatten_tracks(taken, self.stamp)
         artists = documents.flatten_track_artists(taken, self.stamp)
-        keys = taken.select("track_id")
+        keys = stored(taken.select("track_id").distinct())
         self._note(tracks=keys)
         rest = self.spark.createDataFrame(intake.gap_rows(left), intake.GAPS)
         self.landing.update(
             saved_tracks=Change(
                 "track_id", schemas.SAVED_TRACKS, keys,
-                lambda now: state.upsert_by_key(now, tracks, ["track_id"]),
+                lambda now: state.replace_children(now, keys, tracks, "track_id"),
             ),
             track_artists=Change(
                 "track_id", schemas.TRACK_ARTISTS, keys,
-                lambda now: state.replace_children(now, tracks, artists, "track_id"),
+                lambda now: state.replace_children(now, keys, artists, "track_id"),
             ),
             # A few rows in one bucket.
             intake_gaps=Change("above", intake.GAPS, rest, lambda _: rest, lambda _: F.lit("gaps")),

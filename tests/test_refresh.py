@@ -190,6 +190,52 @@ def test_pages_are_parsed_once(spark, tmp_path, monkeypatch, plan_of):
     assert len(seen) == 1 and "from_json" not in plan_of(seen[0])
 
 
+def test_tracks_of_pages_are_stored_once(spark, tmp_path, monkeypatch):
+    """Whole tracks are written once a run, and only those that no earlier run has read."""
+    from cratewise.plans import refresh
+
+    seen = []
+    real = refresh.stored
+
+    def noted(df):
+        kept = real(df)
+        if "track" in kept.columns:
+            seen.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(refresh, "stored", noted)
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
+    contents = newest_first(20)
+    for _ in range(3):
+        run.take_in(pages(tmp_path / "pages", *contents), max_tracks=12)
+    assert len(saved_ids(run)) == 20
+    # The last item of the first run and the newest one are looked at again.
+    assert len(seen) == 3 and seen[0] == 20 and seen[1] < 12 and seen[2] < 4
+
+
+def test_sample_pages_deal_lines_once_and_are_read_from_a_folder(
+    spark, sf_dir, monkeypatch, plan_of
+):
+    from cratewise import registry, samples
+
+    plan = plan_of(samples.saved_track_pages(spark, sf_dir))
+    assert plan.count("hashpartitioning(l_orderkey") == 1
+    assert plan.count("orders.parquet") == 1
+    seen = []
+    monkeypatch.setattr(
+        registry.Refresh, "take_pages", lambda run, pages, max_tracks: seen.append(plan_of(pages))
+    )
+    registry.QUERIES["intake_resumed"](spark, sf_dir)
+    assert len(seen) == 3 and not any("Exchange" in plan or "to_json" in plan for plan in seen)
+
+
+def test_item_without_track_may_have_any_date(spark, tmp_path):
+    run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
+    odd = {"added_at": "no date", "track": None}
+    run.take_in(pages(tmp_path / "pages", [item("t1", "2001-08-01T00:00:00Z", "us1"), odd]))
+    assert saved_ids(run) == ["t1"]
+
+
 def test_broken_input_stops_the_run_and_changes_nothing(spark, tmp_path, answers):
     root = tmp_path / "library"
     run = Refresh(spark, str(root), dt.datetime(2001, 8, 10), buckets=2)
