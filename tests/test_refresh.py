@@ -229,6 +229,20 @@ def test_sample_pages_deal_lines_once_and_are_read_from_a_folder(
     assert len(seen) == 3 and not any("Exchange" in plan or "to_json" in plan for plan in seen)
 
 
+@pytest.mark.parametrize("name", ["built_entity_context", "refresh_delta"])
+def test_table_asked_for_is_stored_by_the_caller_only(spark, sf_dir, monkeypatch, name):
+    from cratewise import registry
+
+    seen = []
+    real = registry.stored
+    monkeypatch.setattr(registry, "stored", lambda df: seen.append(df.columns) or real(df))
+    rows = registry.QUERIES[name](spark, sf_dir)
+    assert "auto_playlist_score" in rows.columns
+    assert not any("auto_playlist_score" in columns for columns in seen)
+    # What it is made from is stored.
+    assert any("credit_line" in columns for columns in seen)
+
+
 def test_item_without_track_may_have_any_date(spark, tmp_path):
     run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
     odd = {"added_at": "no date", "track": None}
