@@ -21,7 +21,7 @@ from cratewise.plans import intake, queue
 from cratewise.plans.checks import not_null_checks, unique_checks
 from cratewise.plans.models import PUBLISHED, Models
 from cratewise.plans.update import KEPT, Touched, Update
-from cratewise.session import prepare, stored
+from cratewise.session import copied, prepare, stored
 from cratewise.sources import documents, files
 from cratewise.sources.folders import Folder
 from cratewise.sources.tables import Change, KeyedTables, Tables, empty, fill_counter
@@ -211,9 +211,7 @@ class Refresh:
         """Store a table of a build and read it back; a build that died is written over."""
 
         def keep(name: str, df: DataFrame) -> DataFrame:
-            path = f"{self.builds}/{number}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            return self.spark.read.schema(df.schema).parquet(path)
+            return copied(df, f"{self.builds}/{number}/{name}", "overwrite")
 
         return keep
 

@@ -243,6 +243,55 @@ def test_table_asked_for_is_stored_by_the_caller_only(spark, sf_dir, monkeypatch
     assert any("credit_line" in columns for columns in seen)
 
 
+def test_wide_copies_are_written_by_small_methods_with_short_times(spark, tmp_path):
+    """Only while a copy is written; what it holds is exact."""
+    from pyspark.sql import functions as F
+
+    from cratewise import session
+
+    names = ["spark.sql.codegen.maxFields", "spark.sql.parquet.outputTimestampType"]
+    before = [spark.conf.get(name) for name in names]
+    moments = (
+        "array(timestamp'0001-01-01 00:00:00.000001', timestamp'1899-05-06 07:08:09.123456', "
+        "timestamp'2001-08-10', null)"
+    )
+    wide = spark.range(5).select(
+        F.explode(F.expr(moments)).alias("at"), *[F.col("id").alias(f"c{i}") for i in range(40)]
+    )
+    plans = []
+
+    class Noted(type(wide)):
+        @property
+        def write(self):
+            plans.append([spark.conf.get(name) for name in names])
+            return super().write
+
+    session.copied(Noted(wide._jdf, spark), str(tmp_path / "copy"), "error")
+    assert plans == [["30", "TIMESTAMP_MICROS"]]
+    assert [spark.conf.get(name) for name in names] == before
+    copy = spark.read.parquet(str(tmp_path / "copy"))
+    assert copy.dtypes == wide.dtypes
+    shown = lambda df: sorted(map(str, df.withColumn("at", F.col("at").cast("string")).collect()))
+    assert shown(copy) == shown(wide)
+    # Times are plain numbers in the file, not Spark's 12 bytes.
+    import pyarrow.parquet as pq
+
+    assert "int96" not in str(pq.ParquetFile(next((tmp_path / "copy").glob("*.parquet"))).schema).lower()
+    kept = session.stored(wide)
+    file = kept.inputFiles()[0].removeprefix("file:").replace("///", "/")
+    assert "int96" not in str(pq.ParquetFile(file).schema).lower()
+
+
+def test_settings_return_when_a_copy_fails(spark, tmp_path):
+    from cratewise import session
+
+    before = {name: spark.conf.get(name) for name in session.COPY_SETTINGS}
+    broken = spark.range(3).selectExpr("cast(concat('x', id) as int) as n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        session.copied(broken, str(tmp_path / "copy"), "error")
+    assert {name: spark.conf.get(name) for name in session.COPY_SETTINGS} == before
+
+
 def test_item_without_track_may_have_any_date(spark, tmp_path):
     run = Refresh(spark, str(tmp_path / "library"), dt.datetime(2001, 8, 10), buckets=2)
     odd = {"added_at": "no date", "track": None}
