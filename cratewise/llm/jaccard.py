@@ -48,6 +48,8 @@ SHINGLE = 5
 NEED, OF = 3, 7
 SMALL = 12
 CHUNK_BYTES = 8 << 20
+# Bytes of text split into shingles at once: a byte takes tens of bytes then.
+SPLIT_BYTES = 1 << 18
 BLOCK_ROWS = 512
 # Numbers in a row of a subset; in those of a list entry and of the pair it makes.
 SUBSET_COST = 4
@@ -74,7 +76,7 @@ def _set_id(tokens: np.ndarray) -> int:
 def _describe(small: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, data, offsets in slices(batch):
+            for part, data, offsets in slices(batch, limit=SPLIT_BYTES):
                 sets = shingle_sets(data, offsets, shingle)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -183,17 +185,21 @@ def _entries(buckets: int, shingle: int):
                     continue
                 ids, sizes = np.array(list(sets), np.int64), np.array([*map(len, sets.values())])
                 every = np.concatenate(list(sets.values()))
-                owner = np.repeat(np.arange(len(ids)), sizes)
+                # A chunk has a million shingles and more: arrays of them go when they are read.
+                del sets
+                owner = np.repeat(np.arange(len(ids), dtype=np.int32), sizes)
                 order = np.argsort(every, kind="stable")
                 every, owner = every[order], owner[order]
+                del order
                 first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-                count = np.diff(np.r_[first, len(every)])
+                count = np.diff(np.r_[first, len(every)]).astype(np.int32)
                 keys, at = every[first], np.where(count > 1, 0, owner[first] + 1)
                 several = np.repeat(count > 1, count)
                 own = [
                     ids.tobytes(), sizes.astype(np.int32).tobytes(),
                     every[several].tobytes(), _places(owner[several]),
                 ]
+                del every, owner, first, several
                 cuts = np.searchsorted(keys, np.arange(buckets, dtype=np.uint64) * step)
                 rows = []
                 for bucket, (low, high) in enumerate(zip(cuts, [*cuts[1:], len(keys)])):
@@ -221,7 +227,7 @@ def _bounded(data: np.ndarray, offsets: np.ndarray, shingle: int) -> Iterator[np
     """Sets of the texts, some at a time, so that the arrays per byte stay small."""
     at, last = 0, len(offsets) - 1
     while at < last:
-        to = int(np.searchsorted(offsets, offsets[at] + (1 << 20), side="right")) - 1
+        to = int(np.searchsorted(offsets, offsets[at] + SPLIT_BYTES, side="right")) - 1
         to = min(max(to, at + 1), last)
         yield from shingle_sets(
             data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at], shingle
@@ -238,13 +244,17 @@ def _shared(table: pa.Table) -> pa.Table:
     places = [_from_places(x) for x in table.column("at").to_pylist()]
     counts = []
     for at, several in zip(places, table.column("several").to_pylist()):
-        own = np.ones(len(at), np.int64)
+        own = np.ones(len(at), np.uint32)
         own[at == 0] = np.frombuffer(several, np.uint32)
         counts.append(own)
-    keys, inverse = np.unique(np.concatenate(lists), return_inverse=True)
-    df = np.zeros(len(keys), np.int64)
-    np.add.at(df, inverse, np.concatenate(counts))
-    df = np.minimum(df, 65535).astype(np.uint16)[inverse]
+    keys, counts = np.concatenate(lists), np.concatenate(counts)
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    total = np.minimum(np.add.reduceat(counts[order], first, dtype=np.int64), 65535)
+    df = np.empty(len(keys), np.uint16)
+    df[order] = np.repeat(total.astype(np.uint16), np.diff(np.r_[first, len(keys)]))
+    del keys, counts, order, first, total
     fixed = [table.column(x).to_pylist() for x in ("bucket", "chunk")]
     own = [table.column(x).to_pylist() for x in _names(_SHARED)[5:]]
     out, start = [], 0

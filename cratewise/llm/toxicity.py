@@ -48,7 +48,7 @@ LONG_CHARS = 10_000_000
 EPOCHS = 12
 # Texts that must have a bucket for it to be learned.
 SEEN = 5
-# Bytes of text scored at once: a word takes hundreds of bytes then.
+# Bytes of text scored or split at once: a word takes hundreds of bytes then.
 SCORE_BYTES = 1 << 18
 # Every so many-th text is left for the calibration.
 CALIBRATE = 5
@@ -361,7 +361,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if doc_id not in seen:
                 seen.add(doc_id)
                 fresh.append(number)
-        for part, data, offsets in slices(batch.take(pa.array(fresh, pa.int64()))):
+        chosen = batch if len(fresh) == batch.num_rows else batch.take(pa.array(fresh, pa.int64()))
+        for part, data, offsets in slices(chosen, limit=SCORE_BYTES):
             words = split_words(data, offsets, ALNUM_FOLDED)
             ids = word_ids(words)
             packed = [ids[a:z].tobytes() for a, z in zip(words.first[:-1], words.first[1:])]

@@ -1,6 +1,9 @@
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
+import pyspark
 import pytest
 
 from cratewise.llm import jaccard
@@ -143,3 +146,29 @@ def test_components(spark):
         **{i: 0 for i in range(61)}, 100: 100, 101: 100, **{i: 200 for i in range(200, 204)}
     }
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def most_memory(run, batch):
+    """Bytes that a task's function holds at once, for every byte of text."""
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        return tracemalloc.get_traced_memory()[1] / batch.column("text").nbytes
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_chunk(monkeypatch):
+    """Arrays of a chunk's shingles are not all held until its rows are made."""
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    random.seed(8)
+    texts = [" ".join(f"{random.getrandbits(22):x}" for _ in range(400)) for _ in range(1500)]
+    batch = pa.table({"doc_id": list(range(1500)), "text": texts}).combine_chunks().to_batches()[0]
+    assert most_memory(jaccard._entries(8, 5), batch) < 11
+    assert most_memory(jaccard._describe(12, 5), batch) < 5

@@ -1,11 +1,13 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cratewise.llm import toxicity as toxicity_module
 from cratewise.llm.tables import table
 from cratewise.llm.toxicity import LONG_CHARS, _chosen, held_out, toxicity, train
+from tests.llm.test_jaccard import most_memory
 
 
 def made(seed, n):
@@ -152,3 +154,18 @@ def test_one_class_beyond_what_the_driver_learns(documents, labels, monkeypatch)
     monkeypatch.setattr(toxicity_module, "SAMPLE", {1: 2, 0: 2})
     one = toxicity(documents([(i, "a b") for i in range(40)]), labels([(i, 1, 0) for i in range(40)]))
     assert {r.score for r in one.collect()} == {1.0}
+
+
+def test_memory_of_features():
+    """Words of a batch are split some texts at a time."""
+    random.seed(9)
+    n = 1500
+    texts = [" ".join(f"{random.getrandbits(22):x}" for _ in range(400)) for _ in range(n)]
+    batch = pa.table(
+        {"doc_id": list(range(n)), "text": texts, "lang": ["en"] * n, "toxic": [0] * n}
+    ).combine_chunks().to_batches()[0]
+    # An id of two batches counts once, and every word has its ids.
+    found = list(toxicity_module._features(iter([batch, batch])))
+    assert [x for b in found for x in b.column("doc_id").to_pylist()] == list(range(n))
+    assert {len(x) for b in found for x in b.column("ids").to_pylist()} == {400 * 3 * 4}
+    assert most_memory(toxicity_module._features, batch) < 6
