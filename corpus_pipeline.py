@@ -16,7 +16,7 @@ from cratewise.llm.decontaminate import without_contaminated
 from cratewise.llm.exact import exact_duplicates
 from cratewise.llm.jaccard import jaccard_classes
 from cratewise.llm.mixing import mix
-from cratewise.llm.tables import table
+from cratewise.llm.tables import partitions, table
 from cratewise.llm.toxicity import without_toxic
 from cratewise.session import prepare, shared_folder
 
@@ -39,7 +39,9 @@ def _kept(docs: DataFrame, dropped: Callable[[DataFrame], DataFrame]) -> DataFra
     if counts.where("rows > 1 or doc_id is null").isEmpty():
         return docs.join(dropped(docs).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
     by = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.xxhash64("source", "lang")]
-    sorted_rows = docs.repartitionByRange(*by).sortWithinPartitions(*by)
+    # With a number given, Spark does not merge small ranges into one task.
+    ranges = partitions(docs.sparkSession)
+    sorted_rows = docs.repartitionByRange(ranges, *by).sortWithinPartitions(*by)
     numbered = _stored(
         sorted_rows.select(
             F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")
