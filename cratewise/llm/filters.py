@@ -103,16 +103,24 @@ def combined(limbs: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarr
         return limbs, counts
     # Stable: sorted runs one after another are merged.
     order = np.argsort(limbs[0], kind="stable")
-    same = np.diff(limbs[0][order]) == 0
-    if len(limbs) > 1 and any((np.diff(x[order]) != 0)[same].any() for x in limbs[1:]):
-        order = np.lexsort(limbs[::-1])
+    if len(limbs) > 1:
+        same = ~_steps(limbs[0][order])
+        if any((_steps(x[order]) & same).any() for x in limbs[1:]):
+            order = np.lexsort(limbs[::-1])
     limbs = [x[order] for x in limbs]
-    new = np.ones(len(order), bool)
-    new[1:] = False
+    counts = counts[order]
+    del order
+    new = np.zeros(len(counts), bool)
+    new[0] = True
     for x in limbs:
-        new[1:] |= x[1:] != x[:-1]
+        new[1:] |= _steps(x)
     at = np.flatnonzero(new)
-    return [x[at] for x in limbs], np.add.reduceat(counts[order], at)
+    return [x[at] for x in limbs], np.add.reduceat(counts, at)
+
+
+def _steps(x: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    return x[1:] != x[:-1]
 
 
 def _low_bytes(x: np.ndarray, n: int) -> bytes:

@@ -23,7 +23,7 @@ from cratewise.llm import filters
 from cratewise.llm.filters import Packing
 from cratewise.llm.tables import partitions
 from cratewise.llm.words import slices
-from cratewise.session import stored
+from cratewise.session import stored, using
 
 LONGEST = 5
 LEAST_COUNT = 100
@@ -31,10 +31,17 @@ TOP = 2000
 NO_LANGUAGE = "und"
 
 CHUNK_BYTES = 4 << 20
-# Entries that a task holds before it sends its filters on.
-FILTER_ENTRIES = 4_000_000
-# Bytes of merged filters aimed at for a range.
-RANGE_BYTES = 64 << 20
+# Entries that a task holds before it sends its filters on; sorting takes several times their bytes.
+FILTER_ENTRIES = 1_500_000
+# Bytes of merged filters aimed at for a range, at 8 a word. A task reads and sorts one at a time.
+RANGE_BYTES = 16 << 20
+# How chunks are stored. A reader takes all rows of a row group at once, and a chunk is a row of
+# some MB; the lists of a few chunks are put together at a time, then those of others.
+CHUNK_SETTINGS = {
+    "parquet.block.row.count.limit": "4",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4",
+}
+ID_BITS = 32
 # Bits of a bitmap: some for every frequent phrase, within bounds.
 BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 16, 15, 29
 MARK_BITS = 32
@@ -48,6 +55,7 @@ _KINDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = _BREAK
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] = _FOLD[97:123]
 
+_ENTRY = ("n_words", "wide", "body", "known")
 _CHUNK = "words array<struct<lang: string, word: string, n: bigint>>, wide boolean, body binary"
 _BLOCK = f"range bigint, {filters.COLUMNS}"
 
@@ -78,18 +86,22 @@ def cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray):
     words = pa.LargeStringArray.from_buffers(n, pa.py_buffer(bounds), pa.py_buffer(joined))
     words = words.dictionary_encode()
     langs = batch.column("lang").fill_null(NO_LANGUAGE).dictionary_encode()
+    del inside, edge, joined, bounds
     text_of = np.searchsorted(offsets, starts, side="right") - 1
-    lang_of = langs.indices.to_numpy()[text_of].astype(np.int64)
-    both = lang_of * max(len(words.dictionary), 1) + words.indices.to_numpy()
+    both = langs.indices.to_numpy()[text_of].astype(np.int64)
+    both = both * max(len(words.dictionary), 1) + words.indices.to_numpy()
+    words = words.dictionary
     distinct, codes, counts = np.unique(both, return_inverse=True, return_counts=True)
-    broken = np.concatenate([[0], np.cumsum(kinds == _BREAK)])
+    del both
+    broken = np.zeros(len(kinds) + 1, np.int32)
+    np.cumsum(kinds == _BREAK, dtype=np.int32, out=broken[1:])
     breaks = np.ones(n, bool)
     breaks[1:] = (broken[starts[1:]] > broken[ends[:-1]]) | (text_of[1:] != text_of[:-1])
-    lang, word = np.divmod(distinct, max(len(words.dictionary), 1))
+    lang, word = np.divmod(distinct, max(len(words), 1))
     listed = pa.StructArray.from_arrays(
         [
             langs.dictionary.take(pa.array(lang)).cast(pa.string()),
-            words.dictionary.take(pa.array(word)).cast(pa.string()),
+            words.take(pa.array(word)).cast(pa.string()),
             pa.array(counts.astype(np.int64)),
         ],
         names=["lang", "word", "n"],
@@ -115,11 +127,13 @@ def _cut(chunk_bytes: int) -> Callable:
 def _frequent_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks in codes of their frequent words; other words are breaks. Lone words go."""
     for batch in batches:
-        for row in batch.to_pylist():
-            body = np.frombuffer(row["body"], _codes(row["wide"]))
-            known = sorted(row["known"], key=lambda x: x["code"])
-            code = np.zeros(row["n_words"] + 1, np.int64)
-            code[[x["code"] + 1 for x in known]] = np.arange(1, len(known) + 1)
+        for i in range(batch.num_rows):
+            n_words, wide, body, known = (batch.column(x)[i] for x in _ENTRY)
+            body = np.frombuffer(body.as_buffer(), _codes(wide.as_py()))
+            known = np.sort(known.values.to_numpy(zero_copy_only=False))
+            code = np.zeros(n_words.as_py() + 1, np.int64)
+            code[(known >> ID_BITS) + 1] = np.arange(1, len(known) + 1)
+            ids = known & ((1 << ID_BITS) - 1)
             body = code[body]
             # Words with a neighbour, and the first break after each run of them.
             word = np.concatenate([[False], body != 0, [False]])
@@ -129,7 +143,7 @@ def _frequent_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             wide = len(known) >= 1 << 16
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([[x["id"] for x in known]], pa.list_(pa.int64())),
+                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pa.array(ids)),
                     pa.array([wide]),
                     pa.array([body.astype(_codes(wide)).tobytes()]),
                 ],
@@ -174,58 +188,79 @@ def _count(n: int, bits: int, range_bits: int, entries: int, bitmaps) -> Callabl
 
     def rows(limbs: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         ranges = limbs[0] >> np.uint64(packing.widths[0] - range_bits)
-        bounds = np.flatnonzero(np.diff(ranges, prepend=ranges[:1] + np.uint64(1)))
-        out = []
-        for a, z in zip(bounds.tolist(), [*bounds[1:].tolist(), len(counts)]):
-            part = filters.write(packing, [x[a:z] for x in limbs], counts[a:z], range_bits)
-            out.append((int(ranges[a]), *part))
-        for at in range(0, len(out), 64):
-            columns = zip(*out[at : at + 64])
-            names = [x.split()[0] for x in _BLOCK.split(", ")]
-            kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+        bounds = np.flatnonzero(np.diff(ranges, prepend=ranges[:1] + np.uint64(1))).tolist()
+        firsts = ranges[bounds].tolist()
+        del ranges
+        names = [x.split()[0] for x in _BLOCK.split(", ")]
+        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+        parts = list(zip(firsts, bounds, [*bounds[1:], len(counts)]))
+        for at in range(0, len(parts), 64):
+            out = []
+            for first, a, z in parts[at : at + 64]:
+                part = filters.write(packing, [x[a:z] for x in limbs], counts[a:z], range_bits)
+                out.append((first, *part))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, kind) for x, kind in zip(columns, kinds)], names=names
+                [pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], names=names
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limbs, counts, held = [], [], 0
         for batch in batches:
-            for row in batch.to_pylist():
-                body = np.frombuffer(row["body"], _codes(row["wide"])).astype(np.int64)
-                ids = np.array(row["ids"], np.int64)
+            for i in range(batch.num_rows):
+                ids, wide, body = (batch.column(x)[i] for x in ("ids", "wide", "body"))
+                body = np.frombuffer(body.as_buffer(), _codes(wide.as_py())).astype(np.int64)
+                ids = ids.values.to_numpy(zero_copy_only=False)
                 at = _positions(ids, body, n, bits, bitmaps.value)
                 if not len(at):
                     continue
-                keys = packing.keys([ids[body[at + i] - 1] for i in range(n)])
+                keys = packing.keys([ids[body[at + k] - 1] for k in range(n)])
                 keys, sums = filters.combined(keys, np.ones(len(at), np.int64))
                 limbs.append(keys)
                 counts.append(sums)
                 held += len(sums)
                 if held > entries:
                     keys, sums = _merged(limbs, counts)
-                    limbs, counts, held = [keys], [sums], len(sums)
+                    held = len(sums)
                     if held > entries // 2:
                         yield from rows(keys, sums)
-                        limbs, counts, held = [], [], 0
+                        held = 0
+                    else:
+                        limbs.append(keys)
+                        counts.append(sums)
+                    del keys, sums
         if limbs:
             yield from rows(*_merged(limbs, counts))
 
     return run
 
 
+def _joined(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Arrays of all parts one after another; ``parts`` is emptied, to hold none twice."""
+    whole = [np.concatenate(x) for x in zip(*parts)]
+    parts.clear()
+    return whole
+
+
 def _merged(limbs: list[list[np.ndarray]], counts: list[np.ndarray]):
-    return filters.combined([np.concatenate(x) for x in zip(*limbs)], np.concatenate(counts))
+    sums = np.concatenate(counts)
+    counts.clear()
+    return filters.combined(_joined(limbs), sums)
 
 
 def _merge(packing: Packing, range_bits: int, least: int) -> Callable:
     """Of the filters of a range: phrases that occur often enough."""
 
     def run(table: pa.Table) -> pa.Table:
-        found = [
-            filters.read(packing, tuple(row.values())[1:], row["range"], range_bits)
-            for row in table.to_pylist()
-        ]
-        limbs, counts = _merged([x for x, _ in found], [x for _, x in found])
+        limbs, counts = [], []
+        for batch in table.to_batches():
+            range_no, bits, *binary = batch.columns
+            for i in range(batch.num_rows):
+                # Read where they lie, not copied.
+                row = bits[i].as_py(), *[memoryview(x[i].as_buffer()) for x in binary]
+                keys, sums = filters.read(packing, row, range_no[i].as_py(), range_bits)
+                limbs.append(keys)
+                counts.append(sums)
+        limbs, counts = _merged(limbs, counts)
         often = counts >= least
         limbs = [x[often] for x in limbs]
         ids = np.stack(packing.ids(limbs), axis=1).ravel()
@@ -269,7 +304,8 @@ def frequent_phrases(
     phrases of one word and more (words: array of ids, f)."""
     spark = docs.sparkSession
     texts = docs.select("lang", "text").mapInArrow(_cut(chunk_bytes), _CHUNK)
-    chunks = stored(texts.withColumn("chunk", F.monotonically_increasing_id()))
+    with using(spark, CHUNK_SETTINGS):
+        chunks = stored(texts.withColumn("chunk", F.monotonically_increasing_id()))
     listed = chunks.select("chunk", F.posexplode("words").alias("code", "entry")).select(
         "chunk", "code", "entry.*"
     )
@@ -283,7 +319,8 @@ def frequent_phrases(
     bits = max(1, (n_words - 1).bit_length())
     # One row per entry of a chunk, whether its word is frequent or not: words have one row each.
     # A chunk's list is bounded by its bytes; entries without an id are left out of it.
-    entry = F.when(F.col("id").isNotNull(), F.struct("code", "id"))
+    # Code and id share a number, which takes a quarter of what a struct of both does.
+    entry = F.shiftleft(F.col("code").cast("bigint"), ID_BITS).bitwiseOR(F.col("id"))
     known = (
         listed.select("chunk", "code", "lang", "word")
         .join(words.drop("n"), ["lang", "word"], "left")
@@ -292,11 +329,12 @@ def frequent_phrases(
         .where(F.size("known") > 0)
     )
     bodies = chunks.select("chunk", F.size("words").alias("n_words"), "wide", "body")
-    encoded = stored(
-        bodies.join(known, "chunk")
-        .drop("chunk")
-        .mapInArrow(_frequent_only, "ids array<bigint>, wide boolean, body binary")
-    )
+    with using(spark, CHUNK_SETTINGS):
+        encoded = stored(
+            bodies.join(known, "chunk")
+            .drop("chunk")
+            .mapInArrow(_frequent_only, "ids array<bigint>, wide boolean, body binary")
+        )
     total = totals.agg(F.sum("total")).first()[0]
     ranges = max(partitions(spark), 8 * total // RANGE_BYTES, 1)
     bitmaps = {}

@@ -1,10 +1,14 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet
 import pytest
 
-from cratewise.llm import phrases
+from cratewise.llm import filters, phrases
 from cratewise.llm.phrases import collocations
 
 
@@ -128,3 +132,74 @@ def test_rows_of_the_word_join_follow_the_entries(documents, monkeypatch):
     assert sorted(r.f for r in found.collect()) == [5, 5, 5, 6, 6, 6]
     encoded = next(p for p in plans if "_frequent_only" in p or "run" in p and "known" in p and "body" in p)
     assert "Join LeftOuter, ((lang" in encoded
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_tasks_hold_few_phrases_at_once():
+    """Of any number of words; two limbs a phrase, none repeated."""
+    pick = np.random.default_rng(7)
+    bits, n = 17, 5
+    packing = filters.Packing(n, bits)
+
+    class Every:
+        value = {size: (np.full(1 << 12, 255, np.uint8), 15) for size in range(2, n)}
+
+    def chunks():
+        ids = pa.array([np.arange(1 << bits)], pa.list_(pa.int64()))
+        for _ in range(12):
+            body = pick.integers(1, 1 << bits, 500_000, dtype=np.uint32).tobytes()
+            yield pa.RecordBatch.from_arrays([ids, pa.array([True]), pa.array([body])], ["ids", "wide", "body"])
+
+    sent = lambda: sum(len(b) for b in phrases._count(n, bits, 4, phrases.FILTER_ENTRIES, Every)(chunks()))
+    assert peak_mb(sent) < 200
+
+    # A range as full as it can be.
+    left, blocks = packing.widths[0] - 4, []
+    for _ in range(20):
+        rows = phrases.RANGE_BYTES // 8 // 20
+        limbs = [pick.integers(0, 1 << w, rows, np.uint64) for w in (left, *packing.widths[1:])]
+        blocks.append((0, *filters.write(packing, *filters.combined(limbs, np.ones(rows, np.int64)), 4)))
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
+    names = [x.split()[0] for x in phrases._BLOCK.split(", ")]
+    table = pa.table([pa.array(x, kind) for x, kind in zip(zip(*blocks), kinds)], names)
+    assert peak_mb(lambda: phrases._merge(packing, 4, 2)(table)) < 200
+
+
+def test_words_of_a_chunk_make_no_objects():
+    n = 100_000
+    known = (np.random.default_rng(3).permutation(n) << phrases.ID_BITS) | np.arange(n)
+    body = np.arange(n + 1, dtype=np.uint32).tobytes()
+    columns = [pa.array([n]), pa.array([True]), pa.array([body]), pa.array([known])]
+    batch = pa.RecordBatch.from_arrays(columns, ["n_words", "wide", "body", "known"])
+    out = []
+    assert peak_mb(lambda: out.extend(phrases._frequent_only(iter([batch])))) < 10
+    got = out[0].to_pylist()[0]
+    assert [got["ids"][c - 1] for c in np.frombuffer(got["body"], np.uint32)] == [
+        x & ((1 << phrases.ID_BITS) - 1) for x in sorted(known.tolist())
+    ]
+
+
+def test_chunks_are_read_a_few_at_a_time(documents, monkeypatch):
+    """Row groups hold few rows, because a reader takes a row group at once."""
+    kept, store = [], phrases.stored
+
+    def spied(df):
+        kept.append(store(df))
+        return kept[-1]
+
+    monkeypatch.setattr(phrases, "stored", spied)
+    docs = documents([(i, "a b c d " * 20) for i in range(60)], partitions=1)
+    phrases.frequent_phrases(docs, least=3, longest=2, chunk_bytes=200)
+    with_body = [df for df in kept if "body" in df.columns]
+    assert len(with_body) == 2
+    for df in with_body:
+        files = [pa.parquet.ParquetFile(x.removeprefix("file:")) for x in df.inputFiles()]
+        sizes = [f.metadata.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+        assert sum(sizes) > 40 and max(sizes) <= 4
