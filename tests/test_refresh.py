@@ -443,3 +443,67 @@ def test_a_build_parses_every_payload_once(spark, tmp_path, answers, monkeypatch
     for name in ("recording_documents", "work_documents"):
         choosing = plans[name][plans[name].index("from_json"):]
         assert "Sort" not in choosing and "payload_json" in choosing
+
+
+def test_keys_are_found_alike_by_broadcast_by_marks_and_by_a_join(spark):
+    from cratewise.plans.update import only
+
+    rows = spark.createDataFrame([(f"k{i % 7}" if i % 5 else None, i) for i in range(60)], "k string, v int")
+    keys = spark.createDataFrame([("k1",), ("k4",), ("k9",), (None,)], "k string")
+    wanted = sorted((f"k{i % 7}", i) for i in range(60) if i % 5 and i % 7 in (1, 4))
+    for few, marks in ((10, 10), (3, 10), (3, 3)):
+        got = only(rows, keys, "k", few, marks)
+        assert got.columns == ["k", "v"]
+        assert sorted(tuple(r) for r in got.collect()) == wanted
+
+
+def test_update_keeps_no_table_that_was_read_for_the_last_time(spark, sf_dir, monkeypatch):
+    """What is left on the disk beside the table asked for: its rows, and lists of keys."""
+    from pathlib import Path
+
+    from cratewise import registry
+    from cratewise.plans import update
+
+    seen = []
+    for module in (registry, update):
+        monkeypatch.setattr(
+            module, "stored", lambda df, real=module.stored: seen.append(real(df)) or seen[-1]
+        )
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    files = {}
+    real = registry.discard
+
+    def discard(*tables):
+        for df in tables:
+            files[id(df)] = df.inputFiles()
+        real(*tables)
+
+    for module in (registry, update):
+        monkeypatch.setattr(module, "discard", discard)
+    rows = registry.QUERIES["refresh_delta"](spark, sf_dir)
+    left = [df for df in seen if id(df) not in files]
+    assert files and not any(
+        Path(x.removeprefix("file:")).exists() for paths in files.values() for x in paths
+    )
+    # Of the six landing tables, the build, and its update: touched rows and the update.
+    assert sum("credit_line" in df.columns for df in left) == 1
+    assert sum("credit_line" in df.columns for df in seen) == 2
+    assert sum("spotify_track_url" in df.columns and "id" in df.columns for df in left) == 2
+    assert rows.count() > 0
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == before
+
+
+def test_only_stored_copies_are_discarded(spark, tmp_path):
+    from cratewise.session import discard, stored
+
+    spark.range(3).write.parquet(str(tmp_path / "table"))
+    table = spark.read.parquet(str(tmp_path / "table"))
+    with pytest.raises(ValueError):
+        discard(table)
+    assert table.count() == 3
+    copy = stored(table)
+    path = copy.inputFiles()[0].removeprefix("file:")
+    discard(copy)
+    import os
+
+    assert not os.path.exists(path)
